@@ -36,13 +36,15 @@ def running_totals(
     descending: bool = True,
     prefix: str = "cum_",
     rows_per_range: int = ROWS_PER_RANGE,
+    materialized: bool = False,
 ) -> DataFrame:
     """Add ``{prefix}{v}``: the sum of ``v`` over rows of the same group whose
     ``order_col`` comes at or before this row's in the given direction.
 
-    ``df`` must hold at most one row per (group, order value).
+    ``df`` must hold at most one row per (group, order value). Pass
+    ``materialized=True`` when it is already a checkpoint.
     """
-    base = df.checkpoint(eager=True)
+    base = df if materialized else df.checkpoint(eager=True)
     n = base.count()
     n_ranges = max(1, math.ceil(n / rows_per_range))
     ordered = F.col(order_col).desc() if descending else F.col(order_col).asc()

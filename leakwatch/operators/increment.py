@@ -78,4 +78,7 @@ def append_new(
     n = fresh.count()
     if n:
         append_table(fresh, target)
+        # The write may run in another session (e.g. a stream's foreachBatch);
+        # drop this session's cached file listing of the target.
+        spark.catalog.refreshTable(target)
     return n

@@ -61,8 +61,9 @@ def curve(scored: DataFrame, label: str = "label", score: str = "score",
     key = g or [ALL]
     if not g:
         scored = scored.withColumn(ALL, F.lit(0))
-    counts = score_counts(scored, label, score, key)
-    cum = running_totals(counts, key, "score", ["pos", "neg"], descending=True)
+    # Materialised once: both the running totals and the class totals read it.
+    counts = score_counts(scored, label, score, key).checkpoint(eager=True)
+    cum = running_totals(counts, key, "score", ["pos", "neg"], descending=True, materialized=True)
     # One row per group (model): tiny by construction.
     totals = _class_totals(counts, key)
     out = cum.join(F.broadcast(totals), key)

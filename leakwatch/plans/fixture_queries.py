@@ -336,6 +336,78 @@ def q_three_way_split(spark, d):
     return stratified_split(ft, validation_fraction=0.2)
 
 
+
+
+# --- models (Spark ML) -----------------------------------------------------------
+
+_MODELS: dict[tuple, object] = {}
+
+
+def _model(spark, d, kind: str):
+    """Train once per session, folder and kind; later queries reuse the fit."""
+    from leakwatch.plans import training
+
+    key = (id(spark), d, kind)
+    if key not in _MODELS:
+        if kind == "gbt":
+            split_df = training.split_features(clean_features(spark, d))
+            _MODELS[key] = (training.train(split_df), split_df)
+        else:
+            split_df = training.split_features(clean_features(spark, d), validation_fraction=0.2)
+            _MODELS[key] = (training.train_early_stop(split_df), split_df)
+    return _MODELS[key]
+
+
+def q_encode_features(spark, d):
+    from leakwatch.operators.model import encode, fit_encoder
+
+    ft = clean_features(spark, d)
+    enc = encode(ft, fit_encoder(ft))
+    return enc.select(S.ID, "ActionType_code", "file_extension_code", "Position_code")
+
+
+def q_gbt_predictions(spark, d):
+    from leakwatch.plans import training
+
+    model, split_df = _model(spark, d, "gbt")
+    return training.test_predictions(model, split_df).select(S.ID, S.LABEL, "predicted", "predicted_prob")
+
+
+def q_gbt_early_stop(spark, d):
+    from leakwatch.operators.model import booster
+    from leakwatch.plans import training
+
+    model, split_df = _model(spark, d, "early_stop")
+    pred = training.test_predictions(model, split_df)
+    return pred.select(S.ID, S.LABEL, "predicted", "predicted_prob",
+                       F.lit(booster(model).getNumTrees).alias("n_trees"))
+
+
+def q_score_new_events(spark, d):
+    from leakwatch.plans import scoring
+
+    model, _ = _model(spark, d, "gbt")
+    ft = clean_features(spark, d)
+    as_of = reports.latest_timestamp(ft)
+    batch = scoring.pending(spark, ft, "leakwatch_unscored_probe_predictions", 24, as_of)
+    return scoring.score_events(model, batch, "gbt_v1", SCORED_AT)
+
+
+def q_feature_importance(spark, d):
+    from leakwatch.operators.model import feature_importance
+
+    model, _ = _model(spark, d, "gbt")
+    rows = feature_importance(model)
+    return spark.createDataFrame(rows, "feature string, importance double")
+
+
+def q_explain_events(spark, d):
+    from leakwatch.operators.explain import explain
+
+    model, split_df = _model(spark, d, "gbt")
+    return explain(model, split_df.where(F.col("split") == "test"))
+
+
 QUERIES = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

@@ -38,6 +38,7 @@ def get_session(
     conf.update(
         {
             "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
             "spark.sql.execution.arrow.pyspark.enabled": "true",
             "spark.driver.memory": os.environ.get("LEAKWATCH_DRIVER_MEMORY", "16g"),
             "spark.sql.shuffle.partitions": str(shuffle_partitions or 8),

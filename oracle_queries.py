@@ -354,3 +354,9 @@ def _model_comparison() -> str:
 
 
 ORACLE["model_comparison"] = _model_comparison()
+
+ORACLE["encode_features"] = BASE_FT + """SELECT Action_ID,
+  CAST(dense_rank() OVER (ORDER BY ActionType) - 1 AS INTEGER) AS ActionType_code,
+  CAST(dense_rank() OVER (ORDER BY file_extension) - 1 AS INTEGER) AS file_extension_code,
+  CAST(dense_rank() OVER (ORDER BY Position) - 1 AS INTEGER) AS Position_code
+FROM ft"""
