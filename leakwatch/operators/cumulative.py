@@ -48,6 +48,10 @@ def running_totals(
     n = base.count()
     n_ranges = max(1, math.ceil(n / rows_per_range))
     ordered = F.col(order_col).desc() if descending else F.col(order_col).asc()
+    if n_ranges == 1:
+        # Proven small (at most rows_per_range rows in all): one window per group.
+        w = Window.partitionBy(*group_cols).orderBy(ordered).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return base.withColumns({f"{prefix}{v}": F.sum(v).over(w) for v in value_cols})
     ranged = base.repartitionByRange(n_ranges, *group_cols, order_col).checkpoint(eager=True)
     ranged = ranged.withColumn("_rt_pid", F.spark_partition_id())
 

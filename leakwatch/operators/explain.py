@@ -95,7 +95,7 @@ def leaf_table(nodes: list[dict], weights: list[float]) -> tuple[list[dict], flo
                     cover *= ratio
                 value = w * float(node["prediction"])
                 base += value * cover
-                leaves.append({"value": value, "features": feats})
+                leaves.append({"tree": tid, "value": value, "features": feats})
                 continue
             parent = max(float(node["rawCount"]), 1.0)
             left, right = tree[node["left"]], tree[node["right"]]
@@ -186,3 +186,45 @@ def explain(model: PipelineModel, df: DataFrame, id_col: str = S.ID) -> DataFram
     schema = (f"{id_col} {id_type}, feature string, feature_value double, shap_value double, "
               "base_value double, margin double")
     return encoded.mapInPandas(run, schema)
+
+
+def staged_margins(model: PipelineModel, df: DataFrame, label: str = S.LABEL, id_col: str = S.ID) -> DataFrame:
+    """Margin of every row after each tree prefix: (id, label, n_trees, margin).
+
+    One output row per (input row, tree); the work is of the same order as
+    scoring every prefix model, done in one pass per Arrow batch.
+    """
+    nodes, weights = tree_nodes(model)
+    leaves, _ = leaf_table(nodes, weights)
+    n_trees = len(weights)
+    inputs = feature_names(model)
+    encoded = encode(df, model.stages[0]).select(
+        id_col, F.col(label).cast("int").alias("label"), *[F.col(c).cast("double").alias(c) for c in inputs]
+    )
+    id_type = df.schema[id_col].dataType.simpleString()
+
+    def run(batches):
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            x = pdf[inputs].to_numpy(dtype=float)
+            n = len(pdf)
+            per_tree = np.zeros((n, n_trees))
+            for leaf in leaves:
+                hit = np.ones(n, dtype=bool)
+                for j, f in leaf["features"].items():
+                    for cond in f["conds"]:
+                        hit &= _satisfies(x[:, j], cond)
+                per_tree[:, leaf["tree"]] += np.where(hit, leaf["value"], 0.0)
+            cum = np.cumsum(per_tree, axis=1)
+            yield pd.DataFrame(
+                {
+                    id_col: np.repeat(pdf[id_col].to_numpy(), n_trees),
+                    "label": np.repeat(pdf["label"].to_numpy(), n_trees),
+                    "n_trees": np.tile(np.arange(1, n_trees + 1, dtype=np.int32), n),
+                    "margin": cum.reshape(-1),
+                }
+            )
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    return encoded.mapInPandas(run, f"{id_col} {id_type}, label int, n_trees int, margin double")

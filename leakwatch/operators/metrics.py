@@ -64,9 +64,9 @@ def curve(scored: DataFrame, label: str = "label", score: str = "score",
     # Materialised once: both the running totals and the class totals read it.
     counts = score_counts(scored, label, score, key).checkpoint(eager=True)
     cum = running_totals(counts, key, "score", ["pos", "neg"], descending=True, materialized=True)
-    # One row per group (model): tiny by construction.
+    # One row per group; AQE broadcasts it at run time once its size is known.
     totals = _class_totals(counts, key)
-    out = cum.join(F.broadcast(totals), key)
+    out = cum.join(totals, key)
     return out.select(
         *g,
         F.col("score").alias("threshold"),

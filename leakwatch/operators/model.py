@@ -81,7 +81,11 @@ def fit_classifier(
     )
     kwargs = dict(
         featuresCol="features", labelCol=label, maxIter=params.max_iter, maxDepth=params.max_depth,
-        stepSize=params.step_size, seed=params.seed, maxBins=max(params.min_bins, n_cat), cacheNodeIds=True,
+        stepSize=params.step_size, seed=params.seed, maxBins=max(params.min_bins, n_cat),
+        # Shallow trees: re-walking 3 levels is cheaper than caching node ids
+        # (which also checkpoints them). The boosting residuals are still
+        # checkpointed every 10 trees, so a lost executor never replays all.
+        cacheNodeIds=False, checkpointInterval=10,
     )
     if validation_col:
         kwargs.update(validationIndicatorCol=validation_col, validationTol=params.validation_tol)

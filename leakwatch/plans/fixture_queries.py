@@ -354,7 +354,8 @@ def _model(spark, d, kind: str):
             _MODELS[key] = (training.train(split_df), split_df)
         else:
             split_df = training.split_features(clean_features(spark, d), validation_fraction=0.2)
-            _MODELS[key] = (training.train_early_stop(split_df), split_df)
+            model, best_k, _ = training.train_early_stop(split_df)
+            _MODELS[key] = (model, split_df)
     return _MODELS[key]
 
 

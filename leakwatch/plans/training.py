@@ -26,10 +26,40 @@ def train(split_df: DataFrame, params: BoostParams = BoostParams()) -> PipelineM
     return fit_classifier(split_df.where(F.col("split") == "train"), params)
 
 
-def train_early_stop(split_df: DataFrame, params: BoostParams = BoostParams(max_iter=500)) -> PipelineModel:
-    """Fit on ``train`` with ``validation`` rows as the early-stopping set."""
+def train_early_stop(split_df: DataFrame, params: BoostParams = BoostParams(max_iter=500, validation_tol=0.01),
+                     patience: int = 50) -> tuple[PipelineModel, int, DataFrame]:
+    """Fit on ``train`` with ``validation`` rows for early stopping by AUC.
+
+    1. Spark's own validation stop (loss based) bounds the number of trees.
+    2. The validation AUC of every tree prefix comes from the staged margins
+       (distributed AUC per prefix, one row per prefix).
+    3. The best prefix is the highest AUC seen before ``patience`` prefixes
+       in a row fail to beat it; the model is refitted with exactly that many
+       trees (the boosting is deterministic: no subsampling).
+
+    Returns the model, the chosen tree count and the per-prefix AUC table.
+    """
+    from leakwatch.operators.explain import staged_margins
+
     rows = split_df.where(F.col("split") != "test").withColumn("is_validation", F.col("split") == "validation")
-    return fit_classifier(rows, params, validation_col="is_validation")
+    first = fit_classifier(rows, params, validation_col="is_validation")
+    validation = split_df.where(F.col("split") == "validation")
+    staged = staged_margins(first, validation).select("n_trees", "label", F.col("margin").alias("score"))
+    per_prefix = metrics.auc_roc(staged, group_cols=["n_trees"]).checkpoint(eager=True)
+    # One row per tree (bounded by max_iter): read on the driver.
+    aucs = sorted((r["n_trees"], r["auc_roc"]) for r in per_prefix.collect())
+    best_k, best = 1, float("-inf")
+    for k, auc in aucs:
+        if auc is not None and auc > best:
+            best_k, best = k, auc
+        elif k - best_k >= patience:
+            break
+    refit = fit_classifier(
+        split_df.where(F.col("split") == "train"),
+        BoostParams(max_iter=best_k, max_depth=params.max_depth, step_size=params.step_size, seed=params.seed,
+                    min_bins=params.min_bins),
+    )
+    return refit, best_k, per_prefix
 
 
 def test_predictions(model: PipelineModel, split_df: DataFrame) -> DataFrame:

@@ -66,5 +66,22 @@ def test_unseen_category_scores(spark, fitted):
 def test_early_stop_keeps_prefix(spark, fixture_dir):
     ft = feature_table(upload_events(spark, fixture_dir), fixture_rules())
     split_df = training.split_features(ft, validation_fraction=0.2)
-    model = training.train_early_stop(split_df, BoostParams(max_iter=30, validation_tol=0.01))
-    assert 1 <= model.stages[-1].getNumTrees <= 30
+    model, best_k, per_prefix = training.train_early_stop(split_df, BoostParams(max_iter=12, validation_tol=0.0),
+                                                          patience=3)
+    assert model.stages[-1].getNumTrees == best_k
+    aucs = sorted((r["n_trees"], r["auc_roc"]) for r in per_prefix.collect())
+    assert 1 <= len(aucs) <= 12
+    # The chosen prefix has the best AUC among the prefixes scanned before stopping.
+    scanned = [a for k, a in aucs if k <= best_k + 3]
+    assert dict(aucs)[best_k] == max(scanned)
+
+
+def test_staged_margin_matches_model(spark, fitted):
+    from leakwatch.operators.explain import staged_margins
+
+    model, split_df = fitted
+    rows = split_df.where("split = 'test'")
+    last = staged_margins(model, rows).where("n_trees = 8").select("Action_ID", "margin")
+    raw = model.transform(rows).select("Action_ID", vector_to_array("rawPrediction")[1].alias("raw"))
+    d = last.join(raw, "Action_ID").select(F.max(F.abs(F.col("margin") - F.col("raw")))).first()[0]
+    assert d < 1e-9
