@@ -63,6 +63,10 @@ def curve(scored: DataFrame, label: str = "label", score: str = "score",
         scored = scored.withColumn(ALL, F.lit(0))
     # Materialised once: both the running totals and the class totals read it.
     counts = score_counts(scored, label, score, key).checkpoint(eager=True)
+    return _curve_from_counts(counts, g, key)
+
+
+def _curve_from_counts(counts: DataFrame, g: list[str], key: list[str]) -> DataFrame:
     cum = running_totals(counts, key, "score", ["pos", "neg"], descending=True, materialized=True)
     # One row per group; AQE broadcasts it at run time once its size is known.
     totals = _class_totals(counts, key)
@@ -253,9 +257,27 @@ COMPARISON_METRICS = ["AUC-ROC", "AUC-PR", "Precision (class 1)", "Recall (class
 
 def model_summary(scored: DataFrame, model: str = "model", label: str = "label", score: str = "score",
                   predicted: str = "predicted") -> DataFrame:
-    """Per model: auc_roc, average_precision, precision, recall, fp, fn."""
-    ranking = _auc_ap(curve(scored, label, score, [model]), [model])
-    cm = confusion_matrix(scored, label, predicted, [model])
+    """Per model: auc_roc, average_precision, precision, recall, fp, fn.
+
+    One pass over the scored rows: they are aggregated to (model, score,
+    predicted) counts once; the curve and the confusion counts both read
+    that small checkpointed table.
+    """
+    y = F.col(label) == 1
+    agg = scored.groupBy(model, F.col(score).alias("score"), F.col(predicted).alias("_pred")).agg(
+        F.sum(F.when(y, 1).otherwise(0)).cast("long").alias("pos"),
+        F.sum(F.when(y, 0).otherwise(1)).cast("long").alias("neg"),
+    ).checkpoint(eager=True)
+    counts = agg.groupBy(model, "score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).checkpoint(
+        eager=True
+    )
+    ranking = _auc_ap(_curve_from_counts(counts, [model], [model]), [model])
+    p1 = F.col("_pred") == 1
+    cm = agg.groupBy(model).agg(
+        F.sum(F.when(p1, F.col("neg")).otherwise(0)).cast("long").alias("fp"),
+        F.sum(F.when(p1, 0).otherwise(F.col("pos"))).cast("long").alias("fn"),
+        F.sum(F.when(p1, F.col("pos")).otherwise(0)).cast("long").alias("tp"),
+    )
     pr = cm.select(
         model,
         _precision(F.col("tp"), F.col("fp")).alias("precision"),

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leakwatch import schemas as S
@@ -90,7 +90,9 @@ def by_id(df: DataFrame, action_id: int) -> DataFrame:
 def label_distribution(df: DataFrame, label: str = S.LABEL) -> DataFrame:
     """Count and share per label value, from one aggregation."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    total = df.agg(F.count(F.lit(1))).scalar()
+    # One row per label value: the total is a window over that tiny result,
+    # so the input is scanned once.
+    total = F.sum("n").over(Window.partitionBy(F.lit(1)))
     return counts.select(label, "n", (F.col("n").cast("double") / total.cast("double")).alias("share"))
 
 

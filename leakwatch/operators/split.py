@@ -10,19 +10,20 @@ A rank inside a label would be one window per label: two groups, each half
 the data, in one task each. Instead the hash prefix buckets each label
 (md5 is uniform, so buckets are balanced whatever the data): a per-bucket
 count table gives each bucket its offset and a window inside each
-(label, bucket) gives the rank within it.
+(label, bucket) gives the rank within it. The prefix has a fixed width
+(``prefix_hex`` hex digits, 16^5 ~ 1M buckets by default), so no count job
+is needed: at 10^12 rows a bucket holds ~10^6 rows, and the per-label offset
+table holds at most 16^5 rows.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from leakwatch import schemas as S
 
-ROWS_PER_BUCKET = 1_000_000
+PREFIX_HEX = 5
 
 
 def split_key(id_col: str = S.ID, seed: int = 42):
@@ -37,14 +38,11 @@ def stratified_split(
     validation_fraction: float = 0.0,
     seed: int = 42,
     out_col: str = "split",
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    prefix_hex: int = PREFIX_HEX,
 ) -> DataFrame:
     """Add ``out_col`` in {train, validation, test}."""
     keyed = df.withColumn("_sp_key", split_key(id_col, seed))
-    n = keyed.count()
-    hex_chars = 0 if n <= rows_per_bucket else math.ceil(math.log(n / rows_per_bucket, 16))
-    bucket = F.substring("_sp_key", 1, hex_chars) if hex_chars else F.lit("")
-    keyed = keyed.withColumn("_sp_b", bucket)
+    keyed = keyed.withColumn("_sp_b", F.substring("_sp_key", 1, prefix_hex))
 
     per_bucket = keyed.groupBy(label, "_sp_b").agg(F.count(F.lit(1)).alias("_sp_n"))
     w_off = Window.partitionBy(label).orderBy("_sp_b").rowsBetween(Window.unboundedPreceding, -1)
