@@ -12,14 +12,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leakwatch import schemas as S
-from leakwatch.functions.context import after_hours_flag, day_of_week, parse_timestamp, risky_day_flag
-from leakwatch.functions.files import base_name, double_extension_flag, file_extension, high_risk_extension_flag, keyword_flag
+from leakwatch.functions.context import (
+    after_hours_flag,
+    day_of_week,
+    high_risk_position_flag,
+    parse_timestamp,
+    risky_day_flag,
+    risky_domain_flag,
+)
+from leakwatch.functions.files import (
+    base_name,
+    double_extension_flag,
+    file_extension,
+    high_risk_extension_flag,
+    keyword_flag,
+)
 from leakwatch.functions.rules import rule_label, rule_probability, rule_score_hundredths
-from leakwatch.functions.context import high_risk_position_flag, risky_domain_flag
 from leakwatch.operators import increment, metrics, reports
 from leakwatch.operators.behaviour import user_behaviour
 from leakwatch.operators.dictionary_match import rows_containing_any
+from leakwatch.operators.explain import explain
+from leakwatch.operators.model import booster, encode, feature_importance, fit_encoder
 from leakwatch.operators.split import stratified_split
+from leakwatch.plans import scoring, training
 from leakwatch.plans.feature_table import build_features, feature_table
 from leakwatch.sources.dictionaries import load_dictionary, packaged_path
 from leakwatch.sources.fixture import fixture_rules, upload_events
@@ -345,8 +360,6 @@ _MODELS: dict[tuple, object] = {}
 
 def _model(spark, d, kind: str):
     """Train once per session, folder and kind; later queries reuse the fit."""
-    from leakwatch.plans import training
-
     key = (id(spark), d, kind)
     if key not in _MODELS:
         if kind == "gbt":
@@ -360,24 +373,17 @@ def _model(spark, d, kind: str):
 
 
 def q_encode_features(spark, d):
-    from leakwatch.operators.model import encode, fit_encoder
-
     ft = clean_features(spark, d)
     enc = encode(ft, fit_encoder(ft))
     return enc.select(S.ID, "ActionType_code", "file_extension_code", "Position_code")
 
 
 def q_gbt_predictions(spark, d):
-    from leakwatch.plans import training
-
     model, split_df = _model(spark, d, "gbt")
     return training.test_predictions(model, split_df).select(S.ID, S.LABEL, "predicted", "predicted_prob")
 
 
 def q_gbt_early_stop(spark, d):
-    from leakwatch.operators.model import booster
-    from leakwatch.plans import training
-
     model, split_df = _model(spark, d, "early_stop")
     pred = training.test_predictions(model, split_df)
     return pred.select(S.ID, S.LABEL, "predicted", "predicted_prob",
@@ -385,8 +391,6 @@ def q_gbt_early_stop(spark, d):
 
 
 def q_score_new_events(spark, d):
-    from leakwatch.plans import scoring
-
     model, _ = _model(spark, d, "gbt")
     ft = clean_features(spark, d)
     as_of = reports.latest_timestamp(ft)
@@ -395,20 +399,36 @@ def q_score_new_events(spark, d):
 
 
 def q_feature_importance(spark, d):
-    from leakwatch.operators.model import feature_importance
-
     model, _ = _model(spark, d, "gbt")
     rows = feature_importance(model)
     return spark.createDataFrame(rows, "feature string, importance double")
 
 
 def q_explain_events(spark, d):
-    from leakwatch.operators.explain import explain
-
     model, split_df = _model(spark, d, "gbt")
     return explain(model, split_df.where(F.col("split") == "test"))
 
 
+def _test_scores(spark, d, kind: str, name: str) -> DataFrame:
+    model, split_df = _model(spark, d, kind)
+    pred = training.test_predictions(model, split_df)
+    return pred.select(
+        F.lit(name).alias("model"), F.col(S.ID).alias("id"), F.col(S.LABEL).cast("int").alias("label"),
+        F.col("predicted_prob").alias("score"), "predicted",
+    )
+
+
+def q_gbt_model_comparison(spark, d):
+    """The 100-tree model against the early-stopped one on the same test rows."""
+    both = _test_scores(spark, d, "gbt", "gbt").unionByName(_test_scores(spark, d, "early_stop", "gbt_early_stop"))
+    return metrics.model_comparison(both, "gbt", "gbt_early_stop")
+
+
+def q_gbt_tuned_threshold(spark, d):
+    """Best-F1 threshold of the boosted model on its test rows."""
+    return metrics.best_f1_threshold(_test_scores(spark, d, "gbt", "gbt"))
+
+
 QUERIES = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }
