@@ -137,9 +137,17 @@ def _bucketed_strategy(df, user, ts, domain, count_seconds, distinct_seconds, bu
         F.lead("_lw_bmin").over(w_buckets).alias("_lw_nbmin"),
         (F.row_number().over(w_buckets) == 1).alias("_lw_fb"),
     )
-    occ = occ.join(per_bucket, [*occ_key, "_lw_b"])
     nxt = F.coalesce(F.col("_lw_nx"), F.col("_lw_nbmin"))
     first = ((F.col("_lw_rn") == 1) & F.col("_lw_fb")).cast("int")
+    # Both running-sum branches below read this compact table: materialise it
+    # once in the shared checkpoint folder (also cuts the lineage).
+    occ = (
+        occ.join(per_bucket, [*occ_key, "_lw_b"])
+        .select(user, dn, dv, sec, "_lw_n", nxt.alias("_lw_next"), first.alias("_lw_first"))
+        .checkpoint(eager=True)
+    )
+    nxt = F.col("_lw_next")
+    first = F.col("_lw_first")
 
     # 3. Deltas: (+n at s, -n after the count window), (+1 at s, -1 when the
     #    domain stops being active). The +n row also carries the query key.

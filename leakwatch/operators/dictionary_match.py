@@ -1,40 +1,96 @@
 """Substring matching of a text column against a dictionary DataFrame.
 
-The in-plan pattern (``functions.files.keyword_flag``) suits dictionaries of a
-few thousand entries. For a dictionary held as a table:
-
-* up to ``MAX_BROADCAST_ENTRIES`` entries (checked with a bounded count) the
-  dictionary is broadcast and matched with a theta left-semi join
-  (``BroadcastNestedLoopJoin LeftSemi``, ``instr(text, entry) > 0``);
-* beyond that the match becomes equi-joins: for each distinct entry length L
-  every text emits its substrings of length L, which join the entries of that
-  length on equality (shuffle hash/sort-merge, no broadcast of unbounded data,
-  no cartesian product). Matching row keys are de-duplicated and semi-joined
-  back.
+The in-plan pattern (``functions.files.keyword_flag``) suits short word
+lists. For a dictionary held as a table, the plan is chosen from its proven
+size (a bounded count, never a guess):
+
+* up to ``MAX_BROADCAST_ENTRIES`` entries: the dictionary is broadcast and
+  matched with a theta left-semi join (``BroadcastNestedLoopJoin LeftSemi``,
+  ``instr(text, entry) > 0``), all JVM. Cost rows x entries, so only for
+  short lists.
+* up to ``MAX_AUTOMATON_ENTRIES`` entries: one Aho-Corasick automaton over all
+  entries (``pyahocorasick``) scans each text once in a Pandas UDF (Arrow
+  batches); cost is linear in the text length whatever the dictionary size.
+  The entry list is a broadcast variable (bounded by the check; fetched once
+  per executor) and the automaton is built once per task.
+* beyond that (or without ``pyahocorasick``): equi-joins. For each distinct
+  entry length L every text emits its substrings of length L, which join the
+  entries of that length on equality (shuffle join, no broadcast of unbounded
+  data, no cartesian product). Matching row keys are de-duplicated and
+  semi-joined back.
 """
 
 from __future__ import annotations
 
+import sys
+
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_BROADCAST_ENTRIES = 10_000
+MAX_BROADCAST_ENTRIES = 256
+MAX_AUTOMATON_ENTRIES = 1_000_000
 MAX_DISTINCT_LENGTHS = 1_000
 
+try:  # optional: the automaton tier is skipped without it
+    import ahocorasick  # noqa: F401
+
+    HAVE_AUTOMATON = True
+except ImportError:  # pragma: no cover
+    HAVE_AUTOMATON = False
+
+_AUTOMATA: dict[int, object] = {}
+
 
 def rows_containing_any(
     df: DataFrame, text: Column, dictionary: DataFrame, key_cols: list[str], value_col: str = "value"
 ) -> DataFrame:
     """Rows of ``df`` whose ``text`` contains at least one dictionary entry."""
     entries = dictionary.select(F.col(value_col).alias("_dm_v")).where(F.length("_dm_v") > 0)
-    n = entries.limit(MAX_BROADCAST_ENTRIES + 1).count()
+    n = entries.limit(MAX_AUTOMATON_ENTRIES + 1).count()
     with_text = df.withColumn("_dm_t", text)
     if n <= MAX_BROADCAST_ENTRIES:
         hit = F.instr(F.col("_dm_t"), F.col("_dm_v")) > 0
         return with_text.join(F.broadcast(entries), hit, "left_semi").drop("_dm_t")
+    if n <= MAX_AUTOMATON_ENTRIES and HAVE_AUTOMATON:
+        words = df.sparkSession.sparkContext.broadcast(sorted({r[0] for r in entries.collect()}))
+        return with_text.where(contains_any_udf(words)(F.col("_dm_t"))).drop("_dm_t")
     return _by_substrings(with_text, entries, key_cols).drop("_dm_t")
 
 
+def contains_any_udf(words):
+    """Pandas UDF: does the text contain any broadcast word (Aho-Corasick)."""
+
+    def automaton():
+        import ahocorasick
+
+        auto = _AUTOMATA.get(words.id)
+        if auto is None:
+            auto = ahocorasick.Automaton()
+            for w in words.value:
+                auto.add_word(w, w)
+            auto.make_automaton()
+            _AUTOMATA[words.id] = auto
+        return auto
+
+    @F.pandas_udf("boolean")
+    def contains_any(texts: pd.Series) -> pd.Series:
+        auto = automaton()
+
+        def one(t):
+            if t is None:
+                return False
+            for _ in auto.iter(t):
+                return True
+            return False
+
+        return texts.map(one).astype(bool)
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    return contains_any
+
+
 def _by_substrings(df: DataFrame, entries: DataFrame, key_cols: list[str]) -> DataFrame:
     lengths = [r[0] for r in entries.select(F.length("_dm_v")).distinct().limit(MAX_DISTINCT_LENGTHS + 1).collect()]
     if len(lengths) > MAX_DISTINCT_LENGTHS:

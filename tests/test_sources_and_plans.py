@@ -21,9 +21,10 @@ def test_catalog_roundtrip(spark):
     assert {r.table_name: r.n_rows for r in row_counts(spark, ["cat_t"]).collect()} == {"cat_t": 2}
 
 
-@pytest.mark.parametrize("limit", [10_000, 1])
-def test_dictionary_join_paths_agree(spark, limit, monkeypatch):
-    monkeypatch.setattr(dictionary_match, "MAX_BROADCAST_ENTRIES", limit)
+@pytest.mark.parametrize("limits", [(10_000, 10_000), (1, 10_000), (1, 1)])
+def test_dictionary_join_paths_agree(spark, limits, monkeypatch):
+    monkeypatch.setattr(dictionary_match, "MAX_BROADCAST_ENTRIES", limits[0])
+    monkeypatch.setattr(dictionary_match, "MAX_AUTOMATON_ENTRIES", limits[1])
     names = ["client_list.csv", "lunch.pdf", "a+b.txt", "PAYROLL.xlsx", "x", None, "ssn"]
     df = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "id long, name string")
     kw = spark.createDataFrame([("client",), ("payroll",), ("a+b",), ("ssn",)], "value string")
