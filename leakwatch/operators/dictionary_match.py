@@ -40,8 +40,6 @@ try:  # optional: the automaton tier is skipped without it
 except ImportError:  # pragma: no cover
     HAVE_AUTOMATON = False
 
-_AUTOMATA: dict[int, object] = {}
-
 
 def rows_containing_any(
     df: DataFrame, text: Column, dictionary: DataFrame, key_cols: list[str], value_col: str = "value"
@@ -61,18 +59,18 @@ def rows_containing_any(
 
 def contains_any_udf(words):
     """Pandas UDF: does the text contain any broadcast word (Aho-Corasick)."""
+    built: list = []
 
     def automaton():
-        import ahocorasick
+        if not built:
+            import ahocorasick
 
-        auto = _AUTOMATA.get(words.id)
-        if auto is None:
             auto = ahocorasick.Automaton()
             for w in words.value:
                 auto.add_word(w, w)
             auto.make_automaton()
-            _AUTOMATA[words.id] = auto
-        return auto
+            built.append(auto)
+        return built[0]
 
     @F.pandas_udf("boolean")
     def contains_any(texts: pd.Series) -> pd.Series:
