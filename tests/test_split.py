@@ -13,3 +13,15 @@ def test_split_sizes_and_stability(spark):
     # Order-free: a shuffled copy splits the same way; bucketed ranks agree.
     b = stratified_split(df.repartition(7), validation_fraction=0.2, prefix_hex=1)
     assert sorted(a.collect()) == sorted(b.collect())
+
+
+def test_time_split(spark):
+    import datetime as dt
+
+    from leakwatch.operators.split import time_split
+
+    t0 = dt.datetime(2024, 1, 10)
+    df = spark.createDataFrame([(1, t0 - dt.timedelta(seconds=1)), (2, t0), (3, t0 + dt.timedelta(days=1))],
+                               "Action_ID long, Timestamp timestamp_ntz")
+    got = {r.Action_ID: r.split for r in time_split(df, test_from="2024-01-10 00:00:00").collect()}
+    assert got == {1: "train", 2: "test", 3: "test"}
