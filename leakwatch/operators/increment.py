@@ -16,19 +16,47 @@ from leakwatch import schemas as S
 from leakwatch.sources.catalog import append_table, table_exists
 
 
-def new_rows(batch: DataFrame, existing_keys: DataFrame | None, key: str = S.ID) -> DataFrame:
+def new_rows(batch: DataFrame, existing_keys: DataFrame | None, key: str = S.ID,
+             prune_to_batch_range: bool = False) -> DataFrame:
     """Rows of ``batch`` whose key is not in ``existing_keys``, one per key.
 
     A null key on the right never removes a row (anti-join semantics); a key
     repeated inside the batch is kept once. ``existing_keys=None`` (first run:
     no target yet) keeps the whole batch.
+
+    ``prune_to_batch_range=True`` (for a small batch against a large history):
+    only keys between the batch's min and max can match, so those bounds are
+    read first (one single-row aggregate) and applied as literal filters,
+    which reach the target's Parquet scan and skip row groups by statistics
+    instead of reading every key ever written.
     """
     out = batch
     if existing_keys is not None:
-        out = out.join(existing_keys.select(key).where(F.col(key).isNotNull()), on=key, how="left_anti")
+        right = existing_keys.select(key).where(F.col(key).isNotNull())
+        if prune_to_batch_range:
+            lo, hi = batch.agg(F.min(key), F.max(key)).first()
+            if lo is None:
+                return batch.limit(0)
+            right = right.where(F.col(key).between(F.lit(lo), F.lit(hi)))
+        out = out.join(right, on=key, how="left_anti")
     return out.dropDuplicates([key])
 
 
+def unscored_since(features: DataFrame, spark: SparkSession, predictions_table: str, cutoff,
+                   key: str = S.ID, ts: str = S.TS) -> DataFrame:
+    """Features at or after ``cutoff`` not yet in the predictions table.
+
+    A prediction row carries its event's timestamp, so only predictions at or
+    after the cutoff can match: the predictions side is filtered by the same
+    (literal, pushable) bound instead of reading every id ever scored.
+    """
+    recent = features.where(F.col(ts) >= cutoff)
+    if not table_exists(spark, predictions_table):
+        return recent
+    scored = spark.table(predictions_table).where(F.col(ts) >= cutoff).select(key)
+    return recent.join(scored, on=key, how="left_anti")
+
+
 def unscored(features: DataFrame, spark: SparkSession, predictions_table: str, key: str = S.ID) -> DataFrame:
     """Features not yet in the predictions table (all of them on the first run)."""
     if not table_exists(spark, predictions_table):
@@ -71,7 +99,7 @@ def append_new(
     Single writer assumed: the key check and the append are not one transaction.
     """
     existing = spark.table(target) if table_exists(spark, target) else None
-    fresh = new_rows(batch, existing, key)
+    fresh = new_rows(batch, existing, key, prune_to_batch_range=True)
     if columns:
         fresh = fresh.select(*columns)
     fresh = fresh.checkpoint(eager=True)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from leakwatch import schemas as S
 
 
-def _ts_value(as_of) -> Column:
+def ts_value(as_of) -> Column:
     """A timestamp literal, or a scalar column (e.g. ``df.agg(max).scalar()``)."""
     if isinstance(as_of, Column):
         return as_of
@@ -47,13 +47,13 @@ def name_contains(df: DataFrame, text: str, column: str = S.OBJECT) -> DataFrame
 
 def recent(df: DataFrame, hours: int, as_of, ts: str = S.TS) -> DataFrame:
     """Rows at or after ``as_of - hours`` (inclusive)."""
-    cutoff = _ts_value(as_of) - F.make_dt_interval(F.lit(0), F.lit(hours))
+    cutoff = ts_value(as_of) - F.make_dt_interval(F.lit(0), F.lit(hours))
     return df.where(F.col(ts) >= cutoff)
 
 
 def on_day(df: DataFrame, day, ts: str = S.TS, order_by: str = S.ID) -> DataFrame:
     """Rows on the calendar day of ``day`` (``[day, day + 1)``), ordered by id."""
-    start = F.to_timestamp_ntz(F.date_format(_ts_value(day), "yyyy-MM-dd"))
+    start = F.to_timestamp_ntz(F.date_format(ts_value(day), "yyyy-MM-dd"))
     end = start + F.make_dt_interval(F.lit(1))
     return df.where((F.col(ts) >= start) & (F.col(ts) < end)).orderBy(order_by)
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from leakwatch import schemas as S
 from leakwatch.operators import reports
-from leakwatch.operators.increment import unscored
+from leakwatch.operators.increment import unscored_since
 from leakwatch.operators.model import predict
 from leakwatch.sources.catalog import append_table
 
@@ -26,8 +26,13 @@ def score_events(model: PipelineModel, events: DataFrame, model_version: str, sc
 
 
 def pending(spark: SparkSession, features: DataFrame, predictions_table: str, hours: int, as_of) -> DataFrame:
-    """Rows of the last ``hours`` (inclusive) not yet in the predictions table."""
-    return unscored(reports.recent(features, hours, as_of), spark, predictions_table)
+    """Rows of the last ``hours`` (inclusive) not yet in the predictions table.
+
+    Both sides are cut at the same bound, so the anti-join reads only the
+    recent slice of the predictions table (see ``unscored_since``).
+    """
+    cutoff = reports.ts_value(as_of) - F.make_dt_interval(F.lit(0), F.lit(hours))
+    return unscored_since(features, spark, predictions_table, cutoff)
 
 
 def run_scoring(

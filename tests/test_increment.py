@@ -57,3 +57,29 @@ def test_recent_filter_pushed_to_scan(spark, tmp_path):
     spark.createDataFrame([(1, t0)], "Action_ID long, Timestamp timestamp_ntz").write.parquet(path)
     plan = reports.recent(spark.read.parquet(path), 24, t0)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(Timestamp), GreaterThanOrEqual(Timestamp" in plan
+
+
+def test_pruned_anti_join_matches_and_pushes(spark, tmp_path):
+    path = str(tmp_path / "target")
+    spark.range(0, 5000).select(F.col("id").alias("Action_ID")).write.parquet(path)
+    target = spark.read.parquet(path)
+    batch = spark.createDataFrame([(4990,), (5001,), (5001,), (7000,)], "Action_ID long")
+    a = sorted(r[0] for r in increment.new_rows(batch, target).collect())
+    b = sorted(r[0] for r in increment.new_rows(batch, target, prune_to_batch_range=True).collect())
+    assert a == b == [5001, 7000]
+    plan = increment.new_rows(batch, target, prune_to_batch_range=True)._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "GreaterThanOrEqual(Action_ID,4990)" in plan and "LessThanOrEqual(Action_ID,7000)" in plan
+
+
+def test_unscored_since_reads_recent_predictions_only(spark):
+    t0 = dt.datetime(2024, 1, 10)
+    name = "preds_since_t"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.createDataFrame([(1, t0), (2, t0 - dt.timedelta(days=3))], "Action_ID long, Timestamp timestamp_ntz") \
+        .write.saveAsTable(name)
+    feats = spark.createDataFrame([(1, t0), (3, t0), (2, t0 - dt.timedelta(days=3))],
+                                  "Action_ID long, Timestamp timestamp_ntz")
+    cutoff = F.lit("2024-01-09 00:00:00").cast("timestamp_ntz")
+    out = increment.unscored_since(feats, spark, name, cutoff)
+    assert sorted(r[0] for r in out.collect()) == [3]
