@@ -118,47 +118,167 @@ def _weights(m: int) -> list[float]:
     return [math.factorial(s) * math.factorial(m - s - 1) / math.factorial(m) for s in range(m)]
 
 
-def shap_matrix(x: np.ndarray, leaves: list[dict]) -> np.ndarray:
-    """Contributions (rows x features) for a batch of feature rows."""
+def _subset_sum(o: dict, z: dict, others: list[int], n: int) -> np.ndarray | float:
+    """sum over S of others: |S|!(m-|S|-1)!/m! * prod_S o * prod_rest z."""
+    m = len(others) + 1
+    if m == 1:
+        return 1.0
+    if m == 2:
+        (j,) = others
+        return 0.5 * (z[j] + o[j])
+    if m == 3:
+        j, k = others
+        return (z[j] * z[k] + o[j] * o[k]) / 3.0 + (o[j] * z[k] + o[k] * z[j]) / 6.0
+    wts = _weights(m)
+    total = np.zeros(n)
+    for s in range(m):
+        for subset in combinations(others, s):
+            term = np.full(n, wts[s])
+            for j in subset:
+                term = term * o[j]
+            for k in others:
+                if k not in subset:
+                    term = term * z[k]
+            total += term
+    return total
+
+
+def shap_matrix(x: np.ndarray, leaves: list[dict], closed_form: bool = True) -> np.ndarray:
+    """Contributions (rows x features) for a batch of feature rows.
+
+    ``closed_form`` uses the expanded sums for up to three path features
+    (every depth-3 tree); otherwise the generic subset enumeration.
+    """
     n, d = x.shape
     phi = np.zeros((n, d))
+    cols = {}
     for leaf in leaves:
         feats = leaf["features"]
         if not feats:
             continue
         keys = list(feats)
-        m = len(keys)
         o = {}
         for j in keys:
-            ok = np.ones(n, dtype=bool)
+            if j not in cols:
+                cols[j] = np.ascontiguousarray(x[:, j])
+            ok = None
             for cond in feats[j]["conds"]:
-                ok &= _satisfies(x[:, j], cond)
+                hit = _satisfies(cols[j], cond)
+                ok = hit if ok is None else ok & hit
             o[j] = ok.astype(float)
         z = {j: feats[j]["z"] for j in keys}
-        wts = _weights(m)
         for i in keys:
             others = [j for j in keys if j != i]
-            total = np.zeros(n)
-            for s in range(m):
-                for subset in combinations(others, s):
-                    term = np.full(n, wts[s])
-                    for j in subset:
-                        term = term * o[j]
-                    for k in others:
-                        if k not in subset:
-                            term = term * z[k]
-                    total += term
+            if closed_form or len(keys) > 3:
+                total = _subset_sum(o, z, others, n)
+            else:
+                wts = _weights(len(keys))
+                total = np.zeros(n)
+                for s_ in range(len(keys)):
+                    for subset in combinations(others, s_):
+                        term = np.full(n, wts[s_])
+                        for j in subset:
+                            term = term * o[j]
+                        for k in others:
+                            if k not in subset:
+                                term = term * z[k]
+                        total += term
             phi[:, i] += leaf["value"] * (o[i] - z[i]) * total
     return phi
 
 
+MAX_TABLE_SPLITS = 10
+
+
+def tree_tables(nodes: list[dict], weights: list[float], n_features: int) -> tuple[list[tuple], float]:
+    """Per tree: its split conditions and a table of contributions per
+    decision pattern.
+
+    Every row's path through a tree is decided by the outcome of each split
+    node (left or right), evaluated for all nodes whether reached or not.
+    With K split nodes there are 2^K outcome patterns, and a row's Shapley
+    contributions from that tree depend only on its pattern. For shallow
+    trees (K <= MAX_TABLE_SPLITS; depth 3 gives K <= 7) the table
+    ``patterns x features`` is computed once here; a batch then needs K
+    comparisons and one table gather per tree. Deeper trees return ``None``
+    tables and use the per-leaf evaluation.
+    """
+    by_tree: dict[int, dict[int, dict]] = {}
+    for n in nodes:
+        by_tree.setdefault(n["treeID"], {})[n["id"]] = n
+    out, base = [], 0.0
+    for tid in sorted(by_tree):
+        tree, w = by_tree[tid], weights[tid]
+        splits = sorted(i for i, n in tree.items() if n["left"] >= 0)
+        index = {nid: k for k, nid in enumerate(splits)}
+        conds = [(tree[nid]["feature"], tree[nid]["numCategories"] >= 0, tuple(tree[nid]["cut"])) for nid in splits]
+        paths = []
+        stack = [(min(tree), [])]
+        while stack:
+            nid, path = stack.pop()
+            node = tree[nid]
+            if node["left"] < 0:
+                value = w * float(node["prediction"])
+                cover = 1.0
+                for _, _, _, ratio in path:
+                    cover *= ratio
+                base += value * cover
+                paths.append((value, path))
+                continue
+            parent = max(float(node["rawCount"]), 1.0)
+            for child, go_left in ((tree[node["left"]], True), (tree[node["right"]], False)):
+                step = (index[nid], go_left, node["feature"], float(child["rawCount"]) / parent)
+                stack.append((child["id"], path + [step]))
+        if len(splits) > MAX_TABLE_SPLITS:
+            out.append((conds, None))
+            continue
+        table = np.zeros((1 << len(splits), n_features))
+        for code in range(1 << len(splits)):
+            for value, path in paths:
+                o: dict[int, float] = {}
+                z: dict[int, float] = {}
+                for k, go_left, feat, ratio in path:
+                    went_left = bool((code >> k) & 1)
+                    o[feat] = o.get(feat, 1.0) * (1.0 if went_left == go_left else 0.0)
+                    z[feat] = z.get(feat, 1.0) * ratio
+                keys = list(o)
+                for i in keys:
+                    others = [j for j in keys if j != i]
+                    table[code, i] += value * (o[i] - z[i]) * float(_subset_sum(o, z, others, 1))
+        out.append((conds, table))
+    return out, base
+
+
+def shap_by_tables(x: np.ndarray, tables: list[tuple], leaves_by_tree: dict[int, list[dict]]) -> np.ndarray:
+    """Contributions (rows x features) from the per-tree pattern tables."""
+    n, d = x.shape
+    phi = np.zeros((n, d))
+    for tid, (conds, table) in enumerate(tables):
+        if table is None:
+            phi += shap_matrix(x, leaves_by_tree.get(tid, []))
+            continue
+        code = np.zeros(n, dtype=np.int64)
+        for k, (feat, categorical, cut) in enumerate(conds):
+            went_left = np.isin(x[:, feat], np.asarray(cut, dtype=float)) if categorical else (x[:, feat] <= cut[0])
+            code |= went_left.astype(np.int64) << k
+        phi += table[code]
+    return phi
+
+
 def explain(model: PipelineModel, df: DataFrame, id_col: str = S.ID) -> DataFrame:
     """Long table: one row per (event, model input) with its contribution,
     plus the base value and the event's margin (base + sum of contributions)."""
     nodes, weights = tree_nodes(model)
-    leaves, base = leaf_table(nodes, weights)
     inputs = feature_names(model)
     names = [c.removesuffix("_code") for c in inputs]
+    tables, base = tree_tables(nodes, weights, len(inputs))
+    leaves, _ = leaf_table(nodes, weights)
+    # Only trees too deep for a pattern table keep their leaves in the closure.
+    deep = {t for t, (_, table) in enumerate(tables) if table is None}
+    leaves_by_tree: dict[int, list[dict]] = {}
+    for leaf in leaves:
+        if leaf["tree"] in deep:
+            leaves_by_tree.setdefault(leaf["tree"], []).append(leaf)
     encoded = encode(df, model.stages[0]).select(id_col, *[F.col(c).cast("double").alias(c) for c in inputs])
     id_type = df.schema[id_col].dataType.simpleString()
 
@@ -167,7 +287,7 @@ def explain(model: PipelineModel, df: DataFrame, id_col: str = S.ID) -> DataFram
             if pdf.empty:
                 continue
             x = pdf[inputs].to_numpy(dtype=float)
-            phi = shap_matrix(x, leaves)
+            phi = shap_by_tables(x, tables, leaves_by_tree)
             n, d = phi.shape
             margin = base + phi.sum(axis=1)
             yield pd.DataFrame(

@@ -116,6 +116,12 @@ def q_feature_table(spark, d):
     return clean_features(spark, d)
 
 
+def q_feature_table_bucketed(spark, d):
+    """The feature table through the skew-proof time-bucketed window plan
+    (the plan ``auto`` picks once any user exceeds the proven bound)."""
+    return feature_table(events(spark, d), fixture_rules(), strategy="bucketed")
+
+
 def q_drop_incomplete(spark, d):
     return events(spark, d).na.drop(how="any")
 

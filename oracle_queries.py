@@ -189,6 +189,7 @@ FROM k"""
 ORACLE = {
     "scan_events": BASE_UE + f"SELECT {UE_COLS} FROM ue",
     "feature_table": BASE_FT + f"SELECT {FT_COLS} FROM ft",
+    "feature_table_bucketed": BASE_FT + f"SELECT {FT_COLS} FROM ft",
     "drop_incomplete": BASE_UE + f"SELECT {UE_COLS} FROM ue WHERE "
     + " AND ".join(f"{c} IS NOT NULL" for c in UE_COLS.split(", ")),
     "file_parts": BASE_FEAT + "SELECT Action_ID, ObjectName, file_name, file_extension FROM feat",

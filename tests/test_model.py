@@ -85,3 +85,31 @@ def test_staged_margin_matches_model(spark, fitted):
     raw = model.transform(rows).select("Action_ID", vector_to_array("rawPrediction")[1].alias("raw"))
     d = last.join(raw, "Action_ID").select(F.max(F.abs(F.col("margin") - F.col("raw")))).first()[0]
     assert d < 1e-9
+
+
+def test_closed_form_equals_enumeration(fitted):
+    from leakwatch.operators.explain import leaf_table, shap_matrix, tree_nodes
+
+    model, _ = fitted
+    leaves, _ = leaf_table(*tree_nodes(model))
+    x = np.random.RandomState(1).randint(0, 8, size=(500, 14)).astype(float)
+    assert np.allclose(shap_matrix(x, leaves, closed_form=True), shap_matrix(x, leaves, closed_form=False),
+                       atol=1e-12)
+
+
+def test_pattern_tables_equal_leaf_sums(fitted):
+    from leakwatch.operators import explain as X
+
+    model, _ = fitted
+    nodes, weights = X.tree_nodes(model)
+    leaves, base = X.leaf_table(nodes, weights)
+    tables, base2 = X.tree_tables(nodes, weights, 14)
+    x = np.random.RandomState(2).randint(0, 8, size=(400, 14)).astype(float)
+    assert base == pytest.approx(base2)
+    assert np.allclose(X.shap_by_tables(x, tables, {}), X.shap_matrix(x, leaves), atol=1e-12)
+    # A deep tree falls back to the leaf loop and gives the same values.
+    by_tree = {}
+    for leaf in leaves:
+        by_tree.setdefault(leaf["tree"], []).append(leaf)
+    mixed = [(c, None) if i == 0 else (c, t) for i, (c, t) in enumerate(tables)]
+    assert np.allclose(X.shap_by_tables(x, mixed, by_tree), X.shap_matrix(x, leaves), atol=1e-12)
