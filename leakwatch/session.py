@@ -78,3 +78,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         current = tempfile.mkdtemp(prefix="leakwatch-ckpt-")
     sc.setCheckpointDir(current)
     return current
+
+
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 128 << 20) -> dict[str, str]:
+    """Settings sized for a cluster run over ``input_bytes`` of Parquet.
+
+    Shuffle partitions start at about one per ``target_partition_bytes`` of
+    input (at least 3 per core) and AQE coalesces them at run time to the
+    advisory size, so partitions fit executor memory without spilling; skew
+    splitting kicks in for partitions 5x the median and above 256 MB.
+    """
+    partitions = max(3 * total_cores, input_bytes // target_partition_bytes)
+    return {
+        **REQUIRED_CONF,
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }
