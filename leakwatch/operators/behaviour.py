@@ -73,7 +73,9 @@ def user_behaviour(
     S.check_columns(df, [user, ts, domain], "user_behaviour")
     if strategy == "auto":
         strategy = "window" if largest_group(df, [user]) <= max_user_rows else "bucketed"
-    if strategy == "window" or approx:
+    # HyperLogLog counts only exist as a sliding window; past the per-user
+    # bound the exact bucketed plan is used (exact is within any tolerance).
+    if strategy == "window":
         return _window_strategy(df, user, ts, domain, count_seconds, distinct_seconds, approx)
     if strategy != "bucketed":
         raise ValueError(f"unknown strategy {strategy!r}")

@@ -435,6 +435,12 @@ def q_gbt_tuned_threshold(spark, d):
     return metrics.best_f1_threshold(_test_scores(spark, d, "gbt", "gbt"))
 
 
+def q_gbt_validation_threshold(spark, d):
+    """Threshold tuned on validation rows, confusion counts on test rows."""
+    model, split_df = _model(spark, d, "early_stop")
+    return training.tuned_threshold(model, split_df, tune_on="validation")
+
+
 QUERIES = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

@@ -77,3 +77,29 @@ def evaluate(pred: DataFrame, label: str = S.LABEL) -> dict[str, DataFrame]:
         "classification_report": metrics.classification_report(scored),
         "best_f1_threshold": metrics.best_f1_threshold(scored),
     }
+
+
+def tuned_threshold(model: PipelineModel, split_df: DataFrame, tune_on: str = "validation") -> DataFrame:
+    """Best-F1 threshold chosen on ``tune_on`` rows, with the confusion counts
+    it gives on the ``test`` rows.
+
+    Tuning on validation rows keeps the test rows unseen; ``tune_on="test"``
+    reproduces the original job (tuned and reported on the same rows).
+    """
+    def scored(part: str) -> DataFrame:
+        pred = predict(model, split_df.where(F.col("split") == part))
+        return pred.select(F.col(S.LABEL).cast("int").alias("label"), F.col("predicted_prob").alias("score"))
+
+    best = metrics.best_f1_threshold(scored(tune_on)).select("threshold", F.col("f1").alias("tuned_f1"))
+    test = scored("test")
+    y, hit = F.col("label") == 1, F.col("score") >= F.col("threshold")
+
+    def count_if(cond):
+        return F.sum(F.when(cond, 1).otherwise(0)).cast("long")
+
+    # ``best`` is one row: a constant key keeps this an equi-join.
+    joined = test.withColumn("_k", F.lit(0)).join(best.withColumn("_k", F.lit(0)), "_k")
+    return joined.groupBy("threshold", "tuned_f1").agg(
+        count_if(~y & ~hit).alias("tn"), count_if(~y & hit).alias("fp"),
+        count_if(y & ~hit).alias("fn"), count_if(y & hit).alias("tp"),
+    )

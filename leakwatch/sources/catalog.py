@@ -8,6 +8,7 @@ first when asked to replace a table its input depends on.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
@@ -52,10 +53,20 @@ def row_counts(spark: SparkSession, names: list[str]) -> DataFrame:
     """One row per table with its row count, computed in one job."""
     parts = None
     for name in names:
-        from pyspark.sql import functions as F
-
         one = spark.table(name).agg(F.count(F.lit(1)).alias("n_rows")).select(
             F.lit(name).alias("table_name"), "n_rows"
         )
         parts = one if parts is None else parts.unionByName(one)
     return parts
+
+
+RAW_BATCH_SCHEMA = (
+    "Action_ID long, Timestamp string, ActionType string, ObjectName string, Target_Domain string, "
+    "AccountDisplayName string, Position string, Risk_Label long"
+)
+
+
+def rows_to_batch(spark: SparkSession, rows: list[tuple], schema: str = RAW_BATCH_SCHEMA) -> DataFrame:
+    """A small batch of locally produced rows (e.g. an upstream export) as a
+    typed DataFrame; timestamps stay text until the ingest job parses them."""
+    return spark.createDataFrame(rows, schema)

@@ -94,3 +94,11 @@ def test_one_exchange_for_three_windows(spark, fixture_dir):
     plan = user_behaviour(ev, strategy="window")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
     assert "Python" not in plan
+
+
+def test_approx_beyond_bound_is_exact(spark):
+    rows = [(s, "A" if s % 2 else "B", 0, 0, 0) for s in range(0, 60)]
+    df = _frame(spark, rows)
+    a = user_behaviour(df, approx=True, max_user_rows=10).orderBy("Action_ID").collect()
+    b = user_behaviour(df, strategy="bucketed").orderBy("Action_ID").collect()
+    assert [r["user_unique_domains_7d"] for r in a] == [r["user_unique_domains_7d"] for r in b]

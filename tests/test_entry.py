@@ -14,7 +14,8 @@ def test_every_oracle_key_is_a_query():
     assert set(o) <= set(q)
     no_sql = set(q) - set(o)
     assert no_sql == {"rolling_unique_domains_approx", "gbt_predictions", "gbt_early_stop", "score_new_events",
-                      "feature_importance", "explain_events", "gbt_model_comparison", "gbt_tuned_threshold"}
+                      "feature_importance", "explain_events", "gbt_model_comparison", "gbt_tuned_threshold",
+                      "gbt_validation_threshold"}
 
 
 def test_small_queries_match_oracle(spark, fixture_dir):

@@ -113,3 +113,13 @@ def test_pattern_tables_equal_leaf_sums(fitted):
         by_tree.setdefault(leaf["tree"], []).append(leaf)
     mixed = [(c, None) if i == 0 else (c, t) for i, (c, t) in enumerate(tables)]
     assert np.allclose(X.shap_by_tables(x, mixed, by_tree), X.shap_matrix(x, leaves), atol=1e-12)
+
+
+def test_tuned_threshold_on_validation(spark, fixture_dir):
+    ft = feature_table(upload_events(spark, fixture_dir), fixture_rules())
+    split_df = training.split_features(ft, validation_fraction=0.2)
+    model = training.train(split_df, BoostParams(max_iter=5))
+    row = training.tuned_threshold(model, split_df).first()
+    n_test = split_df.where("split = 'test'").count()
+    assert row["tn"] + row["fp"] + row["fn"] + row["tp"] == n_test
+    assert 0.0 <= row["threshold"] <= 1.0
