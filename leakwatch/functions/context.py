@@ -66,11 +66,16 @@ def epoch_seconds(ts: str | Column) -> Column:
     return F.unix_timestamp(_col(ts)).cast("long")
 
 
-def parse_timestamp(text: str | Column, fmt: str = "yyyy-MM-dd'T'HH:mm:ssX") -> Column:
-    """Parse ISO text with an offset (``Z`` or ``+hh:mm``) into a UTC wall-clock.
+ISO_OFFSET_PATTERNS = ("yyyy-MM-dd'T'HH:mm:ssXXX", "yyyy-MM-dd'T'HH:mm:ssX")
+
+
+def parse_timestamp(text: str | Column, patterns: tuple[str, ...] = ISO_OFFSET_PATTERNS) -> Column:
+    """Parse ISO text with an offset (``Z``, ``+hh:mm``, ``+hhmm`` or ``+hh``)
+    into its UTC wall-clock; the first pattern that parses wins.
 
     Bad or empty text gives null instead of failing the job, so callers can
     route such rows aside.
     """
     # The session zone is pinned to UTC, so the cast keeps the UTC wall-clock.
-    return F.try_to_timestamp(_col(text), F.lit(fmt)).cast("timestamp_ntz")
+    parsed = [F.try_to_timestamp(_col(text), F.lit(p)) for p in patterns]
+    return F.coalesce(*parsed).cast("timestamp_ntz")

@@ -89,6 +89,7 @@ def test_parse_timestamp(spark):
                                "t string")
     out = [r[0] for r in df.select(parse_timestamp("t")).collect()]
     assert out[0] == dt.datetime(2024, 3, 1, 10, 0, 0)
+    assert out[1] == dt.datetime(2024, 3, 1, 8, 0, 0)  # offset applied
     assert out[2] is None and out[3] is None
 
 
