@@ -1,7 +1,5 @@
 """The daily jobs end to end on the smallest fixture."""
 
-import datetime as dt
-
 from pyspark.sql import functions as F
 
 from leakwatch import schemas as S
@@ -10,7 +8,6 @@ from leakwatch.plans import jobs
 from leakwatch.sources.catalog import overwrite_table
 from leakwatch.sources.fixture import fixture_rules, upload_events
 
-
 def test_daily_flow(spark, fixture_dir, tmp_path):
     ev = upload_events(spark, fixture_dir)
     for t in ("ev_v1", "ev_v2", "features_t", "predictions_t"):

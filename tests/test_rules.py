@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from leakwatch.functions.context import after_hours_flag, day_of_week, parse_timestamp, risky_day_flag
 from leakwatch.functions.files import base_name, double_extension_flag, file_extension, keyword_flag
