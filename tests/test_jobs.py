@@ -8,6 +8,7 @@ from leakwatch.plans import jobs
 from leakwatch.sources.catalog import overwrite_table
 from leakwatch.sources.fixture import fixture_rules, upload_events
 
+
 def test_daily_flow(spark, fixture_dir, tmp_path):
     ev = upload_events(spark, fixture_dir)
     for t in ("ev_v1", "ev_v2", "features_t", "predictions_t"):

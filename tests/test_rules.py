@@ -2,11 +2,9 @@
 
 import datetime as dt
 
-
-from leakwatch.functions.context import after_hours_flag, day_of_week, parse_timestamp, risky_day_flag
+from leakwatch.functions.context import after_hours_flag, day_of_week, parse_timestamp, risky_day_flag, risky_domain_flag
 from leakwatch.functions.files import base_name, double_extension_flag, file_extension, keyword_flag
 from leakwatch.functions.patterns import alternation, clean_entries
-from leakwatch.functions.context import risky_domain_flag
 
 NAMES = [
     # name, extension, base, double, keyword

@@ -1,6 +1,5 @@
 """Catalog helpers, dictionary joins, scoring idempotence, plan shapes."""
 
-
 import pytest
 from pyspark.sql import functions as F
 
