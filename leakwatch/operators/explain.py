@@ -265,9 +265,18 @@ def shap_by_tables(x: np.ndarray, tables: list[tuple], leaves_by_tree: dict[int,
     return phi
 
 
-def explain(model: PipelineModel, df: DataFrame, id_col: str = S.ID) -> DataFrame:
-    """Long table: one row per (event, model input) with its contribution,
-    plus the base value and the event's margin (base + sum of contributions)."""
+def explain(model: PipelineModel, df: DataFrame, id_col: str = S.ID, layout: str = "long") -> DataFrame:
+    """Contributions of every model input for every event.
+
+    ``layout="long"``: one row per (event, input) with ``feature``,
+    ``feature_value``, ``shap_value``, ``base_value`` and ``margin``.
+    ``layout="wide"``: one row per event with ``contributions`` (array of
+    feature / feature_value / shap_value, sorted by contribution, largest
+    first, as in a single-event report), ``base_value`` and ``margin``. Both
+    are built inside the task, so neither needs a shuffle.
+    """
+    if layout not in ("long", "wide"):
+        raise ValueError(f"unknown layout {layout!r}")
     nodes, weights = tree_nodes(model)
     inputs = feature_names(model)
     names = [c.removesuffix("_code") for c in inputs]
@@ -290,6 +299,21 @@ def explain(model: PipelineModel, df: DataFrame, id_col: str = S.ID) -> DataFram
             phi = shap_by_tables(x, tables, leaves_by_tree)
             n, d = phi.shape
             margin = base + phi.sum(axis=1)
+            if layout == "wide":
+                order = np.argsort(-phi, axis=1, kind="stable")
+                yield pd.DataFrame(
+                    {
+                        id_col: pdf[id_col].to_numpy(),
+                        "contributions": [
+                            [{"feature": names[j], "feature_value": float(x[r, j]), "shap_value": float(phi[r, j])}
+                             for j in order[r]]
+                            for r in range(n)
+                        ],
+                        "base_value": np.full(n, base),
+                        "margin": margin,
+                    }
+                )
+                continue
             yield pd.DataFrame(
                 {
                     id_col: np.repeat(pdf[id_col].to_numpy(), d),
@@ -303,8 +327,12 @@ def explain(model: PipelineModel, df: DataFrame, id_col: str = S.ID) -> DataFram
 
     # Ship this module's helpers inside the closure: executors need no install.
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    schema = (f"{id_col} {id_type}, feature string, feature_value double, shap_value double, "
-              "base_value double, margin double")
+    if layout == "wide":
+        schema = (f"{id_col} {id_type}, contributions array<struct<feature: string, feature_value: double, "
+                  "shap_value: double>>, base_value double, margin double")
+    else:
+        schema = (f"{id_col} {id_type}, feature string, feature_value double, shap_value double, "
+                  "base_value double, margin double")
     return encoded.mapInPandas(run, schema)
 
 

@@ -415,6 +415,12 @@ def q_explain_events(spark, d):
     return explain(model, split_df.where(F.col("split") == "test"))
 
 
+def q_explain_events_wide(spark, d):
+    """One row per test event with its contributions sorted, largest first."""
+    model, split_df = _model(spark, d, "gbt")
+    return explain(model, split_df.where(F.col("split") == "test"), layout="wide")
+
+
 def _test_scores(spark, d, kind: str, name: str) -> DataFrame:
     model, split_df = _model(spark, d, kind)
     pred = training.test_predictions(model, split_df)

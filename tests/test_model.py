@@ -123,3 +123,14 @@ def test_tuned_threshold_on_validation(spark, fixture_dir):
     n_test = split_df.where("split = 'test'").count()
     assert row["tn"] + row["fp"] + row["fn"] + row["tp"] == n_test
     assert 0.0 <= row["threshold"] <= 1.0
+
+
+def test_wide_layout_sorted_and_consistent(spark, fitted):
+    model, split_df = fitted
+    rows = split_df.where("split = 'test'").limit(50)
+    wide = explain(model, rows, layout="wide").collect()
+    assert len(wide) == 50
+    for r in wide:
+        vals = [c["shap_value"] for c in r["contributions"]]
+        assert vals == sorted(vals, reverse=True) and len(vals) == 14
+        assert abs(sum(vals) + r["base_value"] - r["margin"]) < 1e-9
