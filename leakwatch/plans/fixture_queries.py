@@ -71,7 +71,12 @@ def rule_score(df: DataFrame) -> DataFrame:
 
 def rule_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The predictions-table shape, with the rule score as the model."""
-    ft = rule_score(clean_features(spark, sf_dir))
+    return predictions_from(clean_features(spark, sf_dir))
+
+
+def predictions_from(ft: DataFrame) -> DataFrame:
+    """Rule-score predictions of a feature table."""
+    ft = rule_score(ft)
     return ft.select(
         S.ID, S.TS, S.USER, S.OBJECT, S.DOMAIN, S.POSITION, S.LABEL,
         rule_label("risk_score").alias("predicted"),
@@ -301,9 +306,13 @@ def q_new_events_anti(spark, d):
 
 
 def q_unscored_events(spark, d):
+    # The run's "now" is the latest source event (a one-column scan), not a
+    # max over the feature table, which would recompute its windows.
+    ev = events(spark, d)
     ft = clean_features(spark, d)
-    already = rule_predictions(spark, d).where(F.col(S.TS) < _shifted(ft, 24))
-    recent = ft.where(F.col(S.TS) >= _shifted(ft, 72))
+    # Both sides come from the same plan: Spark computes the windows once.
+    already = predictions_from(ft).where(F.col(S.TS) < _shifted(ev, 24))
+    recent = ft.where(F.col(S.TS) >= _shifted(ev, 72))
     return increment.new_rows(recent, already)
 
 
@@ -399,7 +408,7 @@ def q_gbt_early_stop(spark, d):
 def q_score_new_events(spark, d):
     model, _ = _model(spark, d, "gbt")
     ft = clean_features(spark, d)
-    as_of = reports.latest_timestamp(ft)
+    as_of = reports.latest_timestamp(events(spark, d))
     batch = scoring.pending(spark, ft, "leakwatch_unscored_probe_predictions", 24, as_of)
     return scoring.score_events(model, batch, "gbt_v1", SCORED_AT)
 

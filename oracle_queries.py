@@ -251,9 +251,8 @@ FROM pred GROUP BY model_version""",
 WHERE "Timestamp" >= {MAX_TS} - INTERVAL 48 HOUR
   AND Action_ID NOT IN (SELECT Action_ID FROM ue WHERE "Timestamp" < {MAX_TS} - INTERVAL 24 HOUR)""",
     "unscored_events": BASE_PRED + f"""SELECT {FT_COLS} FROM ft
-WHERE "Timestamp" >= (SELECT max("Timestamp") FROM ft) - INTERVAL 72 HOUR
-  AND Action_ID NOT IN (SELECT Action_ID FROM pred
-                        WHERE "Timestamp" < (SELECT max("Timestamp") FROM ft) - INTERVAL 24 HOUR)""",
+WHERE "Timestamp" >= {MAX_TS} - INTERVAL 72 HOUR
+  AND Action_ID NOT IN (SELECT Action_ID FROM pred WHERE "Timestamp" < {MAX_TS} - INTERVAL 24 HOUR)""",
     "auc_roc": BASE_CURVE + """SELECT CASE WHEN max(P) > 0 AND max(N) > 0 THEN
   CAST(sum(CAST(pos AS HUGEINT) * CAST(2 * (N - fp) + neg AS HUGEINT)) AS DOUBLE)
   / (2.0 * CAST(max(P) AS DOUBLE) * CAST(max(N) AS DOUBLE)) END AS auc_roc FROM curve""",
