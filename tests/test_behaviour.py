@@ -102,3 +102,17 @@ def test_approx_beyond_bound_is_exact(spark):
     a = user_behaviour(df, approx=True, max_user_rows=10).orderBy("Action_ID").collect()
     b = user_behaviour(df, strategy="bucketed").orderBy("Action_ID").collect()
     assert [r["user_unique_domains_7d"] for r in a] == [r["user_unique_domains_7d"] for r in b]
+
+
+def test_strategies_agree_with_null_times_and_domains(spark):
+    rows = [(0, "A"), (10, None), (None, "A"), (None, None), (86400, "A"), (90000, "B"), (None, "B")]
+    data = [(i, "u", None if s is None else T0 + dt.timedelta(seconds=s), d) for i, (s, d) in enumerate(rows)]
+    df = spark.createDataFrame(data, "Action_ID long, AccountDisplayName string, Timestamp timestamp_ntz, "
+                                     "Target_Domain string")
+    cols = ["Action_ID", "user_upload_count_24h", "user_unique_domains_7d", "is_first_time_domain"]
+    a = user_behaviour(df, strategy="window").select(*cols).orderBy("Action_ID").collect()
+    b = user_behaviour(df, strategy="bucketed").select(*cols).orderBy("Action_ID").collect()
+    # Rows with a time agree exactly; rows without one are dropped by the
+    # feature table (Timestamp is one of its columns).
+    timed = [i for i, (s, _) in enumerate(rows) if s is not None]
+    assert [tuple(a[i]) for i in timed] == [tuple(b[i]) for i in timed]
