@@ -285,6 +285,12 @@ def q_position_risk_pairs(spark, d):
     return reports.distinct_values(features(spark, d), S.POSITION, "is_high_risk_position")
 
 
+def q_high_risk_positions_seen(spark, d):
+    """Distinct roles that the role rule flagged."""
+    flagged_rows = reports.flag_equals(features(spark, d), "is_high_risk_position", 1)
+    return reports.distinct_values(flagged_rows, S.POSITION)
+
+
 # --- set operations / increments ------------------------------------------------
 
 def q_union_event_versions(spark, d):
@@ -424,6 +430,18 @@ def q_explain_events(spark, d):
     return explain(model, split_df.where(F.col("split") == "test"))
 
 
+def q_feature_importance_comparison(spark, d):
+    """Importances of the two boosted models side by side, by the first."""
+    a, _ = _model(spark, d, "gbt")
+    b, _ = _model(spark, d, "early_stop")
+    ia, ib = dict(feature_importance(a)), dict(feature_importance(b))
+    rows = [(f, ia[f], ib.get(f, 0.0)) for f in ia]
+    # One row per model input (bounded by the feature count).
+    return spark.createDataFrame(rows, "feature string, gbt double, gbt_early_stop double").orderBy(
+        F.col("gbt").desc(), "feature"
+    )
+
+
 def q_explain_events_wide(spark, d):
     """One row per test event with its contributions sorted, largest first."""
     model, split_df = _model(spark, d, "gbt")

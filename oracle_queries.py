@@ -242,6 +242,7 @@ SELECT Action_ID, ts_text, try_strptime(ts_text, '%Y-%m-%dT%H:%M:%SZ') AS parsed
   round(avg(predicted_prob), 10) AS avg_prob, max(predicted_prob) AS max_prob
 FROM pred GROUP BY model_version""",
     "distinct_domains": BASE_UE + "SELECT DISTINCT Target_Domain FROM ue",
+    "high_risk_positions_seen": BASE_FEAT + "SELECT DISTINCT Position FROM feat WHERE is_high_risk_position = 1",
     "position_risk_pairs": BASE_FEAT + "SELECT DISTINCT Position, is_high_risk_position FROM feat",
     "union_event_versions": BASE_UE + f"""SELECT DISTINCT {UE_COLS} FROM (
   SELECT * FROM ue WHERE "Timestamp" < TIMESTAMP '2024-01-16 00:00:00'

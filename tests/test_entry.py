@@ -15,7 +15,7 @@ def test_every_oracle_key_is_a_query():
     no_sql = set(q) - set(o)
     assert no_sql == {"rolling_unique_domains_approx", "gbt_predictions", "gbt_early_stop", "score_new_events",
                       "feature_importance", "explain_events", "gbt_model_comparison", "gbt_tuned_threshold",
-                      "gbt_validation_threshold", "explain_events_wide"}
+                      "gbt_validation_threshold", "explain_events_wide", "feature_importance_comparison"}
 
 
 def test_small_queries_match_oracle(spark, fixture_dir):
