@@ -12,14 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leakwatch import schemas as S
-from leakwatch.functions.context import (
-    after_hours_flag,
-    day_of_week,
-    high_risk_position_flag,
-    parse_timestamp,
-    risky_day_flag,
-    risky_domain_flag,
-)
+from leakwatch.functions.context import high_risk_position_flag, parse_timestamp, risky_domain_flag
 from leakwatch.functions.files import (
     base_name,
     double_extension_flag,
@@ -32,6 +25,7 @@ from leakwatch.operators import increment, metrics, reports
 from leakwatch.operators.behaviour import user_behaviour
 from leakwatch.operators.dictionary_match import rows_containing_any
 from leakwatch.operators.explain import explain
+from leakwatch.operators.features import time_flags
 from leakwatch.operators.model import booster, encode, feature_importance, fit_encoder
 from leakwatch.operators.split import stratified_split
 from leakwatch.plans import scoring, training
@@ -174,10 +168,8 @@ def q_risky_domain(spark, d):
 
 
 def q_time_flags(spark, d):
-    dow = day_of_week(S.TS)
-    return events(spark, d).select(
-        S.ID, S.TS, F.hour(S.TS).cast("int").alias("hour"), after_hours_flag(S.TS).alias("is_after_hours"),
-        dow.alias("day_of_week"), risky_day_flag(dow).alias("is_monday_or_friday"),
+    return time_flags(events(spark, d), fixture_rules()).select(
+        S.ID, S.TS, "hour", "is_after_hours", "day_of_week", "is_monday_or_friday"
     )
 
 
