@@ -28,8 +28,9 @@ of time:
    running sum is split by fixed time buckets (``bucket_seconds``): a window
    inside each (user, bucket) plus a per-bucket offset from a small
    (user, bucket) totals table.
-4. Results are keyed by (user, domain, second) and joined back to the rows
-   (a plain equi-join; AQE splits a hot key).
+4. Results are keyed by (user, domain, second) and joined back to the rows.
+   Keys proven hot by the compaction counts are salted: their rows spread
+   over ``salt_buckets`` tasks, their single result row is repeated per salt.
 
 ``"window"``: the direct formulation with three window functions over
 (user) and (user, domain); one shuffle, but a user's whole history is one
@@ -56,6 +57,12 @@ COUNT_COL = "user_upload_count_24h"
 DISTINCT_COL = "user_unique_domains_7d"
 FIRST_COL = "is_first_time_domain"
 
+# A (user, domain, second) key with more rows than this is salted in the
+# final join; there can be at most total_rows / HOT_KEY_ROWS such keys.
+HOT_KEY_ROWS = 1_000_000
+MAX_HOT_KEYS = 100_000
+SALT_BUCKETS = 64
+
 
 def user_behaviour(
     df: DataFrame,
@@ -68,6 +75,8 @@ def user_behaviour(
     bucket_seconds: int = 3600,
     approx: bool = False,
     max_user_rows: int = 2000,
+    hot_rows: int = HOT_KEY_ROWS,
+    salt_buckets: int = SALT_BUCKETS,
 ) -> DataFrame:
     """Add the three behaviour columns to ``df`` (all rows kept)."""
     S.check_columns(df, [user, ts, domain], "user_behaviour")
@@ -79,7 +88,8 @@ def user_behaviour(
         return _window_strategy(df, user, ts, domain, count_seconds, distinct_seconds, approx)
     if strategy != "bucketed":
         raise ValueError(f"unknown strategy {strategy!r}")
-    return _bucketed_strategy(df, user, ts, domain, count_seconds, distinct_seconds, bucket_seconds)
+    return _bucketed_strategy(df, user, ts, domain, count_seconds, distinct_seconds, bucket_seconds,
+                              hot_rows, salt_buckets)
 
 
 def largest_group(df: DataFrame, keys: list[str]) -> int:
@@ -111,7 +121,8 @@ def _bucket(c: Column, width: int) -> Column:
     return F.floor(c / F.lit(width)).cast("long")
 
 
-def _bucketed_strategy(df, user, ts, domain, count_seconds, distinct_seconds, bucket_seconds):
+def _bucketed_strategy(df, user, ts, domain, count_seconds, distinct_seconds, bucket_seconds,
+                       hot_rows=HOT_KEY_ROWS, salt_buckets=SALT_BUCKETS):
     if bucket_seconds <= 0:
         raise ValueError("bucket_seconds must be positive")
     sec, dn, dv = "_lw_sec", "_lw_dn", "_lw_dv"
@@ -203,4 +214,33 @@ def _bucketed_strategy(df, user, ts, domain, count_seconds, distinct_seconds, bu
     )
 
     # 5. Back to the rows: one row of ``result`` per (user, domain, second).
-    return keyed.join(result, [user, dn, dv, sec], "left").drop(sec, dn, dv)
+    return _join_back(keyed, result, occ, [user, dn, dv, sec], hot_rows, salt_buckets).drop(sec, dn, dv)
+
+
+def _join_back(rows: DataFrame, result: DataFrame, occ: DataFrame, keys: list[str], hot_rows: int,
+               salt_buckets: int) -> DataFrame:
+    """Equi-join ``rows`` to the one-row-per-key ``result``, salting hot keys.
+
+    The compaction table already knows each key's row count, so hot keys
+    (more than ``hot_rows`` rows; at most total / ``hot_rows`` of them, and
+    the count is checked before the broadcast) are known before the join.
+    Their rows get a salt in ``[0, salt_buckets)`` and their result row is
+    repeated once per salt, so a key holding a third of all rows is spread
+    over ``salt_buckets`` tasks. Cold keys keep salt 0 and one result copy.
+    """
+    hot = occ.where(F.col("_lw_n") > hot_rows).select(*keys)
+    n_hot = hot.limit(MAX_HOT_KEYS + 1).count()
+    if n_hot == 0:
+        return rows.join(result, keys, "left")
+    if n_hot > MAX_HOT_KEYS:
+        raise ValueError(f"more than {MAX_HOT_KEYS} keys above {hot_rows} rows; raise hot_rows")
+    hot = F.broadcast(hot.withColumn("_lw_hot", F.lit(True)))
+    # Any salt is correct (every salt of a hot key has a result copy), so a
+    # position-based salt is enough; identical copies of a row still spread.
+    salted_rows = rows.join(hot, keys, "left").withColumn(
+        "_lw_salt",
+        F.when(F.col("_lw_hot"), F.pmod(F.monotonically_increasing_id(), F.lit(salt_buckets))).otherwise(F.lit(0)),
+    ).drop("_lw_hot")
+    salts = F.when(F.col("_lw_hot"), F.sequence(F.lit(0), F.lit(salt_buckets - 1))).otherwise(F.array(F.lit(0)))
+    salted_result = result.join(hot, keys, "left").withColumn("_lw_salt", F.explode(salts)).drop("_lw_hot")
+    return salted_rows.join(salted_result, [*keys, "_lw_salt"], "left").drop("_lw_salt")

@@ -116,3 +116,15 @@ def test_strategies_agree_with_null_times_and_domains(spark):
     # feature table (Timestamp is one of its columns).
     timed = [i for i, (s, _) in enumerate(rows) if s is not None]
     assert [tuple(a[i]) for i in timed] == [tuple(b[i]) for i in timed]
+
+
+def test_hot_key_salting_keeps_results(spark):
+    # One (user, domain, second) key holds a third of the rows.
+    rows = [(0, "A")] * 60 + [(s, "AB"[s % 2]) for s in range(1, 121)]
+    df = _frame(spark, [(s, d, 0, 0, 0) for s, d in rows])
+    cols = ["Action_ID", "user_upload_count_24h", "user_unique_domains_7d", "is_first_time_domain"]
+    salted = user_behaviour(df, strategy="bucketed", hot_rows=10, salt_buckets=4)
+    plain = user_behaviour(df, strategy="window")
+    assert sorted(salted.select(*cols).collect()) == sorted(plain.select(*cols).collect())
+    plan = salted._jdf.queryExecution().executedPlan().toString()
+    assert "_lw_salt" in plan
