@@ -52,6 +52,7 @@ from pyspark.sql import functions as F
 from leakwatch import schemas as S
 from leakwatch.config import SECONDS_7D, SECONDS_24H
 from leakwatch.functions.context import epoch_seconds
+from leakwatch.operators.skew import SALT_BUCKETS, salted_join
 
 COUNT_COL = "user_upload_count_24h"
 DISTINCT_COL = "user_unique_domains_7d"
@@ -60,8 +61,6 @@ FIRST_COL = "is_first_time_domain"
 # A (user, domain, second) key with more rows than this is salted in the
 # final join; there can be at most total_rows / HOT_KEY_ROWS such keys.
 HOT_KEY_ROWS = 1_000_000
-MAX_HOT_KEYS = 100_000
-SALT_BUCKETS = 64
 
 
 def user_behaviour(
@@ -221,26 +220,9 @@ def _join_back(rows: DataFrame, result: DataFrame, occ: DataFrame, keys: list[st
                salt_buckets: int) -> DataFrame:
     """Equi-join ``rows`` to the one-row-per-key ``result``, salting hot keys.
 
-    The compaction table already knows each key's row count, so hot keys
-    (more than ``hot_rows`` rows; at most total / ``hot_rows`` of them, and
-    the count is checked before the broadcast) are known before the join.
-    Their rows get a salt in ``[0, salt_buckets)`` and their result row is
-    repeated once per salt, so a key holding a third of all rows is spread
-    over ``salt_buckets`` tasks. Cold keys keep salt 0 and one result copy.
+    The compaction table already knows each key's row count, so the keys with
+    more than ``hot_rows`` rows are known before the join (see
+    ``operators.skew.salted_join``).
     """
     hot = occ.where(F.col("_lw_n") > hot_rows).select(*keys)
-    n_hot = hot.limit(MAX_HOT_KEYS + 1).count()
-    if n_hot == 0:
-        return rows.join(result, keys, "left")
-    if n_hot > MAX_HOT_KEYS:
-        raise ValueError(f"more than {MAX_HOT_KEYS} keys above {hot_rows} rows; raise hot_rows")
-    hot = F.broadcast(hot.withColumn("_lw_hot", F.lit(True)))
-    # Any salt is correct (every salt of a hot key has a result copy), so a
-    # position-based salt is enough; identical copies of a row still spread.
-    salted_rows = rows.join(hot, keys, "left").withColumn(
-        "_lw_salt",
-        F.when(F.col("_lw_hot"), F.pmod(F.monotonically_increasing_id(), F.lit(salt_buckets))).otherwise(F.lit(0)),
-    ).drop("_lw_hot")
-    salts = F.when(F.col("_lw_hot"), F.sequence(F.lit(0), F.lit(salt_buckets - 1))).otherwise(F.array(F.lit(0)))
-    salted_result = result.join(hot, keys, "left").withColumn("_lw_salt", F.explode(salts)).drop("_lw_hot")
-    return salted_rows.join(salted_result, [*keys, "_lw_salt"], "left").drop("_lw_salt")
+    return salted_join(rows, result, keys, hot, "left", salt_buckets)

@@ -13,11 +13,12 @@ size (a bounded count, never a guess):
   batches); cost is linear in the text length whatever the dictionary size.
   The entry list is a broadcast variable (bounded by the check; fetched once
   per executor) and the automaton is built once per task.
-* beyond that (or without ``pyahocorasick``): equi-joins. For each distinct
+* beyond that (or without ``pyahocorasick``): equi-joins. Texts are first
+  reduced to distinct values (partial aggregation), then for each distinct
   entry length L every text emits its substrings of length L, which join the
   entries of that length on equality (shuffle join, no broadcast of unbounded
-  data, no cartesian product). Matching row keys are de-duplicated and
-  semi-joined back.
+  data, no cartesian product). Matching texts are semi-joined back to the
+  rows, salting texts held by more than ``HOT_NAME_ROWS`` rows.
 """
 
 from __future__ import annotations
@@ -29,9 +30,12 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from leakwatch.operators.skew import salted_join
+
 MAX_BROADCAST_ENTRIES = 256
 MAX_AUTOMATON_ENTRIES = 1_000_000
 MAX_DISTINCT_LENGTHS = 1_000
+HOT_NAME_ROWS = 1_000_000
 
 try:  # optional: the automaton tier is skipped without it
     import ahocorasick  # noqa: F401
@@ -93,14 +97,20 @@ def _by_substrings(df: DataFrame, entries: DataFrame, key_cols: list[str]) -> Da
     lengths = [r[0] for r in entries.select(F.length("_dm_v")).distinct().limit(MAX_DISTINCT_LENGTHS + 1).collect()]
     if len(lengths) > MAX_DISTINCT_LENGTHS:
         raise ValueError("dictionary entries have too many distinct lengths")
+    if not lengths:
+        return df.limit(0)
+    # Names repeat a lot: match distinct names only (partial aggregation
+    # collapses a name held by many rows before anything is exploded).
+    names = df.where(F.col("_dm_t").isNotNull()).groupBy("_dm_t").agg(F.count(F.lit(1)).alias("_dm_n"))
     matched = None
     for L in sorted(lengths):
         starts = F.sequence(F.lit(1), F.length("_dm_t") - L + 1)
-        subs = df.where(F.length("_dm_t") >= L).select(
-            *key_cols, F.explode(F.transform(starts, lambda i: F.substring(F.col("_dm_t"), i, L))).alias("_dm_v")
+        subs = names.where(F.length("_dm_t") >= L).select(
+            "_dm_t", F.explode(F.transform(starts, lambda i: F.substring(F.col("_dm_t"), i, L))).alias("_dm_v")
         )
-        part = subs.join(entries.where(F.length("_dm_v") == L), "_dm_v", "left_semi").select(*key_cols)
+        part = subs.join(entries.where(F.length("_dm_v") == L), "_dm_v", "left_semi").select("_dm_t")
         matched = part if matched is None else matched.unionByName(part)
-    if matched is None:
-        return df.limit(0)
-    return df.join(matched.distinct(), key_cols, "left_semi")
+    matched = matched.distinct()
+    # Back to the rows; names held by more than HOT_NAME_ROWS rows are salted.
+    hot = names.where(F.col("_dm_n") > HOT_NAME_ROWS).select("_dm_t")
+    return salted_join(df, matched, ["_dm_t"], hot, "left_semi")

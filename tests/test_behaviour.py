@@ -127,4 +127,4 @@ def test_hot_key_salting_keeps_results(spark):
     plain = user_behaviour(df, strategy="window")
     assert sorted(salted.select(*cols).collect()) == sorted(plain.select(*cols).collect())
     plan = salted._jdf.queryExecution().executedPlan().toString()
-    assert "_lw_salt" in plan
+    assert "_sk_salt" in plan
