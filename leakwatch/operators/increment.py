@@ -30,7 +30,10 @@ def new_rows(batch: DataFrame, existing_keys: DataFrame | None, key: str = S.ID,
     which reach the target's Parquet scan and skip row groups by statistics
     instead of reading every key ever written.
     """
-    out = batch
+    # De-duplicate first: partial aggregation collapses copies of a key on
+    # the map side, so a key repeated in a large share of rows never reaches
+    # the join as one big group.
+    out = batch.dropDuplicates([key])
     if existing_keys is not None:
         right = existing_keys.select(key).where(F.col(key).isNotNull())
         if prune_to_batch_range:
@@ -38,8 +41,8 @@ def new_rows(batch: DataFrame, existing_keys: DataFrame | None, key: str = S.ID,
             if lo is None:
                 return batch.limit(0)
             right = right.where(F.col(key).between(F.lit(lo), F.lit(hi)))
-        out = out.join(right, on=key, how="left_anti")
-    return out.dropDuplicates([key])
+        out = out.join(right.distinct(), on=key, how="left_anti")
+    return out
 
 
 def unscored_since(features: DataFrame, spark: SparkSession, predictions_table: str, cutoff,
@@ -53,7 +56,7 @@ def unscored_since(features: DataFrame, spark: SparkSession, predictions_table:
     recent = features.where(F.col(ts) >= cutoff)
     if not table_exists(spark, predictions_table):
         return recent
-    scored = spark.table(predictions_table).where(F.col(ts) >= cutoff).select(key)
+    scored = spark.table(predictions_table).where(F.col(ts) >= cutoff).select(key).distinct()
     return recent.join(scored, on=key, how="left_anti")
 
 

@@ -22,8 +22,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from leakwatch import schemas as S
+from leakwatch.operators.skew import salted_join
 
 PREFIX_HEX = 5
+# An id with more rows than this is salted when its split is joined back.
+HOT_ID_ROWS = 1_000_000
 
 
 def split_key(id_col: str = S.ID, seed: int = 42):
@@ -39,12 +42,21 @@ def stratified_split(
     seed: int = 42,
     out_col: str = "split",
     prefix_hex: int = PREFIX_HEX,
+    hot_rows: int = HOT_ID_ROWS,
 ) -> DataFrame:
-    """Add ``out_col`` in {train, validation, test}."""
-    keyed = df.withColumn("_sp_key", split_key(id_col, seed))
-    keyed = keyed.withColumn("_sp_b", F.substring("_sp_key", 1, prefix_hex))
+    """Add ``out_col`` in {train, validation, test}.
 
-    per_bucket = keyed.groupBy(label, "_sp_b").agg(F.count(F.lit(1)).alias("_sp_n"))
+    Ranks are computed over distinct (label, id) pairs weighted by their row
+    counts, so copies of one id never form a big group: they collapse in a
+    partial aggregation, share one split (no copy of a test row is trained
+    on), and are joined back with hot ids salted. With unique ids this is
+    exactly the rank rule of the module docstring.
+    """
+    ids = df.groupBy(label, id_col).agg(F.count(F.lit(1)).alias("_sp_c"))
+    ids = ids.withColumn("_sp_key", split_key(id_col, seed))
+    ids = ids.withColumn("_sp_b", F.substring("_sp_key", 1, prefix_hex))
+
+    per_bucket = ids.groupBy(label, "_sp_b").agg(F.sum("_sp_c").alias("_sp_n"))
     w_off = Window.partitionBy(label).orderBy("_sp_b").rowsBetween(Window.unboundedPreceding, -1)
     w_tot = Window.partitionBy(label)
     offsets = per_bucket.select(
@@ -53,9 +65,12 @@ def stratified_split(
         F.coalesce(F.sum("_sp_n").over(w_off), F.lit(0)).alias("_sp_off"),
         F.sum("_sp_n").over(w_tot).alias("_sp_total"),
     )
-    w_in = Window.partitionBy(label, "_sp_b").orderBy("_sp_key", id_col)
-    ranked = keyed.withColumn("_sp_rn", F.row_number().over(w_in)).join(offsets, [label, "_sp_b"])
-    rank = F.col("_sp_off") + F.col("_sp_rn")
+    w_in = Window.partitionBy(label, "_sp_b").orderBy("_sp_key", id_col).rowsBetween(Window.unboundedPreceding, -1)
+    ranked = ids.withColumn("_sp_before", F.coalesce(F.sum("_sp_c").over(w_in), F.lit(0))).join(
+        offsets, [label, "_sp_b"]
+    )
+    # Rank of the id's first row among the rows of its label.
+    rank = F.col("_sp_off") + F.col("_sp_before") + 1
     n_test = F.round(F.lit(test_fraction) * F.col("_sp_total"))
     n_val = F.round(F.lit(validation_fraction) * (F.col("_sp_total") - n_test))
     split = (
@@ -63,7 +78,9 @@ def stratified_split(
         .when(rank <= n_test + n_val, F.lit("validation"))
         .otherwise(F.lit("train"))
     )
-    return ranked.withColumn(out_col, split).drop("_sp_key", "_sp_b", "_sp_off", "_sp_total", "_sp_rn")
+    assigned = ranked.select(label, id_col, split.alias(out_col))
+    hot = ids.where(F.col("_sp_c") > hot_rows).select(label, id_col)
+    return salted_join(df, assigned, [label, id_col], hot, "inner")
 
 
 def time_split(df: DataFrame, ts: str = S.TS, test_from=None, out_col: str = "split") -> DataFrame:

@@ -25,3 +25,15 @@ def test_time_split(spark):
                                "Action_ID long, Timestamp timestamp_ntz")
     got = {r.Action_ID: r.split for r in time_split(df, test_from="2024-01-10 00:00:00").collect()}
     assert got == {1: "train", 2: "test", 3: "test"}
+
+
+def test_copies_share_a_split_and_hot_ids_are_salted(spark):
+    df = spark.range(0, 600).select(
+        F.when(F.col("id") < 200, F.lit(7)).otherwise(F.col("id")).alias("Action_ID"),
+        (F.col("id") % 2).cast("long").alias("Risk_Label"),
+    ).withColumn("Risk_Label", F.when(F.col("Action_ID") == 7, F.lit(1)).otherwise(F.col("Risk_Label")))
+    out = stratified_split(df, hot_rows=50)
+    assert out.count() == 600
+    assert out.where("Action_ID = 7").select("split").distinct().count() == 1
+    plain = stratified_split(df)
+    assert sorted(out.collect()) == sorted(plain.collect())
