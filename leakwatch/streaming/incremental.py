@@ -37,6 +37,11 @@ def dedupe_stream(stream: DataFrame, key: str = S.ID, ts: str = S.TS, delay: str
     """Drop repeats of a key that arrive within ``delay`` of each other
     (state is bounded by the watermark).
 
+    Optional for ``ingest_stream``: each micro-batch already goes through
+    ``append_new`` (map-side de-duplication, anti-join against the target),
+    which is idempotent across batches on its own. This operator is for sinks
+    without such a key check; as any stateful operator it groups by key.
+
     Watermarks need a zoned timestamp; the wall-clock column is read as UTC
     (the session zone) into a helper column that is dropped afterwards.
     """
