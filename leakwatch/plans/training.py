@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,13 +14,21 @@ from leakwatch.operators.model import BoostParams, fit_classifier, predict
 from leakwatch.operators.split import stratified_split
 
 
+ROWS_PER_TRAINING_PARTITION = 1_000_000
+
+
 def split_features(features: DataFrame, validation_fraction: float = 0.0, seed: int = 42) -> DataFrame:
     """Feature table plus a reproducible stratified ``split`` column.
 
     Checkpointed: training reads the split many times (one pass per tree)
     and must see the same rows every time, also after a lost executor.
+    Boosting runs several stages per tree, so the partition count follows
+    the data size (about one partition per million rows, merged without a
+    shuffle); tiny partitions would only add per-task overhead to each stage.
     """
-    return stratified_split(features, validation_fraction=validation_fraction, seed=seed).checkpoint(eager=True)
+    out = stratified_split(features, validation_fraction=validation_fraction, seed=seed).checkpoint(eager=True)
+    wanted = max(1, math.ceil(out.count() / ROWS_PER_TRAINING_PARTITION))
+    return out.coalesce(wanted) if out.rdd.getNumPartitions() > wanted else out
 
 
 def train(split_df: DataFrame, params: BoostParams = BoostParams()) -> PipelineModel:
