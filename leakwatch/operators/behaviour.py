@@ -23,7 +23,8 @@ of time:
 2. For the distinct count, each domain occurrence ``s`` opens an "active"
    interval that ends at ``min(s + W, next occurrence)``; the next occurrence
    is found inside (user, domain, W+1-second bucket) windows plus a tiny
-   per-bucket table, so only the following bucket is ever needed.
+   per-bucket table, so only the following bucket is ever needed. This
+   compact table is checkpointed once (both branches of step 3 read it).
 3. Both measures become running sums of +/- deltas per user over time. The
    running sum is split by fixed time buckets (``bucket_seconds``): a window
    inside each (user, bucket) plus a per-bucket offset from a small
