@@ -372,8 +372,10 @@ _MODELS: dict[tuple, object] = {}
 
 
 def _model(spark, d, kind: str):
-    """Train once per session, folder and kind; later queries reuse the fit."""
-    key = (id(spark), d, kind)
+    """Train once per Spark application, folder and kind; later queries reuse
+    the fit (the application id is unique, so a new context never sees a
+    model bound to a stopped one)."""
+    key = (spark.sparkContext.applicationId, d, kind)
     if key not in _MODELS:
         if kind == "gbt":
             split_df = training.split_features(clean_features(spark, d))

@@ -33,3 +33,12 @@ def test_small_queries_match_oracle(spark, fixture_dir):
         cols = [d[0] for d in res.description]
         assert sorted(df.columns) == sorted(cols), name
         assert _rows([tuple(r) for r in df.collect()], df.columns) == _rows(res.fetchall(), cols), name
+
+
+def test_scale_conf_sizes_partitions():
+    from leakwatch.session import scale_conf
+
+    conf = scale_conf(100 * 2**40, 8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (128 << 20)
+    assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    assert int(scale_conf(1 << 20, 8)["spark.sql.shuffle.partitions"]) == 24
