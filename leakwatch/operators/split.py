@@ -52,7 +52,9 @@ def stratified_split(
     on), and are joined back with hot ids salted. With unique ids this is
     exactly the rank rule of the module docstring.
     """
-    ids = df.groupBy(label, id_col).agg(F.count(F.lit(1)).alias("_sp_c"))
+    # Narrow (label, id, count) table, read by the hot-id check and the
+    # ranking: materialised once so the input is not recomputed for each.
+    ids = df.groupBy(label, id_col).agg(F.count(F.lit(1)).alias("_sp_c")).checkpoint(eager=True)
     ids = ids.withColumn("_sp_key", split_key(id_col, seed))
     ids = ids.withColumn("_sp_b", F.substring("_sp_key", 1, prefix_hex))
 
