@@ -101,7 +101,11 @@ def _by_substrings(df: DataFrame, entries: DataFrame, key_cols: list[str]) -> Da
         return df.limit(0)
     # Names repeat a lot: match distinct names only (partial aggregation
     # collapses a name held by many rows before anything is exploded).
-    names = df.where(F.col("_dm_t").isNotNull()).groupBy("_dm_t").agg(F.count(F.lit(1)).alias("_dm_n"))
+    # Materialised once: the substring match and the hot-name check read it.
+    names = (
+        df.where(F.col("_dm_t").isNotNull()).groupBy("_dm_t").agg(F.count(F.lit(1)).alias("_dm_n"))
+        .checkpoint(eager=True)
+    )
     matched = None
     for L in sorted(lengths):
         starts = F.sequence(F.lit(1), F.length("_dm_t") - L + 1)
