@@ -49,3 +49,18 @@ def test_daily_flow(spark, fixture_dir, tmp_path):
     jobs.training_job(spark, "features_t", path_b, BoostParams(max_iter=2, max_depth=2))
     cmp = jobs.comparison_job(spark, "features_t", ("deep", path), ("shallow", path_b)).collect()
     assert [r.metric for r in cmp][0] == "AUC-ROC" and len(cmp) == 6
+
+
+def test_rows_to_batch_ingest_converts_offsets(spark):
+    import datetime as dt
+
+    from leakwatch.sources.catalog import rows_to_batch
+
+    spark.sql("DROP TABLE IF EXISTS ingest_offsets_t")
+    batch = rows_to_batch(spark, [
+        (1, "2024-03-01T10:00:00+02:00", "upload", "a.csv", "x.example", "User_1", "Analyst", 0),
+        (2, "2024-03-01T10:00:00Z", "upload", "b.csv", "x.example", "User_1", "Analyst", 0),
+    ])
+    assert jobs.ingest_job(spark, batch, "ingest_offsets_t") == 2
+    got = {r.Action_ID: r.Timestamp for r in spark.table("ingest_offsets_t").collect()}
+    assert got == {1: dt.datetime(2024, 3, 1, 8, 0, 0), 2: dt.datetime(2024, 3, 1, 10, 0, 0)}
