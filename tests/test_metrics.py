@@ -98,3 +98,16 @@ def test_model_comparison_tie_goes_to_a(spark):
     df = _df(spark, rows, "a").unionByName(_df(spark, rows, "b"))
     out = metrics.model_comparison(df, "a", "b").collect()
     assert len(out) == 6 and all(r["winner"] == "a" for r in out)
+
+
+def test_rule_label_confusion_matches_fixture_measurement(spark):
+    """FIXTURES.md §5: rule label vs Risk_Label over all sf0.01 events."""
+    from pyspark.sql import functions as F
+
+    from leakwatch.functions.rules import rule_label
+    from leakwatch.plans import fixture_queries as Q
+
+    f = Q.rule_score(Q.features(spark, "/root/testdata/sf0.01"))
+    pred = f.select(F.col("Risk_Label").cast("int").alias("label"), rule_label("risk_score").alias("predicted"))
+    cm = metrics.confusion_matrix(pred).first()
+    assert (cm["tn"], cm["fn"], cm["fp"], cm["tp"]) == (5051, 756, 665, 3528)
