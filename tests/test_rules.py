@@ -101,3 +101,25 @@ def test_dictionary_loader(spark, tmp_path):
     empty = tmp_path / "empty.csv"
     empty.write_text("keyword\n")
     assert dictionary_values(load_dictionary(spark, str(empty), "keyword")) == []
+
+
+def test_fixture_rates_match_measurement(spark):
+    """FIXTURES.md §1: rates measured independently at sf0.01 (whole percent)."""
+    from pyspark.sql import functions as F
+
+    from leakwatch.plans import fixture_queries as Q
+
+    f = Q.features(spark, "/root/testdata/sf0.01")
+    row = f.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.countDistinct("AccountDisplayName").alias("users"),
+        F.sum(F.col("ObjectName").isNull().cast("int")).alias("null_names"),
+        *[F.avg(c).alias(c) for c in ("file_name_has_sensitive_keyword", "double_extension_check",
+                                      "is_high_risk_extension", "is_risky_target_domain", "is_high_risk_position",
+                                      "is_after_hours", "is_monday_or_friday", "Risk_Label")],
+    ).first()
+    assert (row["n"], row["users"], row["null_names"]) == (10000, 150, 104)
+    expected = {"file_name_has_sensitive_keyword": 41, "double_extension_check": 14, "is_high_risk_extension": 59,
+                "is_risky_target_domain": 39, "is_high_risk_position": 50, "is_after_hours": 45,
+                "is_monday_or_friday": 30, "Risk_Label": 43}
+    assert {c: round(100 * row[c]) for c in expected} == expected
