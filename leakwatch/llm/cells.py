@@ -21,13 +21,16 @@ from pyspark.sql import functions as F
 
 U64 = np.uint64
 #: Codes that one task holds before it writes its cells.
-CODES_PER_FLUSH = 2_000_000
+CODES_PER_FLUSH = 1_500_000
 #: Expected codes of a shard, and text bytes of a bucket of documents.
-CODES_PER_SHARD = 2_500_000
+CODES_PER_SHARD = 2_000_000
 BYTES_PER_BUCKET = 12 << 20
 
-CELL_SCHEMA = "shard int, owner binary, size binary, code binary, extra binary"
-_CELL = pa.schema([("shard", pa.int32()), *((c, pa.binary()) for c in ("owner", "size", "code", "extra"))])
+#: owner: int64 ids; size: uint32 entries of each owner; code: uint64 of each
+#: entry; extra: more of each entry; note: more of each owner.
+CELL_SCHEMA = "shard int, owner binary, size binary, code binary, extra binary, note binary"
+_PARTS = ("owner", "size", "code", "extra", "note")
+_CELL = pa.schema([("shard", pa.int32()), *((c, pa.binary()) for c in _PARTS)])
 
 
 def partitions(spark: SparkSession) -> int:
@@ -39,6 +42,7 @@ def whole_batches(spark: SparkSession) -> None:
     texts or packed arrays. Shuffle files of finished queries are removed at
     once, not when the driver happens to collect its garbage."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
     spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
 
 
@@ -89,11 +93,14 @@ def shard_of(code: np.ndarray, shards: int) -> np.ndarray:
     return (((code >> U64(32)) * U64(shards)) >> U64(32)).astype(np.int32)
 
 
-def cells(shard: np.ndarray, owner: np.ndarray, code: np.ndarray, extra: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
-    """Cells of entries sorted by shard. Inside a cell the entries are grouped
-    by owner."""
+def cells(
+    shard: np.ndarray, owner: np.ndarray, code: np.ndarray, extra: np.ndarray | None = None, note: np.ndarray | None = None
+) -> Iterator[pa.RecordBatch]:
+    """Cells of entries sorted by shard; ``extra`` and ``note`` are given for
+    each entry. Inside a cell the entries are grouped by owner."""
     bounds = runs(shard)
-    out: dict[str, list] = {c: [] for c in ("shard", "owner", "size", "code", "extra")}
+    none = np.empty(0, np.uint8)
+    out: dict[str, list] = {c: [] for c in ("shard", *_PARTS)}
     for a, b in zip(bounds[:-1], bounds[1:], strict=True):
         order = np.argsort(owner[a:b], kind="stable")
         own = owner[a:b][order]
@@ -102,11 +109,10 @@ def cells(shard: np.ndarray, owner: np.ndarray, code: np.ndarray, extra: np.ndar
         out["owner"].append(own[at[:-1]])
         out["size"].append(np.diff(at).astype(np.uint32))
         out["code"].append(code[a:b][order])
-        out["extra"].append(extra[a:b][order] if extra is not None else np.empty(0, np.uint8))
+        out["extra"].append(extra[a:b][order] if extra is not None else none)
+        out["note"].append(note[a:b][order][at[:-1]] if note is not None else none)
     if out["shard"]:
-        yield pa.record_batch(
-            [pa.array(out["shard"], pa.int32()), *(packed(out[c]) for c in ("owner", "size", "code", "extra"))], schema=_CELL
-        )
+        yield pa.record_batch([pa.array(out["shard"], pa.int32()), *(packed(out[c]) for c in _PARTS)], schema=_CELL)
 
 
 def by_key(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int, list[pa.RecordBatch]]]:
@@ -128,12 +134,12 @@ def by_key(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int, l
         yield now, held
 
 
-def unpack(rows: list[pa.RecordBatch], extra_type=np.uint16) -> tuple[np.ndarray, ...]:
-    """Owner, code and extra of each entry of some cells; owners and sizes as packed."""
+def values(rows: list[pa.RecordBatch], name: str, kind) -> np.ndarray:
+    """A packed column of some cells as one array; empty where there is none."""
+    parts = [np.frombuffer(v.as_buffer(), kind) for r in rows if name in r.schema.names for v in r.column(name) if v.is_valid]
+    return np.concatenate(parts) if parts else np.empty(0, kind)
 
-    def values(name: str, kind) -> np.ndarray:
-        parts = [np.frombuffer(v.as_buffer(), kind) for r in rows if name in r.schema.names for v in r.column(name) if v.is_valid]
-        return np.concatenate(parts) if parts else np.empty(0, kind)
 
-    owners, sizes = values("owner", np.int64), values("size", np.uint32)
-    return np.repeat(owners, sizes), values("code", U64), values("extra", extra_type), owners, sizes
+def unpack(rows: list[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray]:
+    """Owner and code of each entry of some cells."""
+    return np.repeat(values(rows, "owner", np.int64), values(rows, "size", np.uint32)), values(rows, "code", U64)

@@ -5,13 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leakwatch.llm import substring_dedup
+from leakwatch.llm import ngram_join, packing, quality_rules, substring_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer(name: str) -> str:
+    """Path of a public tokenizer file; it must be at the same place on every executor."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     out = substring_dedup.remove_repeated(docs, "doc_id", "text", window=13)
@@ -35,10 +42,113 @@ SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(len(ps), 0)::BIGINT AS n_r
 FROM w LEFT JOIN gone USING (doc_id)
 """
 
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = packing.pack(docs, tokenizer("word_bpe_49k.json"))
+    return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    out = quality_rules.judge(docs, "text", "lang")
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+_R = quality_rules.Rules()
+OP6_SQL = rf"""
+WITH w AS (
+  SELECT doc_id, coalesce(text, '') AS t, lang, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents
+), c0 AS (SELECT *, array_to_string(ws, '') AS l0 FROM w
+), c1 AS (SELECT *, regexp_replace(l0, '\p{{Ll}}+', '', 'g') AS l1 FROM c0
+), c2 AS (SELECT *, regexp_replace(l1, '\p{{Lu}}+', '', 'g') AS l2 FROM c1
+), c3 AS (SELECT *, regexp_replace(l2, '[.,;:!?]+', '', 'g') AS l3 FROM c2
+), c4 AS (SELECT *, regexp_replace(l3, '\p{{Nd}}+', '', 'g') AS l4 FROM c3
+), c5 AS (SELECT *, regexp_replace(l4, '[#*$%&|<>]+', '', 'g') AS l5 FROM c4
+), b AS (
+  SELECT *, [length(t) - length(l0), length(l0) - length(l1), length(l1) - length(l2), length(l2) - length(l3), length(l3) - length(l4),
+             length(l4) - length(l5), length(l5)] AS bins FROM c5
+), win AS (
+  SELECT doc_id, i, array_to_string(ws[i:i + 7], ' ') AS s FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 6)) AS i FROM w)
+), twice AS (
+  SELECT doc_id, s FROM win GROUP BY ALL HAVING count(*) > 1
+), rep AS (
+  SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM win JOIN twice USING (doc_id, s)) GROUP BY doc_id
+), dup AS (
+  SELECT doc_id, count(*) - count(DISTINCT x) AS n FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS x FROM w)
+  WHERE regexp_matches(x, '[^\x20\x09-\x0D]') GROUP BY doc_id
+), refc AS (
+  SELECT lang, k, sum(v) AS v FROM (SELECT lang, unnest(range(1, 8)) AS k, unnest(bins) AS v FROM b) GROUP BY ALL
+), refs AS (
+  SELECT lang, k, v / sum(v) OVER (PARTITION BY lang) AS q FROM refc
+), n_lang AS (
+  SELECT lang, sum(len(ws)) AS n FROM w GROUP BY lang
+), common AS (
+  SELECT lang, x, count(*) / any_value(n) AS q FROM (SELECT lang, lower(u) AS x FROM (SELECT lang, unnest(ws) AS u FROM w) WHERE length(u) <= {_R.common_len})
+  JOIN n_lang USING (lang) GROUP BY lang, x HAVING count(*) >= {_R.common_share} * any_value(n)
+), cd AS (
+  SELECT doc_id, sqrt(greatest(0, sum(
+    (CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2))) AS d
+  FROM (SELECT doc_id, lang, k, v / length(t) AS p FROM (SELECT doc_id, lang, t, unnest(range(1, 8)) AS k, unnest(bins) AS v FROM b WHERE t <> ''))
+  JOIN refs USING (lang, k) GROUP BY doc_id
+), dc AS (
+  SELECT doc_id, lang, x, count(*) AS c FROM (SELECT doc_id, lang, lower(u) AS x FROM (SELECT doc_id, lang, unnest(ws) AS u FROM w) WHERE length(u) <= {_R.common_len})
+  GROUP BY ALL
+), hist AS (
+  SELECT doc_id, common.x, q, coalesce(c, 0) / len(ws) AS p FROM w JOIN common USING (lang) LEFT JOIN dc USING (doc_id, x) WHERE len(ws) > 0
+), whole AS (
+  SELECT doc_id, p, q FROM hist UNION ALL SELECT doc_id, greatest(0, 1 - sum(p)), greatest(0, 1 - sum(q)) FROM hist GROUP BY doc_id
+), wd AS (
+  SELECT doc_id, sqrt(greatest(0, sum(
+    (CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2))) AS d
+  FROM whole GROUP BY doc_id
+), m AS (
+  SELECT b.doc_id, len(ws)::BIGINT AS n_words, length(l0)::BIGINT AS word_chars, bins[6]::BIGINT AS n_symbols, coalesce(dup.n, 0)::BIGINT AS n_dup_lines,
+    coalesce(rep.n, 0)::BIGINT AS n_repeat_words, length(t) AS n_chars, coalesce(cd.d, 0) AS char_d, coalesce(wd.d, 0) AS word_d
+  FROM b LEFT JOIN rep USING (doc_id) LEFT JOIN dup USING (doc_id) LEFT JOIN cd USING (doc_id) LEFT JOIN wd USING (doc_id)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < {_R.min_words_base} OR 100 * n_repeat_words > {_R.max_repeat_percent} * n_words AS base_failed,
+  NOT (n_words < {_R.min_words_base} OR 100 * n_repeat_words > {_R.max_repeat_percent} * n_words
+    OR (n_chars >= {_R.min_chars} AND char_d > {_R.max_char_distance}) OR (n_words >= {_R.min_words} AND word_d > {_R.max_word_distance})) AS kept
+FROM m
+"""
+
+
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ngram_join.jaccard_components(docs, "doc_id", "text", k=5, percent=75)
+
+
+OP10_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM w WHERE len(ws) > 0)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM common JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 75 * (na.n + nb.n - c)
+), reach(a, b) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+)
+SELECT a AS doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(b) AS component_id FROM reach LEFT JOIN n ON n.doc_id = a GROUP BY a
+"""
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op4_packing": op4_packing,
+    "op6_quality_rules": op6_quality_rules,
+    "op10_ngram_join": op10_ngram_join,
 }
 
 ORACLE = {
     "op1_substring_dedup": OP1_SQL,
+    "op6_quality_rules": OP6_SQL,
+    "op10_ngram_join": OP10_SQL,
 }

@@ -111,7 +111,8 @@ def repeated_windows(docs: DataFrame, id_col: str, text_col: str, window: int, s
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard, rows in C.by_key(batches, "shard"):
-            doc, code, check, _, _ = C.unpack(rows)
+            doc, code = C.unpack(rows)
+            check = C.values(rows, "extra", np.uint16)
             if shard >= 0:
                 code, check, doc, least, _ = _smallest(code, check, doc)
                 late = doc > least
@@ -168,8 +169,7 @@ def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 is_doc = part.column("is_doc").to_numpy(zero_copy_only=False)
                 k = int(np.argmax(is_doc)) if is_doc.any() else len(is_doc)
                 if k:
-                    owner, code, *_ = C.unpack([part.slice(0, k)])
-                    held.append((owner, code))
+                    held.append(C.unpack([part.slice(0, k)]))
                 if k < len(is_doc):
                     if held:
                         if len(table[0]):
