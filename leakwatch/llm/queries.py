@@ -111,7 +111,7 @@ WITH w AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   n_words < {_R.min_words_base} OR 100 * n_repeat_words > {_R.max_repeat_percent} * n_words AS base_failed,
   NOT (n_words < {_R.min_words_base} OR 100 * n_repeat_words > {_R.max_repeat_percent} * n_words
-    OR (n_chars >= {_R.min_chars} AND char_d > {_R.max_char_distance}) OR (n_words >= {_R.min_words} AND word_d > {_R.max_word_distance})) AS kept
+    OR (n_chars >= {_R.min_chars} AND char_d > {_R.max_char_distance} + {_R.char_slack} / sqrt(n_chars)) OR (n_words >= {_R.min_words} AND word_d > {_R.max_word_distance} + {_R.word_slack} / sqrt(n_words))) AS kept
 FROM m
 """
 
