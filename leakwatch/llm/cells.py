@@ -11,6 +11,7 @@ a task's memory is bounded by one shard, not by its partition.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from math import ceil
 
@@ -21,9 +22,9 @@ from pyspark.sql import functions as F
 
 U64 = np.uint64
 #: Codes that one task holds before it writes its cells.
-CODES_PER_FLUSH = 1_500_000
+CODES_PER_FLUSH = 1_000_000
 #: Expected codes of a shard, and text bytes of a bucket of documents.
-CODES_PER_SHARD = 2_000_000
+CODES_PER_SHARD = 1_500_000
 BYTES_PER_BUCKET = 12 << 20
 
 #: owner: int64 ids; size: uint32 entries of each owner; code: uint64 of each
@@ -33,6 +34,16 @@ _PARTS = ("owner", "size", "code", "extra", "note")
 _CELL = pa.schema([("shard", pa.int32()), *((c, pa.binary()) for c in _PARTS)])
 
 
+def give_back() -> None:
+    """Hand freed memory back to the system: a Python worker lives on after
+    its task, next to the executor and to other workers."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -132,6 +143,8 @@ def by_key(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int, l
             held.append(batch.slice(int(a), int(b - a)))
     if held:
         yield now, held
+    del held
+    give_back()
 
 
 def values(rows: list[pa.RecordBatch], name: str, kind) -> np.ndarray:

@@ -274,8 +274,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 if total >= C.CODES_PER_FLUSH:
                     yield from _flush(held, shards)
                     held, total, seen = [], 0, set()
+                    C.give_back()
         if total:
             yield from _flush(held, shards)
+        del held
+        C.give_back()
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard, rows in C.by_key(batches, "shard"):

@@ -37,8 +37,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leakwatch.llm import cells as C
+from leakwatch.llm.textcodes import chunks
 
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 500_000
 BYTES_PER_PARTITION = 24 << 20
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 _ARROW = pa.schema(
@@ -48,7 +49,8 @@ _TAIL = ".,;:!?"
 
 
 class WordIds(dict):
-    """Token ids by word. A new word is only numbered; ``learn`` encodes the new ones together."""
+    """Place of a word's token ids in ``pool``. A new word is only numbered;
+    ``learn`` encodes the new ones together."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -59,7 +61,7 @@ class WordIds(dict):
 
     def forget(self) -> None:
         self.clear()
-        self.pool, self.at, self.new, self.cores = array("I"), array("q", [0]), [], {}
+        self.pool, self.at, self.new = array("I"), array("q", [0]), []
 
     def __missing__(self, word: str) -> int:
         self[word] = k = len(self)
@@ -69,43 +71,41 @@ class WordIds(dict):
     def _encode(self, words: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
 
-    def _encode_letters(self, words: list[str]) -> None:
+    def _encode_letters(self, words: list[str]) -> dict[str, list[int]]:
         """Ids of lower-case words of letters, each of which is one unit of the tokenizer."""
+        out: dict[str, list[int]] = {}
         for i in range(0, len(words), 256):
             part = words[i : i + 256]
             e = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            unit, ids = np.array(e.word_ids), e.ids
-            at = C.runs(unit).tolist()
-            if len(at) - 1 != len(part):
-                self.cores.update(zip(part, self._encode(part), strict=True))
-                continue
-            for word, a, b in zip(part, at[:-1], at[1:], strict=True):
-                self.cores[word] = ids[a:b]
+            ids = e.ids
+            at = C.runs(np.array(e.word_ids)).tolist()
+            if len(at) - 1 == len(part):
+                out.update((word, ids[a:b]) for word, a, b in zip(part, at[:-1], at[1:], strict=True))
+            else:
+                out.update(zip(part, self._encode(part), strict=True))
+        return out
 
     def learn(self) -> None:
-        plain, rest = [], []
+        parts: list[tuple[str, str] | None] = []
         for word in self.new:
-            core = None
+            split = None
             if word and max(word) < "ɐ":  # composed Latin letters: lower case is one to one
                 lower = word.lower()
                 core = lower.rstrip(_TAIL)
-                if not core.isalpha():
-                    core = None
-            plain.append((core, lower[len(core) :]) if core else None)
-            if not core:
-                rest.append(word)
-        unknown = {x for p in plain if p for x in p if x and x not in self.cores}
-        self._encode_letters([x for x in unknown if x.isalpha()])
-        tails = [x for x in unknown if x not in self.cores]
-        self.cores.update(zip(tails, self._encode(tails), strict=True))
-        others = iter(self._encode(rest))
-        for p in plain:
+                if core.isalpha():
+                    split = (core, lower[len(core) :])
+            parts.append(split)
+        cores = self._encode_letters(list({p[0] for p in parts if p}))
+        tails = list({p[1] for p in parts if p and p[1]})
+        cores.update(zip(tails, self._encode(tails), strict=True))
+        others = iter(self._encode([w for w, p in zip(self.new, parts, strict=True) if not p]))
+        for p in parts:
             if p is None:
                 self.pool.extend(next(others))
             else:
-                self.pool.extend(self.cores[p[0]])
+                self.pool.extend(cores[p[0]])
                 if p[1]:
-                    self.pool.extend(self.cores[p[1]])
+                    self.pool.extend(cores[p[1]])
             self.at.append(len(self.pool))
         self.new = []
 
@@ -115,6 +115,7 @@ class WordIds(dict):
             self.forget()
         words = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
         known = [np.fromiter(map(self.__getitem__, w), np.int64, len(w)) for w in words]
+        del words
         self.learn()
         at = np.frombuffer(self.at, np.int64)
         pool = np.frombuffer(self.pool, np.uint32)
@@ -271,9 +272,9 @@ def pack(
 
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            for i in range(0, len(texts), 64):
-                new = words.encode(texts[i : i + 64], end)
-                for key, t in zip(batch.column("id")[i : i + 64].to_pylist(), new, strict=True):
+            for a, b in chunks(texts, 1 << 20):
+                new = words.encode(texts[a:b], end)
+                for key, t in zip(batch.column("id").slice(a, b - a).to_pylist(), new, strict=True):
                     ids.append(key)
                     tokens.append(t)
                     held += len(t)
@@ -281,5 +282,6 @@ def pack(
                         yield flush()
         if tokens:
             yield flush()
+        C.give_back()
 
     return source.mapInArrow(run, PIECES)

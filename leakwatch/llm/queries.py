@@ -5,7 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leakwatch.llm import ngram_join, packing, quality_rules, substring_dedup
+from leakwatch.llm import (
+    chat_perspectives,
+    embedding_dedup,
+    html_paths,
+    kneser_ney,
+    language_mixture,
+    ngram_join,
+    packing,
+    quality_rules,
+    substring_dedup,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,12 +53,74 @@ FROM w LEFT JOIN gone USING (doc_id)
 """
 
 
+def op2_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_perspectives.rotate(_table(spark, sf_dir, "conversations"))
+
+
+OP2_SQL = r"""
+WITH t AS (
+  SELECT conv_id, turn, role, text, replace(coalesce(text, ''), '<|', '< |') AS said FROM conversations
+), p AS (
+  SELECT DISTINCT conv_id, role AS perspective FROM conversations WHERE role IS NOT NULL AND role <> 'system'
+), v AS (
+  SELECT t.conv_id, perspective, turn, t.role AS speaker, text, said,
+    CASE WHEN t.role = perspective THEN 'assistant' WHEN t.role = 'system' THEN 'system' ELSE 'user' END AS role
+  FROM t JOIN p ON t.conv_id IS NOT DISTINCT FROM p.conv_id
+), h AS (
+  SELECT *, CASE WHEN role = 'user' THEN replace(speaker, '<|', '< |') END AS name FROM v
+), c AS (
+  SELECT *, '<|im_start|>' || role || coalesce(' name=' || name, '') || chr(10) AS head FROM h
+), s AS (
+  SELECT *, head || said || '<|im_end|>' || chr(10) AS content FROM c
+), r AS (
+  SELECT *, sum(length(content)) OVER w AS stop, row_number() OVER w - 1 AS seq FROM s
+  WINDOW w AS (PARTITION BY conv_id, perspective ORDER BY turn NULLS LAST, speaker NULLS FIRST, text NULLS FIRST ROWS UNBOUNDED PRECEDING)
+)
+SELECT conv_id, perspective, seq::BIGINT AS seq, turn, role, name, content, (stop - length(content))::BIGINT AS start, stop::BIGINT AS stop,
+  CASE WHEN role = 'assistant' THEN stop - length(content) + length(head) END::BIGINT AS mask_start,
+  CASE WHEN role = 'assistant' THEN stop END::BIGINT AS mask_stop
+FROM r
+"""
+
+
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"), cos=0.93)
+
+
+#: Cosines of float vectors near the threshold may differ in the last bit between engines; none of the given tables has such a pair.
+OP3_SQL = """
+WITH RECURSIVE e AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM e a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.v, b.v) >= 0.93
+), reach(a, b) AS (
+  SELECT vec_id, vec_id FROM e UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+), c AS (
+  SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a
+), n AS (
+  SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a
+)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept FROM c LEFT JOIN n USING (vec_id)
+"""
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     out = packing.pack(docs, tokenizer("word_bpe_49k.json"))
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op5_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trusted text: all documents labelled as of good quality and not toxic;
+    every fifth of them sets the thresholds, the model is learned from the rest."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    good = _table(spark, sf_dir, "labels").where("quality = 1 AND toxic = 0").select("doc_id")
+    aside = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    model = kneser_ney.learn(docs.join(good.where(~aside), "doc_id", "left_semi"), "text")
+    scored = kneser_ney.score(docs, model, "text").drop("text").checkpoint()
+    return kneser_ney.classify(scored, good.where(aside), "doc_id", "lang")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     out = quality_rules.judge(docs, "text", "lang")
@@ -60,15 +132,15 @@ OP6_SQL = rf"""
 WITH w AS (
   SELECT doc_id, coalesce(text, '') AS t, lang, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
   FROM documents
-), c0 AS (SELECT *, array_to_string(ws, '') AS l0 FROM w
-), c1 AS (SELECT *, regexp_replace(l0, '\p{{Ll}}+', '', 'g') AS l1 FROM c0
-), c2 AS (SELECT *, regexp_replace(l1, '\p{{Lu}}+', '', 'g') AS l2 FROM c1
-), c3 AS (SELECT *, regexp_replace(l2, '[.,;:!?]+', '', 'g') AS l3 FROM c2
-), c4 AS (SELECT *, regexp_replace(l3, '\p{{Nd}}+', '', 'g') AS l4 FROM c3
-), c5 AS (SELECT *, regexp_replace(l4, '[#*$%&|<>]+', '', 'g') AS l5 FROM c4
+), c1 AS (SELECT *, regexp_replace(t, '\p{{Ll}}+', '', 'g') AS l1 FROM w
+), c2 AS (SELECT *, regexp_replace(l1, '[\x20\x09-\x0D]+', '', 'g') AS l2 FROM c1
+), c3 AS (SELECT *, regexp_replace(l2, '\p{{Lu}}+', '', 'g') AS l3 FROM c2
+), c4 AS (SELECT *, regexp_replace(l3, '[.,;:!?]+', '', 'g') AS l4 FROM c3
+), c5 AS (SELECT *, regexp_replace(l4, '\p{{Nd}}+', '', 'g') AS l5 FROM c4
+), c6 AS (SELECT *, regexp_replace(l5, '[#*$%&|<>]+', '', 'g') AS l6 FROM c5
 ), b AS (
-  SELECT *, [length(t) - length(l0), length(l0) - length(l1), length(l1) - length(l2), length(l2) - length(l3), length(l3) - length(l4),
-             length(l4) - length(l5), length(l5)] AS bins FROM c5
+  SELECT *, [length(t) - length(l1), length(l1) - length(l2), length(l2) - length(l3), length(l3) - length(l4), length(l4) - length(l5),
+             length(l5) - length(l6), length(l6)] AS bins FROM c6
 ), win AS (
   SELECT doc_id, i, array_to_string(ws[i:i + 7], ' ') AS s FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 6)) AS i FROM w)
 ), twice AS (
@@ -85,7 +157,7 @@ WITH w AS (
 ), n_lang AS (
   SELECT lang, sum(len(ws)) AS n FROM w GROUP BY lang
 ), common AS (
-  SELECT lang, x, count(*) / any_value(n) AS q FROM (SELECT lang, lower(u) AS x FROM (SELECT lang, unnest(ws) AS u FROM w) WHERE length(u) <= {_R.common_len})
+  SELECT lang, x, count(*) / any_value(n) AS q FROM (SELECT lang, u AS x FROM (SELECT lang, unnest(ws) AS u FROM w) WHERE length(u) <= {_R.common_len})
   JOIN n_lang USING (lang) GROUP BY lang, x HAVING count(*) >= {_R.common_share} * any_value(n)
 ), cd AS (
   SELECT doc_id, sqrt(greatest(0, sum(
@@ -93,7 +165,7 @@ WITH w AS (
   FROM (SELECT doc_id, lang, k, v / length(t) AS p FROM (SELECT doc_id, lang, t, unnest(range(1, 8)) AS k, unnest(bins) AS v FROM b WHERE t <> ''))
   JOIN refs USING (lang, k) GROUP BY doc_id
 ), dc AS (
-  SELECT doc_id, lang, x, count(*) AS c FROM (SELECT doc_id, lang, lower(u) AS x FROM (SELECT doc_id, lang, unnest(ws) AS u FROM w) WHERE length(u) <= {_R.common_len})
+  SELECT doc_id, lang, x, count(*) AS c FROM (SELECT doc_id, lang, u AS x FROM (SELECT doc_id, lang, unnest(ws) AS u FROM w) WHERE length(u) <= {_R.common_len})
   GROUP BY ALL
 ), hist AS (
   SELECT doc_id, common.x, q, coalesce(c, 0) / len(ws) AS p FROM w JOIN common USING (lang) LEFT JOIN dc USING (doc_id, x) WHERE len(ws) > 0
@@ -104,7 +176,7 @@ WITH w AS (
     (CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2))) AS d
   FROM whole GROUP BY doc_id
 ), m AS (
-  SELECT b.doc_id, len(ws)::BIGINT AS n_words, length(l0)::BIGINT AS word_chars, bins[6]::BIGINT AS n_symbols, coalesce(dup.n, 0)::BIGINT AS n_dup_lines,
+  SELECT b.doc_id, len(ws)::BIGINT AS n_words, (length(t) - bins[2])::BIGINT AS word_chars, bins[6]::BIGINT AS n_symbols, coalesce(dup.n, 0)::BIGINT AS n_dup_lines,
     coalesce(rep.n, 0)::BIGINT AS n_repeat_words, length(t) AS n_chars, coalesce(cd.d, 0) AS char_d, coalesce(wd.d, 0) AS word_d
   FROM b LEFT JOIN rep USING (doc_id) LEFT JOIN dup USING (doc_id) LEFT JOIN cd USING (doc_id) LEFT JOIN wd USING (doc_id)
 )
@@ -116,6 +188,19 @@ FROM m
 """
 
 
+def op7_html_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = html_paths.extract(_table(spark, sf_dir, "pages"), "html", "text")
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op8_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    model = language_mixture.learn(docs.where(~held_out), "text", "lang")
+    out = language_mixture.predict(docs.select("doc_id", "text"), model, "text")
+    return out.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return ngram_join.jaccard_components(docs, "doc_id", "text", k=5, percent=75)
@@ -142,13 +227,20 @@ SELECT a AS doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(b) AS
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_chat_perspectives": op2_chat_perspectives,
+    "op3_embedding_dedup": op3_embedding_dedup,
     "op4_packing": op4_packing,
+    "op5_kneser_ney": op5_kneser_ney,
     "op6_quality_rules": op6_quality_rules,
+    "op7_html_paths": op7_html_paths,
+    "op8_language_mixture": op8_language_mixture,
     "op10_ngram_join": op10_ngram_join,
 }
 
 ORACLE = {
     "op1_substring_dedup": OP1_SQL,
+    "op2_chat_perspectives": OP2_SQL,
+    "op3_embedding_dedup": OP3_SQL,
     "op6_quality_rules": OP6_SQL,
     "op10_ngram_join": OP10_SQL,
 }

@@ -106,8 +106,11 @@ def repeated_windows(docs: DataFrame, id_col: str, text_col: str, window: int, s
                 if size >= C.CODES_PER_FLUSH:
                     yield from _flush(held, shards, buckets)
                     held, size = [], 0
+                    C.give_back()
         if size:
             yield from _flush(held, shards, buckets)
+        del held
+        C.give_back()
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard, rows in C.by_key(batches, "shard"):
@@ -178,6 +181,8 @@ def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                         order = np.argsort(owner, kind="stable")
                         held, table = [], (owner[order], code[order])
                     yield from _cut_rows(part.slice(k), table, window)
+        del held, table
+        C.give_back()
 
     wide = met.mapInArrow(cut, out_schema)
     keep = [F.col("cut").alias(c) if c == text_col else F.col("doc")[c].alias(c) for c in docs.columns]
