@@ -14,6 +14,7 @@ from leakwatch.llm import (
     ngram_join,
     packing,
     quality_rules,
+    sentencepiece_lattice,
     substring_dedup,
 )
 
@@ -201,6 +202,18 @@ def op8_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = tokenizer("piece_bpe_32k.model")
+    out = sentencepiece_lattice.decode(sentencepiece_lattice.encode(docs, path), path)
+    return out.select(
+        "doc_id",
+        F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"),
+        F.crc32(F.array_join("ids", " ").cast("binary")).alias("ids_crc32"),
+        F.col("text").eqNullSafe(F.col("decoded")).alias("round_trip"),
+    )
+
+
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return ngram_join.jaccard_components(docs, "doc_id", "text", k=5, percent=75)
@@ -234,6 +247,7 @@ QUERIES = {
     "op6_quality_rules": op6_quality_rules,
     "op7_html_paths": op7_html_paths,
     "op8_language_mixture": op8_language_mixture,
+    "op9_sentencepiece": op9_sentencepiece,
     "op10_ngram_join": op10_ngram_join,
 }
 
