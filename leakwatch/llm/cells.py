@@ -34,6 +34,18 @@ _PARTS = ("owner", "size", "code", "extra", "note")
 _CELL = pa.schema([("shard", pa.int32()), *((c, pa.binary()) for c in _PARTS)])
 
 
+def _map_large_arrays() -> None:
+    """Arrays of 256 KB and more get pages of their own, which go back to the
+    system when they are freed, instead of fragmenting a worker's heap."""
+    try:
+        ctypes.CDLL("libc.so.6").mallopt(-3, 1 << 18)  # M_MMAP_THRESHOLD
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+_map_large_arrays()
+
+
 def give_back() -> None:
     """Hand freed memory back to the system: a Python worker lives on after
     its task, next to the executor and to other workers."""

@@ -69,7 +69,7 @@ def word_codes(texts: list[bytes], lower: bool = False) -> tuple[np.ndarray, np.
 def _power_tables(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     have = _powers.get(base)
     if have is None or len(have[0]) < n:
-        size = max(n, 1 << 16)
+        size = 1 << max(16, (n - 1).bit_length())
 
         def table(b: int) -> np.ndarray:
             out = np.ones(size, U64)
