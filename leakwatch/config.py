@@ -71,5 +71,4 @@ class RiskRules:
     risky_days: tuple[int, ...] = (2, 6)
     count_window_seconds: int = SECONDS_24H
     distinct_window_seconds: int = SECONDS_7D
-    approx_distinct: bool = False
     weights: RuleWeights = field(default_factory=RuleWeights)

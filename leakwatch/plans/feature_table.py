@@ -19,7 +19,6 @@ def build_features(events: DataFrame, rules: RiskRules, strategy: str = "auto")
         count_seconds=rules.count_window_seconds,
         distinct_seconds=rules.distinct_window_seconds,
         strategy=strategy,
-        approx=rules.approx_distinct,
     )
 
 

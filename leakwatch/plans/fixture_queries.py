@@ -22,10 +22,9 @@ from leakwatch.functions.files import (
 )
 from leakwatch.functions.rules import rule_label, rule_probability, rule_score_hundredths
 from leakwatch.operators import increment, metrics, reports
-from leakwatch.operators.behaviour import user_behaviour
 from leakwatch.operators.dictionary_match import rows_containing_any
 from leakwatch.operators.explain import explain
-from leakwatch.operators.features import time_flags
+from leakwatch.operators.features import add_row_features, time_flags
 from leakwatch.operators.model import booster, encode, feature_importance, fit_encoder
 from leakwatch.operators.split import stratified_split
 from leakwatch.plans import scoring, training
@@ -48,6 +47,11 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_features(events(spark, sf_dir), fixture_rules())
 
 
+def row_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The per-row rule features alone: no window, no shuffle."""
+    return add_row_features(events(spark, sf_dir), fixture_rules())
+
+
 def clean_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feature_table(events(spark, sf_dir), fixture_rules())
 
@@ -189,7 +193,7 @@ def q_parse_timestamps(spark, d):
 
 
 def q_rule_risk_score(spark, d):
-    f = rule_score(features(spark, d))
+    f = rule_score(row_features(spark, d))
     return f.select(S.ID, "risk_score", rule_label("risk_score").alias("rule_label"), S.LABEL)
 
 
@@ -203,10 +207,6 @@ def q_rolling_unique_domains(spark, d):
     return features(spark, d).select(S.ID, "user_unique_domains_7d")
 
 
-def q_rolling_unique_domains_approx(spark, d):
-    return user_behaviour(events(spark, d), approx=True).select(S.ID, "user_unique_domains_7d")
-
-
 def q_first_time_domain(spark, d):
     return features(spark, d).select(S.ID, S.DOMAIN, "is_first_time_domain")
 
@@ -274,12 +274,12 @@ def q_distinct_domains(spark, d):
 
 
 def q_position_risk_pairs(spark, d):
-    return reports.distinct_values(features(spark, d), S.POSITION, "is_high_risk_position")
+    return reports.distinct_values(row_features(spark, d), S.POSITION, "is_high_risk_position")
 
 
 def q_high_risk_positions_seen(spark, d):
     """Distinct roles that the role rule flagged."""
-    flagged_rows = reports.flag_equals(features(spark, d), "is_high_risk_position", 1)
+    flagged_rows = reports.flag_equals(row_features(spark, d), "is_high_risk_position", 1)
     return reports.distinct_values(flagged_rows, S.POSITION)
 
 

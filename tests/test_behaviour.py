@@ -75,18 +75,6 @@ def test_auto_picks_bucketed_for_heavy_user(spark):
     assert [r["user_upload_count_24h"] for r in a] == [r["user_upload_count_24h"] for r in b]
 
 
-def test_approx_distinct_close_to_exact(spark, fixture_dir):
-    from leakwatch.sources.fixture import upload_events
-
-    ev = upload_events(spark, fixture_dir)
-    exact = {r[0]: r[1] for r in user_behaviour(ev, strategy="window").select(
-        "Action_ID", "user_unique_domains_7d").collect()}
-    approx = {r[0]: r[1] for r in user_behaviour(ev, approx=True).select(
-        "Action_ID", "user_unique_domains_7d").collect()}
-    assert exact.keys() == approx.keys()
-    assert all(abs(approx[k] - exact[k]) <= max(1, 0.15 * exact[k]) for k in exact)
-
-
 def test_one_exchange_for_three_windows(spark, fixture_dir):
     from leakwatch.sources.fixture import upload_events
 
@@ -96,26 +84,35 @@ def test_one_exchange_for_three_windows(spark, fixture_dir):
     assert "Python" not in plan
 
 
-def test_approx_beyond_bound_is_exact(spark):
-    rows = [(s, "A" if s % 2 else "B", 0, 0, 0) for s in range(0, 60)]
-    df = _frame(spark, rows)
-    a = user_behaviour(df, approx=True, max_user_rows=10).orderBy("Action_ID").collect()
-    b = user_behaviour(df, strategy="bucketed").orderBy("Action_ID").collect()
-    assert [r["user_unique_domains_7d"] for r in a] == [r["user_unique_domains_7d"] for r in b]
+SCHEMA = "Action_ID long, AccountDisplayName string, Timestamp timestamp_ntz, Target_Domain string, Note string"
 
 
-def test_strategies_agree_with_null_times_and_domains(spark):
-    rows = [(0, "A"), (10, None), (None, "A"), (None, None), (86400, "A"), (90000, "B"), (None, "B")]
-    data = [(i, "u", None if s is None else T0 + dt.timedelta(seconds=s), d) for i, (s, d) in enumerate(rows)]
-    df = spark.createDataFrame(data, "Action_ID long, AccountDisplayName string, Timestamp timestamp_ntz, "
-                                     "Target_Domain string")
-    cols = ["Action_ID", "user_upload_count_24h", "user_unique_domains_7d", "is_first_time_domain"]
-    a = user_behaviour(df, strategy="window").select(*cols).orderBy("Action_ID").collect()
-    b = user_behaviour(df, strategy="bucketed").select(*cols).orderBy("Action_ID").collect()
-    # Rows with a time agree exactly; rows without one are dropped by the
-    # feature table (Timestamp is one of its columns).
-    timed = [i for i, (s, _) in enumerate(rows) if s is not None]
-    assert [tuple(a[i]) for i in timed] == [tuple(b[i]) for i in timed]
+def test_strategies_agree_on_null_users_times_and_domains(spark):
+    rows = [("u", 0, "A"), ("u", 10, None), ("u", None, "A"), (None, None, None), (None, 5, "A"), (None, 6, "A"),
+            (None, 6, None), ("u", 86400, "A"), ("u", 90000, "B"), ("", 6, "A"), ("u", None, "B")]
+    data = [(i, u, None if s is None else T0 + dt.timedelta(seconds=s), d, "n") for i, (u, s, d) in enumerate(rows)]
+    df = spark.createDataFrame(data, SCHEMA)
+    a = user_behaviour(df, strategy="window")
+    b = user_behaviour(df, strategy="bucketed")
+    assert a.columns == b.columns == df.columns + ["user_upload_count_24h", "user_unique_domains_7d", "is_first_time_domain"]
+    assert sorted(a.collect(), key=lambda r: r.Action_ID) == sorted(b.collect(), key=lambda r: r.Action_ID)
+    got = {r.Action_ID: tuple(r)[5:] for r in a.collect()}
+    assert got[2] == got[3] == got[10] == (None, None, None)
+    assert got[4] == (1, 1, 1) and got[5] == (3, 1, 0) and got[9] == (1, 1, 1)
+
+
+def test_many_domains_in_a_second_make_one_row_a_second(spark):
+    from leakwatch.operators.behaviour import second_deltas
+
+    deltas = spark.range(0, 5000).selectExpr("false AS un", "'u' AS uv", "id % 40 AS t", "1L AS dc", "1L AS dd")
+    out = second_deltas(deltas, ["un", "uv"], 10)
+    assert max(r["count"] for r in out.groupBy("un", "uv", "_lw_pb").count().collect()) <= 10
+    rows = [(i, "u", T0 + dt.timedelta(seconds=i % 40), f"d{i % 300}", "n") for i in range(900)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    key = lambda r: r.Action_ID
+    kw = dict(count_seconds=7, distinct_seconds=11)
+    assert sorted(user_behaviour(df, strategy="window", **kw).collect(), key=key) == sorted(
+        user_behaviour(df, strategy="bucketed", bucket_seconds=10, **kw).collect(), key=key)
 
 
 def test_hot_key_salting_keeps_results(spark):
