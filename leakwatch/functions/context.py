@@ -66,12 +66,13 @@ def epoch_seconds(ts: str | Column) -> Column:
     return F.unix_timestamp(_col(ts)).cast("long")
 
 
-ISO_OFFSET_PATTERNS = ("yyyy-MM-dd'T'HH:mm:ssXXX", "yyyy-MM-dd'T'HH:mm:ssX")
+ISO_OFFSET_PATTERNS = ("yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]X")
 
 
 def parse_timestamp(text: str | Column, patterns: tuple[str, ...] = ISO_OFFSET_PATTERNS) -> Column:
     """Parse ISO text with an offset (``Z``, ``+hh:mm``, ``+hhmm`` or ``+hh``)
-    into its UTC wall-clock; the first pattern that parses wins.
+    and up to six digits of a second into its UTC wall-clock; the first
+    pattern that parses wins.
 
     Bad or empty text gives null instead of failing the job, so callers can
     route such rows aside.

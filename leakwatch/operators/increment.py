@@ -15,14 +15,18 @@ from pyspark.sql import functions as F
 from leakwatch import schemas as S
 from leakwatch.sources.catalog import append_table, table_exists
 
+MAX_BROADCAST_PARTITIONS = 1_000_000
+
 
 def new_rows(batch: DataFrame, existing_keys: DataFrame | None, key: str = S.ID,
              prune_to_batch_range: bool = False) -> DataFrame:
     """Rows of ``batch`` whose key is not in ``existing_keys``, one per key.
 
     A null key on the right never removes a row (anti-join semantics); a key
-    repeated inside the batch is kept once. ``existing_keys=None`` (first run:
-    no target yet) keeps the whole batch.
+    repeated inside the batch is kept once: the row that is smallest in the
+    order of its other columns, so every run keeps the same one. Rows without
+    a key match nothing and are all kept. ``existing_keys=None`` (first run: no
+    target yet) keeps the whole batch.
 
     ``prune_to_batch_range=True`` (for a small batch against a large history):
     only keys between the batch's min and max can match, so those bounds are
@@ -33,16 +37,23 @@ def new_rows(batch: DataFrame, existing_keys: DataFrame | None, key: str = S.ID,
     # De-duplicate first: partial aggregation collapses copies of a key on
     # the map side, so a key repeated in a large share of rows never reaches
     # the join as one big group.
-    out = batch.dropDuplicates([key])
+    keyless = batch.where(F.col(key).isNull())
+    keyed = batch.where(F.col(key).isNotNull())
+    others = [c for c in batch.columns if c != key]
+    if others:
+        first = keyed.groupBy(key).agg(F.min(F.struct(*others)).alias("_nr_row"))
+        out = first.select(*[F.col(key) if c == key else F.col("_nr_row")[c].alias(c) for c in batch.columns])
+    else:
+        out = keyed.distinct()
     if existing_keys is not None:
         right = existing_keys.select(key).where(F.col(key).isNotNull())
         if prune_to_batch_range:
             lo, hi = batch.agg(F.min(key), F.max(key)).first()
             if lo is None:
-                return batch.limit(0)
+                return keyless
             right = right.where(F.col(key).between(F.lit(lo), F.lit(hi)))
-        out = out.join(right.distinct(), on=key, how="left_anti")
-    return out
+        out = out.join(right.distinct(), on=key, how="left_anti").select(*batch.columns)
+    return out.unionByName(keyless)
 
 
 def unscored_since(features: DataFrame, spark: SparkSession, predictions_table: str, cutoff,
@@ -60,13 +71,6 @@ def unscored_since(features: DataFrame, spark: SparkSession, predictions_table:
     return recent.join(scored, on=key, how="left_anti")
 
 
-def unscored(features: DataFrame, spark: SparkSession, predictions_table: str, key: str = S.ID) -> DataFrame:
-    """Features not yet in the predictions table (all of them on the first run)."""
-    if not table_exists(spark, predictions_table):
-        return features
-    return features.join(spark.table(predictions_table).select(key), on=key, how="left_anti")
-
-
 def assign_ids(batch: DataFrame, existing: DataFrame | None, key: str = S.ID) -> DataFrame:
     """Give every batch row a consecutive id after ``max(existing id)``.
 
@@ -85,7 +89,8 @@ def assign_ids(batch: DataFrame, existing: DataFrame | None, key: str = S.ID) ->
     counts = tagged.groupBy("_ai_part").agg(F.count(F.lit(1)).alias("_ai_n"))
     w = Window.orderBy("_ai_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_ai_part", F.coalesce(F.sum("_ai_n").over(w), F.lit(0)).alias("_ai_off"))
-    out = tagged.join(F.broadcast(offsets), "_ai_part").withColumn(
+    # One row per partition of the batch.
+    out = tagged.join(F.broadcast(offsets) if tagged.rdd.getNumPartitions() <= MAX_BROADCAST_PARTITIONS else offsets, "_ai_part").withColumn(
         key, (start + F.col("_ai_off") + F.col("_ai_pos")).cast("long")
     )
     return out.drop("_ai_mid", "_ai_part", "_ai_pos", "_ai_off")

@@ -251,6 +251,7 @@ def classification_report(pred: DataFrame, label: str = "label", predicted: str
     return stats.select(*g, F.inline(rows))
 
 
+# Metric names of the comparison table.
 COMPARISON_METRICS = ["AUC-ROC", "AUC-PR", "Precision (class 1)", "Recall (class 1)", "False Positives",
                       "False Negatives"]
 
@@ -296,13 +297,11 @@ def model_comparison(scored: DataFrame, model_a: str, model_b: str, model: str =
     negatives; every comparison is strict, so a tie goes to ``model_a``.
     """
     summary = model_summary(scored.where(F.col(model).isin(model_a, model_b)), model, label, score, predicted)
-    a = summary.where(F.col(model) == model_a).drop(model)
-    b = summary.where(F.col(model) == model_b).drop(model)
     cols = ["auc_roc", "average_precision", "precision", "recall", "fp", "fn"]
-    # One row each; a constant key keeps this an equi-join.
-    both = a.select(F.lit(0).alias("_k"), *[F.col(c).alias(f"a_{c}") for c in cols]).join(
-        b.select(F.lit(0).alias("_k"), *[F.col(c).alias(f"b_{c}") for c in cols]), "_k"
-    )
+    # The summary has a row per model: one aggregate puts both side by side.
+    both = summary.agg(
+        *[F.max(F.when(F.col(model) == m, F.col(c))).alias(f"{side}_{c}") for side, m in (("a", model_a), ("b", model_b)) for c in cols]
+    ).where(F.col("a_fp").isNotNull() & F.col("b_fp").isNotNull())
     higher_better = [True, True, True, True, False, False]
     entries = []
     for name, c, hb in zip(COMPARISON_METRICS, cols, higher_better):

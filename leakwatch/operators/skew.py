@@ -4,7 +4,7 @@
 most one row per key, given the set of keys known to be hot (typically from
 a partial aggregation the caller already has). Hot keys are few by
 construction (at most total rows / hot threshold), their count is checked
-before they are broadcast, and:
+before they are broadcast (more than ``MAX_HOT_KEYS`` are joined), and:
 
 * each left row of a hot key gets a salt in ``[0, salt_buckets)``;
 * the right row of a hot key is repeated once per salt;
@@ -41,9 +41,9 @@ def salted_join(
     n_hot = hot.limit(MAX_HOT_KEYS + 1).count()
     if n_hot == 0:
         return left.join(right, keys, how)
-    if n_hot > MAX_HOT_KEYS:
-        raise ValueError(f"more than {MAX_HOT_KEYS} hot keys; raise the hot-key threshold")
-    hot = F.broadcast(hot.withColumn("_sk_hot", F.lit(True)))
+    hot = hot.withColumn("_sk_hot", F.lit(True))
+    if n_hot <= MAX_HOT_KEYS:  # beyond that Spark chooses how to join them
+        hot = F.broadcast(hot)
     salted_left = left.join(hot, keys, "left").withColumn(
         "_sk_salt",
         F.when(F.col("_sk_hot"), F.pmod(F.monotonically_increasing_id(), F.lit(salt_buckets))).otherwise(F.lit(0)),

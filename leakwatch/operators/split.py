@@ -44,7 +44,8 @@ def stratified_split(
     prefix_hex: int = PREFIX_HEX,
     hot_rows: int = HOT_ID_ROWS,
 ) -> DataFrame:
-    """Add ``out_col`` in {train, validation, test}.
+    """Add ``out_col`` in {train, validation, test}, or ``none`` for rows
+    without a label or an id, which belong to no split but are not lost.
 
     Ranks are computed over distinct (label, id) pairs weighted by their row
     counts, so copies of one id never form a big group: they collapse in a
@@ -52,6 +53,8 @@ def stratified_split(
     on), and are joined back with hot ids salted. With unique ids this is
     exactly the rank rule of the module docstring.
     """
+    known = F.col(label).isNotNull() & F.col(id_col).isNotNull()
+    whole, df = df, df.where(known)
     # Narrow (label, id, count) table, read by the hot-id check and the
     # ranking: materialised once so the input is not recomputed for each.
     ids = df.groupBy(label, id_col).agg(F.count(F.lit(1)).alias("_sp_c")).checkpoint(eager=True)
@@ -82,11 +85,5 @@ def stratified_split(
     )
     assigned = ranked.select(label, id_col, split.alias(out_col))
     hot = ids.where(F.col("_sp_c") > hot_rows).select(label, id_col)
-    return salted_join(df, assigned, [label, id_col], hot, "inner")
-
-
-def time_split(df: DataFrame, ts: str = S.TS, test_from=None, out_col: str = "split") -> DataFrame:
-    """Rows at or after ``test_from`` are ``test``, earlier ones ``train``
-    (no future rows leak into training through rolling features)."""
-    cut = F.lit(str(test_from)).cast("timestamp_ntz")
-    return df.withColumn(out_col, F.when(F.col(ts) >= cut, F.lit("test")).otherwise(F.lit("train")))
+    dealt = salted_join(df, assigned, [label, id_col], hot, "inner").select(*whole.columns, out_col)
+    return dealt.unionByName(whole.where(~known).withColumn(out_col, F.lit("none")))

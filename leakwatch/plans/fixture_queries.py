@@ -8,6 +8,8 @@ ranking and report queries have exact SQL twins.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +31,7 @@ from leakwatch.operators.model import booster, encode, feature_importance, fit_e
 from leakwatch.operators.split import stratified_split
 from leakwatch.plans import scoring, training
 from leakwatch.plans.feature_table import build_features, feature_table
+from leakwatch.sources.catalog import append_table
 from leakwatch.sources.dictionaries import load_dictionary, packaged_path
 from leakwatch.sources.fixture import fixture_rules, upload_events
 
@@ -186,7 +189,9 @@ def q_high_risk_position(spark, d):
 
 def q_parse_timestamps(spark, d):
     text = F.when(F.pmod(F.col(S.ID), F.lit(11)) == 0, F.lit("not a time")).otherwise(
-        F.date_format(S.TS, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+        F.when(F.pmod(F.col(S.ID), F.lit(3)) == 0, F.date_format(S.TS, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")).otherwise(
+            F.date_format(S.TS, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+        )
     )
     ev = events(spark, d).select(S.ID, text.alias("ts_text"))
     return ev.withColumn("parsed_ts", parse_timestamp("ts_text"))
@@ -296,6 +301,23 @@ def _shifted(ev: DataFrame, hours: int):
     return reports.latest_timestamp(ev) - F.make_dt_interval(F.lit(0), F.lit(hours))
 
 
+def q_union_all_versions(spark, d):
+    """Both event versions with every copy kept."""
+    ev = events(spark, d)
+    v1 = ev.where(F.col(S.TS) < F.lit("2024-01-16 00:00:00").cast("timestamp_ntz"))
+    v2 = ev.where(F.col(S.TS) >= F.lit("2024-01-15 00:00:00").cast("timestamp_ntz"))
+    return v1.unionByName(v2)
+
+
+def q_append_dedup(spark, d):
+    """A table after two appends of overlapping batches and one repeat, read back."""
+    ev = events(spark, d).select(S.ID, S.TS, S.USER)
+    name = f"append_dedup_{uuid.uuid4().hex}"
+    for batch in (ev.where(F.pmod(F.col(S.ID), F.lit(3)) != 0), ev, ev.unionByName(ev)):
+        increment.append_new(spark, batch, name)
+    return spark.table(name)
+
+
 def q_new_events_anti(spark, d):
     ev = events(spark, d)
     target = ev.where(F.col(S.TS) < _shifted(ev, 24))
@@ -308,10 +330,16 @@ def q_unscored_events(spark, d):
     # max over the feature table, which would recompute its windows.
     ev = events(spark, d)
     ft = clean_features(spark, d)
-    # Both sides come from the same plan: Spark computes the windows once.
-    already = predictions_from(ft).where(F.col(S.TS) < _shifted(ev, 24))
-    recent = ft.where(F.col(S.TS) >= _shifted(ev, 72))
-    return increment.new_rows(recent, already)
+    table = written_predictions(spark, ev, ft)
+    return increment.unscored_since(ft, spark, table, _shifted(ev, 72))
+
+
+def written_predictions(spark: SparkSession, ev: DataFrame, ft: DataFrame) -> str:
+    """A predictions table of its own name that a run a day ago left: every
+    event before the last 24 hours is scored."""
+    name = f"predictions_{uuid.uuid4().hex}"
+    append_table(predictions_from(ft).where(F.col(S.TS) < _shifted(ev, 24)), name)
+    return name
 
 
 # --- metrics ------------------------------------------------------------------
@@ -408,8 +436,9 @@ def q_gbt_early_stop(spark, d):
 def q_score_new_events(spark, d):
     model, _ = _model(spark, d, "gbt")
     ft = clean_features(spark, d)
-    as_of = reports.latest_timestamp(events(spark, d))
-    batch = scoring.pending(spark, ft, "leakwatch_unscored_probe_predictions", 24, as_of)
+    ev = events(spark, d)
+    table = written_predictions(spark, ev, ft)
+    batch = scoring.pending(spark, ft, table, 72, reports.latest_timestamp(ev))
     return scoring.score_events(model, batch, "gbt_v1", SCORED_AT)
 
 

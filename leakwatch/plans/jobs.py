@@ -27,7 +27,7 @@ from leakwatch.operators.increment import append_new, assign_ids
 from leakwatch.operators.model import BoostParams, load_model, save_model
 from leakwatch.plans import scoring, training
 from leakwatch.plans.feature_table import feature_table
-from leakwatch.sources.catalog import overwrite_table, table_exists
+from leakwatch.sources.catalog import append_table, overwrite_table, table_exists
 
 
 def union_versions(spark: SparkSession, tables: list[str], dedupe_key: str | None = None) -> DataFrame:
@@ -47,20 +47,40 @@ def feature_job(spark: SparkSession, event_tables: list[str], target: str, rules
 def ingest_job(spark: SparkSession, batch: DataFrame, target: str, ts_text_col: str | None = S.TS) -> int:
     """Append a batch of raw events; returns the number of rows appended.
 
-    Text timestamps are parsed (bad text → null → the row is routed out as
-    incomplete); rows without an id get consecutive ids after the current
-    maximum of ``target``.
+    Text timestamps are parsed. Rows whose time does not parse or is missing,
+    and rows with a null id, go to ``<target>_rejects`` as they came, with the
+    reason (``rejects_table``); nothing is lost: every row of the batch is in
+    the target, in the rejects, or repeats an id. A batch without an id column
+    gets consecutive ids after the current maximum of ``target``.
     """
-    out = batch
+    source = [F.col(c).cast("string").alias(c) for c in batch.columns]
+    out = batch.withColumn("_raw", F.struct(*source))
     if ts_text_col and dict(batch.dtypes).get(ts_text_col) == "string":
         out = out.withColumn(ts_text_col, parse_timestamp(ts_text_col))
-    out = out.where(F.col(S.TS).isNotNull())
+    raw_ts = F.col("_raw")[ts_text_col or S.TS]
+    reason = F.when(F.col(S.TS).isNull(), F.when(raw_ts.isNull(), "no time").otherwise("time not readable"))
+    if S.ID in batch.columns:
+        reason = F.coalesce(reason, F.when(F.col(S.ID).isNull(), "no id"))
+    out = out.withColumn("_reason", reason).checkpoint(eager=True)
+    rejects = out.where(F.col("_reason").isNotNull()).select("_raw.*", F.col("_reason").alias("reason"))
+    name = rejects_table(target)
+    if table_exists(spark, name):  # a batch that is run again adds nothing
+        rejects = rejects.exceptAll(spark.table(name).select(*rejects.columns)).checkpoint(eager=True)
+    if not rejects.isEmpty():
+        append_table(rejects, name)
+        spark.catalog.refreshTable(name)
+    out = out.where(F.col("_reason").isNull()).drop("_raw", "_reason")
     if S.ID not in out.columns:
         existing = spark.table(target) if table_exists(spark, target) else None
         out = assign_ids(out, existing)
     return append_new(spark, out.select(*S.UPLOAD_EVENT_COLUMNS), target)
 
 
+def rejects_table(target: str) -> str:
+    """Where ``ingest_job`` puts the rows of ``target`` that it cannot take."""
+    return f"{target}_rejects"
+
+
 def training_job(
     spark: SparkSession, features_table: str, model_path: str, params: BoostParams = BoostParams()
 ) -> dict[str, DataFrame]:
@@ -83,12 +103,7 @@ def scoring_job(
     """Score what is new and return the run summary of the appended rows."""
     model = load_model(model_path)
     features = spark.table(features_table)
-    before = spark.table(predictions_table).select(S.ID) if table_exists(spark, predictions_table) else None
-    scoring.run_scoring(spark, model, features, predictions_table, model_version, as_of, hours)
-    written = spark.table(predictions_table).where(F.col("model_version") == model_version)
-    if before is not None:
-        written = written.join(before.checkpoint(eager=True), S.ID, "left_anti")
-    return reports.scoring_summary(written)
+    return reports.scoring_summary(scoring.run_scoring(spark, model, features, predictions_table, model_version, as_of, hours))
 
 
 def comparison_job(

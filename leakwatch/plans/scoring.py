@@ -43,15 +43,16 @@ def run_scoring(
     model_version: str,
     as_of,
     hours: int = 24,
-) -> int:
-    """Score what is pending and append it; returns the number of rows appended.
+) -> DataFrame:
+    """Score what is pending, append it, and return the rows appended.
 
     The batch is checkpointed before the append because its plan reads the
-    table it appends to; running again with the same input appends 0 rows.
+    table it appends to, and what is returned is that copy: nothing reads the
+    table again. Running again with the same input appends 0 rows.
     """
     batch = score_events(model, pending(spark, features, predictions_table, hours, as_of), model_version, as_of)
     batch = batch.checkpoint(eager=True)
-    n = batch.count()
-    if n:
+    if not batch.isEmpty():
         append_table(batch, predictions_table)
-    return n
+        spark.catalog.refreshTable(predictions_table)
+    return batch

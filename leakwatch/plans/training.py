@@ -100,16 +100,15 @@ def tuned_threshold(model: PipelineModel, split_df: DataFrame, tune_on: str = "v
         pred = predict(model, split_df.where(F.col("split") == part))
         return pred.select(F.col(S.LABEL).cast("int").alias("label"), F.col("predicted_prob").alias("score"))
 
-    best = metrics.best_f1_threshold(scored(tune_on)).select("threshold", F.col("f1").alias("tuned_f1"))
-    test = scored("test")
+    # One row: its values are literals for the test rows.
+    threshold, f1 = metrics.best_f1_threshold(scored(tune_on)).select("threshold", "f1").first() or (None, None)
+    test = scored("test").withColumns({"threshold": F.lit(threshold).cast("double"), "tuned_f1": F.lit(f1).cast("double")})
     y, hit = F.col("label") == 1, F.col("score") >= F.col("threshold")
 
     def count_if(cond):
         return F.sum(F.when(cond, 1).otherwise(0)).cast("long")
 
-    # ``best`` is one row: a constant key keeps this an equi-join.
-    joined = test.withColumn("_k", F.lit(0)).join(best.withColumn("_k", F.lit(0)), "_k")
-    return joined.groupBy("threshold", "tuned_f1").agg(
+    return test.groupBy("threshold", "tuned_f1").agg(
         count_if(~y & ~hit).alias("tn"), count_if(~y & hit).alias("fp"),
         count_if(y & ~hit).alias("fn"), count_if(y & hit).alias("tp"),
     )

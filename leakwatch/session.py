@@ -45,13 +45,15 @@ def get_session(
             "spark.sql.execution.arrow.pyspark.enabled": "true",
             "spark.driver.memory": os.environ.get("LEAKWATCH_DRIVER_MEMORY", "16g"),
             "spark.sql.shuffle.partitions": str(shuffle_partitions or 8),
+            # Checkpoints go when nothing refers to them any more.
+            "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         }
     )
     if extra_conf:
         conf.update(extra_conf)
     if "spark.checkpoint.dir" not in conf:
-        # Local runs only: a cluster names its shared folder in its own conf.
-        conf["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="leakwatch-ckpt-")
+        if master.startswith("local["):  # a cluster names its shared folder in its own conf
+            conf["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="leakwatch-ckpt-")
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -69,8 +71,8 @@ def apply_required_conf(spark: SparkSession) -> None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the folder is set by the deployment and only read here. Only
-    when it is unset (local tests) is a fresh folder made for this process.
+    On a cluster the folder is set by the deployment and only read here; an
+    unset one is an error. In local mode a fresh folder is made.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -78,6 +80,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     current = sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="leakwatch-ckpt-")
     sc.setCheckpointDir(current)
     return current

@@ -4,14 +4,13 @@ Both read new files as a stream, run a micro-batch with ``foreachBatch`` and
 append only keys the target table does not hold yet, so a replayed batch
 (at-least-once delivery after a failure) appends nothing twice. With
 ``trigger(availableNow=True)`` a scheduled run processes everything new and
-stops, which is what a daily job needs. Stream progress lives under the
-shared ``spark.checkpoint.dir`` unless a location is given.
+stops, which is what a daily job needs. Stream progress lives in the given
+``checkpoint_location``, which must be the same for every run of a stream (a
+folder of the application would start each run from the first file).
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,11 +20,6 @@ from pyspark.sql.types import StructType
 from leakwatch import schemas as S
 from leakwatch.operators.increment import append_new
 from leakwatch.plans.scoring import score_events
-from leakwatch.session import ensure_checkpoint_dir
-
-
-def _progress_dir(spark: SparkSession, name: str, location: str | None) -> str:
-    return location or os.path.join(ensure_checkpoint_dir(spark), "streams", name)
 
 
 def read_new_files(spark: SparkSession, source_dir: str, schema: StructType, fmt: str = "parquet") -> DataFrame:
@@ -54,8 +48,8 @@ def ingest_stream(
     spark: SparkSession,
     stream: DataFrame,
     target_table: str,
+    checkpoint_location: str,
     key: str = S.ID,
-    checkpoint_location: str | None = None,
     available_now: bool = True,
 ) -> StreamingQuery:
     """Append each micro-batch's new keys to ``target_table``."""
@@ -63,9 +57,7 @@ def ingest_stream(
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         append_new(spark, batch, target_table, key)
 
-    writer = stream.writeStream.foreachBatch(write_batch).option(
-        "checkpointLocation", _progress_dir(spark, f"ingest-{target_table}", checkpoint_location)
-    )
+    writer = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
 
@@ -77,7 +69,7 @@ def scoring_stream(
     predictions_table: str,
     model_version: str,
     scored_at,
-    checkpoint_location: str | None = None,
+    checkpoint_location: str,
     available_now: bool = True,
 ) -> StreamingQuery:
     """Score each micro-batch of feature rows and append unseen ids."""
@@ -85,8 +77,6 @@ def scoring_stream(
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         append_new(spark, score_events(model, batch, model_version, scored_at), predictions_table)
 
-    writer = features.writeStream.foreachBatch(write_batch).option(
-        "checkpointLocation", _progress_dir(spark, f"score-{predictions_table}", checkpoint_location)
-    )
+    writer = features.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

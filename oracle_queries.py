@@ -205,8 +205,9 @@ ORACLE = {
     "high_risk_position": BASE_FEAT + "SELECT Action_ID, Position, is_high_risk_position FROM feat",
     "parse_timestamps": BASE_UE + """, t AS (
   SELECT Action_ID, CASE WHEN Action_ID % 11 = 0 THEN 'not a time'
+                         WHEN Action_ID % 3 = 0 THEN strftime("Timestamp", '%Y-%m-%dT%H:%M:%S.%gZ')
                          ELSE strftime("Timestamp", '%Y-%m-%dT%H:%M:%SZ') END AS ts_text FROM ue)
-SELECT Action_ID, ts_text, try_strptime(ts_text, '%Y-%m-%dT%H:%M:%SZ') AS parsed_ts FROM t""",
+SELECT Action_ID, ts_text, coalesce(try_strptime(ts_text, '%Y-%m-%dT%H:%M:%SZ'), try_strptime(ts_text, '%Y-%m-%dT%H:%M:%S.%gZ')) AS parsed_ts FROM t""",
     "rule_risk_score": BASE_FEAT + """SELECT Action_ID, CAST(hs AS INTEGER) AS risk_score,
   CAST(CASE WHEN hs > 35 THEN 1 ELSE 0 END AS INTEGER) AS rule_label, Risk_Label FROM (
   SELECT *, (CASE WHEN is_risky_target_domain = 1 THEN 35 ELSE -10 END)
@@ -248,6 +249,10 @@ FROM pred GROUP BY model_version""",
   SELECT * FROM ue WHERE "Timestamp" < TIMESTAMP '2024-01-16 00:00:00'
   UNION ALL
   SELECT * FROM ue WHERE "Timestamp" >= TIMESTAMP '2024-01-15 00:00:00') u""",
+    "union_all_versions": BASE_UE + f"""SELECT {UE_COLS} FROM ue WHERE "Timestamp" < TIMESTAMP '2024-01-16 00:00:00'
+  UNION ALL
+  SELECT {UE_COLS} FROM ue WHERE "Timestamp" >= TIMESTAMP '2024-01-15 00:00:00'""",
+    "append_dedup": BASE_UE + """SELECT Action_ID, "Timestamp", AccountDisplayName FROM ue""",
     "new_events_anti": BASE_UE + f"""SELECT DISTINCT {UE_COLS} FROM ue
 WHERE "Timestamp" >= {MAX_TS} - INTERVAL 48 HOUR
   AND Action_ID NOT IN (SELECT Action_ID FROM ue WHERE "Timestamp" < {MAX_TS} - INTERVAL 24 HOUR)""",

@@ -16,6 +16,20 @@ def test_anti_join_semantics(spark):
     assert increment.new_rows(batch, None).count() == 2
 
 
+def test_null_keys_stay_and_equal_ids_keep_the_same_row(spark):
+    target = spark.createDataFrame([(1,), (None,)], "Action_ID long")
+    rows = [(None, "x", 1), (None, "x", 1), (1, "old", 0), (2, "b", 9), (2, "b", None), (2, "a", 5), (2, "c", 1)]
+    for order in (rows, rows[::-1]):
+        batch = spark.createDataFrame(order, "Action_ID long, v string, n int").repartition(3)
+        for prune in (False, True):
+            out = increment.new_rows(batch, target, prune_to_batch_range=prune)
+            assert out.columns == batch.columns
+            assert sorted(map(tuple, out.collect()), key=str) == sorted([(None, "x", 1)] * 2 + [(2, "a", 5)], key=str)
+    only_null = spark.createDataFrame([(None, "x"), (None, "y")], "Action_ID long, v string")
+    assert increment.new_rows(only_null, target).count() == increment.new_rows(only_null, target, prune_to_batch_range=True).count() == 2
+    assert increment.new_rows(spark.createDataFrame([(3,), (3,)], "Action_ID long"), target).count() == 1
+
+
 def test_next_id_empty_and_filled(spark):
     empty = spark.createDataFrame([], "Action_ID long")
     assert reports.next_id(empty).first()[0] == 1
@@ -48,7 +62,7 @@ def test_unscored_first_run_and_recent_filter(spark):
     df = spark.createDataFrame(rows, "Action_ID long, Timestamp timestamp_ntz")
     recent = reports.recent(df, 24, t0)
     assert sorted(r.Action_ID for r in recent.collect()) == [0, 1, 2]  # inclusive bound
-    assert increment.unscored(recent, spark, "no_such_predictions").count() == 3
+    assert increment.unscored_since(recent, spark, "no_such_predictions", t0 - dt.timedelta(hours=24)).count() == 3
 
 
 def test_recent_filter_pushed_to_scan(spark, tmp_path):

@@ -11,7 +11,7 @@ from leakwatch.sources.fixture import fixture_rules, upload_events
 
 def test_daily_flow(spark, fixture_dir, tmp_path):
     ev = upload_events(spark, fixture_dir)
-    for t in ("ev_v1", "ev_v2", "features_t", "predictions_t"):
+    for t in ("ev_v1", "ev_v2", "ev_v2_rejects", "features_t", "predictions_t"):
         spark.sql(f"DROP TABLE IF EXISTS {t}")
     overwrite_table(ev.where("Action_ID < 400"), "ev_v1")
     overwrite_table(ev.where("Action_ID >= 400"), "ev_v2")
@@ -26,6 +26,8 @@ def test_daily_flow(spark, fixture_dir, tmp_path):
     )
     assert jobs.ingest_job(spark, batch, "ev_v2") == 1
     assert jobs.ingest_job(spark, batch, "ev_v2") == 0
+    (reject,) = spark.table(jobs.rejects_table("ev_v2")).collect()  # once, as it came, with the reason
+    assert (reject.Action_ID, reject.Timestamp, reject.reason) == ("5001", "not a time", "time not readable")
     no_ids = batch.drop("Action_ID").where("ObjectName != 'y.csv'")
     assert jobs.ingest_job(spark, no_ids, "ev_v2") == 2
     ids = sorted(r[0] for r in spark.table("ev_v2").where("Action_ID > 5000").select("Action_ID").collect())
@@ -40,10 +42,14 @@ def test_daily_flow(spark, fixture_dir, tmp_path):
     assert report["auc_roc"].first()[0] > 0.6
 
     as_of = spark.table("features_t").agg(F.max("Timestamp")).first()[0]
-    first = jobs.scoring_job(spark, "features_t", path, "predictions_t", "gbt_v1", as_of, hours=72).first()
-    assert first["n_scored"] > 0
+    first = jobs.scoring_job(spark, "features_t", path, "predictions_t", "gbt_v1", as_of, hours=24).first()
+    n1 = spark.table("predictions_t").count()
+    assert first["n_scored"] == n1 > 0
+    more = jobs.scoring_job(spark, "features_t", path, "predictions_t", "gbt_v1", as_of, hours=72).first()
+    n2 = spark.table("predictions_t").count()
+    assert more["n_scored"] == n2 - n1 > 0  # the summary is of this run's rows alone
     again = jobs.scoring_job(spark, "features_t", path, "predictions_t", "gbt_v1", as_of, hours=72)
-    assert again.count() == 0  # nothing new: no rows appended, empty summary
+    assert again.count() == 0 and spark.table("predictions_t").count() == n2
 
     path_b = str(tmp_path / "model_b")
     jobs.training_job(spark, "features_t", path_b, BoostParams(max_iter=2, max_depth=2))
@@ -51,6 +57,22 @@ def test_daily_flow(spark, fixture_dir, tmp_path):
     assert [r.metric for r in cmp][0] == "AUC-ROC" and len(cmp) == 6
 
 
+def test_every_row_is_taken_rejected_or_a_repeat(spark):
+    for t in ("counted_t", "counted_t_rejects"):
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
+    times = ["2024-01-01T00:00:00.123Z", "2024-01-01T00:00:00.5+01:00", "", None, "2024-13-01T00:00:00Z", "2024-01-01T00:00:01Z"]
+    rows = [(i if i != 5 else None, t, "upload", "a.csv", "x.example", "u", "p", 0) for i, t in enumerate(times)]
+    rows += [(0, times[0], "upload", "a.csv", "x.example", "u", "p", 0)]
+    batch = spark.createDataFrame(rows, "Action_ID long, Timestamp string, ActionType string, ObjectName string, "
+                                        "Target_Domain string, AccountDisplayName string, Position string, Risk_Label long")
+    assert jobs.ingest_job(spark, batch, "counted_t") == 2
+    rejects = spark.table("counted_t_rejects").collect()
+    assert sorted(r.reason for r in rejects) == ["no id", "no time", "time not readable", "time not readable"]
+    assert len(rows) == 2 + len(rejects) + 1
+    got = {r.Action_ID: r.Timestamp.microsecond for r in spark.table("counted_t").collect()}
+    assert got == {0: 123000, 1: 500000}
+
+
 def test_rows_to_batch_ingest_converts_offsets(spark):
     import datetime as dt
 

@@ -40,8 +40,8 @@ def test_run_scoring_appends_once(spark, fixture_dir):
     model = training.train(training.split_features(ft), BoostParams(max_iter=3))
     as_of = ft.agg(F.max("Timestamp")).first()[0]
     spark.sql("DROP TABLE IF EXISTS preds_t")
-    n1 = scoring.run_scoring(spark, model, ft, "preds_t", "gbt_test", as_of, hours=48)
-    n2 = scoring.run_scoring(spark, model, ft, "preds_t", "gbt_test", as_of, hours=48)
+    n1 = scoring.run_scoring(spark, model, ft, "preds_t", "gbt_test", as_of, hours=48).count()
+    n2 = scoring.run_scoring(spark, model, ft, "preds_t", "gbt_test", as_of, hours=48).count()
     assert n1 > 0 and n2 == 0
     t = spark.table("preds_t")
     assert t.columns == [

@@ -15,16 +15,11 @@ def test_split_sizes_and_stability(spark):
     assert sorted(a.collect()) == sorted(b.collect())
 
 
-def test_time_split(spark):
-    import datetime as dt
-
-    from leakwatch.operators.split import time_split
-
-    t0 = dt.datetime(2024, 1, 10)
-    df = spark.createDataFrame([(1, t0 - dt.timedelta(seconds=1)), (2, t0), (3, t0 + dt.timedelta(days=1))],
-                               "Action_ID long, Timestamp timestamp_ntz")
-    got = {r.Action_ID: r.split for r in time_split(df, test_from="2024-01-10 00:00:00").collect()}
-    assert got == {1: "train", 2: "test", 3: "test"}
+def test_rows_without_label_or_id_are_kept_outside_the_splits(spark):
+    rows = [(i, i % 2) for i in range(16)] + [(None, 1), (100, None), (None, None), (101, None)]
+    out = stratified_split(spark.createDataFrame(rows, "Action_ID long, Risk_Label long")).collect()
+    assert len(out) == len(rows)
+    assert sorted(str(r.Action_ID) for r in out if r.split == "none") == ["100", "101", "None", "None"]
 
 
 def test_copies_share_a_split_and_hot_ids_are_salted(spark):
