@@ -32,18 +32,18 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leakwatch import schemas as S
-from leakwatch.operators.model import booster, encode, feature_names
+from leakwatch.operators.model import RiskModel, assemble, booster, feature_names
 from leakwatch.session import ensure_checkpoint_dir
 
 MAX_NODES = 1_000_000
 
 
-def tree_nodes(model: PipelineModel) -> tuple[list[dict], list[float]]:
+def tree_nodes(model: RiskModel) -> tuple[list[dict], list[float]]:
     """Node rows of every tree plus the tree weights.
 
     The model is written under the shared checkpoint folder and its node table
@@ -265,7 +265,7 @@ def shap_by_tables(x: np.ndarray, tables: list[tuple], leaves_by_tree: dict[int,
     return phi
 
 
-def explain(model: PipelineModel, df: DataFrame, id_col: str = S.ID, layout: str = "long") -> DataFrame:
+def explain(model: RiskModel, df: DataFrame, id_col: str = S.ID, layout: str = "long") -> DataFrame:
     """Contributions of every model input for every event.
 
     ``layout="long"``: one row per (event, input) with ``feature``,
@@ -288,7 +288,13 @@ def explain(model: PipelineModel, df: DataFrame, id_col: str = S.ID, layout: str
     for leaf in leaves:
         if leaf["tree"] in deep:
             leaves_by_tree.setdefault(leaf["tree"], []).append(leaf)
-    encoded = encode(df, model.stages[0]).select(id_col, *[F.col(c).cast("double").alias(c) for c in inputs])
+    # The margin is the model's own; base and contributions add up to it.
+    scored = booster(model).transform(assemble(model.encode(df), inputs))
+    encoded = scored.select(
+        id_col,
+        *[F.col(c).cast("double").alias(c) for c in inputs],
+        vector_to_array("rawPrediction").getItem(1).alias("_margin"),
+    )
     id_type = df.schema[id_col].dataType.simpleString()
 
     def run(batches):
@@ -297,82 +303,61 @@ def explain(model: PipelineModel, df: DataFrame, id_col: str = S.ID, layout: str
                 continue
             x = pdf[inputs].to_numpy(dtype=float)
             phi = shap_by_tables(x, tables, leaves_by_tree)
-            n, d = phi.shape
-            margin = base + phi.sum(axis=1)
-            if layout == "wide":
-                order = np.argsort(-phi, axis=1, kind="stable")
-                yield pd.DataFrame(
-                    {
-                        id_col: pdf[id_col].to_numpy(),
-                        "contributions": [
-                            [{"feature": names[j], "feature_value": float(x[r, j]), "shap_value": float(phi[r, j])}
-                             for j in order[r]]
-                            for r in range(n)
-                        ],
-                        "base_value": np.full(n, base),
-                        "margin": margin,
-                    }
-                )
-                continue
             yield pd.DataFrame(
-                {
-                    id_col: np.repeat(pdf[id_col].to_numpy(), d),
-                    "feature": np.tile(np.asarray(names, dtype=object), n),
-                    "feature_value": x.reshape(-1),
-                    "shap_value": phi.reshape(-1),
-                    "base_value": np.full(n * d, base),
-                    "margin": np.repeat(margin, d),
-                }
+                {id_col: pdf[id_col].to_numpy(), "feature_values": list(x), "shap_values": list(phi), "margin": pdf["_margin"].to_numpy()}
             )
 
     # Ship this module's helpers inside the closure: executors need no install.
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    values = encoded.mapInPandas(run, f"{id_col} {id_type}, feature_values array<double>, shap_values array<double>, margin double")
+    parts = F.arrays_zip(
+        F.array(*[F.lit(n) for n in names]).alias("feature"),
+        F.col("feature_values").alias("feature_value"),
+        F.col("shap_values").alias("shap_value"),
+    )
+    base_value = F.lit(float(base)).alias("base_value")
     if layout == "wide":
-        schema = (f"{id_col} {id_type}, contributions array<struct<feature: string, feature_value: double, "
-                  "shap_value: double>>, base_value double, margin double")
-    else:
-        schema = (f"{id_col} {id_type}, feature string, feature_value double, shap_value double, "
-                  "base_value double, margin double")
-    return encoded.mapInPandas(run, schema)
+        later = lambda a, b: F.when(a["shap_value"] > b["shap_value"], -1).when(a["shap_value"] < b["shap_value"], 1).otherwise(0)
+        return values.select(id_col, F.array_sort(parts, later).alias("contributions"), base_value, "margin")
+    long = values.select(id_col, F.inline(parts), "margin")
+    return long.select(id_col, "feature", "feature_value", "shap_value", base_value, "margin")
 
 
-def staged_margins(model: PipelineModel, df: DataFrame, label: str = S.LABEL, id_col: str = S.ID) -> DataFrame:
-    """Margin of every row after each tree prefix: (id, label, n_trees, margin).
+def staged_margins(model: RiskModel, df: DataFrame, label: str = S.LABEL) -> DataFrame:
+    """(n_trees, score, pos, neg): the margins after each tree prefix, counted.
 
-    One output row per (input row, tree); the work is of the same order as
-    scoring every prefix model, done in one pass per Arrow batch.
+    One pass per Arrow batch; a batch yields a row for each distinct margin
+    of a prefix, not for each row, and Spark sums those of all batches.
     """
     nodes, weights = tree_nodes(model)
     leaves, _ = leaf_table(nodes, weights)
     n_trees = len(weights)
     inputs = feature_names(model)
-    encoded = encode(df, model.stages[0]).select(
-        id_col, F.col(label).cast("int").alias("label"), *[F.col(c).cast("double").alias(c) for c in inputs]
+    encoded = model.encode(df).where(F.col(label).isNotNull()).select(
+        F.col(label).cast("int").alias("label"), *[F.col(c).cast("double").alias(c) for c in inputs]
     )
-    id_type = df.schema[id_col].dataType.simpleString()
 
     def run(batches):
         for pdf in batches:
             if pdf.empty:
                 continue
             x = pdf[inputs].to_numpy(dtype=float)
-            n = len(pdf)
-            per_tree = np.zeros((n, n_trees))
+            positive = (pdf["label"].to_numpy() == 1).astype(np.int64)
+            per_tree = np.zeros((len(pdf), n_trees))
             for leaf in leaves:
-                hit = np.ones(n, dtype=bool)
+                hit = np.ones(len(pdf), dtype=bool)
                 for j, f in leaf["features"].items():
                     for cond in f["conds"]:
                         hit &= _satisfies(x[:, j], cond)
                 per_tree[:, leaf["tree"]] += np.where(hit, leaf["value"], 0.0)
-            cum = np.cumsum(per_tree, axis=1)
-            yield pd.DataFrame(
-                {
-                    id_col: np.repeat(pdf[id_col].to_numpy(), n_trees),
-                    "label": np.repeat(pdf["label"].to_numpy(), n_trees),
-                    "n_trees": np.tile(np.arange(1, n_trees + 1, dtype=np.int32), n),
-                    "margin": cum.reshape(-1),
-                }
-            )
+            margins = np.cumsum(per_tree, axis=1)
+            for k in range(n_trees):
+                # Sums of equal trees in another order differ in the last bits.
+                score, at = np.unique(np.round(margins[:, k], 12), return_inverse=True)
+                pos = np.bincount(at, weights=positive, minlength=len(score)).astype(np.int64)
+                total = np.bincount(at, minlength=len(score))
+                yield pd.DataFrame({"n_trees": np.int32(k + 1), "score": score, "pos": pos, "neg": total - pos})
 
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    return encoded.mapInPandas(run, f"{id_col} {id_type}, label int, n_trees int, margin double")
+    counted = encoded.mapInPandas(run, "n_trees int, score double, pos long, neg long")
+    return counted.groupBy("n_trees", "score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))

@@ -142,6 +142,12 @@ def auc_roc(scored: DataFrame, label: str = "label", score: str = "score",
     return _auc_ap(curve(scored, label, score, g), g).select(*g, "auc_roc")
 
 
+def auc_of_counts(counts: DataFrame, group_cols: list[str]) -> DataFrame:
+    """AUC per group of a table with one row per (group, ``score``) and its
+    ``pos`` and ``neg`` counts."""
+    return _auc_ap(_curve_from_counts(counts.checkpoint(eager=True), group_cols, group_cols), group_cols).select(*group_cols, "auc_roc")
+
+
 def average_precision(scored: DataFrame, label: str = "label", score: str = "score",
                       group_cols: list[str] | None = None) -> DataFrame:
     g = _groups(group_cols)

@@ -1,25 +1,31 @@
 """Gradient-boosted tree classifier on Spark ML: fit, score, importances,
-save/load, validation-based early stopping.
-
-The model never leaves Spark: categoricals are indexed with ``StringIndexer``
-(alphabetical codes, unseen values get their own code), assembled with the
-numeric columns, and fed to ``GBTClassifier`` (one distributed pass per
-tree). Scoring is ``PipelineModel.transform`` on executors; the probability
-of class 1 is read with ``vector_to_array`` (JVM side, no Python UDF).
+save/load.
+
+The model never leaves Spark. Categorical values become ordinal codes held in
+a table (column, value, code) that is joined by value, so the number of
+distinct values is not bounded by the driver, and the codes enter the trees
+as numbers: the number of bins does not grow with them. An unseen value is
+-1, a null is the value ``"missing"``. Scoring runs on executors; the
+probability of class 1 is read with ``vector_to_array`` (JVM side, no Python).
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark import SparkContext
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leakwatch import schemas as S
+from leakwatch.operators.cumulative import running_totals
+
+MISSING = "missing"
+UNSEEN = -1
+MAX_BROADCAST_CODES = 100_000
 
 
 @dataclass(frozen=True)
@@ -31,31 +37,75 @@ class BoostParams:
     max_depth: int = 3
     step_size: float = 0.1
     seed: int = 42
-    min_bins: int = 32
-    validation_tol: float = 0.0
+    max_bins: int = 32
 
 
 def index_suffix(col: str) -> str:
     return f"{col}_code"
 
 
-def fit_encoder(df: DataFrame, categorical: list[str] = S.CATEGORICAL_COLS) -> StringIndexerModel:
-    """Alphabetical codes per categorical column; unseen values map to the
-    extra code ``len(labels)`` at scoring time."""
-    idx = StringIndexer(
-        inputCols=categorical,
-        outputCols=[index_suffix(c) for c in categorical],
-        stringOrderType="alphabetAsc",
-        handleInvalid="keep",
-    )
-    return idx.fit(df)
+def _text(col: str):
+    return F.coalesce(F.col(col).cast("string"), F.lit(MISSING))
+
+
+@dataclass
+class Encoder:
+    """Codes of the values of ``columns``: 0, 1, ... in order of the value."""
+
+    columns: list[str]
+    table: DataFrame
+    small: bool = field(init=False)
+
+    def __post_init__(self):
+        self.small = self.table.limit(MAX_BROADCAST_CODES + 1).count() <= MAX_BROADCAST_CODES
+
+    def encode(self, df: DataFrame) -> DataFrame:
+        """``df`` with ``<column>_code`` for each column; unseen values get -1."""
+        out = df
+        for c in self.columns:
+            codes = self.table.where(F.col("column") == c).select(F.col("value").alias("_en_v"), F.col("code").alias(index_suffix(c)))
+            out = out.drop(index_suffix(c)).withColumn("_en_k", _text(c))
+            out = out.join(F.broadcast(codes) if self.small else codes, F.col("_en_k") == F.col("_en_v"), "left").drop("_en_k", "_en_v")
+            out = out.withColumn(index_suffix(c), F.coalesce(F.col(index_suffix(c)), F.lit(UNSEEN)).cast("int"))
+        return out
+
+
+def fit_encoder(df: DataFrame, categorical: list[str] = S.CATEGORICAL_COLS) -> Encoder:
+    """Alphabetical codes per categorical column, counted by running totals
+    over the distinct values."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), _text(c).alias("value")) for c in categorical])
+    values = df.select(F.inline(pairs)).distinct().withColumn("one", F.lit(1).cast("long"))
+    ranked = running_totals(values, ["column"], "value", ["one"], descending=False)
+    table = ranked.select("column", "value", (F.col("cum_one") - 1).cast("int").alias("code")).checkpoint(eager=True)
+    return Encoder(list(categorical), table)
+
+
+def encode(df: DataFrame, encoder: Encoder) -> DataFrame:
+    return encoder.encode(df)
 
 
-def encode(df: DataFrame, encoder: StringIndexerModel) -> DataFrame:
-    out = encoder.transform(df)
-    for c in encoder.getOutputCols():
-        out = out.withColumn(c, F.col(c).cast("int"))
-    return out
+@dataclass
+class RiskModel:
+    """Codes, input columns and boosted trees."""
+
+    encoder: Encoder
+    numeric: list[str]
+    booster: GBTClassificationModel
+
+    @property
+    def inputs(self) -> list[str]:
+        return [index_suffix(c) for c in self.encoder.columns] + list(self.numeric)
+
+    def encode(self, df: DataFrame) -> DataFrame:
+        return self.encoder.encode(df)
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.booster.transform(assemble(self.encode(df), self.inputs))
+
+
+def assemble(encoded: DataFrame, inputs: list[str]) -> DataFrame:
+    """``features``: the inputs as one vector of numbers."""
+    return VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep").transform(encoded)
 
 
 def fit_classifier(
@@ -64,58 +114,61 @@ def fit_classifier(
     categorical: list[str] = S.CATEGORICAL_COLS,
     numeric: list[str] = S.NUMERIC_COLS,
     label: str = S.LABEL,
-    validation_col: str | None = None,
-) -> PipelineModel:
-    """Fit encoder + assembler + boosted trees.
-
-    With ``validation_col`` (boolean column), Spark holds those rows out and
-    stops adding trees once the validation loss stops improving by
-    ``validation_tol``; the returned model keeps the best prefix.
-    """
-    encoder = fit_encoder(train, categorical)
-    # Categorical splits need maxBins >= categories (+1 for the unseen code).
-    n_cat = max(len(labels) + 1 for labels in encoder.labelsArray)
-    assembler = VectorAssembler(
-        inputCols=[index_suffix(c) for c in categorical] + list(numeric), outputCol="features",
-        handleInvalid="keep",
-    )
-    kwargs = dict(
+    encoder: Encoder | None = None,
+) -> RiskModel:
+    """Fit the codes (unless given) and the boosted trees on all of ``train``."""
+    encoder = encoder or fit_encoder(train, categorical)
+    inputs = [index_suffix(c) for c in encoder.columns] + list(numeric)
+    gbt = GBTClassifier(
         featuresCol="features", labelCol=label, maxIter=params.max_iter, maxDepth=params.max_depth,
-        stepSize=params.step_size, seed=params.seed, maxBins=max(params.min_bins, n_cat),
+        stepSize=params.step_size, seed=params.seed, maxBins=params.max_bins,
         # Shallow trees: re-walking 3 levels is cheaper than caching node ids
         # (which also checkpoints them). The boosting residuals are still
         # checkpointed every 10 trees, so a lost executor never replays all.
         cacheNodeIds=False, checkpointInterval=10,
     )
-    if validation_col:
-        kwargs.update(validationIndicatorCol=validation_col, validationTol=params.validation_tol)
-    gbt = GBTClassifier(**kwargs)
-    fitted = Pipeline(stages=[assembler, gbt]).fit(encoder.transform(train))
-    return PipelineModel(stages=[encoder, *fitted.stages])
+    fitted = gbt.fit(assemble(encoder.encode(train), inputs).select("features", label))
+    return RiskModel(encoder, list(numeric), fitted)
+
+
+def booster(model: RiskModel) -> GBTClassificationModel:
+    return model.booster
 
 
-def booster(model: PipelineModel) -> GBTClassificationModel:
-    return model.stages[-1]
+def feature_names(model: RiskModel) -> list[str]:
+    return model.inputs
 
 
-def feature_names(model: PipelineModel) -> list[str]:
-    return list(model.stages[1].getInputCols())
+def first_trees(model: RiskModel, k: int) -> RiskModel:
+    """The model of the first ``k`` trees of the same fit."""
+    sc = SparkContext._active_spark_context
+    old = model.booster._java_obj
+    trees = sc._gateway.new_array(sc._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, k)
+    weights = sc._gateway.new_array(sc._jvm.double, k)
+    for i in range(k):
+        trees[i] = old.trees()[i]
+        weights[i] = float(model.booster.treeWeights[i])
+    new = sc._jvm.org.apache.spark.ml.classification.GBTClassificationModel(old.uid(), trees, weights, old.numFeatures(), old.numClasses())
+    return RiskModel(model.encoder, model.numeric, GBTClassificationModel(new))
 
 
-def predict(model: PipelineModel, df: DataFrame, threshold: float = 0.5, digits: int = 4) -> DataFrame:
-    """Add ``predicted`` (int) and ``predicted_prob`` (class-1 probability,
-    rounded half-even to ``digits``)."""
+def predict(model: RiskModel, df: DataFrame, threshold: float = 0.5, digits: int = 4) -> DataFrame:
+    """Add ``predicted`` (int), ``raw_prob`` (class-1 probability, for
+    metrics) and ``predicted_prob`` (the same rounded half-even to ``digits``,
+    for tables)."""
     scored = model.transform(df)
     p1 = vector_to_array(F.col("probability")).getItem(1)
-    internal = [index_suffix(c) for c in model.stages[0].getInputCols()] + [
-        "features", "rawPrediction", "probability", "prediction",
-    ]
+    internal = [index_suffix(c) for c in model.encoder.columns] + ["features", "rawPrediction", "probability", "prediction"]
     return scored.withColumns(
-        {"predicted": F.when(p1 > threshold, 1).otherwise(0).cast("int"), "predicted_prob": F.bround(p1, digits)}
+        {
+            "predicted": F.when(p1 > threshold, 1).otherwise(0).cast("int"),
+            "raw_prob": p1,
+            "predicted_prob": F.bround(p1, digits),
+        }
     ).drop(*internal)
 
 
-def feature_importance(model: PipelineModel, names: list[str] | None = None) -> list[tuple[str, float]]:
+def feature_importance(model: RiskModel, names: list[str] | None = None) -> list[tuple[str, float]]:
     """(feature, importance) sorted by importance, normalised to sum to 1.
 
     The importance vector has one entry per model input (bounded by the
@@ -127,9 +180,18 @@ def feature_importance(model: PipelineModel, names: list[str] | None = None) ->
     return sorted(pairs, key=lambda p: (-p[1], p[0]))
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def save_model(model: RiskModel, path: str) -> None:
+    """Folders ``codes`` (Parquet), ``inputs`` and ``trees`` under ``path``."""
+    spark = model.encoder.table.sparkSession
+    model.encoder.table.write.mode("overwrite").parquet(f"{path}/codes")
+    inputs = [(i, kind, c) for kind, cs in (("categorical", model.encoder.columns), ("numeric", model.numeric)) for i, c in enumerate(cs)]
+    spark.createDataFrame(inputs, "place int, kind string, name string").write.mode("overwrite").parquet(f"{path}/inputs")
+    model.booster.write().overwrite().save(f"{path}/trees")
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_model(path: str) -> RiskModel:
+    spark = SparkSession.getActiveSession()
+    inputs = sorted((r.kind, r.place, r.name) for r in spark.read.parquet(f"{path}/inputs").collect())
+    names = lambda kind: [n for k, _, n in inputs if k == kind]
+    encoder = Encoder(names("categorical"), spark.read.parquet(f"{path}/codes"))
+    return RiskModel(encoder, names("numeric"), GBTClassificationModel.load(f"{path}/trees"))

@@ -27,12 +27,13 @@ from leakwatch.operators import increment, metrics, reports
 from leakwatch.operators.dictionary_match import rows_containing_any
 from leakwatch.operators.explain import explain
 from leakwatch.operators.features import add_row_features, time_flags
-from leakwatch.operators.model import booster, encode, feature_importance, fit_encoder
+from leakwatch.operators.model import booster, encode, feature_importance, fit_encoder, load_model, predict, save_model
 from leakwatch.operators.split import stratified_split
 from leakwatch.plans import scoring, training
 from leakwatch.plans.feature_table import build_features, feature_table
 from leakwatch.sources.catalog import append_table
 from leakwatch.sources.dictionaries import load_dictionary, packaged_path
+from leakwatch.session import ensure_checkpoint_dir
 from leakwatch.sources.fixture import fixture_rules, upload_events
 
 RULE_MODEL = "rule_v1"
@@ -416,11 +417,43 @@ def _model(spark, d, kind: str):
 
 
 def q_encode_features(spark, d):
+    """Codes fitted on one half of the ids and applied to all: values that the
+    half does not have get -1, and a null (every 50th role) is a value."""
     ft = clean_features(spark, d)
-    enc = encode(ft, fit_encoder(ft))
+    ft = ft.withColumn(S.POSITION, F.when(F.pmod(F.col(S.ID), F.lit(50)) != 0, F.col(S.POSITION)))
+    # An extension of its own for every 40th row, half of them unseen.
+    own = F.concat(F.lit("x"), F.pmod(F.col(S.ID), F.lit(400)).cast("string"))
+    ft = ft.withColumn("file_extension", F.when(F.pmod(F.col(S.ID), F.lit(40)) == 1, own).otherwise(F.col("file_extension")))
+    seen = F.pmod(F.floor(F.col(S.ID) / 40), F.lit(2)) == 0
+    enc = encode(ft, fit_encoder(ft.where(seen)))
     return enc.select(S.ID, "ActionType_code", "file_extension_code", "Position_code")
 
 
+def q_model_roundtrip(spark, d):
+    """Property by id: the model read back from its folder predicts the same."""
+    model, split_df = _model(spark, d, "gbt")
+    path = f"{ensure_checkpoint_dir(spark)}/model_roundtrip-{uuid.uuid4().hex}"
+    save_model(model, path)
+    a = predict(model, split_df).select(S.ID, F.col("raw_prob").alias("before"))
+    b = predict(load_model(path), split_df).select(S.ID, F.col("raw_prob").alias("after"))
+    return a.join(b, S.ID).select(S.ID, (F.col("before") == F.col("after")).alias("same"))
+
+
+def q_explain_additivity(spark, d):
+    """Property by id, on all rows: base and contributions add up to the
+    model's own margin, with one contribution for each of its inputs."""
+    model, split_df = _model(spark, d, "gbt")
+    parts = explain(model, split_df).groupBy(S.ID).agg(
+        F.count(F.lit(1)).alias("n_inputs"), F.sum("shap_value").alias("s"), F.first("base_value").alias("b"), F.first("margin").alias("m")
+    )
+    return parts.select(S.ID, "n_inputs", (F.abs(F.col("s") + F.col("b") - F.col("m")) < 1e-6).alias("adds_up"))
+
+
+def q_score_new_ids(spark, d):
+    """Property: the ids and versions that a scoring run takes."""
+    return q_score_new_events(spark, d).select(S.ID, S.TS, S.LABEL, "scored_at", "model_version")
+
+
 def q_gbt_predictions(spark, d):
     model, split_df = _model(spark, d, "gbt")
     return training.test_predictions(model, split_df).select(S.ID, S.LABEL, "predicted", "predicted_prob")
@@ -450,7 +483,7 @@ def q_feature_importance(spark, d):
 
 def q_explain_events(spark, d):
     model, split_df = _model(spark, d, "gbt")
-    return explain(model, split_df.where(F.col("split") == "test"))
+    return explain(model, split_df)
 
 
 def q_feature_importance_comparison(spark, d):
@@ -466,9 +499,9 @@ def q_feature_importance_comparison(spark, d):
 
 
 def q_explain_events_wide(spark, d):
-    """One row per test event with its contributions sorted, largest first."""
+    """One row per event with its contributions sorted, largest first."""
     model, split_df = _model(spark, d, "gbt")
-    return explain(model, split_df.where(F.col("split") == "test"), layout="wide")
+    return explain(model, split_df, layout="wide")
 
 
 def _test_scores(spark, d, kind: str, name: str) -> DataFrame:
@@ -476,7 +509,7 @@ def _test_scores(spark, d, kind: str, name: str) -> DataFrame:
     pred = training.test_predictions(model, split_df)
     return pred.select(
         F.lit(name).alias("model"), F.col(S.ID).alias("id"), F.col(S.LABEL).cast("int").alias("label"),
-        F.col("predicted_prob").alias("score"), "predicted",
+        F.col("raw_prob").alias("score"), "predicted",
     )
 
 

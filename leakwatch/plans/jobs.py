@@ -117,7 +117,7 @@ def comparison_job(
         parts.append(
             pred.select(
                 F.lit(name).alias("model"), F.col(S.LABEL).cast("int").alias("label"),
-                F.col("predicted_prob").alias("score"), "predicted",
+                F.col("raw_prob").alias("score"), "predicted",
             )
         )
     return metrics.model_comparison(parts[0].unionByName(parts[1]), model_a[0], model_b[0])

@@ -3,18 +3,17 @@ appended to the predictions table."""
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leakwatch import schemas as S
 from leakwatch.operators import reports
 from leakwatch.operators.increment import unscored_since
-from leakwatch.operators.model import predict
+from leakwatch.operators.model import RiskModel, predict
 from leakwatch.sources.catalog import append_table
 
 
-def score_events(model: PipelineModel, events: DataFrame, model_version: str, scored_at) -> DataFrame:
+def score_events(model: RiskModel, events: DataFrame, model_version: str, scored_at) -> DataFrame:
     """Score rows and shape them like the predictions table (11 columns)."""
     pred = predict(model, events)
     return pred.withColumns(
@@ -37,7 +36,7 @@ def pending(spark: SparkSession, features: DataFrame, predictions_table: str, ho
 
 def run_scoring(
     spark: SparkSession,
-    model: PipelineModel,
+    model: RiskModel,
     features: DataFrame,
     predictions_table: str,
     model_version: str,

@@ -2,84 +2,88 @@
 
 from __future__ import annotations
 
-import math
+from dataclasses import replace
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leakwatch import schemas as S
 from leakwatch.operators import metrics
-from leakwatch.operators.model import BoostParams, fit_classifier, predict
+from leakwatch.operators.model import BoostParams, RiskModel, first_trees, fit_classifier, fit_encoder, predict
 from leakwatch.operators.split import stratified_split
 
 
-ROWS_PER_TRAINING_PARTITION = 1_000_000
-
-
 def split_features(features: DataFrame, validation_fraction: float = 0.0, seed: int = 42) -> DataFrame:
     """Feature table plus a reproducible stratified ``split`` column.
 
     Checkpointed: training reads the split many times (one pass per tree)
     and must see the same rows every time, also after a lost executor.
-    Boosting runs several stages per tree, so the partition count follows
-    the data size (about one partition per million rows, merged without a
-    shuffle); tiny partitions would only add per-task overhead to each stage.
+    Boosting runs several stages per tree over these partitions: at least one
+    for each core, whatever the size.
     """
-    out = stratified_split(features, validation_fraction=validation_fraction, seed=seed).checkpoint(eager=True)
-    wanted = max(1, math.ceil(out.count() / ROWS_PER_TRAINING_PARTITION))
-    return out.coalesce(wanted) if out.rdd.getNumPartitions() > wanted else out
+    spark = features.sparkSession
+    n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return stratified_split(features, validation_fraction=validation_fraction, seed=seed).repartition(n).checkpoint(eager=True)
 
 
-def train(split_df: DataFrame, params: BoostParams = BoostParams()) -> PipelineModel:
+def train(split_df: DataFrame, params: BoostParams = BoostParams()) -> RiskModel:
     """Fit on ``train`` rows only."""
     return fit_classifier(split_df.where(F.col("split") == "train"), params)
 
 
-def train_early_stop(split_df: DataFrame, params: BoostParams = BoostParams(max_iter=500, validation_tol=0.01),
-                     patience: int = 50) -> tuple[PipelineModel, int, DataFrame]:
-    """Fit on ``train`` with ``validation`` rows for early stopping by AUC.
+def train_early_stop(
+    split_df: DataFrame, params: BoostParams = BoostParams(max_iter=500), patience: int = 50, first_round: int = 100
+) -> tuple[RiskModel, int, DataFrame]:
+    """Fit on ``train``, stop by AUC on ``validation``.
 
-    1. Spark's own validation stop (loss based) bounds the number of trees.
-    2. The validation AUC of every tree prefix comes from the staged margins
-       (distributed AUC per prefix, one row per prefix).
-    3. The best prefix is the highest AUC seen before ``patience`` prefixes
-       in a row fail to beat it; the model is refitted with exactly that many
-       trees (the boosting is deterministic: no subsampling).
+    1. ``train`` rows alone are boosted; no loss rule stops it.
+    2. The validation AUC of every tree prefix comes from the counted margins
+       (one row per prefix).
+    3. The best prefix is the highest AUC seen before ``patience`` prefixes in
+       a row fail to beat it; the model is that prefix of the same fit, with
+       the same codes.
 
-    Returns the model, the chosen tree count and the per-prefix AUC table.
+    Boosting is deterministic, so a fit of fewer trees is a prefix of a longer
+    one: ``first_round`` trees are fitted first, and twice as many as long as
+    the patience has not run out, up to ``max_iter``.
+
+    Returns the model, its tree count and the per-prefix AUC table.
     """
     from leakwatch.operators.explain import staged_margins
 
-    rows = split_df.where(F.col("split") != "test").withColumn("is_validation", F.col("split") == "validation")
-    first = fit_classifier(rows, params, validation_col="is_validation")
-    validation = split_df.where(F.col("split") == "validation")
-    staged = staged_margins(first, validation).select("n_trees", "label", F.col("margin").alias("score"))
-    per_prefix = metrics.auc_roc(staged, group_cols=["n_trees"]).checkpoint(eager=True)
-    # One row per tree (bounded by max_iter): read on the driver.
-    aucs = sorted((r["n_trees"], r["auc_roc"]) for r in per_prefix.collect())
+    rows, validation = (split_df.where(F.col("split") == s) for s in ("train", "validation"))
+    encoder = fit_encoder(rows)
+    n = min(first_round, params.max_iter)
+    while True:
+        model = fit_classifier(rows, replace(params, max_iter=n), encoder=encoder)
+        per_prefix = metrics.auc_of_counts(staged_margins(model, validation), ["n_trees"]).checkpoint(eager=True)
+        # One row per tree (bounded by max_iter): read on the driver.
+        best_k, stopped = best_prefix(sorted((r["n_trees"], r["auc_roc"]) for r in per_prefix.collect()), patience)
+        if stopped or n >= params.max_iter:
+            return first_trees(model, best_k), best_k, per_prefix
+        n = min(2 * n, params.max_iter)
+
+
+def best_prefix(aucs: list[tuple[int, float | None]], patience: int) -> tuple[int, bool]:
+    """The prefix with the highest AUC (the first on ties), and whether
+    ``patience`` prefixes in a row failed to beat it."""
     best_k, best = 1, float("-inf")
     for k, auc in aucs:
         if auc is not None and auc > best:
             best_k, best = k, auc
         elif k - best_k >= patience:
-            break
-    refit = fit_classifier(
-        split_df.where(F.col("split") == "train"),
-        BoostParams(max_iter=best_k, max_depth=params.max_depth, step_size=params.step_size, seed=params.seed,
-                    min_bins=params.min_bins),
-    )
-    return refit, best_k, per_prefix
+            return best_k, True
+    return best_k, False
 
 
-def test_predictions(model: PipelineModel, split_df: DataFrame) -> DataFrame:
+def test_predictions(model: RiskModel, split_df: DataFrame) -> DataFrame:
     """Predictions on the held-out ``test`` rows."""
     return predict(model, split_df.where(F.col("split") == "test"))
 
 
 def evaluate(pred: DataFrame, label: str = S.LABEL) -> dict[str, DataFrame]:
     """Ranking and threshold metrics of a prediction table."""
-    scored = pred.select(F.col(label).cast("int").alias("label"), F.col("predicted_prob").alias("score"), "predicted")
+    scored = pred.select(F.col(label).cast("int").alias("label"), F.col("raw_prob").alias("score"), "predicted")
     return {
         "auc_roc": metrics.auc_roc(scored),
         "average_precision": metrics.average_precision(scored),
@@ -89,7 +93,7 @@ def evaluate(pred: DataFrame, label: str = S.LABEL) -> dict[str, DataFrame]:
     }
 
 
-def tuned_threshold(model: PipelineModel, split_df: DataFrame, tune_on: str = "validation") -> DataFrame:
+def tuned_threshold(model: RiskModel, split_df: DataFrame, tune_on: str = "validation") -> DataFrame:
     """Best-F1 threshold chosen on ``tune_on`` rows, with the confusion counts
     it gives on the ``test`` rows.
 
@@ -98,7 +102,7 @@ def tuned_threshold(model: PipelineModel, split_df: DataFrame, tune_on: str = "v
     """
     def scored(part: str) -> DataFrame:
         pred = predict(model, split_df.where(F.col("split") == part))
-        return pred.select(F.col(S.LABEL).cast("int").alias("label"), F.col("predicted_prob").alias("score"))
+        return pred.select(F.col(S.LABEL).cast("int").alias("label"), F.col("raw_prob").alias("score"))
 
     # One row: its values are literals for the test rows.
     threshold, f1 = metrics.best_f1_threshold(scored(tune_on)).select("threshold", "f1").first() or (None, None)

@@ -11,7 +11,6 @@ folder of the application would start each run from the first file).
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -19,6 +18,7 @@ from pyspark.sql.types import StructType
 
 from leakwatch import schemas as S
 from leakwatch.operators.increment import append_new
+from leakwatch.operators.model import RiskModel
 from leakwatch.plans.scoring import score_events
 
 
@@ -65,7 +65,7 @@ def ingest_stream(
 def scoring_stream(
     spark: SparkSession,
     features: DataFrame,
-    model: PipelineModel,
+    model: RiskModel,
     predictions_table: str,
     model_version: str,
     scored_at,

@@ -361,8 +361,18 @@ def _model_comparison() -> str:
 
 ORACLE["model_comparison"] = _model_comparison()
 
-ORACLE["encode_features"] = BASE_FT + """SELECT Action_ID,
-  CAST(dense_rank() OVER (ORDER BY ActionType) - 1 AS INTEGER) AS ActionType_code,
-  CAST(dense_rank() OVER (ORDER BY file_extension) - 1 AS INTEGER) AS file_extension_code,
-  CAST(dense_rank() OVER (ORDER BY Position) - 1 AS INTEGER) AS Position_code
-FROM ft"""
+ORACLE["encode_features"] = BASE_FT + """, v AS (
+  SELECT Action_ID, ActionType AS a, CASE WHEN Action_ID % 40 = 1 THEN 'x' || (Action_ID % 400) ELSE file_extension END AS e,
+    CASE WHEN Action_ID % 50 <> 0 THEN Position ELSE 'missing' END AS p, (Action_ID // 40) % 2 = 0 AS seen FROM ft
+), ca AS (SELECT a, row_number() OVER (ORDER BY a) - 1 AS c FROM (SELECT DISTINCT a FROM v WHERE seen)
+), ce AS (SELECT e, row_number() OVER (ORDER BY e) - 1 AS c FROM (SELECT DISTINCT e FROM v WHERE seen)
+), cp AS (SELECT p, row_number() OVER (ORDER BY p) - 1 AS c FROM (SELECT DISTINCT p FROM v WHERE seen)
+)
+SELECT Action_ID, CAST(coalesce(ca.c, -1) AS INTEGER) AS ActionType_code, CAST(coalesce(ce.c, -1) AS INTEGER) AS file_extension_code,
+  CAST(coalesce(cp.c, -1) AS INTEGER) AS Position_code FROM v LEFT JOIN ca USING (a) LEFT JOIN ce USING (e) LEFT JOIN cp USING (p)"""
+# Properties of model results that hold for every id, whatever the model.
+ORACLE["model_roundtrip"] = BASE_FT + "SELECT Action_ID, true AS same FROM ft"
+ORACLE["explain_additivity"] = BASE_FT + "SELECT Action_ID, CAST(14 AS BIGINT) AS n_inputs, true AS adds_up FROM ft"
+ORACLE["score_new_ids"] = BASE_FT + f"""SELECT Action_ID, "Timestamp", Risk_Label, TIMESTAMP '2024-02-01 00:00:00' AS scored_at,
+  'gbt_v1' AS model_version FROM ft WHERE "Timestamp" >= {MAX_TS} - INTERVAL 72 HOUR
+  AND Action_ID NOT IN (SELECT Action_ID FROM ft WHERE "Timestamp" < {MAX_TS} - INTERVAL 24 HOUR)"""
