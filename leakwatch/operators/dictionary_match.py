@@ -8,97 +8,50 @@ size (a bounded count, never a guess):
   matched with a theta left-semi join (``BroadcastNestedLoopJoin LeftSemi``,
   ``instr(text, entry) > 0``), all JVM. Cost rows x entries, so only for
   short lists.
-* up to ``MAX_AUTOMATON_ENTRIES`` entries: one Aho-Corasick automaton over all
-  entries (``pyahocorasick``) scans each text once in a Pandas UDF (Arrow
-  batches); cost is linear in the text length whatever the dictionary size.
-  The entry list is a broadcast variable (bounded by the check; fetched once
-  per executor) and the automaton is built once per task.
-* beyond that (or without ``pyahocorasick``): equi-joins. Texts are first
-  reduced to distinct values (partial aggregation), then for each distinct
-  entry length L every text emits its substrings of length L, which join the
-  entries of that length on equality (shuffle join, no broadcast of unbounded
-  data, no cartesian product). Matching texts are semi-joined back to the
-  rows, salting texts held by more than ``HOT_NAME_ROWS`` rows.
+* beyond that: an equi-join. Texts are first reduced to distinct values
+  (partial aggregation); every distinct text is exploded into its substrings
+  of the lengths that entries have (one explode over positions and lengths),
+  and these are semi-joined with the entries by (length, value): a shuffle
+  join, no broadcast of unbounded data. Texts held by more than
+  ``HOT_NAME_ROWS`` rows are salted when they are joined back.
 """
 
 from __future__ import annotations
 
-import sys
-
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leakwatch.operators.skew import salted_join
 
 MAX_BROADCAST_ENTRIES = 256
-MAX_AUTOMATON_ENTRIES = 1_000_000
-MAX_DISTINCT_LENGTHS = 1_000
 HOT_NAME_ROWS = 1_000_000
 
-try:  # optional: the automaton tier is skipped without it
-    import ahocorasick  # noqa: F401
-
-    HAVE_AUTOMATON = True
-except ImportError:  # pragma: no cover
-    HAVE_AUTOMATON = False
-
 
 def rows_containing_any(
-    df: DataFrame, text: Column, dictionary: DataFrame, key_cols: list[str], value_col: str = "value"
+    df: DataFrame, text: Column, dictionary: DataFrame, key_cols: list[str] | None = None, value_col: str = "value",
+    max_broadcast: int = MAX_BROADCAST_ENTRIES,
 ) -> DataFrame:
     """Rows of ``df`` whose ``text`` contains at least one dictionary entry."""
-    entries = dictionary.select(F.col(value_col).alias("_dm_v")).where(F.length("_dm_v") > 0)
-    n = entries.limit(MAX_AUTOMATON_ENTRIES + 1).count()
+    entries = dictionary.select(F.col(value_col).alias("_dm_v")).where(F.length("_dm_v") > 0).distinct()
     with_text = df.withColumn("_dm_t", text)
-    if n <= MAX_BROADCAST_ENTRIES:
+    if entries.limit(max_broadcast + 1).count() <= max_broadcast:
         hit = F.instr(F.col("_dm_t"), F.col("_dm_v")) > 0
         return with_text.join(F.broadcast(entries), hit, "left_semi").drop("_dm_t")
-    if n <= MAX_AUTOMATON_ENTRIES and HAVE_AUTOMATON:
-        words = df.sparkSession.sparkContext.broadcast(sorted({r[0] for r in entries.collect()}))
-        return with_text.where(contains_any_udf(words)(F.col("_dm_t"))).drop("_dm_t")
-    return _by_substrings(with_text, entries, key_cols).drop("_dm_t")
-
-
-def contains_any_udf(words):
-    """Pandas UDF: does the text contain any broadcast word (Aho-Corasick)."""
-    built: list = []
+    matched, hot = _matching_texts(with_text, entries)
+    return salted_join(with_text, matched, ["_dm_t"], hot, "left_semi").drop("_dm_t")
 
-    def automaton():
-        if not built:
-            import ahocorasick
 
-            auto = ahocorasick.Automaton()
-            for w in words.value:
-                auto.add_word(w, w)
-            auto.make_automaton()
-            built.append(auto)
-        return built[0]
-
-    @F.pandas_udf("boolean")
-    def contains_any(texts: pd.Series) -> pd.Series:
-        auto = automaton()
-
-        def one(t):
-            if t is None:
-                return False
-            for _ in auto.iter(t):
-                return True
-            return False
-
-        return texts.map(one).astype(bool)
-
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    return contains_any
+def flag_containing_any(df: DataFrame, text: Column, dictionary: DataFrame, out_col: str, value_col: str = "value") -> DataFrame:
+    """``df`` with ``out_col``: 1 if ``text`` contains an entry, else 0."""
+    entries = dictionary.select(F.col(value_col).alias("_dm_v")).where(F.length("_dm_v") > 0).distinct()
+    with_text = df.withColumn("_dm_t", text)
+    matched, hot = _matching_texts(with_text, entries)
+    flagged = salted_join(with_text, matched.withColumn("_dm_hit", F.lit(1)), ["_dm_t"], hot, "left")
+    return flagged.withColumn(out_col, F.coalesce("_dm_hit", F.lit(0)).cast("int")).select(*[c for c in df.columns if c != out_col], out_col)
 
 
-def _by_substrings(df: DataFrame, entries: DataFrame, key_cols: list[str]) -> DataFrame:
-    lengths = [r[0] for r in entries.select(F.length("_dm_v")).distinct().limit(MAX_DISTINCT_LENGTHS + 1).collect()]
-    if len(lengths) > MAX_DISTINCT_LENGTHS:
-        raise ValueError("dictionary entries have too many distinct lengths")
-    if not lengths:
-        return df.limit(0)
+def _matching_texts(df: DataFrame, entries: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Distinct texts ``_dm_t`` that contain an entry, and the hot texts."""
     # Names repeat a lot: match distinct names only (partial aggregation
     # collapses a name held by many rows before anything is exploded).
     # Materialised once: the substring match and the hot-name check read it.
@@ -106,15 +59,13 @@ def _by_substrings(df: DataFrame, entries: DataFrame, key_cols: list[str]) -> Da
         df.where(F.col("_dm_t").isNotNull()).groupBy("_dm_t").agg(F.count(F.lit(1)).alias("_dm_n"))
         .checkpoint(eager=True)
     )
-    matched = None
-    for L in sorted(lengths):
-        starts = F.sequence(F.lit(1), F.length("_dm_t") - L + 1)
-        subs = names.where(F.length("_dm_t") >= L).select(
-            "_dm_t", F.explode(F.transform(starts, lambda i: F.substring(F.col("_dm_t"), i, L))).alias("_dm_v")
-        )
-        part = subs.join(entries.where(F.length("_dm_v") == L), "_dm_v", "left_semi").select("_dm_t")
-        matched = part if matched is None else matched.unionByName(part)
-    matched = matched.distinct()
-    # Back to the rows; names held by more than HOT_NAME_ROWS rows are salted.
-    hot = names.where(F.col("_dm_n") > HOT_NAME_ROWS).select("_dm_t")
-    return salted_join(df, matched, ["_dm_t"], hot, "left_semi")
+    sized = entries.withColumn("_dm_l", F.length("_dm_v"))
+    # Distinct lengths: at most as many as the longest entry has characters.
+    lengths = sorted(r[0] for r in sized.select("_dm_l").distinct().collect())
+    at = names.select("_dm_t", F.explode(F.sequence(F.lit(1), F.greatest(F.length("_dm_t"), F.lit(1)))).alias("_dm_i"))
+    left = F.length("_dm_t") - F.col("_dm_i") + 1
+    fits = F.filter(F.array(*[F.lit(n) for n in lengths]) if lengths else F.array().cast("array<int>"), lambda n: n <= left)
+    subs = at.select("_dm_t", "_dm_i", F.explode(fits).alias("_dm_l"))
+    subs = subs.select("_dm_t", "_dm_l", F.substr("_dm_t", F.col("_dm_i"), F.col("_dm_l")).alias("_dm_v"))
+    matched = subs.join(sized, ["_dm_l", "_dm_v"], "left_semi").select("_dm_t").distinct()
+    return matched, names.where(F.col("_dm_n") > HOT_NAME_ROWS).select("_dm_t")

@@ -21,6 +21,9 @@ from leakwatch.functions.files import (
     high_risk_extension_flag,
     keyword_flag,
 )
+from leakwatch.functions.patterns import clean_entries
+from leakwatch.operators.dictionary_match import flag_containing_any
+from leakwatch.sources.dictionaries import MAX_PATTERN_ENTRIES
 
 
 def add_file_features(df: DataFrame, rules: RiskRules, keep_base: bool = False) -> DataFrame:
@@ -33,9 +36,14 @@ def add_file_features(df: DataFrame, rules: RiskRules, keep_base: bool = False)
                 "file_name", rules.double_extensions, strict=rules.strict_double_extension
             ),
             "is_high_risk_extension": high_risk_extension_flag("file_extension", rules.high_risk_extensions),
-            "file_name_has_sensitive_keyword": keyword_flag("file_name", rules.sensitive_keywords),
         }
     )
+    keywords, flag = clean_entries(rules.sensitive_keywords), "file_name_has_sensitive_keyword"
+    if len(keywords) <= MAX_PATTERN_ENTRIES:
+        out = out.withColumn(flag, keyword_flag("file_name", keywords))
+    else:  # too long for a pattern in the plan: match the names by a join
+        entries = df.sparkSession.createDataFrame([(k,) for k in keywords], "value string")
+        out = flag_containing_any(out, F.lower("file_name"), entries, flag)
     return out if keep_base else out.drop("file_name")
 
 

@@ -19,15 +19,38 @@ def test_catalog_roundtrip(spark):
     assert {r.table_name: r.n_rows for r in row_counts(spark, ["cat_t"]).collect()} == {"cat_t": 2}
 
 
-@pytest.mark.parametrize("limits", [(10_000, 10_000), (1, 10_000), (1, 1)])
-def test_dictionary_join_paths_agree(spark, limits, monkeypatch):
-    monkeypatch.setattr(dictionary_match, "MAX_BROADCAST_ENTRIES", limits[0])
-    monkeypatch.setattr(dictionary_match, "MAX_AUTOMATON_ENTRIES", limits[1])
-    names = ["client_list.csv", "lunch.pdf", "a+b.txt", "PAYROLL.xlsx", "x", None, "ssn"]
+@pytest.mark.parametrize("limit", [10_000, 0])
+def test_dictionary_join_paths_agree(spark, limit):
+    names = ["client_list.csv", "lunch.pdf", "a+b.txt", "PAYROLL.xlsx", "x", None, "ssn", ""]
     df = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "id long, name string")
-    kw = spark.createDataFrame([("client",), ("payroll",), ("a+b",), ("ssn",)], "value string")
-    out = dictionary_match.rows_containing_any(df, F.lower(F.col("name")), kw, ["id"])
+    kw = spark.createDataFrame([("client",), ("payroll",), ("a+b",), ("ssn",), ("",)], "value string")
+    text = F.lower(F.col("name"))
+    out = dictionary_match.rows_containing_any(df, text, kw, ["id"], max_broadcast=limit)
     assert sorted(r.id for r in out.collect()) == [0, 2, 3, 6]
+    flags = dictionary_match.flag_containing_any(df, text, kw, "hit").collect()
+    assert sorted(r.id for r in flags if r.hit) == [0, 2, 3, 6] and len(flags) == len(names)
+    assert dictionary_match.rows_containing_any(df, text, kw.limit(0), ["id"], max_broadcast=-1).count() == 0
+
+
+def test_long_dictionary_agrees_in_all_tiers_and_in_the_feature_build(spark, fixture_dir, monkeypatch):
+    from dataclasses import replace
+
+    from leakwatch.operators import features
+    from leakwatch.sources.fixture import fixture_rules, upload_events
+
+    words = [f"k{i}z" for i in range(9_990)] + ["client", "payroll", "ssn", "report", "a", "zzzz", "long entry", "x.y", "data", "pass"]
+    names = spark.range(0, 3000).selectExpr("id", "concat('file_k', id * 7, CASE WHEN id % 3 = 0 THEN 'z' ELSE 'q' END, '.pdf') AS name")
+    kw = spark.createDataFrame([(w,) for w in words], "value string")
+    tiers = [sorted(r.id for r in dictionary_match.rows_containing_any(names, F.col("name"), kw, ["id"], max_broadcast=n).collect()) for n in (20_000, 0)]
+    assert tiers[0] == tiers[1] == [i for i in range(3000) if i % 3 == 0 and i * 7 < 9_990 or any(w in f"file_k{i * 7}{'z' if i % 3 == 0 else 'q'}.pdf" for w in words[9_990:])]
+
+    rules = replace(fixture_rules(), sensitive_keywords=tuple(fixture_rules().sensitive_keywords) + tuple(words[:200]))
+    ev = upload_events(spark, fixture_dir)
+    short = features.add_file_features(ev, rules)
+    monkeypatch.setattr(features, "MAX_PATTERN_ENTRIES", 10)
+    joined = features.add_file_features(ev, rules)
+    key = lambda r: r.Action_ID
+    assert sorted(short.select(*short.columns).collect(), key=key) == sorted(joined.select(*short.columns).collect(), key=key)
 
 
 def test_run_scoring_appends_once(spark, fixture_dir):
