@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 U64 = np.uint64
 #: Codes that one task holds before it writes its cells.
-CODES_PER_FLUSH = 1_000_000
+CODES_PER_FLUSH = 600_000
 #: Expected codes of a shard, and text bytes of a bucket of documents.
 CODES_PER_SHARD = 1_500_000
 BYTES_PER_BUCKET = 12 << 20
@@ -36,7 +36,9 @@ _CELL = pa.schema([("shard", pa.int32()), *((c, pa.binary()) for c in _PARTS)])
 
 def _map_large_arrays() -> None:
     """Arrays of 256 KB and more get pages of their own, which go back to the
-    system when they are freed, instead of fragmenting a worker's heap."""
+    system when they are freed, instead of fragmenting a worker's heap; Arrow
+    buffers come from the same allocator."""
+    pa.set_memory_pool(pa.system_memory_pool())
     try:
         ctypes.CDLL("libc.so.6").mallopt(-3, 1 << 18)  # M_MMAP_THRESHOLD
     except (OSError, AttributeError):  # another C library

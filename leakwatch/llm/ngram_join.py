@@ -76,9 +76,10 @@ def shingle_sets(texts: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray, np
 
 def _flush(held: list, shards: int) -> Iterator[pa.RecordBatch]:
     sig, code, n = (np.concatenate(x) for x in zip(*held, strict=True))
+    held.clear()
     shard = C.shard_of(code, shards)
     order = np.argsort(shard, kind="stable")
-    yield from C.cells(shard[order], sig[order], code[order], None, n[order].astype(np.uint32))
+    yield from C.cells(shard[order], sig[order], code[order], None, n[order])
 
 
 def _shared(rows: list[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
@@ -269,7 +270,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                         seen.add(int(sig[i]))
                         fresh[i] = True
                 on = fresh[doc]
-                held.append((sig[doc[on]], code[on], count[doc[on]]))
+                held.append((sig[doc[on]], code[on], count[doc[on]].astype(np.uint32)))
                 total += len(held[-1][0])
                 if total >= C.CODES_PER_FLUSH:
                     yield from _flush(held, shards)

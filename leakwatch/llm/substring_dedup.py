@@ -50,30 +50,27 @@ def _entries(ids: np.ndarray, texts: list[bytes], window: int):
     return ids[doc], window_codes(words, window, BASE)[at], check[at]
 
 
-def _same_start(code: np.ndarray, check: np.ndarray, *along: np.ndarray):
-    """Everything sorted by code (and check, where codes alone collide), and the group starts."""
+def _grouped(doc: np.ndarray, code: np.ndarray, check: np.ndarray):
+    """Entries sorted by code (and check, where codes alone collide) and in a
+    group by document, so that its first one has the smallest; the start of
+    each group; and which entries have a smaller document in their group."""
+    if (doc[1:] < doc[:-1]).any():
+        order = np.argsort(doc, kind="stable")
+        doc, code, check = doc[order], code[order], check[order]
+        del order
     order = np.argsort(code, kind="stable")
-    same = code[order][1:] == code[order][:-1]
-    if (same & (check[order][1:] != check[order][:-1])).any():
-        order = np.lexsort((check, code))
     code, check = code[order], check[order]
+    same = code[1:] == code[:-1]
+    if (same & (check[1:] != check[:-1])).any():
+        back = np.lexsort((order, check, code))
+        order, code, check = order[back], code[back], check[back]
+    doc = doc[order]
+    del order, same
     new = np.ones(len(code), bool)
     new[1:] = (code[1:] != code[:-1]) | (check[1:] != check[:-1])
-    return code, check, np.flatnonzero(new), [x[order] for x in along]
-
-
-def _smallest(code, check, doc):
-    """Sorted entries, the smallest document of each entry's group, and which
-    entry stands for the group."""
-    code, check, start, (doc,) = _same_start(code, check, doc)
-    if not len(code):
-        return code, check, doc, doc, np.empty(0, np.int64)
-    least = np.minimum.reduceat(doc, start)
-    size = np.diff(np.append(start, len(code)))
-    whole = np.repeat(least, size)
-    mine = np.flatnonzero(doc == whole)
-    group = np.repeat(np.arange(len(start)), size)[mine]
-    return code, check, doc, whole, mine[C.runs(group)[:-1]]
+    start = np.flatnonzero(new)
+    late = doc != np.repeat(doc[start], np.diff(np.append(start, len(code))))
+    return doc, code, check, start, late
 
 
 def _decided(doc: np.ndarray, code: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
@@ -85,8 +82,8 @@ def _decided(doc: np.ndarray, code: np.ndarray, buckets: int) -> Iterator[pa.Rec
 
 def _flush(held: list, shards: int, buckets: int) -> Iterator[pa.RecordBatch]:
     doc, code, check = (np.concatenate(x) for x in zip(*held, strict=True))
-    code, check, doc, least, rep = _smallest(code, check, doc)
-    late = doc > least
+    held.clear()
+    doc, code, check, rep, late = _grouped(doc, code, check)
     for batch in _decided(doc[late], code[late], buckets):  # negative shards: already decided
         yield pa.RecordBatch.from_arrays([pa.array(-1 - batch.column(0).to_numpy(), pa.int32()), *batch.columns[1:]], schema=batch.schema)
     yield from C.cells(C.shard_of(code[rep], shards), doc[rep], code[rep], check[rep])
@@ -117,10 +114,11 @@ def repeated_windows(docs: DataFrame, id_col: str, text_col: str, window: int, s
             doc, code = C.unpack(rows)
             check = C.values(rows, "extra", np.uint16)
             if shard >= 0:
-                code, check, doc, least, _ = _smallest(code, check, doc)
-                late = doc > least
+                doc, code, _, _, late = _grouped(doc, code, check)
                 doc, code = doc[late], code[late]
+            del check, rows
             yield from _decided(doc, code, buckets)
+            C.give_back()
 
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).na.drop()
     found = C.deal(source.mapInArrow(collect, C.CELL_SCHEMA), "shard", n).mapInArrow(judge, C.CELL_SCHEMA)

@@ -106,7 +106,7 @@ def text_windows(first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return np.arange(len(doc)) + shift[doc], doc
 
 
-def chunks(texts: list, max_bytes: int = 2 << 20):
+def chunks(texts: list, max_bytes: int = 1 << 20):
     """Slices of a batch of at most ``max_bytes`` (or one text)."""
     start = size = 0
     for i, t in enumerate(texts):
