@@ -1,14 +1,15 @@
 """Encoding to and decoding from the pieces of a public SentencePiece file.
 
-Encoding works on distinct units (a word with the space before it, a line
-break, or a lone space; longer words are cut every ``MAX_UNIT`` characters):
+Encoding works on distinct units (a run of letters and digits, or of other
+characters, with the space before it; a line break; a lone space; longer runs
+are cut every ``MAX_UNIT`` characters):
 
 1. every unit is exploded into its substrings of at most the longest piece,
    and these are joined with the piece table on the string;
 2. the matches are the edges of the unit's lattice, grouped by unit (which
    needs no second shuffle: the units are already dealt by unit);
-3. a higher-order ``aggregate`` folds the edges in order of their end into
-   the best path: the smallest sum of costs, the longest piece on ties. A
+3. a higher-order ``aggregate`` folds the edges, end by end, into the best
+   path: the smallest sum of costs, the longest piece on ties. A
    character without a piece is a costly edge and becomes its UTF-8 bytes.
 
 The cost of a piece is log(``RANK_SHIFT`` - score). Files that hold merge ranks
@@ -29,10 +30,13 @@ gives an empty result; columns named like the added ones are replaced.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,8 +51,8 @@ RANK_SHIFT = 500.0
 #: Cost of a character without a piece: more than any path around it.
 NO_PIECE_COST = 1000.0
 MAX_BROADCAST = 8_000_000
-CACHE_UNITS = 300_000
-_UNIT = re.compile(rf"\n| ?[^ \n]{{1,{MAX_UNIT - 1}}}| ")
+CACHE_UNITS = 500_000
+_UNIT = re.compile(rf"\n| ?\w{{1,{MAX_UNIT - 1}}}| ?[^\w \n]{{1,{MAX_UNIT - 1}}}| ")
 
 
 def units(text: str | None) -> list[str]:
@@ -75,43 +79,34 @@ def piece_table(spark: SparkSession, path: str) -> tuple[DataFrame, int, int]:
     return table, max(len(r[0]) for r in rows), zero
 
 
-def _best_path(edges: Column, length: Column) -> Column:
-    """Tokens of the best path: piece ids, or minus the place of a character without one.
-
-    ``best`` holds (cost, start, token) of the best way to each place that is
-    done; the edges come in order of their end, so one place is open at a time."""
-    bind = lambda value, f: F.get(F.transform(F.array(value), f), F.lit(0))
+def _best_ways(edges: Column, length: Column) -> Column:
+    """For every place of a unit the best way there: (cost, start, token) of
+    its last edge, the longest piece on ties. A token is a piece id, or minus
+    the place of a character without one."""
     entry = lambda c, i, t: F.struct(c.alias("c"), i.alias("i"), t.alias("t"))
-    none = entry(F.lit(0.0), F.lit(0), F.lit(0))
-    start = F.struct(F.array().cast("array<struct<c:double,i:int,t:int>>").alias("best"), F.lit(0).alias("j"), none.alias("open"))
-
-    def step(acc: Column, e: Column) -> Column:
-        new = e["j"] != acc["j"]
-        done = F.when(new, F.concat(acc["best"], F.array(acc["open"]))).otherwise(acc["best"])
-
-        def choose(best: Column) -> Column:
-            way = entry(F.get(best, e["i"])["c"] + e["cost"], e["i"], e["t"])
-            take = new | (way["c"] < acc["open"]["c"])
-            return F.struct(best.alias("best"), e["j"].alias("j"), F.when(take, way).otherwise(acc["open"]).alias("open"))
+    by_end = F.transform(F.sequence(F.lit(1), length), lambda j: F.filter(edges, lambda e: e["j"] == j))
+    start = F.array(entry(F.lit(0.0), F.lit(0), F.lit(0)))
 
-        return bind(done, choose)
+    def step(best: Column, ending: Column) -> Column:
+        ways = F.transform(ending, lambda e: entry(F.get(best, e["i"])["c"] + e["cost"], e["i"], e["t"]))
+        return F.concat(best, F.array(F.array_min(ways)))
 
-    folded = F.aggregate(edges, start, step, lambda acc: F.concat(acc["best"], F.array(acc["open"])))
+    return F.aggregate(by_end, start, step)
 
-    def back(best: Column) -> Column:
-        begin = F.struct(length.cast("int").alias("at"), F.array().cast("array<int>").alias("path"))
 
-        def hop(acc: Column, _: Column) -> Column:
-            here = F.get(best, acc["at"])
-            on = acc["at"] > 0
-            return F.struct(
-                F.when(on, here["i"]).otherwise(F.lit(0)).alias("at"),
-                F.when(on, F.concat(F.array(here["t"]), acc["path"])).otherwise(acc["path"]).alias("path"),
-            )
+def _path(best: str, length: Column) -> Column:
+    """Tokens of the best way to the end, from first to last."""
+    begin = F.struct(length.cast("int").alias("at"), F.array().cast("array<int>").alias("path"))
 
-        return F.aggregate(F.sequence(F.lit(1), length), begin, hop, lambda acc: acc["path"])
+    def hop(acc: Column, _: Column) -> Column:
+        here = F.get(best, acc["at"])
+        on = acc["at"] > 0
+        return F.struct(
+            F.when(on, here["i"]).otherwise(F.lit(0)).alias("at"),
+            F.when(on, F.concat(F.array(here["t"]), acc["path"])).otherwise(acc["path"]).alias("path"),
+        )
 
-    return bind(folded, back)
+    return F.aggregate(F.sequence(F.lit(1), length), begin, hop, lambda acc: acc["path"])
 
 
 def encode_units(distinct: DataFrame, path: str) -> DataFrame:
@@ -121,9 +116,10 @@ def encode_units(distinct: DataFrame, path: str) -> DataFrame:
     plain = F.when(F.contains(u, F.lit(SPACE_MARK)), F.replace(u, F.lit(SPACE_MARK), F.lit(NO_PIECE))).otherwise(u)
     marked = F.when(F.startswith(plain, F.lit(" ")), F.concat(F.lit(SPACE_MARK), F.substring(plain, 2, MAX_UNIT))).otherwise(plain)
     df = distinct.select("unit", marked.alias("marked"), F.length("unit").alias("n"))
-    df = df.select("unit", "marked", "n", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("s"))
-    df = df.select("unit", "marked", "n", "s", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), F.col("n") - F.col("s") + 1))).alias("k"))
-    df = df.select("unit", "n", "s", "k", F.substr("marked", F.col("s"), F.col("k")).alias("piece"))
+    # One row per start with what follows, then one per length of that.
+    df = df.select("unit", "n", F.posexplode(F.transform(F.sequence(F.lit(1), F.col("n")), lambda s: F.substr("marked", s, F.lit(longest)))).alias("s", "rest"))
+    df = df.select("unit", "n", "s", "rest", F.explode(F.sequence(F.lit(1), F.length("rest"))).alias("k"))
+    df = df.select("unit", "n", (F.col("s") + 1).alias("s"), "k", F.left("rest", "k").alias("piece"))
     df = df.join(F.broadcast(pieces), "piece", "left").where("id IS NOT NULL OR k = 1")
     edge = F.struct(
         (F.col("s") + F.col("k") - 1).alias("j"),
@@ -131,12 +127,13 @@ def encode_units(distinct: DataFrame, path: str) -> DataFrame:
         F.coalesce("cost", F.lit(NO_PIECE_COST)).alias("cost"),
         F.coalesce("id", -F.col("s")).alias("t"),
     )
-    df = df.groupBy("unit", "n").agg(F.array_sort(F.collect_list(edge)).alias("edges"))
+    df = df.groupBy("unit", "n").agg(F.collect_list(edge).alias("edges"))
     as_bytes = lambda t: F.transform(
         F.sequence(F.lit(1), F.octet_length(F.substr("unit", -t, F.lit(1)))),
         lambda i: F.conv(F.substr(F.hex(F.encode(F.substr("unit", -t, F.lit(1)), "UTF-8")), 2 * i - 1, F.lit(2)), 16, 10).cast("int") + zero,
     )
-    df = df.select("unit", _best_path(F.col("edges"), F.col("n")).alias("path"))
+    df = df.select("unit", "n", _best_ways(F.col("edges"), F.col("n")).alias("best"))
+    df = df.select("unit", _path("best", F.col("n")).alias("path"))
     ids = F.flatten(F.transform("path", lambda t: F.when(t >= 0, F.array(t)).otherwise(as_bytes(t))))
     return df.select("unit", F.when(F.exists("path", lambda t: t < 0), ids).otherwise(F.col("path")).alias("ids"))
 
@@ -156,28 +153,37 @@ def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class UnitIds(dict):
-    """Place of each unit's ids in the broadcast table, looked up when first met."""
+    """Place of each unit in the broadcast table. New units are only numbered,
+    and looked up together."""
 
     def __init__(self, code: np.ndarray, first: np.ndarray, pool: np.ndarray):
         super().__init__()
         self.code, self.first, self.pool = code, first, pool
+        self.place, self.new = array("q"), []
 
     def __missing__(self, unit: str) -> int:
-        import xxhash
-
-        code = np.int64(xxhash.xxh64_intdigest(unit.encode(), 42) - (1 << 64) * (xxhash.xxh64_intdigest(unit.encode(), 42) >> 63))
-        self[unit] = k = int(np.searchsorted(self.code, code))
+        self[unit] = k = len(self)
+        self.new.append(unit)
         return k
 
-    def encode(self, text: str) -> np.ndarray:
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, and the number of each text's."""
         if len(self) > CACHE_UNITS:
             self.clear()
-        found = units(text)
-        k = np.fromiter(map(self.__getitem__, found), np.int64, len(found))
-        first = self.first[k]
-        size = self.first[k + 1] - first
+            self.place = array("q")
+        found = [units(t) for t in texts]
+        k = [np.fromiter(map(self.__getitem__, f), np.int64, len(f)) for f in found]
+        if self.new:
+            codes = np.array([xxhash.xxh64_intdigest(u.encode(), 42) for u in self.new], np.uint64)  # Spark's xxhash64
+            self.place.extend(np.searchsorted(self.code, codes.view(np.int64)).tolist())
+            self.new = []
+        at = np.frombuffer(self.place, np.int64)[np.concatenate(k)] if k else np.empty(0, np.int64)
+        first = self.first[at]
+        size = self.first[at + 1] - first
         ends = np.cumsum(size)
-        return self.pool[np.repeat(first - (ends - size), size) + np.arange(ends[-1] if len(k) else 0)]
+        ids = self.pool[np.repeat(first - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
+        bounds = np.concatenate([[0], ends])[np.cumsum([0, *map(len, k)])]
+        return ids, np.diff(bounds)
 
 
 def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids", max_broadcast: int = MAX_BROADCAST) -> DataFrame:
@@ -205,13 +211,25 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "i
 
     @F.arrow_udf("array<int>")
     def ids_of(texts: pa.Array) -> pa.Array:
-        known = UnitIds(*shared.value)
-        out = [None if t is None else known.encode(t).astype(np.int32) for t in texts.to_pylist()]
-        return pa.array(out, pa.list_(pa.int32()))
+        known, raw = _known(shared), texts.to_pylist()
+        parts = [known.encode(raw[a:b]) for a, b in chunks(raw)]
+        ids, size = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.empty(0), np.empty(0, np.int64))
+        bounds = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(bounds), pa.array(ids.astype(np.int32)), mask=texts.is_null())
 
     return docs.withColumn(ids_col, ids_of(F.col(text_col).cast("string")))
 
 
+_held: list = []
+
+
+def _known(shared) -> UnitIds:
+    """The worker's unit places for a broadcast table: they serve task after task."""
+    if not _held or _held[0] is not shared.value:
+        _held[:] = [shared.value, UnitIds(*shared.value)]
+    return _held[1]
+
+
 def _encode_by_join(docs: DataFrame, table: DataFrame, text_col: str, ids_col: str) -> DataFrame:
     rows = docs.withColumn("p_row", F.monotonically_increasing_id()).checkpoint()
 
@@ -247,12 +265,25 @@ def decode(df: DataFrame, path: str, ids_col: str = "ids", text_col: str = "deco
         for i in range(size)
     ]
 
+    pool = np.frombuffer(b"".join(shown), np.uint8)
+    first = np.concatenate([[0], np.cumsum([len(b) for b in shown])])
+
     @F.arrow_udf("string")
     def text_of(ids: pa.Array) -> pa.Array:
-        out = []
-        for row in ids:
-            joined = b"".join([shown[i] for i in row.values.to_pylist()]) if row.is_valid else None
-            out.append(joined if joined is None else joined[1:] if joined[:1] == b" " else joined)
-        return pa.array(out, pa.binary()).cast(pa.string())
+        flat = ids.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        count = np.diff(ids.offsets.to_numpy())
+        count = np.where(ids.is_valid().to_numpy(zero_copy_only=False), count, 0)
+        size = first[flat + 1] - first[flat]
+        ends = np.cumsum(size)
+        raw = pool[np.repeat(first[flat] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
+        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(count)])]
+        # The space that stands before every text goes again.
+        lead = np.zeros(len(count), bool)
+        some = np.flatnonzero(np.diff(bounds) > 0)
+        lead[some] = raw[bounds[some]] == 0x20
+        raw = np.delete(raw, bounds[:-1][lead])
+        bounds = bounds - np.concatenate([[0], np.cumsum(lead)])
+        text = pa.BinaryArray.from_buffers(pa.binary(), len(count), [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(raw))])
+        return pc.if_else(ids.is_valid(), text.cast(pa.string()), pa.scalar(None, pa.string()))
 
     return df.withColumn(text_col, text_of(F.col(ids_col)))
