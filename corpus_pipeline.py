@@ -21,7 +21,7 @@ MIN_SHARE = 0.5
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules."""
-    return quality_rules.judge(docs, "text", "lang").where("kept").select(*docs.columns)
+    return quality_rules.accepted(docs, "text", "lang")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 U64 = np.uint64
 #: Codes that one task holds before it writes its cells.
-CODES_PER_FLUSH = 600_000
+CODES_PER_FLUSH = 250_000
 #: Expected codes of a shard, and text bytes of a bucket of documents.
 CODES_PER_SHARD = 1_500_000
 BYTES_PER_BUCKET = 12 << 20
@@ -66,8 +66,8 @@ def whole_batches(spark: SparkSession) -> None:
     """Arrow batches bounded by bytes as well as by rows: rows carry whole
     texts or packed arrays. Shuffle files of finished queries are removed at
     once, not when the driver happens to collect its garbage."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "256")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
     spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
 
 

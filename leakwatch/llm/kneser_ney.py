@@ -46,6 +46,8 @@ from leakwatch.llm.textcodes import BASE, U64, chunks, mix, window_codes
 ORDER = 5
 S = ["a", "b", "c", "d", "e"]  # the n-gram's characters; lower orders use the last ones
 BEGIN, END = "\x02", "\x03"
+#: Distinct n-grams that a task holds before it writes them.
+GRAMS_PER_FLUSH = 1_000_000
 MAX_BROADCAST = 6_000_000
 MAX_BROADCAST_LANGUAGES = 5000
 
@@ -75,7 +77,7 @@ def _distinct(code: np.ndarray, grams: np.ndarray, n: np.ndarray) -> tuple[np.nd
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct n-grams of a task's texts, written whenever ``CODES_PER_FLUSH`` are held."""
+    """Distinct n-grams of a task's texts, written whenever ``GRAMS_PER_FLUSH`` are held."""
     held: list = []
 
     def rows() -> pa.RecordBatch:
@@ -92,9 +94,9 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             runs = C.runs(code[order])
             pick = at[order[runs[:-1]]]
             held.append((code[order[runs[:-1]]], points[pick[:, None] + np.arange(ORDER)], np.diff(runs)))
-            if sum(len(h[0]) for h in held) > C.CODES_PER_FLUSH:
+            if sum(len(h[0]) for h in held) > GRAMS_PER_FLUSH:
                 held = [_distinct(*(np.concatenate(x) for x in zip(*held, strict=True)))]
-                if len(held[0][0]) > C.CODES_PER_FLUSH // 2:
+                if len(held[0][0]) > GRAMS_PER_FLUSH // 2:
                     yield rows()
                     held = []
     if held:
@@ -256,6 +258,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", max_broadcast:
         n, mean = (np.concatenate(x) if x else np.empty(0) for x in (count, mean))
         return pa.StructArray.from_arrays([pa.array(n.astype(np.int64)), pa.array(mean, mask=n == 0)], fields=list(_ADDED))
 
+    loss = loss.asNondeterministic()  # a filter on the result must not run it again
     out = docs.withColumn("k_loss", loss(F.col(text_col).cast("string")))
     return out.select(*docs.columns, *[F.col("k_loss")[f.name].alias(f.name) for f in ADDED])
 

@@ -211,6 +211,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", penalty: floa
         parts = [identify(raw[a:b], shared.value, penalty) for a, b in chunks(raw, 1 << 20)]
         return pa.concat_arrays(parts) if parts else pa.array([], _PREDICTED)
 
+    found = found.asNondeterministic()  # a filter on the result must not run it again
     kept = docs.drop(*[f.name for f in PREDICTED if f.name != text_col])
     out = kept.withColumn("q_found", found(F.col(text_col).cast("string")))
     return out.select(*kept.columns, *[F.col("q_found")[f.name].alias(f.name) for f in PREDICTED])
