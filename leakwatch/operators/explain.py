@@ -46,8 +46,9 @@ MAX_NODES = 1_000_000
 def tree_nodes(model: RiskModel) -> tuple[list[dict], list[float]]:
     """Node rows of every tree plus the tree weights.
 
-    The model is written under the shared checkpoint folder and its node table
-    read back with Spark; the table is bounded by the tree count and depth.
+    The model is written under the shared checkpoint folder, its node table
+    read back with Spark (it is bounded by the tree count and depth), and the
+    folder removed.
     """
     gbt = booster(model)
     spark = SparkSession.getActiveSession()
@@ -67,6 +68,8 @@ def tree_nodes(model: RiskModel) -> tuple[list[dict], list[float]]:
         F.col("nodeData.split.leftCategoriesOrThreshold").alias("cut"),
         F.col("nodeData.split.numCategories").alias("numCategories"),
     ).collect()
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
     return [r.asDict() for r in rows], list(gbt.treeWeights)
 
 
