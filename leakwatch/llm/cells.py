@@ -12,6 +12,7 @@ a task's memory is bounded by one shard, not by its partition.
 from __future__ import annotations
 
 import ctypes
+import gc
 from collections.abc import Iterator
 from math import ceil
 
@@ -35,12 +36,12 @@ _CELL = pa.schema([("shard", pa.int32()), *((c, pa.binary()) for c in _PARTS)])
 
 
 def _map_large_arrays() -> None:
-    """Arrays of 256 KB and more get pages of their own, which go back to the
+    """Arrays of 64 KB and more get pages of their own, which go back to the
     system when they are freed, instead of fragmenting a worker's heap; Arrow
     buffers come from the same allocator."""
     pa.set_memory_pool(pa.system_memory_pool())
     try:
-        ctypes.CDLL("libc.so.6").mallopt(-3, 1 << 18)  # M_MMAP_THRESHOLD
+        ctypes.CDLL("libc.so.6").mallopt(-3, 1 << 16)  # M_MMAP_THRESHOLD
     except (OSError, AttributeError):  # another C library
         pass
 
@@ -51,6 +52,7 @@ _map_large_arrays()
 def give_back() -> None:
     """Hand freed memory back to the system: a Python worker lives on after
     its task, next to the executor and to other workers."""
+    gc.collect()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
@@ -96,7 +98,8 @@ def deal(df: DataFrame, key: str, n: int, *then: str) -> DataFrame:
 
 def packed(parts: list[np.ndarray]) -> pa.Array:
     """One binary value per array."""
-    return pa.array([memoryview(np.ascontiguousarray(p)).cast("B") for p in parts], pa.binary())
+    bounds = np.concatenate([[0], np.cumsum([p.nbytes for p in parts])])
+    return sliced(np.concatenate([np.ascontiguousarray(p).view(np.uint8) for p in parts]), bounds)
 
 
 def sliced(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
