@@ -117,7 +117,8 @@ def op5_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     good = _table(spark, sf_dir, "labels").where("quality = 1 AND toxic = 0").select("doc_id")
     aside = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
-    model = kneser_ney.learn(docs.join(good.where(~aside), "doc_id", "left_semi"), "text")
+    # The labels grow with the documents: never broadcast them.
+    model = kneser_ney.learn(docs.join(good.where(~aside).hint("merge"), "doc_id", "left_semi"), "text")
     scored = kneser_ney.score(docs, model, "text").drop("text").checkpoint()
     return kneser_ney.classify(scored, good.where(aside), "doc_id", "lang")
 
