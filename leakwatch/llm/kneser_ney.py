@@ -306,7 +306,6 @@ def classify(
     id_col: str = "doc_id",
     lang_col: str = "lang",
     quantile: float = 0.9,
-    margin: float = 0.25,
     min_trusted: int = 50,
     slack: float = 2.0,
 ) -> DataFrame:
@@ -319,6 +318,6 @@ def classify(
     whole = known.agg(at).first()[0]
     small = per_lang.limit(MAX_BROADCAST_LANGUAGES + 1).count() <= MAX_BROADCAST_LANGUAGES
     out = scored.join(F.broadcast(per_lang) if small else per_lang, F.col(lang_col) == F.col("k_lang"), "left")
-    limit = F.coalesce(F.col("k_max"), F.lit(float("inf") if whole is None else whole)) + margin + slack / F.sqrt(F.greatest(F.col("n_symbols"), F.lit(1)))
+    limit = F.coalesce(F.col("k_max"), F.lit(float("inf") if whole is None else whole)) + slack / F.sqrt(F.greatest(F.col("n_symbols"), F.lit(1)))
     kept = [c for c in scored.columns if c not in ("perplexity", "max_perplexity", "kept")]
     return out.select(*kept, F.exp("log_loss").alias("perplexity"), F.exp(limit).alias("max_perplexity"), F.coalesce(F.col("log_loss") <= limit, F.lit(False)).alias("kept"))

@@ -154,3 +154,12 @@ def test_undetermined_texts_and_awkward_rows(spark):
     assert len(got) == len(rows)
     for r in got:
         assert (r.lang_pred == "und") == (not any(c.isalpha() for c in r.text or "")) and 0 <= r.score <= 1
+
+
+def test_threshold_is_the_quantile_and_the_length_slack_alone(spark):
+    rows = [(i, "en", 1_000_000, 1.0 + i / 1000) for i in range(100)] + [(200, "en", 1_000_000, 1.2), (201, "en", 100, 1.2)]
+    scored = spark.createDataFrame(rows, "doc_id long, lang string, n_symbols long, log_loss double")
+    trusted = spark.createDataFrame([(i,) for i in range(100)], "doc_id long")
+    got = {r.doc_id: r for r in K.classify(scored, trusted).collect()}
+    assert not got[200].kept and got[201].kept  # 1.089 + 0.002, and + 0.2
+    assert abs(np.log(got[200].max_perplexity) - 1.089) < 0.005
