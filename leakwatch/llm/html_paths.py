@@ -8,10 +8,13 @@ threshold between the page's mean and its deviation. The content node is the
 deepest element that holds nearly all content blocks; the main text is every
 block in it, short headings, lists and captions included.
 
-What is never article text is left out while reading: scripts, styles, forms
-and other non-text elements, navigation, headers and footers of the page,
-sidebars, and elements whose class, id or role names them as menu, notice,
-advert, comment section and the like.
+What is never article text is left out while reading: scripts, styles and
+other non-text elements, navigation, asides, headers and footers of the page.
+Forms, and elements whose class, id or role has a word for menus, sidebars,
+notices, adverts, comments and the like, are left out unless they are around
+the article: they hold most of the page's text and punctuation, and no longer
+``article`` or ``main`` stands elsewhere. (What readers wrote may be most of a
+page; beside a title elsewhere it is kept only from nine tenths on.)
 
 Defined results: a null or empty html, and a page without text, give an empty
 text; open elements end where their parent or a following block ends them;
@@ -39,8 +42,10 @@ INLINE = set(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
 LEFT_OUT = set(
-    "head title script style noscript template nav footer aside form button select option textarea input label fieldset iframe object embed applet canvas svg math audio video map menu dialog".split()
+    "head title script style noscript template nav footer aside button select option textarea input label iframe object embed applet canvas svg math audio video map menu dialog".split()
 )
+#: Left out like elements with a name of ``NAMES``: unless they are around the article.
+DOUBTFUL = {"form", "fieldset"}
 #: An element ends when one of these opens inside it.
 ENDED_BY = {
     "p": set("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split()),
@@ -60,6 +65,8 @@ NAMES = set(
     .split()
 )
 HEADER_NAMES = {"header", "siteheader", "pageheader"}
+#: Those of what readers write, which may be longer than the article.
+READERS = set("comment comments commentlist disqus replies reply respond discussion feedback responses".split())
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^>"']++|"[^"]*+"|'[^']*+')*+|[^>]*+)(?:>|\Z)""", re.S)
 _NAMED = re.compile(r"""(?:^|[\s"'/])(class|id|role|aria-hidden|hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)|(?=[\s/>]|$))""", re.I)
@@ -74,6 +81,8 @@ class Element:
     path: str
     out: bool
     depth: int
+    #: Words that speak against the element as part of an article.
+    doubt: frozenset[str] = frozenset()
 
 
 @dataclass
@@ -81,23 +90,25 @@ class Page:
     elements: list[Element] = field(default_factory=lambda: [Element("", -1, "", False, 0)])
     #: (element, text) of every block
     blocks: list[tuple[int, str]] = field(default_factory=list)
+    #: For each block its element, and the pieces of its text with theirs.
+    raw: list[tuple[int, list[tuple[int, str]]]] = field(default_factory=list)
 
 
-def _named_out(name: str, rest: str, inside_article: bool) -> bool:
-    """Whether the element's names mark it as no part of an article."""
+def _doubt(name: str, rest: str, inside_article: bool) -> set[str] | None:
+    """The element's names that mark it as no part of an article; None if it is hidden."""
+    doubt: set[str] = set()
     for key, value in _NAMED.findall(rest):
         key, value = key.lower(), value.strip("\"'")
         if key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
-            return True
+            return None
         if key in ("class", "id", "role"):
             if name in ("html", "body", "main", "article") and key != "role":
-                if any(x in ("comment", "comments", "ad", "advert", "sponsored", "promo") for x in _name_words(value)) and name == "article":
-                    return True
+                if name == "article":
+                    doubt |= {"comment", "comments", "ad", "advert", "sponsored", "promo"}.intersection(_name_words(value))
                 continue
             words = set(_name_words(value))
-            if words & NAMES or (not inside_article and words & HEADER_NAMES):
-                return True
-    return False
+            doubt |= words & (NAMES if inside_article else NAMES | HEADER_NAMES)
+    return doubt
 
 
 def _name_words(value: str) -> list[str]:
@@ -112,13 +123,12 @@ def read(html: str) -> Page:
     at, raw_end = 0, None
 
     def block() -> None:
-        words = unescape("".join(text)).split()
-        text.clear()
-        if words:
+        if text:
             owner = stack[-1]
             while elements[owner].name in INLINE:
                 owner = elements[owner].parent
-            page.blocks.append((owner, " ".join(words)))
+            page.raw.append((owner, text.copy()))
+            text.clear()
 
     def pop_to(i: int) -> None:
         if any(elements[e].name not in INLINE for e in stack[i:]):
@@ -131,19 +141,19 @@ def read(html: str) -> Page:
     while True:
         m = _TAG.search(html, at)
         if shown():
-            text.append(html[at : m.start() if m else len(html)])
+            text.append((stack[-1], html[at : m.start() if m else len(html)]))
         if not m:
             break
         at = m.end()
         name = m["name"]
         if name is None:
             if m["cdata"] and shown():
-                text.append(m["cdata"].replace("&", "&amp;"))
+                text.append((stack[-1], m["cdata"].replace("&", "&amp;")))
             continue
         name = name.lower()
         if m["close"]:
             if name == "br":
-                text.append(" ")
+                text.append((stack[-1], " "))
             for i in range(len(stack) - 1, 0, -1):
                 if elements[stack[i]].name == name:
                     pop_to(i)
@@ -152,7 +162,7 @@ def read(html: str) -> Page:
                     break  # a stray inline end does not close blocks
             continue
         if name == "br":
-            text.append(" ")
+            text.append((stack[-1], " "))
             continue
         for i in range(len(stack) - 1, 0, -1):
             here = elements[stack[i]].name
@@ -163,15 +173,14 @@ def read(html: str) -> Page:
                 break
         if name not in INLINE:
             block()
-        if name in VOID or (m["rest"].endswith("/") and name in LEFT_OUT):
+        if name in VOID or (m["rest"].endswith("/") and name in LEFT_OUT | DOUBTFUL):
             continue
         up = elements[stack[-1]]
         inside = "/article" in up.path or "/main" in up.path
-        out = up.out or name in LEFT_OUT or (name == "header" and not inside) or (bool(m["rest"]) and _named_out(name, m["rest"], inside))
+        doubt = _doubt(name, m["rest"], inside) if m["rest"] else set()
+        out = up.out or name in LEFT_OUT or (name == "header" and not inside) or doubt is None
         path = up.path if name in INLINE else f"{up.path}/{name}"
-        if out and shown():
-            block() if name not in INLINE else None
-        elements.append(Element(name, stack[-1], path, out, up.depth + 1))
+        elements.append(Element(name, stack[-1], path, out, up.depth + 1, frozenset((doubt or set()) | ({name} & DOUBTFUL))))
         stack.append(len(elements) - 1)
         if name in RAW:
             raw_end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(html, at)
@@ -179,9 +188,50 @@ def read(html: str) -> Page:
             pop_to(len(stack) - 1)
     pop_to(1)
     block()
+    _settle(page)
     return page
 
 
+def _settle(page: Page) -> None:
+    """Leave the doubtful elements out that are not around the article, and put the blocks together."""
+    elements = page.elements
+    length, marks = [0] * len(elements), [0] * len(elements)
+    if any(e.doubt for e in elements):
+        for _, pieces in page.raw:
+            for e, t in pieces:
+                t = " ".join(unescape(t).split())
+                length[e] += len(t)
+                marks[e] += len(_MARKS.findall(t))
+        for i in range(len(elements) - 1, 0, -1):
+            length[elements[i].parent] += length[i]
+            marks[elements[i].parent] += marks[i]
+    ends = list(range(1, len(elements) + 1))  # an element's descendants follow it up to here
+    for i in range(len(elements) - 1, 0, -1):
+        ends[elements[i].parent] = max(ends[elements[i].parent], ends[i])
+    marked = [k for k, e in enumerate(elements) if e.name in ("article", "main", "h1") and not e.out and not e.doubt]
+    for i in range(1, len(elements)):
+        e = elements[i]
+        e.out = e.out or elements[e.parent].out or (bool(e.doubt) and not _around(elements, i, ends, marked, length, marks))
+    for owner, pieces in page.raw:
+        words = unescape("".join(t for e, t in pieces if not elements[e].out)).split()
+        if words:
+            page.blocks.append((owner, " ".join(words)))
+
+
+def _around(elements: list[Element], i: int, ends: list[int], marked: list[int], length: list[int], marks: list[int]) -> bool:
+    """Whether a doubtful element is around the article: it holds most of the
+    page's text and punctuation, and the article is not elsewhere."""
+    if 2 * length[i] <= length[0] or (marks[0] and 2 * marks[i] <= marks[0]):
+        return False
+    within = [length[k] for k in marked if i < k < ends[i] and elements[k].name != "h1"]
+    elsewhere = [k for k in marked if (k >= ends[i] or ends[k] <= i) and not elements[k].out]
+    longest = max((length[k] for k in elsewhere if elements[k].name != "h1"), default=0)
+    if within or 10 * longest >= length[0]:
+        return max(within, default=0) >= longest
+    title = any(elements[k].name == "h1" and length[k] for k in elsewhere)
+    return not (elements[i].doubt & READERS and title and 10 * length[i] < 9 * length[0])
+
+
 def _smooth(x: np.ndarray) -> np.ndarray:
     """Weighted mean of each value and its neighbours (Gaussian, radius 2)."""
     weights = np.exp(-np.arange(-2, 3) ** 2 / 2.0)

@@ -149,3 +149,21 @@ def test_pages_of_the_table(spark):
 def test_long_page_with_many_open_quotes_is_read_in_time():
     assert html_paths.main_text("<p>" + "<a href='x>" * 2000 + "text") is not None
     assert np.isfinite(len(html_paths.main_text("<div>" * 3000 + "deep, text.")))
+
+
+def test_names_of_what_is_around_the_article():
+    story = "<h1>Head</h1><p>First, a long paragraph, with commas, and a stop.</p><p>Second one, long enough, too. And more, of it.</p>"
+    want = "Head\n\nFirst, a long paragraph, with commas, and a stop.\n\nSecond one, long enough, too. And more, of it."
+    side = '<div class="sidebar"><p>Other things, in short.</p></div>'
+    talk = '<div id="comments"><p>Great, really great, thanks, all! More, of it, please, soon, and often.</p></div>'
+    for begin, end in [
+        ('<div class="content-sidebar-wrap">', "</div>"), ('<div id="page" class="has-sidebar">', "</div>"), ('<section class="post-with-comments">', "</section>"),
+        ('<form action="x.aspx"><fieldset>', "</fieldset></form>"), ('<span class="widget">', "</span>"), ('<div class="share"><div class="related">', "</div></div>"),
+    ]:
+        for inner in (story, f"<article>{story}</article>"):
+            assert html_paths.main_text(f"<body>{begin}{inner}{side}{talk}{end}</body>") == want, begin
+    # Comments longer than the article are still left out, and so is a form beside it.
+    for inner in (story, f"<article>{story}</article>"):
+        assert html_paths.main_text(f"<body><div>{inner}</div>{talk.replace('</p>', '</p>' + '<p>Yes, indeed, so it is.</p>' * 9)}<form><p>Sign up, now.</p></form></body>") == want
+    cards = '<div class="related">' + "<article><h2>Other</h2><p>One, more, story, elsewhere.</p></article>" * 9 + "</div>"
+    assert html_paths.main_text(f"<body><article>{story}</article>{cards}</body>") == want
