@@ -4,9 +4,11 @@ A page is read once into its text blocks, each with its root-to-leaf path of
 block tags. Text length and punctuation are summed per path and divided by
 the path's number of blocks; the two ratios are smoothed along the page,
 fused by their product, and a path is content if its fused ratio reaches a
-threshold between the page's mean and its deviation. The content node is the
-deepest element that holds nearly all content blocks; the main text is every
-block in it, short headings, lists and captions included.
+threshold between the page's mean and its deviation. The main text is every
+block of a content path; every other block of a content node (the deepest
+element that holds nearly all content, the containers of what lies outside it,
+and the ``article`` around any of them), short headings, lists and captions
+included; and headings and paragraphs next to those.
 
 What is never article text is left out while reading: scripts, styles and
 other non-text elements, navigation, asides, headers and footers of the page.
@@ -68,6 +70,13 @@ HEADER_NAMES = {"header", "siteheader", "pageheader"}
 #: Those of what readers write, which may be longer than the article.
 READERS = set("comment comments commentlist disqus replies reply respond discussion feedback responses".split())
 
+#: Elements of text, not containers of it.
+LEAVES = set("p blockquote pre li ul ol td tr tbody table h1 h2 h3 h4 h5 h6".split())
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+PARAGRAPHS = {"p", "blockquote", "pre", "figcaption"}
+#: Blocks looked at on either side of kept ones, and characters of a short block.
+NEXT_TO, SHORT = 5, 200
+
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^>"']++|"[^"]*+"|'[^']*+')*+|[^>]*+)(?:>|\Z)""", re.S)
 _NAMED = re.compile(r"""(?:^|[\s"'/])(class|id|role|aria-hidden|hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)|(?=[\s/>]|$))""", re.I)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
@@ -255,25 +264,79 @@ def content_paths(page: Page) -> np.ndarray:
     return fused[at] >= threshold
 
 
-def content_node(page: Page, content: np.ndarray, share: float = 0.9) -> int:
-    """The deepest element that holds at least ``share`` of the content text."""
-    held: dict[int, int] = {}
-    total = 0
+def _container(page: Page, e: int) -> int:
+    """The block around a paragraph: it is a leaf, not a container."""
+    while page.elements[e].name in LEAVES:
+        e = page.elements[e].parent
+    return e
+
+
+def content_nodes(page: Page, content: np.ndarray, share: float = 0.9) -> set[int]:
+    """Elements taken whole: the deepest that holds at least ``share`` of the
+    content text, if it is less than the page, and of what lies outside the
+    first containers of paragraphs whose text is mostly content. A node in an
+    ``article`` stands for all of that."""
+    elements = page.elements
+    held, text, own = ([0] * len(elements) for _ in range(3))
     for (e, t), on in zip(page.blocks, content, strict=True):
+        text[e] += len(t)
         if on:
-            total += len(t)
-            while e >= 0:
-                held[e] = held.get(e, 0) + len(t)
-                e = page.elements[e].parent
-    fit = [e for e, n in held.items() if n >= share * total]
-    best = max(fit, key=lambda e: (page.elements[e].depth, -e))
-    # One paragraph is a leaf, not a container: climb to the block around it.
-    while page.elements[best].name in ("p", "blockquote", "pre", "li", "ul", "ol", "td", "tr", "tbody", "table", "h1", "h2", "h3", "h4", "h5", "h6"):
-        best = page.elements[best].parent
-    for e in range(len(page.elements)):  # the page's own statement of where the article is
-        if page.elements[e].name == "article" and held.get(e, 0) >= 0.5 * total:
-            return e
-    return best
+            held[e] += len(t)
+            own[_container(page, e)] += len(t)
+    for i in range(len(elements) - 1, 0, -1):
+        held[elements[i].parent] += held[i]
+        text[elements[i].parent] += text[i]
+    best = _container(page, max((e for e in range(len(elements)) if held[e] >= share * held[0]), key=lambda e: (elements[e].depth, -e)))
+    nodes = {best} if elements[best].name not in ("", "html", "body") or own[best] > (1 - share) * held[0] else set()
+    above, e = set(), best
+    while e >= 0:
+        above.add(e)
+        e = elements[e].parent
+    taken = [False] * len(elements)
+    for i, e in enumerate(elements):
+        taken[i] = i in nodes or (e.parent >= 0 and taken[e.parent])
+        if not taken[i] and i not in above and own[i] and 2 * held[i] >= text[i]:
+            nodes.add(i)
+            taken[i] = True
+    article = [-1] * len(elements)
+    for i, e in enumerate(elements[1:], 1):
+        article[i] = i if e.name == "article" else article[e.parent]
+    return {article[e] if article[e] >= 0 else e for e in nodes}
+
+
+def _next_to(page: Page, kept: list[bool]) -> list[bool]:
+    """``kept`` with the headings before kept blocks, the short blocks between
+    the two, and the paragraphs beside kept blocks."""
+    elements, blocks, out = page.elements, page.blocks, list(kept)
+
+    def above(e: int) -> set[int]:
+        found = set()
+        while e >= 0:
+            found.add(e)
+            e = elements[e].parent
+        return found
+
+    for s in [i for i in range(1, len(kept)) if kept[i] and not kept[i - 1]]:
+        around, beside = above(blocks[s][0]), True
+        for i in range(s - 1, max(-1, s - 1 - NEXT_TO), -1):
+            e, t = blocks[i]
+            if kept[i] or len(t) > SHORT and not (beside and elements[e].name in PARAGRAPHS):
+                break
+            c = _container(page, e)
+            near = c in around
+            if elements[e].name in HEADINGS and (near or elements[c].parent in around):
+                out[i:s] = [True] * (s - i)  # the last one found is the first of them
+            beside = beside and near and elements[e].name in PARAGRAPHS
+            out[i] = out[i] or beside
+    for s in [i for i in range(len(kept) - 1) if kept[i] and not kept[i + 1]]:
+        around = above(blocks[s][0])
+        for i in range(s + 1, min(len(kept), s + 1 + NEXT_TO)):
+            e, _ = blocks[i]
+            if kept[i] or _container(page, e) not in around or elements[e].name not in PARAGRAPHS | HEADINGS:
+                break
+            if elements[e].name in PARAGRAPHS:
+                out[s + 1 : i + 1] = [True] * (i - s)
+    return out
 
 
 def main_text(html: str | None) -> str:
@@ -283,11 +346,13 @@ def main_text(html: str | None) -> str:
     page = read(html)
     if not page.blocks:
         return ""
-    node = content_node(page, content_paths(page))
+    content = content_paths(page)
+    nodes = content_nodes(page, content)
     inside = [False] * len(page.elements)
     for i, e in enumerate(page.elements):
-        inside[i] = i == node or (e.parent >= 0 and inside[e.parent])
-    return "\n\n".join(t for e, t in page.blocks if inside[e])
+        inside[i] = i in nodes or (e.parent >= 0 and inside[e.parent])
+    kept = _next_to(page, [bool(on) or inside[e] for (e, _), on in zip(page.blocks, content, strict=True)])
+    return "\n\n".join(t for (_, t), on in zip(page.blocks, kept, strict=True) if on)
 
 
 def extract(pages: DataFrame, html_col: str = "html", text_col: str = "text") -> DataFrame:

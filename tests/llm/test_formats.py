@@ -167,3 +167,17 @@ def test_names_of_what_is_around_the_article():
         assert html_paths.main_text(f"<body><div>{inner}</div>{talk.replace('</p>', '</p>' + '<p>Yes, indeed, so it is.</p>' * 9)}<form><p>Sign up, now.</p></form></body>") == want
     cards = '<div class="related">' + "<article><h2>Other</h2><p>One, more, story, elsewhere.</p></article>" * 9 + "</div>"
     assert html_paths.main_text(f"<body><article>{story}</article>{cards}</body>") == want
+
+
+def test_nothing_of_the_main_text_lies_outside_the_nodes():
+    long = [f"Paragraph {i}, of the story, with commas, and a stop. It goes on, and on, for a while, and then it ends." for i in range(14)]
+    body = lambda part: "".join(f"<p>{t}</p>" for t in part)
+    lead = "A lead, in short, of all that follows."
+    beside = '<div class="links"><span>Home</span></div>'
+    for around in ("{}", "<div>{}</div>", "<article>{}</article>"):
+        page = f"<body>{beside}{around.format(f'<h1>Head</h1><p>{lead}</p><div class=body>{body(long)}</div>')}</body>"
+        assert html_paths.main_text(page) == "\n\n".join(["Head", lead, *long]), around
+    two = f"<body>{beside}<article><h1>One</h1>{body(long[:8])}<ul><li>item</ul></article>{beside}<article><h2>Two</h2>{body(long[8:])}</article></body>"
+    assert html_paths.main_text(two) == "\n\n".join(["One", *long[:8], "item", "Two", *long[8:]])
+    boxed = f"<body>{beside}<div class=top><h1>Head</h1></div><div class=by>By X</div><div class=body>{body(long)}</div></body>"
+    assert html_paths.main_text(boxed) == "\n\n".join(["Head", "By X", *long])
