@@ -94,8 +94,10 @@ def unit(vectors: list, width: int) -> np.ndarray:
     return out / np.sqrt((out * out).sum(1, keepdims=True))
 
 
-def fit(sample: list, n_rows: int, cos: float, deviations: float | None = None) -> Index:
+def fit(sample: list, n_rows: int, cos: float, deviations: float | None = None, longest: int = 1) -> Index:
+    """``longest``: entries of the longest vector of all, sampled or not."""
     width = -(-max((len(v) for v in sample), default=1) // SUBSPACES) * SUBSPACES
+    width = max(width, -(-longest // SUBSPACES) * SUBSPACES)
     x = unit(sample, width) if sample else np.zeros((1, width))
     lists = int(min(MAX_LISTS, max(1, sqrt(n_rows) / 2), len(x)))
     c = k_means(x, lists)
@@ -103,7 +105,7 @@ def fit(sample: list, n_rows: int, cos: float, deviations: float | None = None)
     step = width // SUBSPACES
     words = [k_means(rest[:, i * step : (i + 1) * step], min(CODEWORDS, len(x)), seed=11 + i) for i in range(SUBSPACES)]
     reach = sqrt(max(0.0, 2 - 2 * cos))
-    margin = reach if deviations is None else reach * min(1.0, deviations / sqrt(width))
+    margin = reach if deviations is None else reach * min(1.0, deviations / sqrt(min((len(v) for v in sample), default=width)))
     return Index(c, np.stack(words), reach, margin)
 
 
@@ -238,7 +240,8 @@ def near_duplicates(
     usable = F.coalesce(sound & F.exists("vector", lambda v: v != 0), F.lit(False))
     entries = rows.where(usable).groupBy("label", "vector").agg(F.min("id").alias("id"), F.count("*").alias("weight")).checkpoint()
     picked = entries.orderBy(F.xxhash64("id"), "id").limit(sample_rows).select("vector").toArrow()  # bounded by sample_rows
-    index = fit(picked["vector"].to_pylist(), entries.count(), cos, deviations)
+    size, longest = entries.agg(F.count("*"), F.max(F.size("vector"))).first()
+    index = fit(picked["vector"].to_pylist(), size, cos, deviations, longest or 1)
     shared = spark.sparkContext.broadcast(index)  # at most MAX_LISTS + CODEWORDS vectors
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

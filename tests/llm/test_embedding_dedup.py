@@ -69,3 +69,11 @@ def test_lookup_distance_is_the_distance_to_the_coded_vector():
 
 def test_empty_table(spark):
     assert E.near_duplicates(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_vectors_longer_than_any_sampled_one(spark):
+    vectors, rows = table(spark, 200)
+    more = [(2000 + i, [1.0] * 40 + [float(i % 2)] * 20, 1, None, None) for i in range(4)]
+    for sample_rows in (1, 30):
+        got = E.near_duplicates(vectors.union(spark.createDataFrame(more, SCHEMA)), deviations=None, sample_rows=sample_rows).collect()
+        assert sorted((tuple(r) for r in got), key=str) == expected(rows + more)
