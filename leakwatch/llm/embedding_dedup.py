@@ -8,11 +8,10 @@ codeword of each subspace. The index is fitted on ``sample_rows`` vectors
 
 A vector probes every list that can hold a partner: its distance to the plane
 halfway between its own and another centroid is what a partner must cross. If
-that is more than ``r``, no vector of the list is in reach; as a partner's
-offset in one direction is about ``r / sqrt(dimensions)``, ``deviations``
-times that is enough for nearly all (3.5: one partner in some thousands is
-missed, if it lies in another list at all; ``deviations=None`` probes to the
-full ``r`` and misses none). In a list, table lookups give the distance of the
+that is more than ``r``, no vector of the list is in reach, and no link is
+missed. If partners' offsets are alike in all directions, one of them is about
+``r / sqrt(dimensions)``, and ``deviations`` times that reaches nearly all with
+fewer probes; of skewed vectors it misses up to some hundredths. In a list, table lookups give the distance of the
 query to the coded vectors; as the coded vector is a known error away from
 the real one, a lookup distance above ``r`` plus that error rules a vector
 out without fail, and the rest are ranked by exact cosine in double precision.
@@ -228,7 +227,7 @@ def near_duplicates(
     label_col: str = "label",
     cos: float = 0.93,
     sample_rows: int = SAMPLE_ROWS,
-    deviations: float | None = 3.5,
+    deviations: float | None = None,
 ) -> DataFrame:
     """(id_col, n_links, component_id, kept) of every row."""
     spark = vectors.sparkSession

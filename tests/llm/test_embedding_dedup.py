@@ -1,3 +1,5 @@
+import inspect
+
 import numpy as np
 import pytest
 from helpers import components, rng
@@ -77,3 +79,20 @@ def test_vectors_longer_than_any_sampled_one(spark):
     for sample_rows in (1, 30):
         got = E.near_duplicates(vectors.union(spark.createDataFrame(more, SCHEMA)), deviations=None, sample_rows=sample_rows).collect()
         assert sorted((tuple(r) for r in got), key=str) == expected(rows + more)
+
+
+def test_skewed_vectors_miss_no_link():
+    r = rng(1)
+    spread = np.arange(1, 65) ** -1.5
+    base = r.normal(size=(2250, 64)) * spread
+    of = r.integers(len(base), size=750)
+    x = E.unit(list(np.concatenate([base, base[of] + r.normal(size=(750, 64)) * spread * 0.3])), 64)
+    a, b = of, np.arange(len(base), len(x))
+    near = (x[a] * x[b]).sum(1) >= 0.93
+    a, b = a[near], b[near]
+    default = inspect.signature(E.near_duplicates).parameters["deviations"].default
+    index = E.fit(list(x), len(x), 0.93, default)
+    home = E._nearest(x, index.centroids)
+    probed = set(zip(*(c.tolist() for c in E.probes(x, home, index)), strict=True))
+    later, early = np.where(home[a] >= home[b], [a, b], [b, a])
+    assert len(a) > 300 and all((int(i), int(home[j])) in probed for i, j in zip(later, early, strict=True))
