@@ -181,3 +181,18 @@ def test_nothing_of_the_main_text_lies_outside_the_nodes():
     assert html_paths.main_text(two) == "\n\n".join(["One", *long[:8], "item", "Two", *long[8:]])
     boxed = f"<body>{beside}<div class=top><h1>Head</h1></div><div class=by>By X</div><div class=body>{body(long)}</div></body>"
     assert html_paths.main_text(boxed) == "\n\n".join(["Head", "By X", *long])
+
+
+def test_ids_are_the_best_path_of_the_whole_text(spark):
+    path = tokenizer("piece_bpe_32k.model")
+    rows, zero = L.pieces_of(path)
+    pieces, longest = {p: (i, c) for p, i, c in rows}, max(len(p) for p, _, _ in rows)
+    size = {i: len(p) for p, i, _ in rows}
+    texts = [
+        "    if x:\n\t        return a_b_{c}._d_->e", "=" * 300, "0123456789abcdef" * 40 + " z" + " " * 70, "中文字" * 60, "a" * 47 + "bcd" * 30, "▁▁ x  y ▁", "snake__case, and more.",
+    ]
+    whole = [L.fold(" " + t, pieces, longest, zero) for t in texts]
+    for bound in (L.MAX_BROADCAST, 0):
+        got = L.decode(L.encode(spark.createDataFrame(list(enumerate(texts)), "i int, text string"), path, max_broadcast=bound), path).collect()
+        assert all(r.ids == whole[r.i] and r.decoded == r.text for r in got) and len(got) == len(texts)
+    assert any(rows_of > 1 for rows_of in (size.get(i, 0) for i in whole[0])) and any(set(p) == {"▁"} and len(p) > 2 for p, i, _ in rows if i in whole[0] + whole[2])
