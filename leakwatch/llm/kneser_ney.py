@@ -161,7 +161,7 @@ class Lookup:
     def __init__(self, code: np.ndarray, value: np.ndarray):
         size = 1 << max(4, int(2 * len(code)).bit_length())
         self.mask = U64(size - 1)
-        self.code, self.value, self.full = np.zeros(size, U64), np.zeros(size, np.float32), np.zeros(size, bool)
+        self.code, self.value, self.full = np.zeros(size, U64), np.zeros(size), np.zeros(size, bool)
         todo, slot = np.arange(len(code)), code & self.mask
         while len(todo):
             free = ~self.full[slot[todo]]
@@ -177,7 +177,7 @@ class Lookup:
         """Value of each code (0 if it has none), and whether it has one."""
         slot = code & self.mask
         value, found = self.value[slot], self.full[slot] & (self.code[slot] == code)
-        value = np.where(found, value, np.float32(0))
+        value = np.where(found, value, 0.0)
         todo = np.flatnonzero(self.full[slot] & ~found)
         while len(todo):
             slot[todo] = (slot[todo] + U64(1)) & self.mask
@@ -199,7 +199,7 @@ def _code(grams: np.ndarray) -> np.ndarray:
 def _table(df: DataFrame, columns: list[str], value: str) -> Lookup:
     t = df.toArrow()  # the caller has checked the size
     grams = np.stack([t[c].to_numpy() for c in columns], 1) if columns else np.zeros((len(t), 0), np.int64)
-    return Lookup(_code(grams), t[value].to_numpy().astype(np.float32))
+    return Lookup(_code(grams), t[value].to_numpy())
 
 
 @dataclass
@@ -211,8 +211,7 @@ class Tables:
     def log_p(self, points: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Log probability of the last character of each window."""
         value, found = self.grams[ORDER].get(window_codes(points.astype(U64), ORDER)[at])
-        out = value.astype(np.float64)
-        todo = np.flatnonzero(~found)
+        out, todo = value, np.flatnonzero(~found)
         seen = points[at[todo][:, None] + np.arange(ORDER)]
         for k in range(ORDER, 1, -1):
             if not len(todo):

@@ -163,3 +163,10 @@ def test_threshold_is_the_quantile_and_the_length_slack_alone(spark):
     got = {r.doc_id: r for r in K.classify(scored, trusted).collect()}
     assert not got[200].kept and got[201].kept  # 1.089 + 0.002, and + 0.2
     assert abs(np.log(got[200].max_perplexity) - 1.089) < 0.005
+
+
+def test_both_paths_have_the_same_precision(spark):
+    docs, rows = documents(spark, n=20)
+    model = K.learn(spark.createDataFrame([(r[1],) for r in rows[::2]], "text string"))
+    wide, joined = (sorted((str(r.doc_id), str(r.text), str(r.source), r.log_loss or 0.0) for r in K.score(docs, model, max_broadcast=b).collect()) for b in (K.MAX_BROADCAST, 0))
+    assert all(a[:3] == b[:3] and abs(a[3] - b[3]) < 1e-12 for a, b in zip(wide, joined, strict=True))
