@@ -15,8 +15,12 @@ from leakwatch.llm import (
     packing,
     quality_rules,
     sentencepiece_lattice,
+    source_audit,
     substring_dedup,
+    text_tries,
+    token_counts,
 )
+from leakwatch.llm.tables import remove, shared_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -239,6 +243,100 @@ WITH RECURSIVE w AS (
 SELECT a AS doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(b) AS component_id FROM reach LEFT JOIN n ON n.doc_id = a GROUP BY a
 """
 
+
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cache is new and empty, so every distinct text is encoded; it is removed after use."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = shared_path(spark, "token_counts")
+    out = token_counts.count_tokens(docs, token_counts.DigestCache(spark, path), tokenizer("byte_bpe_50k.json"))
+    out = out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit")).checkpoint()
+    remove(spark, path)
+    return out
+
+
+def op12_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.audit(_table(spark, sf_dir, "documents").select("text", "lang", "source"), min_docs=30, top=50)
+
+
+OP12_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(text, '') AS t, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents
+), u AS (
+  SELECT r, lang, source, unnest(regexp_extract_all(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+), kept AS (
+  SELECT lang, term, count(*)::HUGEINT AS n FROM u GROUP BY ALL HAVING count(DISTINCT r) >= 30
+), v AS (
+  SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS total FROM kept GROUP BY lang
+), g AS (
+  SELECT DISTINCT lang, source FROM d
+), c AS (
+  SELECT lang, source, term, count(*)::HUGEINT AS n FROM u JOIN kept USING (lang, term) GROUP BY ALL
+), total AS (
+  SELECT lang, source, coalesce(sum(c.n), 0)::HUGEINT AS total FROM g LEFT JOIN c USING (lang, source) GROUP BY ALL
+), p AS (
+  SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS n, 1 + (1000000000 * (coalesce(c.n, 0) + 5)) // (total.total + 5 * v.v) AS p,
+    1 + (1000000000 * (kept.n + 5)) // (v.total + 5 * v.v) AS q
+  FROM g JOIN total USING (lang, source) JOIN v USING (lang) JOIN kept USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term
+), pair AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(sum(abs(x.p - y.p)), 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN p x ON x.lang = a.lang AND x.source = a.source LEFT JOIN p y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term GROUP BY ALL
+), both_parts AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pair
+  UNION ALL SELECT lang, source, 'term', term, (p - q)::BIGINT FROM p WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank FROM both_parts
+)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return text_tries.audit(docs, _table(spark, sf_dir, "labels"))
+
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), least_id AS (
+  SELECT t, min(doc_id) AS first_id FROM d GROUP BY t
+), l AS (
+  SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id
+), m AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(l.toxic, 0) AS toxic,
+    (len(w) < 100)::INT + 2 * (100 * len(list_distinct(w)) < 80 * len(w))::INT
+    + 4 * (100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 10 * length(t))::INT
+    + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * coalesce(doc_id > first_id, false)::INT AS mask
+  FROM d JOIN least_id USING (t) LEFT JOIN l USING (doc_id)
+), c AS (
+  SELECT part, mask, good, toxic, count(*) AS n FROM m GROUP BY ALL
+), f AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+), o AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM f a, f b, f c, f d, f e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), bits AS (
+  SELECT filter_order, step, (1 << (instr('ABCDE', substr(filter_order, step, 1)) - 1))::INT AS own,
+    list_sum(list_transform(range(1, step), lambda k: (1 << (instr('ABCDE', substr(filter_order, k::INT, 1)) - 1))::INT))::INT AS earlier
+  FROM (SELECT filter_order, unnest(range(1, 6))::INT AS step FROM o)
+), b AS (
+  SELECT filter_order, step, own, coalesce(earlier, 0) AS earlier FROM bits
+), r AS (
+  SELECT part, filter_order, step, own, sum(n) FILTER (mask & (own | earlier) = 0) AS kept,
+    sum(n) FILTER (mask & own > 0 AND mask & earlier = 0) AS removed, sum(n) FILTER (mask & own > 0 AND mask & earlier > 0) AS redundant,
+    sum(n) FILTER (mask = own) AS unique_fails, sum(n) FILTER (mask & own > 0 AND mask & earlier = 0 AND good = 1) AS good_lost,
+    sum(n) FILTER (mask & own > 0 AND mask & earlier = 0 AND toxic = 1) AS toxic_lost
+  FROM c, b GROUP BY ALL
+)
+SELECT part, filter_order, step::INTEGER AS step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+  coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails, coalesce(good_lost, 0)::BIGINT AS good_lost,
+  coalesce(toxic_lost, 0)::BIGINT AS toxic_lost, coalesce(sum(removed) OVER (PARTITION BY part, own), 0)::BIGINT AS shapley
+FROM r
+"""
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_chat_perspectives": op2_chat_perspectives,
@@ -250,6 +348,9 @@ QUERIES = {
     "op8_language_mixture": op8_language_mixture,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_ngram_join": op10_ngram_join,
+    "op11_token_counts": op11_token_counts,
+    "op12_source_audit": op12_source_audit,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 ORACLE = {
@@ -258,4 +359,6 @@ ORACLE = {
     "op3_embedding_dedup": OP3_SQL,
     "op6_quality_rules": OP6_SQL,
     "op10_ngram_join": OP10_SQL,
+    "op12_source_audit": OP12_SQL,
+    "op13_filter_audit": OP13_SQL,
 }

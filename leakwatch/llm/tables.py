@@ -1,18 +1,46 @@
-"""Intermediate tables in the folder that driver and executors share."""
+"""Intermediate tables in the folder that driver and executors share, and
+session settings that hold for one step only."""
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet under the shared checkpoint folder, and read again."""
-    spark = df.sparkSession
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path under the shared checkpoint folder."""
     root = spark.sparkContext.getCheckpointDir()
     if not root:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    path = f"{root}/{name.replace(' ', '_')}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.parquet(path)
+    return f"{root}/{name.replace(' ', '_')}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
+    """``df`` written as Parquet under the shared checkpoint folder, and read again."""
+    path = shared_path(df.sparkSession, name)
+    (df.write.option("compression", codec) if codec else df.write).parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this process has made."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int, size: int) -> Iterator[None]:
+    """Arrow batches of at most so many rows and about so many bytes for the
+    jobs that run inside; the session is left as it was."""
+    wanted = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows), "spark.sql.execution.arrow.maxBytesPerBatch": str(size)}
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
