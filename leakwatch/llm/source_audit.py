@@ -32,8 +32,8 @@ other columns, whatever their names, are not read.
 
 from __future__ import annotations
 
+import json
 import re
-from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -45,67 +45,82 @@ from leakwatch.llm import cells as C
 from leakwatch.llm.tables import arrow_batches, written
 from leakwatch.llm.textcodes import mix
 
-BATCH_BYTES = 12 << 20
+BATCH_BYTES = 32 << 20
 #: A longer text is counted in slices that end at white space.
 SLICE = 1 << 20
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 TILE = 256
-#: Groups that may be broadcast, at some 100 bytes each; more are joined by key.
-MAX_BROADCAST = 200_000
+#: Bytes of a table that may be broadcast; a larger one is joined by key.
+MAX_BROADCAST = 32 << 20
 #: Kept terms of a language that one task adds up for two tiles.
 TERMS_PER_SHARD = 20_000
 
 #: One row per batch (no chunk: its counts, packed) and one per distinct chunk of it.
-_BATCH = "batch long, chunk string, number int, n_docs long, docs binary, chunks binary, counts binary, langs array<string>, sources array<string>"
+_BATCH = "batch long, chunk string, number int, n_docs long, docs binary, chunks binary, counts binary, groups binary"
 _BATCH_ARROW = pa.schema(
-    [("batch", pa.int64()), ("chunk", pa.string()), ("number", pa.int32()), ("n_docs", pa.int64()), *((c, pa.binary()) for c in ("docs", "chunks", "counts")), *((c, pa.list_(pa.string())) for c in ("langs", "sources"))]
-)
+    [("batch", pa.int64()), ("chunk", pa.string()), ("number", pa.int32()), ("n_docs", pa.int64()), *((c, pa.binary()) for c in ("docs", "chunks", "counts", "groups"))]
+)
 _USE = "lang string, source string, term string, n long, n_docs long"
 
 
-def chunk_counts(text: bytes) -> Counter:
-    """Occurrences of each white-space chunk of a text."""
-    if len(text) <= SLICE:
-        return Counter(text.split())
-    out, start = Counter(), 0
-    while start < len(text):
-        cut = _SPACE.search(text, min(start + SLICE, len(text)))
-        stop = cut.start() if cut else len(text)
-        out.update(text[start:stop].split())
-        start = stop + 1
-    return out
+class Numbers(dict):
+    """Numbers of chunks in the order of their first use."""
+
+    def __missing__(self, chunk: bytes) -> int:
+        self[chunk] = k = len(self)
+        return k
+
+    def of(self, text: bytes) -> np.ndarray:
+        """The number of each white-space chunk of a text."""
+        out, start = [np.empty(0, np.int64)], 0
+        while start < len(text):
+            cut = _SPACE.search(text, start + SLICE) if len(text) - start > SLICE else None
+            stop = cut.start() if cut else len(text)
+            words = text[start:stop].split()
+            out.append(np.fromiter(map(self.__getitem__, words), np.int64, len(words)))
+            start = stop + 1
+        return np.concatenate(out)
 
 
 class _Batch:
     """Chunks of some documents: their numbers, and counts per document."""
 
     def __init__(self):
-        self.number: dict[bytes, int] = {}
-        self.groups: dict[tuple[str, str], int] = {}
-        self.group, self.size, self.chunk, self.count, self.bytes = [], [], [], [], 0
+        self.number, self.groups = Numbers(), {}
+        self.group, self.size, self.chunk, self.count, self.held = [], [], [], [], []
+        self.bytes = self.n_held = 0
 
     def add(self, text: bytes, lang: str, source: str) -> None:
-        counts, number = chunk_counts(text), self.number
         self.group.append(self.groups.setdefault((lang, source), len(self.groups)))
-        self.size.append(len(counts))
-        self.chunk.append(np.fromiter((number.setdefault(w, len(number)) for w in counts), np.uint32, len(counts)))
-        self.count.append(np.fromiter(counts.values(), np.uint32, len(counts)))
+        self.held.append(self.number.of(text))
+        self.n_held += len(self.held[-1])
         self.bytes += len(text)
+        if self.n_held >= 1 << 18:
+            self.compress()
+
+    def compress(self) -> None:
+        """Occurrences of the held documents become counts."""
+        doc = np.repeat(np.arange(len(self.held)), [len(x) for x in self.held])
+        key, count = np.unique(doc << 32 | np.concatenate([np.empty(0, np.int64), *self.held]), return_counts=True)
+        self.size.append(np.bincount(key >> 32, minlength=len(self.held)).astype(np.uint32))
+        self.chunk.append((key & 0xFFFFFFFF).astype(np.uint32))
+        self.count.append(count.astype(np.uint32))
+        self.held, self.n_held = [], 0
 
     def rows(self, batch: int) -> Iterator[pa.RecordBatch]:
-        docs = np.stack([np.array(self.group, np.uint32), np.array(self.size, np.uint32)])
-        langs, sources = zip(*self.groups, strict=True)
+        self.compress()
+        docs = np.stack([np.array(self.group, np.uint32), np.concatenate(self.size)])
         chunk = np.concatenate(self.chunk)
-        packed = [docs.tobytes(), chunk.tobytes(), np.concatenate(self.count).tobytes()]
+        packed = [docs.tobytes(), chunk.tobytes(), np.concatenate(self.count).tobytes(), json.dumps(list(self.groups)).encode()]
         batch = int(mix(np.array([batch], np.uint64)).view(np.int64)[0])
-        yield pa.record_batch([[batch], [None], [None], [None], *([x] for x in packed), [langs], [sources]], schema=_BATCH_ARROW)
+        yield pa.record_batch([[batch], [None], [None], [None], *([x] for x in packed)], schema=_BATCH_ARROW)
         n_docs = np.bincount(chunk, minlength=len(self.number))
         words = list(self.number)
         for i in range(0, len(words), 1 << 14):
             part = words[i : i + (1 << 14)]
-            none = [pa.nulls(len(part), f.type) for f in list(_BATCH_ARROW)[4:]]
+            none = [pa.nulls(len(part), pa.binary())] * 4
             head = [np.full(len(part), batch), pa.array(part, pa.binary()).cast(pa.string()), np.arange(i, i + len(part), dtype=np.int32)]
             yield pa.record_batch([pa.array(x) for x in (*head, n_docs[i : i + len(part)])] + none, schema=_BATCH_ARROW)
 
@@ -113,16 +128,14 @@ class _Batch:
 def _count(batches: Iterator[pa.RecordBatch], batch_bytes: int) -> Iterator[pa.RecordBatch]:
     """Rows of ``_BATCH`` of a partition's (text, lang, source, part)."""
     now, n = _Batch(), 0
-    first = 0
     for rows in batches:
-        first = rows.column("part")[0].as_py() << 33 if rows.num_rows else first
-        for text, lang, source in zip(rows.column("text").cast(pa.binary()), rows.column("lang").to_pylist(), rows.column("source").to_pylist(), strict=True):
+        for text, lang, source, part in zip(rows.column("text").cast(pa.binary()), *(rows.column(c).to_pylist() for c in ("lang", "source", "part")), strict=True):
             now.add(text.as_py(), lang, source)
             if now.bytes >= batch_bytes:
-                yield from now.rows(first + n)
+                yield from now.rows(part << 33 | n)
                 now, n = _Batch(), n + 1
     if now.group:
-        yield from now.rows(first + n)
+        yield from now.rows(part << 33 | n)
     del now
     C.give_back()
 
@@ -170,7 +183,7 @@ def _use(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     key, n = key[order], n[order]
     runs = C.runs(key)
     key, n, n_docs = key[runs[:-1]], np.add.reduceat(n, runs[:-1]), np.diff(runs)
-    langs, sources = pa.array(head["langs"]), pa.array(head["sources"])
+    langs, sources = (pa.array(x, pa.string()) for x in zip(*json.loads(head["groups"]), strict=True))
     g = pa.array(key // n_terms)
     columns = [langs.take(g), sources.take(g), flat.dictionary.take(pa.array(key % n_terms)), pa.array(n, pa.int64()), pa.array(n_docs, pa.int64())]
     out = pa.record_batch(columns, names=["lang", "source", "term", "n", "n_docs"])
@@ -182,15 +195,22 @@ def _clean(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def _small(df: DataFrame, length: Column, most: int) -> Callable[[DataFrame], DataFrame]:
+    """``F.broadcast`` if the rows, of ``length`` bytes and some 50 more each, have at most ``most`` bytes."""
+    size = df.agg(F.sum(length.cast("long") + 50)).first()[0] or 0
+    return F.broadcast if size <= most else lambda x: x
+
+
 def chunk_terms(chunks: DataFrame, min_docs: int) -> DataFrame:
     """(chunk, terms) of every distinct chunk that holds a term which
     ``min_docs`` documents may have, with those terms, repeats included."""
     lower = F.translate("chunk", UPPER, LOWER)
     cut = chunks.groupBy("chunk").agg(F.sum("n_docs").alias("n_docs"))
     cut = cut.withColumn("terms", F.regexp_extract_all(lower, F.lit(TERM), F.lit(0))).where(F.size("terms") > 0)
-    cut = written(cut, "chunk_terms")
+    cut = written(cut, "chunk_terms", dictionary=False)
     bound = cut.select(F.explode(F.array_distinct("terms")).alias("term"), "n_docs").groupBy("term").agg(F.sum("n_docs").alias("n"))
     likely = written(bound.where(F.col("n") >= min_docs).select("term"), "likely_terms")
+    likely = _small(likely, F.octet_length("term"), MAX_BROADCAST)(likely)
     return written(cut.select("chunk", F.explode("terms").alias("term")).join(likely, "term").groupBy("chunk").agg(F.collect_list("term").alias("terms")), "terms")
 
 
@@ -202,19 +222,19 @@ def term_use(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", so
     source = docs.select(_clean(text_col).alias("text"), _clean(lang_col).alias("lang"), _clean(source_col).alias("source"), F.spark_partition_id().alias("part"))
     with arrow_batches(spark, rows=1024, size=4 << 20):
         batch_bytes = BATCH_BYTES
-        counted = written(source.mapInArrow(lambda b: _count(b, batch_bytes), _BATCH), "chunk_counts")
+        counted = written(source.mapInArrow(lambda b: _count(b, batch_bytes), _BATCH), "chunk_counts", dictionary=False)
     chunks = counted.where("chunk is not null")
     terms = chunk_terms(chunks, min_docs)
-    back = chunks.select("chunk", "batch", "number").join(terms, "chunk").select("batch", "number", "terms")
-    packed = counted.where("chunk is null").select("batch", "docs", "chunks", "counts", "langs", "sources")
+    small = _small(terms, F.octet_length("chunk") + F.octet_length(F.concat_ws(" ", "terms")), MAX_BROADCAST)
+    back = chunks.select("chunk", "batch", "number").join(small(terms), "chunk").select("batch", "number", "terms")
+    packed = counted.where("chunk is null").select("batch", "docs", "chunks", "counts", "groups")
     both = back.unionByName(packed, allowMissingColumns=True)
 
     def use(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in C.by_key(batches, "batch"):
             yield from _use(rows)
 
-    # A batch's answers are many small rows: bounded by bytes alone.
-    with arrow_batches(spark, rows=1 << 16, size=4 << 20):
+    with arrow_batches(spark, rows=4096, size=4 << 20):
         used = C.deal(both, "batch", C.partitions(spark)).mapInArrow(use, _USE)
         return used.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("n_docs").alias("n_docs")).checkpoint()
 
@@ -279,7 +299,7 @@ def audit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sourc
     number = F.row_number().over(Window.partitionBy("lang").orderBy("source")).cast("long") - 1
     groups = found.join(totals, ["lang", "source"], "left").join(langs, "lang", "left")
     groups = groups.select("lang", "source", zero("total"), zero("n_terms"), zero("lang_total"), number.alias("number"), F.count("*").over(Window.partitionBy("lang")).alias("n_sources")).checkpoint()
-    small = F.broadcast if groups.count() <= MAX_BROADCAST else lambda df: df
+    small = _small(groups, F.octet_length("lang") + F.octet_length("source"), MAX_BROADCAST)
 
     p, q = share(F.col("n"), F.col("total"), F.col("n_terms")), share(F.col("lang_n"), F.col("lang_total"), F.col("n_terms"))
     terms = used.join(small(groups), ["lang", "source"]).select("lang", "source", F.col("term").alias("item"), (p - q).alias("value")).where("value > 0")

@@ -18,10 +18,12 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name.replace(' ', '_')}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
-    """``df`` written as Parquet under the shared checkpoint folder, and read again."""
+def written(df: DataFrame, name: str, codec: str | None = None, dictionary: bool = True) -> DataFrame:
+    """``df`` written as Parquet under the shared checkpoint folder, and read
+    again; without ``dictionary`` where most values differ."""
     path = shared_path(df.sparkSession, name)
-    (df.write.option("compression", codec) if codec else df.write).parquet(path)
+    options = {"parquet.enable.dictionary": str(dictionary).lower()} | ({"compression": codec} if codec else {})
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.parquet(path)
 
 

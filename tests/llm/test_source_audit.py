@@ -66,9 +66,12 @@ def test_awkward_documents_without_broadcasts(spark, monkeypatch):
 
 
 def test_slices_end_at_white_space(monkeypatch):
-    monkeypatch.setattr(source_audit, "SLICE", 7)
     text = b"one two  three\nfourfivesix\tseven one " * 5
-    assert source_audit.chunk_counts(text) == Counter(text.split())
+    whole = source_audit.Numbers().of(text).tolist()
+    monkeypatch.setattr(source_audit, "SLICE", 7)
+    numbers = source_audit.Numbers()
+    assert numbers.of(text).tolist() == whole
+    assert list(numbers) == [b"one", b"two", b"three", b"fourfivesix", b"seven"]
 
 
 def test_large_counts_stay_exact(spark):
