@@ -42,10 +42,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leakwatch.llm import cells as C
-from leakwatch.llm.tables import arrow_batches, written
+from leakwatch.llm.tables import arrow_batches, drop, written
 from leakwatch.llm.textcodes import mix
 
-BATCH_BYTES = 32 << 20
+BATCH_BYTES = 16 << 20
 #: A longer text is counted in slices that end at white space.
 SLICE = 1 << 20
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
@@ -62,7 +62,7 @@ _BATCH = "batch long, chunk string, number int, n_docs long, docs binary, chunks
 _BATCH_ARROW = pa.schema(
     [("batch", pa.int64()), ("chunk", pa.string()), ("number", pa.int32()), ("n_docs", pa.int64()), *((c, pa.binary()) for c in ("docs", "chunks", "counts", "groups"))]
 )
-_USE = "lang string, source string, term string, n long, n_docs long"
+_USE = "lang string, source string, term long, n long, n_docs long"
 
 
 class Numbers(dict):
@@ -147,11 +147,8 @@ def _use(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     t = t.filter(t.column("docs").is_null())
     if not t.num_rows:
         return
-    terms = t.column("terms").combine_chunks()
-    flat = terms.flatten().dictionary_encode()
-    width = np.diff(terms.offsets.to_numpy())
-    term = flat.indices.to_numpy().astype(np.int64)
-    chunk_of = np.repeat(t.column("number").to_numpy(), width)
+    chunk_of = t.column("number").to_numpy()
+    terms, term = np.unique(t.column("term").to_numpy(), return_inverse=True)
     n_chunks = len(head["chunks"]) and int(np.frombuffer(head["chunks"], np.uint32).max()) + 1
     order = np.argsort(chunk_of, kind="stable")
     term = term[order]
@@ -162,7 +159,7 @@ def _use(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     doc = np.repeat(np.arange(len(size)), size)
     chunk = np.frombuffer(head["chunks"], np.uint32).astype(np.int64)
     count = np.frombuffer(head["counts"], np.uint32).astype(np.int64)
-    n_terms = len(flat.dictionary)
+    n_terms = len(terms)
     bounds = np.searchsorted(doc, np.arange(0, len(size) + 1024, 1024))
     found = []
     for a, b in zip(bounds[:-1], bounds[1:], strict=True):  # some documents at a time
@@ -185,7 +182,7 @@ def _use(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     key, n, n_docs = key[runs[:-1]], np.add.reduceat(n, runs[:-1]), np.diff(runs)
     langs, sources = (pa.array(x, pa.string()) for x in zip(*json.loads(head["groups"]), strict=True))
     g = pa.array(key // n_terms)
-    columns = [langs.take(g), sources.take(g), flat.dictionary.take(pa.array(key % n_terms)), pa.array(n, pa.int64()), pa.array(n_docs, pa.int64())]
+    columns = [langs.take(g), sources.take(g), pa.array(terms[key % n_terms]), pa.array(n, pa.int64()), pa.array(n_docs, pa.int64())]
     out = pa.record_batch(columns, names=["lang", "source", "term", "n", "n_docs"])
     for i in range(0, out.num_rows, 1 << 15):
         yield out.slice(i, 1 << 15)
@@ -201,42 +198,46 @@ def _small(df: DataFrame, length: Column, most: int) -> Callable[[DataFrame], Da
     return F.broadcast if size <= most else lambda x: x
 
 
-def chunk_terms(chunks: DataFrame, min_docs: int) -> DataFrame:
-    """(chunk, terms) of every distinct chunk that holds a term which
-    ``min_docs`` documents may have, with those terms, repeats included."""
+def chunk_terms(chunks: DataFrame, min_docs: int) -> tuple[DataFrame, DataFrame]:
+    """(chunk, term): a row for each occurrence of a term in a distinct chunk,
+    for the terms that ``min_docs`` documents may have; and (term, name) of these."""
     lower = F.translate("chunk", UPPER, LOWER)
     cut = chunks.groupBy("chunk").agg(F.sum("n_docs").alias("n_docs"))
-    cut = cut.withColumn("terms", F.regexp_extract_all(lower, F.lit(TERM), F.lit(0))).where(F.size("terms") > 0)
+    cut = cut.withColumn("names", F.regexp_extract_all(lower, F.lit(TERM), F.lit(0))).where(F.size("names") > 0)
     cut = written(cut, "chunk_terms", dictionary=False)
-    bound = cut.select(F.explode(F.array_distinct("terms")).alias("term"), "n_docs").groupBy("term").agg(F.sum("n_docs").alias("n"))
-    likely = written(bound.where(F.col("n") >= min_docs).select("term"), "likely_terms")
-    likely = _small(likely, F.octet_length("term"), MAX_BROADCAST)(likely)
-    return written(cut.select("chunk", F.explode("terms").alias("term")).join(likely, "term").groupBy("chunk").agg(F.collect_list("term").alias("terms")), "terms")
+    bound = cut.select(F.explode(F.array_distinct("names")).alias("name"), "n_docs").groupBy("name").agg(F.sum("n_docs").alias("n"))
+    likely = written(bound.where(F.col("n") >= min_docs).select(F.monotonically_increasing_id().alias("term"), "name"), "likely_terms")
+    small = _small(likely, F.octet_length("name"), MAX_BROADCAST)
+    terms = written(cut.select("chunk", F.explode("names").alias("name")).join(small(likely), "name").select("chunk", "term"), "terms")
+    drop(cut)
+    return terms, likely
 
 
-def term_use(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", min_docs: int = 1) -> DataFrame:
+def term_use(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", min_docs: int = 1) -> tuple[DataFrame, DataFrame]:
     """(lang, source, term, n, n_docs): occurrences and documents of every
     term of at least ``min_docs`` documents of a language (and of some others,
-    which have fewer)."""
+    which have fewer); and (term, name)."""
     spark = docs.sparkSession
     source = docs.select(_clean(text_col).alias("text"), _clean(lang_col).alias("lang"), _clean(source_col).alias("source"), F.spark_partition_id().alias("part"))
-    with arrow_batches(spark, rows=1024, size=4 << 20):
-        batch_bytes = BATCH_BYTES
-        counted = written(source.mapInArrow(lambda b: _count(b, batch_bytes), _BATCH), "chunk_counts", dictionary=False)
-    chunks = counted.where("chunk is not null")
-    terms = chunk_terms(chunks, min_docs)
-    small = _small(terms, F.octet_length("chunk") + F.octet_length(F.concat_ws(" ", "terms")), MAX_BROADCAST)
-    back = chunks.select("chunk", "batch", "number").join(small(terms), "chunk").select("batch", "number", "terms")
-    packed = counted.where("chunk is null").select("batch", "docs", "chunks", "counts", "groups")
-    both = back.unionByName(packed, allowMissingColumns=True)
+    batch_bytes = BATCH_BYTES
 
     def use(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in C.by_key(batches, "batch"):
             yield from _use(rows)
 
     with arrow_batches(spark, rows=4096, size=4 << 20):
+        counted = written(source.mapInArrow(lambda b: _count(b, batch_bytes), _BATCH), "chunk_counts", dictionary=False)
+        chunks = counted.where("chunk is not null")
+        terms, names = chunk_terms(chunks, min_docs)
+        small = _small(terms, F.octet_length("chunk"), MAX_BROADCAST)
+        back = chunks.select("chunk", "batch", "number").join(small(terms), "chunk").select("batch", "number", "term")
+        packed = counted.where("chunk is null").select("batch", "docs", "chunks", "counts", "groups")
+        both = back.unionByName(packed, allowMissingColumns=True)
         used = C.deal(both, "batch", C.partitions(spark)).mapInArrow(use, _USE)
-        return used.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("n_docs").alias("n_docs")).checkpoint()
+        used = written(used.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("n_docs").alias("n_docs")), "term_use")
+    drop(counted)
+    drop(terms)
+    return used, names
 
 
 def share(count: Column, total: Column, n_terms: Column) -> Column:
@@ -289,10 +290,10 @@ def audit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sourc
     """(lang, source, part, item, value, rank): ``pair``, the distance to
     every other source of the language; ``term``, the ``top`` terms that the
     source uses more than its language."""
-    used = term_use(docs, text_col, lang_col, source_col, min_docs)
+    used, names = term_use(docs, text_col, lang_col, source_col, min_docs)
     kept = used.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"), F.sum("n_docs").alias("n_docs")).where(F.col("n_docs") >= min_docs).drop("n_docs").checkpoint()
     langs = kept.groupBy("lang").agg(F.count("*").alias("n_terms"), F.sum("lang_n").alias("lang_total"))
-    used = used.join(kept, ["lang", "term"]).checkpoint()
+    used = written(used.join(kept, ["lang", "term"]), "kept_use")
     totals = used.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     found = docs.select(_clean(lang_col).alias("lang"), _clean(source_col).alias("source")).distinct()
     zero = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
@@ -302,7 +303,8 @@ def audit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sourc
     small = _small(groups, F.octet_length("lang") + F.octet_length("source"), MAX_BROADCAST)
 
     p, q = share(F.col("n"), F.col("total"), F.col("n_terms")), share(F.col("lang_n"), F.col("lang_total"), F.col("n_terms"))
-    terms = used.join(small(groups), ["lang", "source"]).select("lang", "source", F.col("term").alias("item"), (p - q).alias("value")).where("value > 0")
+    terms = used.join(small(groups), ["lang", "source"]).withColumn("value", p - q).where("value > 0")
+    terms = terms.join(names, "term").select("lang", "source", F.col("name").alias("item"), "value")
     by = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     terms = terms.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= top)
 

@@ -27,6 +27,12 @@ def written(df: DataFrame, name: str, codec: str | None = None, dictionary: bool
     return df.sparkSession.read.parquet(path)
 
 
+def drop(df: DataFrame) -> None:
+    """Remove the folder of a ``written`` table that is not needed any more."""
+    for path in {file.rpartition("/")[0] for file in df.inputFiles()}:
+        remove(df.sparkSession, path)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Remove a folder that this process has made."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -36,8 +42,13 @@ def remove(spark: SparkSession, path: str) -> None:
 @contextmanager
 def arrow_batches(spark: SparkSession, rows: int, size: int) -> Iterator[None]:
     """Arrow batches of at most so many rows and about so many bytes for the
-    jobs that run inside; the session is left as it was."""
-    wanted = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows), "spark.sql.execution.arrow.maxBytesPerBatch": str(size)}
+    jobs that run inside, whose shuffle files go as soon as they have ended;
+    the session is left as it was."""
+    wanted = {
+        "spark.sql.execution.arrow.maxRecordsPerBatch": str(rows),
+        "spark.sql.execution.arrow.maxBytesPerBatch": str(size),
+        "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    }
     before = {k: spark.conf.get(k, None) for k in wanted}
     for k, v in wanted.items():
         spark.conf.set(k, v)
