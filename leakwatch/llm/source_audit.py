@@ -65,6 +65,14 @@ _BATCH_ARROW = pa.schema(
 _USE = "lang string, source string, term long, n long, n_docs long"
 
 
+def _shrunk(values: np.ndarray) -> bytes:
+    return pa.compress(values.astype(np.uint32).tobytes(), codec="zstd", asbytes=True)
+
+
+def _grown(raw: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(pa.decompress(raw, decompressed_size=4 * n, codec="zstd", asbytes=True), np.uint32).astype(np.int64)
+
+
 class Numbers(dict):
     """Numbers of chunks in the order of their first use."""
 
@@ -113,7 +121,12 @@ class _Batch:
         self.compress()
         docs = np.stack([np.array(self.group, np.uint32), np.concatenate(self.size)])
         chunk = np.concatenate(self.chunk)
-        packed = [docs.tobytes(), chunk.tobytes(), np.concatenate(self.count).tobytes(), json.dumps(list(self.groups)).encode()]
+        # A document's chunks ascend: their differences are small numbers.
+        gap = np.diff(chunk, prepend=chunk[:1] * 0)
+        starts = np.cumsum(docs[1]) - docs[1]
+        starts = starts[docs[1] > 0]
+        gap[starts] = chunk[starts]
+        packed = [docs.tobytes(), _shrunk(gap), _shrunk(np.concatenate(self.count)), json.dumps(list(self.groups)).encode()]
         batch = int(mix(np.array([batch], np.uint64)).view(np.int64)[0])
         yield pa.record_batch([[batch], [None], [None], [None], *([x] for x in packed)], schema=_BATCH_ARROW)
         n_docs = np.bincount(chunk, minlength=len(self.number))
@@ -149,16 +162,17 @@ def _use(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return
     chunk_of = t.column("number").to_numpy()
     terms, term = np.unique(t.column("term").to_numpy(), return_inverse=True)
-    n_chunks = len(head["chunks"]) and int(np.frombuffer(head["chunks"], np.uint32).max()) + 1
+    group, size = np.frombuffer(head["docs"], np.uint32).reshape(2, -1).astype(np.int64)
+    doc = np.repeat(np.arange(len(size)), size)
+    total = np.cumsum(_grown(head["chunks"], len(doc)))
+    before = np.cumsum(size) - size
+    chunk = total - np.repeat(np.concatenate([[0], total])[before], size)
+    count = _grown(head["counts"], len(doc))
+    n_chunks = int(max(chunk.max(), chunk_of.max())) + 1
     order = np.argsort(chunk_of, kind="stable")
     term = term[order]
     width = np.bincount(chunk_of, minlength=n_chunks)
     start = np.cumsum(width) - width
-
-    group, size = np.frombuffer(head["docs"], np.uint32).reshape(2, -1).astype(np.int64)
-    doc = np.repeat(np.arange(len(size)), size)
-    chunk = np.frombuffer(head["chunks"], np.uint32).astype(np.int64)
-    count = np.frombuffer(head["counts"], np.uint32).astype(np.int64)
     n_terms = len(terms)
     bounds = np.searchsorted(doc, np.arange(0, len(size) + 1024, 1024))
     found = []
@@ -204,11 +218,11 @@ def chunk_terms(chunks: DataFrame, min_docs: int) -> tuple[DataFrame, DataFrame]
     lower = F.translate("chunk", UPPER, LOWER)
     cut = chunks.groupBy("chunk").agg(F.sum("n_docs").alias("n_docs"))
     cut = cut.withColumn("names", F.regexp_extract_all(lower, F.lit(TERM), F.lit(0))).where(F.size("names") > 0)
-    cut = written(cut, "chunk_terms", dictionary=False)
+    cut = written(cut, "chunk_terms", "zstd", dictionary=False)
     bound = cut.select(F.explode(F.array_distinct("names")).alias("name"), "n_docs").groupBy("name").agg(F.sum("n_docs").alias("n"))
     likely = written(bound.where(F.col("n") >= min_docs).select(F.monotonically_increasing_id().alias("term"), "name"), "likely_terms")
     small = _small(likely, F.octet_length("name"), MAX_BROADCAST)
-    terms = written(cut.select("chunk", F.explode("names").alias("name")).join(small(likely), "name").select("chunk", "term"), "terms")
+    terms = written(cut.select("chunk", F.explode("names").alias("name")).join(small(likely), "name").select("chunk", "term"), "terms", "zstd")
     drop(cut)
     return terms, likely
 
@@ -226,7 +240,7 @@ def term_use(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", so
             yield from _use(rows)
 
     with arrow_batches(spark, rows=4096, size=4 << 20):
-        counted = written(source.mapInArrow(lambda b: _count(b, batch_bytes), _BATCH), "chunk_counts", dictionary=False)
+        counted = written(source.mapInArrow(lambda b: _count(b, batch_bytes), _BATCH), "chunk_counts", "zstd", dictionary=False)
         chunks = counted.where("chunk is not null")
         terms, names = chunk_terms(chunks, min_docs)
         small = _small(terms, F.octet_length("chunk"), MAX_BROADCAST)
