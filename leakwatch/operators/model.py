@@ -55,6 +55,7 @@ class Encoder:
     columns: list[str]
     table: DataFrame
     small: bool = field(init=False)
+    kind = "categorical"
 
     def __post_init__(self):
         self.small = self.table.limit(MAX_BROADCAST_CODES + 1).count() <= MAX_BROADCAST_CODES
@@ -115,8 +116,13 @@ def fit_classifier(
     numeric: list[str] = S.NUMERIC_COLS,
     label: str = S.LABEL,
     encoder: Encoder | None = None,
+    encoded: DataFrame | None = None,
 ) -> RiskModel:
-    """Fit the codes (unless given) and the boosted trees on all of ``train``."""
+    """Fit the codes (unless given) and the boosted trees on all of ``train``.
+
+    ``encoded`` replaces ``train`` with codes of its own for the fit (ordered
+    target statistics differ from the codes of rows to score).
+    """
     encoder = encoder or fit_encoder(train, categorical)
     inputs = [index_suffix(c) for c in encoder.columns] + list(numeric)
     gbt = GBTClassifier(
@@ -127,7 +133,8 @@ def fit_classifier(
         # checkpointed every 10 trees, so a lost executor never replays all.
         cacheNodeIds=False, checkpointInterval=10,
     )
-    fitted = gbt.fit(assemble(encoder.encode(train), inputs).select("features", label))
+    rows = encoder.encode(train) if encoded is None else encoded
+    fitted = gbt.fit(assemble(rows, inputs).select("features", label))
     return RiskModel(encoder, list(numeric), fitted)
 
 
@@ -184,7 +191,10 @@ def save_model(model: RiskModel, path: str) -> None:
     """Folders ``codes`` (Parquet), ``inputs`` and ``trees`` under ``path``."""
     spark = model.encoder.table.sparkSession
     model.encoder.table.write.mode("overwrite").parquet(f"{path}/codes")
-    inputs = [(i, kind, c) for kind, cs in (("categorical", model.encoder.columns), ("numeric", model.numeric)) for i, c in enumerate(cs)]
+    lists = [(model.encoder.kind, model.encoder.columns), ("numeric", model.numeric)]
+    if model.encoder.kind == "statistic":
+        lists.append(("prior", [repr(model.encoder.prior)]))
+    inputs = [(i, kind, c) for kind, cs in lists for i, c in enumerate(cs)]
     spark.createDataFrame(inputs, "place int, kind string, name string").write.mode("overwrite").parquet(f"{path}/inputs")
     model.booster.write().overwrite().save(f"{path}/trees")
 
@@ -193,5 +203,11 @@ def load_model(path: str) -> RiskModel:
     spark = SparkSession.getActiveSession()
     inputs = sorted((r.kind, r.place, r.name) for r in spark.read.parquet(f"{path}/inputs").collect())
     names = lambda kind: [n for k, _, n in inputs if k == kind]
-    encoder = Encoder(names("categorical"), spark.read.parquet(f"{path}/codes"))
+    codes = spark.read.parquet(f"{path}/codes")
+    if names("statistic"):
+        from leakwatch.operators.target_statistics import TargetEncoder
+
+        encoder = TargetEncoder(names("statistic"), codes, float(names("prior")[0]))
+    else:
+        encoder = Encoder(names("categorical"), codes)
     return RiskModel(encoder, names("numeric"), GBTClassificationModel.load(f"{path}/trees"))

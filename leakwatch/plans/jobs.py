@@ -14,6 +14,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,31 +45,45 @@ def feature_job(spark: SparkSession, event_tables: list[str], target: str, rules
     return spark.table(target).count()
 
 
-def ingest_job(spark: SparkSession, batch: DataFrame, target: str, ts_text_col: str | None = S.TS) -> int:
+def ingest_job(spark: SparkSession, batch: DataFrame, target: str, ts_text_col: str | None = S.TS, batch_id: str | None = None) -> int:
     """Append a batch of raw events; returns the number of rows appended.
 
     Text timestamps are parsed. Rows whose time does not parse or is missing,
-    and rows with a null id, go to ``<target>_rejects`` as they came, with the
-    reason (``rejects_table``); nothing is lost: every row of the batch is in
-    the target, in the rejects, or repeats an id. A batch without an id column
-    gets consecutive ids after the current maximum of ``target``.
+    and rows with a null id, go to ``rejects_table``; every row of the batch is
+    in the target, in the rejects, or repeats an id of the batch or the target.
+    A batch without an id column gets consecutive ids after the current maximum
+    of ``target``. A missing column is null; one more than the event has is
+    not appended (a rejected row keeps it).
+
+    A reject has ``raw`` (the whole row as JSON, all values as text), the
+    ``reason``, and ``n_rows``, how many rows of the batch are equal to it. Its
+    ``batch_id`` partitions the table, so only the batch's own rejects are
+    read: a batch that is run again adds none, an equal bad row of another
+    batch is kept. Without a ``batch_id`` the batch is known by its content.
     """
-    source = [F.col(c).cast("string").alias(c) for c in batch.columns]
-    out = batch.withColumn("_raw", F.struct(*source))
-    if ts_text_col and dict(batch.dtypes).get(ts_text_col) == "string":
+    types = {f.name: f.dataType for f in S.UPLOAD_EVENT_SCHEMA}
+    raw = F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in batch.columns]), {"ignoreNullFields": "false"})
+    out = batch.withColumn("_raw", raw)
+    text_time = ts_text_col in batch.columns and dict(batch.dtypes)[ts_text_col] == "string"
+    empty = F.col(ts_text_col or S.TS).isNull() if (ts_text_col or S.TS) in batch.columns else F.lit(True)
+    out = out.withColumn("_empty", empty)
+    if text_time:
         out = out.withColumn(ts_text_col, parse_timestamp(ts_text_col))
-    raw_ts = F.col("_raw")[ts_text_col or S.TS]
-    reason = F.when(F.col(S.TS).isNull(), F.when(raw_ts.isNull(), "no time").otherwise("time not readable"))
+    out = out.withColumns({c: F.lit(None).cast(t) for c, t in types.items() if c not in batch.columns and c != S.ID})
+    reason = F.when(F.col(S.TS).isNull(), F.when(F.col("_empty"), "no time").otherwise("time not readable"))
     if S.ID in batch.columns:
         reason = F.coalesce(reason, F.when(F.col(S.ID).isNull(), "no id"))
-    out = out.withColumn("_reason", reason).checkpoint(eager=True)
-    rejects = out.where(F.col("_reason").isNotNull()).select("_raw.*", F.col("_reason").alias("reason"))
+    columns = [c for c in S.UPLOAD_EVENT_COLUMNS if c in out.columns]
+    out = out.select(*columns, "_raw", reason.alias("_reason")).checkpoint(eager=True)
+
     name = rejects_table(target)
-    if table_exists(spark, name):  # a batch that is run again adds nothing
-        rejects = rejects.exceptAll(spark.table(name).select(*rejects.columns)).checkpoint(eager=True)
-    if not rejects.isEmpty():
-        append_table(rejects, name)
-        spark.catalog.refreshTable(name)
+    batch_id = batch_id or content_digest(out, "_raw")
+    if not (table_exists(spark, name) and not spark.table(name).where(F.col("batch_id") == batch_id).isEmpty()):
+        rejects = out.where(F.col("_reason").isNotNull()).groupBy(F.col("_raw").alias("raw"), F.col("_reason").alias("reason"))
+        rejects = rejects.agg(F.count("*").alias("n_rows")).withColumn("batch_id", F.lit(batch_id)).checkpoint(eager=True)
+        if not rejects.isEmpty():
+            append_table(rejects, name, partition_by=["batch_id"])
+            spark.catalog.refreshTable(name)
     out = out.where(F.col("_reason").isNull()).drop("_raw", "_reason")
     if S.ID not in out.columns:
         existing = spark.table(target) if table_exists(spark, target) else None
@@ -76,6 +91,13 @@ def ingest_job(spark: SparkSession, batch: DataFrame, target: str, ts_text_col:
     return append_new(spark, out.select(*S.UPLOAD_EVENT_COLUMNS), target)
 
 
+def content_digest(df: DataFrame, text_col: str) -> str:
+    """Digest of a bag of rows, whatever their order: count, sum and xor of the rows' codes."""
+    code = F.xxhash64(text_col)
+    row = df.agg(F.count("*"), F.sum(code.cast("decimal(38,0)")), F.bit_xor(code)).first()
+    return hashlib.sha256(repr([str(x) for x in row]).encode()).hexdigest()[:32]
+
+
 def rejects_table(target: str) -> str:
     """Where ``ingest_job`` puts the rows of ``target`` that it cannot take."""
     return f"{target}_rejects"

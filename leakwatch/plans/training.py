@@ -11,6 +11,7 @@ from leakwatch import schemas as S
 from leakwatch.operators import metrics
 from leakwatch.operators.model import BoostParams, RiskModel, first_trees, fit_classifier, fit_encoder, predict
 from leakwatch.operators.split import stratified_split
+from leakwatch.operators.target_statistics import fit_target_encoder, ordered_statistics
 
 
 def split_features(features: DataFrame, validation_fraction: float = 0.0, seed: int = 42) -> DataFrame:
@@ -26,13 +27,27 @@ def split_features(features: DataFrame, validation_fraction: float = 0.0, seed:
     return stratified_split(features, validation_fraction=validation_fraction, seed=seed).repartition(n).checkpoint(eager=True)
 
 
-def train(split_df: DataFrame, params: BoostParams = BoostParams()) -> RiskModel:
-    """Fit on ``train`` rows only."""
-    return fit_classifier(split_df.where(F.col("split") == "train"), params)
+def train(split_df: DataFrame, params: BoostParams = BoostParams(), codes: str = "ordinal", categorical: list[str] = S.CATEGORICAL_COLS) -> RiskModel:
+    """Fit on ``train`` rows only. ``codes`` of the categorical columns:
+    ``ordinal``, or ``statistics`` (ordered target statistics)."""
+    rows = split_df.where(F.col("split") == "train")
+    return fit_classifier(rows, params, **training_codes(rows, codes, categorical))
+
+
+def training_codes(rows: DataFrame, codes: str, categorical: list[str] = S.CATEGORICAL_COLS) -> dict:
+    """The encoder for rows to score and the encoded training rows."""
+    if codes == "ordinal":
+        return {"encoder": fit_encoder(rows, categorical)}
+    if codes != "statistics":
+        raise ValueError(f"unknown codes {codes!r}")
+    encoder = fit_target_encoder(rows, categorical)
+    # Boosting reads the rows many times: the running totals are computed once.
+    return {"encoder": encoder, "encoded": ordered_statistics(rows, encoder).checkpoint(eager=True)}
 
 
 def train_early_stop(
-    split_df: DataFrame, params: BoostParams = BoostParams(max_iter=500), patience: int = 50, first_round: int = 100
+    split_df: DataFrame, params: BoostParams = BoostParams(max_iter=500), patience: int = 50, first_round: int = 100,
+    codes: str = "ordinal",
 ) -> tuple[RiskModel, int, DataFrame]:
     """Fit on ``train``, stop by AUC on ``validation``.
 
@@ -52,10 +67,10 @@ def train_early_stop(
     from leakwatch.operators.explain import staged_margins
 
     rows, validation = (split_df.where(F.col("split") == s) for s in ("train", "validation"))
-    encoder = fit_encoder(rows)
+    coded = training_codes(rows, codes)
     n = min(first_round, params.max_iter)
     while True:
-        model = fit_classifier(rows, replace(params, max_iter=n), encoder=encoder)
+        model = fit_classifier(rows, replace(params, max_iter=n), **coded)
         per_prefix = metrics.auc_of_counts(staged_margins(model, validation), ["n_trees"]).checkpoint(eager=True)
         # One row per tree (bounded by max_iter): read on the driver.
         best_k, stopped = best_prefix(sorted((r["n_trees"], r["auc_roc"]) for r in per_prefix.collect()), patience)

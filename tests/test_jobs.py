@@ -1,5 +1,7 @@
 """The daily jobs end to end on the smallest fixture."""
 
+import json
+
 from pyspark.sql import functions as F
 
 from leakwatch import schemas as S
@@ -27,7 +29,8 @@ def test_daily_flow(spark, fixture_dir, tmp_path):
     assert jobs.ingest_job(spark, batch, "ev_v2") == 1
     assert jobs.ingest_job(spark, batch, "ev_v2") == 0
     (reject,) = spark.table(jobs.rejects_table("ev_v2")).collect()  # once, as it came, with the reason
-    assert (reject.Action_ID, reject.Timestamp, reject.reason) == ("5001", "not a time", "time not readable")
+    raw = json.loads(reject.raw)
+    assert (raw["Action_ID"], raw["Timestamp"], reject.reason, reject.n_rows) == ("5001", "not a time", "time not readable", 1)
     no_ids = batch.drop("Action_ID").where("ObjectName != 'y.csv'")
     assert jobs.ingest_job(spark, no_ids, "ev_v2") == 2
     ids = sorted(r[0] for r in spark.table("ev_v2").where("Action_ID > 5000").select("Action_ID").collect())
@@ -86,3 +89,38 @@ def test_rows_to_batch_ingest_converts_offsets(spark):
     assert jobs.ingest_job(spark, batch, "ingest_offsets_t") == 2
     got = {r.Action_ID: r.Timestamp for r in spark.table("ingest_offsets_t").collect()}
     assert got == {1: dt.datetime(2024, 3, 1, 8, 0, 0), 2: dt.datetime(2024, 3, 1, 10, 0, 0)}
+
+
+EVENT = ("Action_ID long, Timestamp string, ActionType string, ObjectName string, Target_Domain string, "
+         "AccountDisplayName string, Position string, Risk_Label long")
+
+
+def _rejected(spark, target):
+    return spark.table(jobs.rejects_table(target)).agg(F.coalesce(F.sum("n_rows"), F.lit(0))).first()[0]
+
+
+def test_equal_bad_rows_replays_and_other_columns(spark):
+    for t in ("kept_t", "kept_t_rejects"):
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
+    bad = (7, "never", "upload", "a.csv", "x.example", "u", "p", 0)
+    good = lambda i: (i, f"2024-01-0{i}T00:00:00Z", "upload", "a.csv", "x.example", "u", "p", 0)
+    first = spark.createDataFrame([good(1), bad, bad, good(1)], EVENT)
+    assert jobs.ingest_job(spark, first, "kept_t") == 1 and _rejected(spark, "kept_t") == 2
+    # The same batch again, its rows in another order: nothing is added.
+    assert jobs.ingest_job(spark, first.orderBy(F.desc("Timestamp")), "kept_t") == 0 and _rejected(spark, "kept_t") == 2
+    # An equal bad row in another batch is a row of its own.
+    second = spark.createDataFrame([good(2), bad], EVENT)
+    assert jobs.ingest_job(spark, second, "kept_t", batch_id="day 2") == 1 and _rejected(spark, "kept_t") == 3
+    assert jobs.ingest_job(spark, second, "kept_t", batch_id="day 2") == 0 and _rejected(spark, "kept_t") == 3
+    # One column more, one less.
+    more = spark.createDataFrame([(*good(3), "new"), (*bad, "seen")], EVENT + ", Device string")
+    assert jobs.ingest_job(spark, more, "kept_t") == 1 and _rejected(spark, "kept_t") == 4
+    assert {json.loads(r.raw).get("Device") for r in spark.table("kept_t_rejects").collect()} == {None, "seen"}
+    less = spark.createDataFrame([good(4), bad], EVENT).drop("Position")
+    assert jobs.ingest_job(spark, less, "kept_t") == 1 and _rejected(spark, "kept_t") == 5
+    no_time = spark.createDataFrame([good(5), bad], EVENT).drop("Timestamp")
+    assert jobs.ingest_job(spark, no_time, "kept_t") == 0 and _rejected(spark, "kept_t") == 7
+    rows = {r.Action_ID: r.Position for r in spark.table("kept_t").collect()}
+    assert rows == {1: "p", 2: "p", 3: "p", 4: None}
+    plan = spark.table("kept_t_rejects").where("batch_id = 'day 2'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(batch_id" in plan
