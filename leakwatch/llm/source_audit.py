@@ -55,7 +55,7 @@ TILE = 256
 #: Bytes of a table that may be broadcast; a larger one is joined by key.
 MAX_BROADCAST = 32 << 20
 #: Kept terms of a language that one task adds up for two tiles.
-TERMS_PER_SHARD = 20_000
+TERMS_PER_SHARD = 4096
 
 #: One row per batch (no chunk: its counts, packed) and one per distinct chunk of it.
 _BATCH = "batch long, chunk string, number int, n_docs long, docs binary, chunks binary, counts binary, groups binary"
@@ -243,8 +243,7 @@ def term_use(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", so
         counted = written(source.mapInArrow(lambda b: _count(b, batch_bytes), _BATCH), "chunk_counts", "zstd", dictionary=False)
         chunks = counted.where("chunk is not null")
         terms, names = chunk_terms(chunks, min_docs)
-        small = _small(terms, F.octet_length("chunk"), MAX_BROADCAST)
-        back = chunks.select("chunk", "batch", "number").join(small(terms), "chunk").select("batch", "number", "term")
+        back = chunks.select("chunk", "batch", "number").join(terms, "chunk").select("batch", "number", "term")
         packed = counted.where("chunk is null").select("batch", "docs", "chunks", "counts", "groups")
         both = back.unionByName(packed, allowMissingColumns=True)
         used = C.deal(both, "batch", C.partitions(spark)).mapInArrow(use, _USE)
