@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from leakwatch import schemas as S
 from leakwatch.sources.catalog import append_table, table_exists
+from leakwatch.sources.dated import append_dated, since
 
 MAX_BROADCAST_PARTITIONS = 1_000_000
 
@@ -62,12 +63,13 @@ def unscored_since(features: DataFrame, spark: SparkSession, predictions_table:
 
     A prediction row carries its event's timestamp, so only predictions at or
     after the cutoff can match: the predictions side is filtered by the same
-    (literal, pushable) bound instead of reading every id ever scored.
+    (literal, pushable) bound instead of reading every id ever scored. Of
+    dated tables (``sources.dated``) only the days from the cutoff on are read.
     """
-    recent = features.where(F.col(ts) >= cutoff)
+    recent = since(features, cutoff, ts)
     if not table_exists(spark, predictions_table):
         return recent
-    scored = spark.table(predictions_table).where(F.col(ts) >= cutoff).select(key).distinct()
+    scored = since(spark.table(predictions_table), cutoff, ts).select(key).distinct()
     return recent.join(scored, on=key, how="left_anti")
 
 
@@ -97,7 +99,7 @@ def assign_ids(batch: DataFrame, existing: DataFrame | None, key: str = S.ID) ->
 
 
 def append_new(
-    spark: SparkSession, batch: DataFrame, target: str, key: str = S.ID, columns: list[str] | None = None
+    spark: SparkSession, batch: DataFrame, target: str, key: str = S.ID, columns: list[str] | None = None, ts: str = S.TS
 ) -> int:
     """Append the rows of ``batch`` not yet in ``target``; return how many.
 
@@ -105,6 +107,7 @@ def append_new(
     reliable checkpoint first (lineage cut, stable under executor loss), then
     counted and appended from that copy. Running it twice appends 0 rows.
     Single writer assumed: the key check and the append are not one transaction.
+    Rows with the event time ``ts`` go to a dated table.
     """
     existing = spark.table(target) if table_exists(spark, target) else None
     fresh = new_rows(batch, existing, key, prune_to_batch_range=True)
@@ -113,7 +116,7 @@ def append_new(
     fresh = fresh.checkpoint(eager=True)
     n = fresh.count()
     if n:
-        append_table(fresh, target)
+        (append_dated(fresh, target, ts) if ts in fresh.columns else append_table(fresh, target))
         # The write may run in another session (e.g. a stream's foreachBatch);
         # drop this session's cached file listing of the target.
         spark.catalog.refreshTable(target)

@@ -154,6 +154,58 @@ def average_precision(scored: DataFrame, label: str = "label", score: str = "sco
     return _auc_ap(curve(scored, label, score, g), g).select(*g, "average_precision")
 
 
+def score_histogram(scored: DataFrame, label: str = "label", score: str = "score", group_cols: list[str] | None = None, n_bins: int = 65_536) -> DataFrame:
+    """(groups, bin, pos, neg): labels counted by score, in equal bins of [0, 1].
+
+    The exact curves hold one row per distinct score, which for continuous
+    scores is one per row; a histogram has at most ``n_bins`` rows a group.
+    Histograms of parts of the data are merged by adding them up
+    (``merge_histograms``). Null labels and scores are left out; scores below
+    0 and above 1 are counted in the outer bins.
+    """
+    g = _groups(group_cols)
+    at = F.least(F.greatest(F.floor(F.col(score) * n_bins), F.lit(0)), F.lit(n_bins - 1)).cast("int")
+    known = scored.where(F.col(label).isNotNull() & F.col(score).isNotNull())
+    y = F.col(label) == 1
+    return known.groupBy(*g, at.alias("bin")).agg(F.sum(F.when(y, 1).otherwise(0)).alias("pos"), F.sum(F.when(y, 0).otherwise(1)).alias("neg"))
+
+
+def merge_histograms(first: DataFrame, *others: DataFrame) -> DataFrame:
+    """The histogram of all rows of several ones."""
+    both = first
+    for other in others:
+        both = both.unionByName(other)
+    g = [c for c in first.columns if c not in ("pos", "neg")]
+    return both.groupBy(*g).agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+
+
+def ranking_bounds(histogram: DataFrame, group_cols: list[str] | None = None) -> DataFrame:
+    """Bounds between which the exact AUC-ROC and average precision lie.
+
+    Only pairs inside a bin are in doubt. For the AUC they count as all lost
+    or all won. For the average precision, a bin's positives stand one by one
+    behind its negatives at worst (a sum of ``tp / (tp + fp)`` that is bounded
+    by its integral) and, sharing one score, before them at best. Groups
+    without positives have null bounds, and without negatives null AUC bounds.
+    """
+    g = _groups(group_cols)
+    key = g or [ALL]
+    c = histogram.withColumn(ALL, F.lit(0)).groupBy(*key, "bin").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).checkpoint(eager=True)
+    c = running_totals(c, key, "bin", ["pos", "neg"], descending=True, materialized=True).join(_class_totals(c, key), key)
+    wide = lambda x: x.cast("decimal(38,0)")
+    p, tp0, fp, fp0 = (x.cast("double") for x in (F.col("pos"), F.col("cum_pos") - F.col("pos"), F.col("cum_neg"), F.col("cum_neg") - F.col("neg")))
+    worst = F.when(fp > 0, F.greatest(p - fp * F.log((tp0 + p + fp) / (tp0 + fp)), F.lit(0.0))).otherwise(p)
+    best = F.when(p > 0, p * (tp0 + p) / (tp0 + p + fp0)).otherwise(0.0)
+    sure = F.sum(wide(F.col("pos")) * wide(F.col("N") - F.col("cum_neg"))).cast("double")
+    inside = F.sum(wide(F.col("pos")) * wide(F.col("neg"))).cast("double")
+    pairs = F.max("P").cast("double") * F.max("N").cast("double")
+    some = lambda x: F.when(F.max("P") > 0, F.round(x / F.max("P"), ROUND_DIGITS))
+    return c.groupBy(*g).agg(
+        F.when(pairs > 0, sure / pairs).alias("auc_low"), F.when(pairs > 0, (sure + inside) / pairs).alias("auc_high"),
+        some(F.sum(worst)).alias("ap_low"), some(F.sum(best)).alias("ap_high"),
+    )
+
+
 def best_f1_threshold(scored: DataFrame, label: str = "label", score: str = "score",
                       group_cols: list[str] | None = None) -> DataFrame:
     """Threshold with the highest F1 (lowest threshold on ties) and the

@@ -8,6 +8,7 @@ ranking and report queries have exact SQL twins.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,10 +29,13 @@ from leakwatch.operators.dictionary_match import rows_containing_any
 from leakwatch.operators.explain import explain
 from leakwatch.operators.features import add_row_features, time_flags
 from leakwatch.operators.model import booster, encode, feature_importance, fit_encoder, load_model, predict, save_model
+from leakwatch.operators.sketches import APPROX_COL, approx_distinct_window
 from leakwatch.operators.split import stratified_split
-from leakwatch.plans import scoring, training
+from leakwatch.operators.target_statistics import fit_target_encoder, ordered_statistics
+from leakwatch.plans import daily, jobs, scoring, training
 from leakwatch.plans.feature_table import build_features, feature_table
-from leakwatch.sources.catalog import append_table
+from leakwatch.sources.catalog import list_tables, table_exists
+from leakwatch.sources.dated import append_dated, overwrite_dated
 from leakwatch.sources.dictionaries import load_dictionary, packaged_path
 from leakwatch.session import ensure_checkpoint_dir
 from leakwatch.sources.fixture import fixture_rules, upload_events
@@ -316,7 +320,15 @@ def q_append_dedup(spark, d):
     name = f"append_dedup_{uuid.uuid4().hex}"
     for batch in (ev.where(F.pmod(F.col(S.ID), F.lit(3)) != 0), ev, ev.unionByName(ev)):
         increment.append_new(spark, batch, name)
-    return spark.table(name)
+    return taken(spark, name).select(*ev.columns)
+
+
+def taken(spark: SparkSession, *names: str) -> DataFrame:
+    """A copy of the first table; all of ``names`` are dropped."""
+    rows = spark.table(names[0]).checkpoint(eager=True)
+    for name in names:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return rows
 
 
 def q_new_events_anti(spark, d):
@@ -332,17 +344,65 @@ def q_unscored_events(spark, d):
     ev = events(spark, d)
     ft = clean_features(spark, d)
     table = written_predictions(spark, ev, ft)
-    return increment.unscored_since(ft, spark, table, _shifted(ev, 72))
+    out = increment.unscored_since(ft, spark, table, _shifted(ev, 72)).checkpoint(eager=True)
+    spark.sql(f"DROP TABLE {table}")
+    return out
 
 
 def written_predictions(spark: SparkSession, ev: DataFrame, ft: DataFrame) -> str:
     """A predictions table of its own name that a run a day ago left: every
     event before the last 24 hours is scored."""
     name = f"predictions_{uuid.uuid4().hex}"
-    append_table(predictions_from(ft).where(F.col(S.TS) < _shifted(ev, 24)), name)
+    append_dated(predictions_from(ft).where(F.col(S.TS) < _shifted(ev, 24)), name)
     return name
 
 
+def q_ingest_outcomes(spark, d):
+    """Where the rows of a batch with unreadable and missing times, missing
+    ids and repeated rows go, over two runs of it: counts by outcome."""
+    ev = events(spark, d)
+    text = F.date_format(S.TS, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    bad = F.when(F.pmod(F.col(S.ID), F.lit(50)) == 3, F.lit("not a time")).when(F.pmod(F.col(S.ID), F.lit(50)) != 4, text)
+    batch = ev.withColumn(S.TS, bad).withColumn(S.ID, F.when(F.pmod(F.col(S.ID), F.lit(50)) != 5, F.col(S.ID)))
+    batch = batch.unionByName(batch)
+    name = f"ingest_{uuid.uuid4().hex}"
+    appended = sum(jobs.ingest_job(spark, batch, name) for _ in range(2))
+    rejects = spark.table(jobs.rejects_table(name)).groupBy(F.col("reason").alias("outcome")).agg(F.sum("n_rows").alias("n_rows")).checkpoint(eager=True)
+    stored = taken(spark, name, jobs.rejects_table(name)).select(F.lit("appended").alias("outcome")).groupBy("outcome").agg(F.count("*").alias("n_rows"))
+    return rejects.union(stored).unionByName(spark.createDataFrame([("returned", appended)], "outcome string, n_rows long"))
+
+
+def q_overwrite_readback(spark, d):
+    """A dated table replaced by rows that are read from it, read back: it is
+    listed, holds the new rows alone, and is gone after DROP."""
+    ev = events(spark, d)
+    name = f"overwrite_{uuid.uuid4().hex}"
+    overwrite_dated(ev, name)
+    overwrite_dated(spark.table(name).where(F.pmod(F.col(S.ID), F.lit(4)) != 0), name, reads_target=True)
+    listed = name in list_tables(spark) and table_exists(spark, name)
+    out = taken(spark, name)
+    return out.select(S.ID, S.TS, "event_date", F.lit(listed).alias("listed"), F.lit(table_exists(spark, name)).alias("left_over"))
+
+
+def q_daily_features(spark, d):
+    """The feature table built from a dated event table by increments of ten days."""
+    name = f"daily_{uuid.uuid4().hex}"
+    overwrite_dated(events(spark, d), f"{name}_events")
+    first, last = spark.table(f"{name}_events").agg(F.min("event_date"), F.max("event_date")).first()
+    while first <= last:
+        until = min(first + dt.timedelta(days=9), last)
+        daily.daily_job(spark, f"{name}_events", name, first.isoformat(), fixture_rules(), last=until.isoformat())
+        first = until + dt.timedelta(days=1)
+    return taken(spark, name, f"{name}_events", f"{name}_first_uses").select(*S.FEATURE_TABLE_COLUMNS)
+
+
+# --- approximate windows ----------------------------------------------------------
+
+def q_approx_unique_domains(spark, d):
+    """Rolling distinct domains from sketches, which are exact while an account has few domains."""
+    return approx_distinct_window(events(spark, d)).select(S.ID, F.col(APPROX_COL).alias("user_unique_domains_7d"))
+
+
 # --- metrics ------------------------------------------------------------------
 
 def q_auc_roc(spark, d):
@@ -381,6 +441,11 @@ def q_model_comparison(spark, d):
     return metrics.model_comparison(two_models(spark, d), "rule", "rule_noisy")
 
 
+def q_ranking_bounds(spark, d):
+    """Bounds on AUC and average precision from a histogram of 16 bins."""
+    return metrics.ranking_bounds(metrics.score_histogram(scored(spark, d), n_bins=16))
+
+
 # --- model preparation ----------------------------------------------------------
 
 def q_stratified_split(spark, d):
@@ -411,7 +476,7 @@ def _model(spark, d, kind: str):
             _MODELS[key] = (training.train(split_df), split_df)
         else:
             split_df = training.split_features(clean_features(spark, d), validation_fraction=0.2)
-            model, best_k, _ = training.train_early_stop(split_df)
+            model, best_k, _ = training.train_early_stop(split_df, codes="statistics")
             _MODELS[key] = (model, split_df)
     return _MODELS[key]
 
@@ -429,6 +494,29 @@ def q_encode_features(spark, d):
     return enc.select(S.ID, "ActionType_code", "file_extension_code", "Position_code")
 
 
+def q_ordered_statistics(spark, d):
+    """Codes of the training order: each from the labels of earlier rows of the same value."""
+    ft = clean_features(spark, d)
+    encoder = fit_target_encoder(ft, [S.USER, S.POSITION])
+    out = ordered_statistics(ft, encoder)
+    return out.select(S.ID, F.col(f"{S.USER}_code").alias("user_code"), F.col(f"{S.POSITION}_code").alias("position_code"))
+
+
+def q_target_statistics(spark, d):
+    """Codes of rows to score, fitted on the ids of an even hundred."""
+    ft = clean_features(spark, d)
+    seen = F.pmod(F.floor(F.col(S.ID) / 100), F.lit(2)) == 0
+    out = fit_target_encoder(ft.where(seen), [S.USER, S.POSITION]).encode(ft)
+    return out.select(S.ID, F.col(f"{S.USER}_code").alias("user_code"), F.col(f"{S.POSITION}_code").alias("position_code"))
+
+
+def q_importance_properties(spark, d):
+    """Property: importances are not negative and add up to 1."""
+    out = q_feature_importance(spark, d)
+    total = out.agg(F.abs(F.sum("importance") - 1) < 1e-9).first()[0]
+    return out.select("feature", (F.col("importance") >= 0).alias("not_negative"), F.lit(total).alias("sums_to_one"))
+
+
 def q_model_roundtrip(spark, d):
     """Property by id: the model read back from its folder predicts the same."""
     model, split_df = _model(spark, d, "gbt")
@@ -471,7 +559,8 @@ def q_score_new_events(spark, d):
     ft = clean_features(spark, d)
     ev = events(spark, d)
     table = written_predictions(spark, ev, ft)
-    batch = scoring.pending(spark, ft, table, 72, reports.latest_timestamp(ev))
+    batch = scoring.pending(spark, ft, table, 72, reports.latest_timestamp(ev)).checkpoint(eager=True)
+    spark.sql(f"DROP TABLE {table}")
     return scoring.score_events(model, batch, "gbt_v1", SCORED_AT)
 
 

@@ -28,7 +28,8 @@ from leakwatch.operators.increment import append_new, assign_ids
 from leakwatch.operators.model import BoostParams, load_model, save_model
 from leakwatch.plans import scoring, training
 from leakwatch.plans.feature_table import feature_table
-from leakwatch.sources.catalog import append_table, overwrite_table, table_exists
+from leakwatch.sources.catalog import append_table, table_exists
+from leakwatch.sources.dated import overwrite_dated
 
 
 def union_versions(spark: SparkSession, tables: list[str], dedupe_key: str | None = None) -> DataFrame:
@@ -39,9 +40,11 @@ def union_versions(spark: SparkSession, tables: list[str], dedupe_key: str | Non
 
 
 def feature_job(spark: SparkSession, event_tables: list[str], target: str, rules: RiskRules) -> int:
-    """Rebuild the feature table from all event versions; returns its row count."""
+    """Rebuild the feature table from all event versions, dated by event (the
+    20 columns and ``event_date``); returns its row count. ``plans.daily``
+    builds it day by day."""
     features = feature_table(union_versions(spark, event_tables), rules)
-    overwrite_table(features, target, reads_target=target in event_tables)
+    overwrite_dated(features, target, reads_target=target in event_tables)
     return spark.table(target).count()
 
 

@@ -10,7 +10,7 @@ from leakwatch import schemas as S
 from leakwatch.operators import reports
 from leakwatch.operators.increment import unscored_since
 from leakwatch.operators.model import RiskModel, predict
-from leakwatch.sources.catalog import append_table
+from leakwatch.sources.dated import append_dated
 
 
 def score_events(model: RiskModel, events: DataFrame, model_version: str, scored_at) -> DataFrame:
@@ -52,6 +52,6 @@ def run_scoring(
     batch = score_events(model, pending(spark, features, predictions_table, hours, as_of), model_version, as_of)
     batch = batch.checkpoint(eager=True)
     if not batch.isEmpty():
-        append_table(batch, predictions_table)
+        append_dated(batch, predictions_table)
         spark.catalog.refreshTable(predictions_table)
     return batch

@@ -376,3 +376,41 @@ ORACLE["explain_additivity"] = BASE_FT + "SELECT Action_ID, CAST(14 AS BIGINT) A
 ORACLE["score_new_ids"] = BASE_FT + f"""SELECT Action_ID, "Timestamp", Risk_Label, TIMESTAMP '2024-02-01 00:00:00' AS scored_at,
   'gbt_v1' AS model_version FROM ft WHERE "Timestamp" >= {MAX_TS} - INTERVAL 72 HOUR
   AND Action_ID NOT IN (SELECT Action_ID FROM ft WHERE "Timestamp" < {MAX_TS} - INTERVAL 24 HOUR)"""
+
+ORACLE["ingest_outcomes"] = BASE_UE + """, b AS (
+  SELECT Action_ID, CASE WHEN "Timestamp" IS NULL OR Action_ID % 50 = 4 THEN 'no time' WHEN Action_ID % 50 = 3 THEN 'time not readable'
+    WHEN Action_ID % 50 = 5 THEN 'no id' ELSE 'appended' END AS outcome FROM ue
+)
+SELECT outcome, CAST(CASE WHEN outcome = 'appended' THEN count(DISTINCT Action_ID) ELSE 2 * count(*) END AS BIGINT) AS n_rows FROM b GROUP BY outcome
+UNION ALL SELECT 'returned', CAST(count(DISTINCT Action_ID) AS BIGINT) FROM b WHERE outcome = 'appended'"""
+ORACLE["overwrite_readback"] = BASE_UE + """SELECT Action_ID, "Timestamp", CAST("Timestamp" AS DATE) AS event_date, true AS listed, false AS left_over
+FROM ue WHERE Action_ID % 4 <> 0"""
+ORACLE["daily_features"] = BASE_FT + f"SELECT {FT_COLS} FROM ft"
+ORACLE["approx_unique_domains"] = BASE_FEAT + "SELECT Action_ID, user_unique_domains_7d FROM feat"
+ORACLE["ranking_bounds"] = BASE_PRED + """, h AS (
+  SELECT least(greatest(floor(score * 16), 0), 15) AS bin, sum((label = 1)::INT) AS pos, sum((label <> 1)::INT) AS neg FROM scored GROUP BY ALL
+), c AS (
+  SELECT pos, neg, sum(pos) OVER (ORDER BY bin DESC) - pos AS tp0, sum(neg) OVER (ORDER BY bin DESC) AS fp, sum(pos) OVER () AS P, sum(neg) OVER () AS N FROM h
+)
+SELECT sum(pos * (N - fp))::DOUBLE / (max(P)::DOUBLE * max(N)::DOUBLE) AS auc_low,
+  (sum(pos * (N - fp))::DOUBLE + sum(pos * neg)::DOUBLE) / (max(P)::DOUBLE * max(N)::DOUBLE) AS auc_high,
+  round(sum(CASE WHEN fp > 0 THEN greatest(pos - fp::DOUBLE * ln((tp0 + pos + fp)::DOUBLE / (tp0 + fp)::DOUBLE), 0.0) ELSE pos END) / max(P), 10) AS ap_low,
+  round(sum(CASE WHEN pos > 0 THEN pos::DOUBLE * (tp0 + pos)::DOUBLE / (tp0 + pos + fp - neg)::DOUBLE ELSE 0.0 END) / max(P), 10) AS ap_high
+FROM c"""
+
+
+def _ordered(column: str) -> str:
+    w = f"(PARTITION BY {column} ORDER BY md5('42/' || CAST(Action_ID AS VARCHAR)) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    return f"(coalesce(sum(Risk_Label) OVER {w}, 0) + 0.5::DOUBLE) / (count(*) OVER {w} + 1.0::DOUBLE)"
+
+
+ORACLE["ordered_statistics"] = BASE_FT + f"SELECT Action_ID, {_ordered('AccountDisplayName')} AS user_code, {_ordered('Position')} AS position_code FROM ft"
+ORACLE["target_statistics"] = BASE_FT + """, u AS (
+  SELECT AccountDisplayName, (sum(Risk_Label) + 0.5::DOUBLE) / (count(*) + 1.0::DOUBLE) AS c FROM ft WHERE (Action_ID // 100) % 2 = 0 GROUP BY ALL
+), p AS (
+  SELECT Position, (sum(Risk_Label) + 0.5::DOUBLE) / (count(*) + 1.0::DOUBLE) AS c FROM ft WHERE (Action_ID // 100) % 2 = 0 GROUP BY ALL
+)
+SELECT Action_ID, coalesce(u.c, 0.5::DOUBLE) AS user_code, coalesce(p.c, 0.5::DOUBLE) AS position_code FROM ft LEFT JOIN u USING (AccountDisplayName) LEFT JOIN p USING (Position)"""
+ORACLE["importance_properties"] = """SELECT unnest(['ActionType', 'file_extension', 'Position', 'is_high_risk_extension', 'file_name_has_sensitive_keyword',
+  'double_extension_check', 'is_risky_target_domain', 'is_first_time_domain', 'is_after_hours', 'day_of_week', 'is_monday_or_friday',
+  'is_high_risk_position', 'user_upload_count_24h', 'user_unique_domains_7d']) AS feature, true AS not_negative, true AS sums_to_one"""

@@ -38,7 +38,7 @@ def test_daily_flow(spark, fixture_dir, tmp_path):
 
     n = jobs.feature_job(spark, ["ev_v1", "ev_v2"], "features_t", fixture_rules())
     assert n == spark.table("features_t").count() > 0
-    assert spark.table("features_t").columns == S.FEATURE_TABLE_COLUMNS
+    assert spark.table("features_t").columns == [*S.FEATURE_TABLE_COLUMNS, "event_date"]
 
     path = str(tmp_path / "model")
     report = jobs.training_job(spark, "features_t", path, BoostParams(max_iter=5))

@@ -111,3 +111,37 @@ def test_rule_label_confusion_matches_fixture_measurement(spark):
     pred = f.select(F.col("Risk_Label").cast("int").alias("label"), rule_label("risk_score").alias("predicted"))
     cm = metrics.confusion_matrix(pred).first()
     assert (cm["tn"], cm["fn"], cm["fp"], cm["tp"]) == (5051, 756, 665, 3528)
+
+
+def _exact(rows):
+    """AUC with ties counted half, and step-wise average precision."""
+    pos, neg = [s for y, s in rows if y], [s for y, s in rows if not y]
+    auc = sum((p > n) + (p == n) / 2 for p in pos for n in neg) / (len(pos) * len(neg))
+    ap = sum(sum(1 for p in pos if p == t) / len(pos) * sum(p >= t for p in pos) / sum(s >= t for _, s in rows) for t in {s for _, s in rows})
+    return auc, ap
+
+
+def test_histogram_bounds_hold_the_exact_values(spark):
+    import random
+
+    r = random.Random(3)
+    for n_bins, kind in ((4, "any"), (16, "ties"), (64, "any"), (1, "any")):
+        rows = [(int(r.random() < 0.4), None) for _ in range(150)]
+        rows = [(y, min(1.0, max(0.0, r.gauss(0.4 + 0.2 * y, 0.2)))) for y, _ in rows]
+        if kind == "ties":
+            rows = [(y, round(s, 1)) for y, s in rows]
+        df = spark.createDataFrame(rows, "label int, score double")
+        whole = metrics.score_histogram(df, n_bins=n_bins)
+        parts = metrics.merge_histograms(*(metrics.score_histogram(df.where(c), n_bins=n_bins) for c in ("score < 0.5", "score >= 0.5")))
+        assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, parts.collect())) and whole.count() <= n_bins
+        b = metrics.ranking_bounds(whole).first()
+        auc, ap = _exact(rows)
+        assert b.auc_low - 1e-9 <= auc <= b.auc_high + 1e-9 and b.ap_low - 1e-9 <= ap <= b.ap_high + 1e-9
+        if n_bins == 64:
+            assert b.auc_high - b.auc_low < 0.05 and b.ap_high - b.ap_low < 0.15
+
+
+def test_histogram_bounds_by_group_and_without_a_class(spark):
+    df = spark.createDataFrame([("a", 1, 0.9), ("a", 0, 0.1), ("b", 1, 0.5), ("c", 0, 0.5), ("a", None, 0.5), ("a", 1, None), ("a", 1, 1.5)], "g string, label int, score double")
+    got = {r.g: tuple(r)[1:] for r in metrics.ranking_bounds(metrics.score_histogram(df, group_cols=["g"], n_bins=8), ["g"]).collect()}
+    assert got["a"] == (1.0, 1.0, 1.0, 1.0) and got["b"][:2] == (None, None) and got["b"][2:] == (1.0, 1.0) and got["c"] == (None,) * 4
