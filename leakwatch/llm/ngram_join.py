@@ -15,11 +15,14 @@ of such shingles links with nothing. Any linked pair shares one of its first
 these name the root's children. Each child is a tree of its members' points.
 
 Two rounds keep large groups cheap without losing a link. First every member
-of a child is verified against the child's smallest member, and components
-are built. Then only children that still hold several components are joined
-through their trees, and only across components. Copies count as one node (a
-signature of the set), so groups of exact copies never meet in a join, and
-children of more than ``TILE`` members are split into pairs of tiles.
+of a child is verified against the child's smallest member, its head, and
+components are built. Then children with the same head become one, and only
+those that still hold several components are joined through their trees, and
+only across components: a task has its members' shingles, verifies its pairs
+itself, and stops looking at two components once a link joins them, so it
+sends fewer links than it has members. Copies count as one node (a signature
+of the set), so groups of exact copies never meet in a join, and children of
+more than ``TILE`` members are split into pairs of tiles.
 
 Defined results: the words are those of the whole text, A-Z in lower case; a
 text with fewer words than ``k`` is one shingle; a text without words, and a
@@ -35,6 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,7 +50,9 @@ U64 = np.uint64
 GROUPS = 64
 LEAF = 16
 TILE = 2048
-_SET = "id long, sig long, n_shingles long"
+TILE_CODES = 2_000_000
+_SET = "id long, sig long, n_shingles long, text_code long"
+_WHICH = np.dtype([("id", "<i8"), ("text", "<i8")])
 _SEED = U64(0xA0761D6478BD642F)
 
 
@@ -175,21 +181,51 @@ class CountTree:
 _PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def _tree_pairs(rows: list[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs across components among one child's members (or of two tiles of one)."""
+def overlap(x: np.ndarray, y: np.ndarray) -> int:
+    """Codes that two sets of distinct codes share."""
+    both = np.concatenate([x, y])
+    both.sort()
+    return int((both[1:] == both[:-1]).sum())
+
+
+def _tree_links(rows: list[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Links across components among one child's members (or of two tiles of
+    one), verified here: as soon as a link joins two components, no other pair
+    of them is looked at, so fewer links leave than members came."""
     t = pa.Table.from_batches(rows)
     node, size, label, side = (t[c].to_numpy() for c in ("node", "n", "label", "side"))
     points = C.values(rows, "points", np.uint32).reshape(-1, GROUPS).astype(np.int64)
+    codes = [np.frombuffer(v.as_buffer(), U64) for r in rows for v in r.column("shared")]
     left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)  # 2: both, one tile with itself
     if not len(left) or not len(right):
         return
+    group = np.unique(label, return_inverse=True)[1]
+    root = np.arange(group.max() + 1)
+
+    def find(g: int) -> int:
+        while root[g] != g:
+            root[g] = root[root[g]]
+            g = root[g]
+        return g
+
+    def settle() -> None:
+        while (root[root] != root).any():
+            root[:] = root[root]
+
+    out: tuple[list, list] = ([], [])
     tree = CountTree(points[right], size[right])
     for q, m in tree.search(points[left], size[left], percent):
         x, y = left[q], right[m]
-        on = (label[x] != label[y]) & ((side[x] != 2) | (node[x] < node[y]))
-        if on.any():
-            x, y = node[x[on]], node[y[on]]
-            yield pa.record_batch([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], schema=_PAIR)
+        settle()
+        on = (root[group[x]] != root[group[y]]) & ((side[x] != 2) | (node[x] < node[y]))
+        for i, j in zip(x[on].tolist(), y[on].tolist(), strict=True):
+            g, h = find(group[i]), find(group[j])
+            if g != h and overlap(codes[i], codes[j]) >= needed(size[i], size[j], percent):
+                root[max(g, h)] = min(g, h)
+                out[0].append(min(node[i], node[j]))
+                out[1].append(max(node[i], node[j]))
+    if out[0]:
+        yield pa.record_batch([pa.array(c, pa.int64()) for c in out], schema=_PAIR)
 
 
 def _verified(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -204,10 +240,7 @@ def _verified(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
             ok = np.minimum(pa_, pb).sum(1) >= need
             sa, sb = batch.column("sa"), batch.column("sb")
             for i in np.flatnonzero(ok):
-                x, y = np.frombuffer(sa[i].as_buffer(), U64), np.frombuffer(sb[i].as_buffer(), U64)
-                both = np.concatenate([x, y])
-                both.sort()
-                ok[i] = (both[1:] == both[:-1]).sum() >= need[i]
+                ok[i] = overlap(np.frombuffer(sa[i].as_buffer(), U64), np.frombuffer(sb[i].as_buffer(), U64)) >= need[i]
             yield batch.select(["a", "b"]).filter(pa.array(ok))
 
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(check, "a long, b long")
@@ -218,34 +251,49 @@ def link_sets(nodes: DataFrame, percent: int, n_parts: int) -> DataFrame:
     members = nodes.select("node", "n", F.explode("keys").alias("key"))
     near = lambda a, b: (100 * F.least(a, b) >= percent * F.greatest(a, b))
     heads = members.groupBy("key").agg(F.count("*").alias("m"), F.min(F.struct("node", "n")).alias("head")).where("m > 1")
-    stars = members.join(heads, "key").where((F.col("node") != F.col("head.node")) & near(F.col("n"), F.col("head.n")))
-    stars = stars.select(F.col("node").alias("b"), F.col("head.node").alias("a")).distinct()
+    # Children with the same head are one: any two sets that share a key share its head.
+    child = members.join(heads, "key").select(F.col("head.node").alias("a"), F.col("head.n").alias("na"), F.col("node").alias("b"), F.col("n").alias("nb"))
+    child = child.distinct().checkpoint()
+    stars = child.where((F.col("a") != F.col("b")) & near(F.col("na"), F.col("nb"))).select("a", "b")
     first = _verified(stars, nodes, percent).checkpoint()
     roots = connected(first)
 
-    labelled = members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("label"))
-    open_keys = labelled.groupBy("key").agg(F.count("*").alias("m"), F.min("label").alias("l0"), F.max("label").alias("l1")).where("l0 <> l1")
-    tiles = F.ceil(F.col("m") / TILE).cast("int")
-    mine = F.pmod(F.xxhash64("node"), tiles).cast("int")
-    inside = labelled.join(open_keys.select("key", "m"), "key").withColumn("t", mine).withColumn("tiles", tiles)
+    labelled = child.join(roots.withColumnRenamed("node", "b"), "b", "left").select("a", F.col("b").alias("node"), F.coalesce("root", "b").alias("label"), "nb")
+    labelled = labelled.checkpoint()
+    opened = labelled.groupBy("a").agg(F.count("*").alias("m"), F.sum("nb").alias("codes"), F.min("label").alias("l0"), F.max("label").alias("l1")).where("l0 <> l1")
+    # A tile has at most about TILE members and TILE_CODES codes.
+    opened = opened.select("a", F.greatest(F.ceil(F.col("m") / TILE), F.ceil(F.col("codes") / TILE_CODES)).cast("int").alias("tiles")).checkpoint()
+    mine = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
+    inside = labelled.join(opened, "a").withColumn("t", mine)
     # Tile t meets every tile u; the pair's smaller tile is side 0, the larger side 1.
     inside = inside.withColumn("u", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     side = F.when(F.col("t") == F.col("u"), 2).when(F.col("t") < F.col("u"), 0).otherwise(1)
-    task = F.xxhash64("key", F.least("t", "u"), F.greatest("t", "u"))
+    task = F.xxhash64("a", F.least("t", "u"), F.greatest("t", "u"))
     inside = inside.select(task.alias("task"), "node", "label", side.cast("int").alias("side"))
-    inside = inside.join(nodes.select("node", "n", "points"), "node").select("task", "node", "n", "label", "side", "points")
+    inside = inside.join(nodes.select("node", "n", "points", "shared"), "node").select("task", "node", "n", "label", "side", "points", "shared")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in C.by_key(batches, "task"):
-            yield from _tree_pairs(rows, percent)
+            yield from _tree_links(rows, percent)
 
-    pairs = C.deal(inside, "task", n_parts).mapInArrow(search, "a long, b long").distinct()
-    second = _verified(pairs.join(stars, ["a", "b"], "left_anti"), nodes, percent).checkpoint()
+    second = C.deal(inside, "task", n_parts).mapInArrow(search, "a long, b long").distinct().checkpoint()
     return connected(first.union(second))
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 75) -> DataFrame:
     """(id_col, n_shingles, component_id) of every row of ``docs``."""
+    return jaccard_groups(docs, id_col, text_col, k, percent).select(id_col, "n_shingles", "component_id")
+
+
+def text_code(text: bytes | None) -> int:
+    """What Spark's ``xxhash64`` gives for a text column."""
+    code = 42 if text is None else xxhash.xxh64_intdigest(text, seed=42)
+    return code - (1 << 64) if code >= 1 << 63 else code
+
+
+def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 75) -> DataFrame:
+    """As ``jaccard_components``, with ``root`` (the component, whatever its
+    ids) and ``text_code``, which with the id tells the rows of ``docs`` apart."""
     spark = docs.sparkSession
     C.whole_batches(spark)
     n_parts = C.partitions(spark)
@@ -263,7 +311,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 valid = ids.slice(a, b - a).is_valid().to_numpy(zero_copy_only=False)
                 shard = np.full(b - a, -1 - int(known[0]) % n_parts, np.int32)
                 row = (np.arange(b - a)).astype(np.int64)
-                yield from C.cells(shard, row, sig.view(U64), known.astype(np.int64), count.astype(np.uint32) * 2 + valid.astype(np.uint32))
+                which = np.empty(b - a, _WHICH)
+                which["id"], which["text"] = known, [text_code(t) for t in texts[a:b]]
+                yield from C.cells(shard, row, sig.view(U64), which, count.astype(np.uint32) * 2 + valid.astype(np.uint32))
                 fresh = np.zeros(b - a, bool)
                 for i in np.flatnonzero((count > 0) & valid):
                     if int(sig[i]) not in seen:
@@ -294,8 +344,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, sig, note = C.values([batch], "extra", np.int64), C.values([batch], "code", np.int64), C.values([batch], "note", np.uint32)
-            yield pa.record_batch([pa.array(ids, mask=note % 2 == 0), pa.array(sig), pa.array((note // 2).astype(np.int64))], names=["id", "sig", "n_shingles"])
+            which, sig, note = C.values([batch], "extra", _WHICH), C.values([batch], "code", np.int64), C.values([batch], "note", np.uint32)
+            yield pa.record_batch([pa.array(which["id"], mask=note % 2 == 0), pa.array(sig), pa.array((note // 2).astype(np.int64)), pa.array(which["text"])], names=["id", "sig", "n_shingles", "text_code"])
 
     sets = found.where("shard < 0").mapInArrow(rows_of, _SET)
 
@@ -308,13 +358,26 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     linked = (F.col("n_shingles") > 0) & F.col("id").isNotNull()
     rooted = sets.join(roots.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
-    first = rooted.where(linked).groupBy("root").agg(F.min("id").alias("least"))
+    # As tables of their own, so that a hot root can be split in the join.
+    first = rooted.where(linked).groupBy("root").agg(F.min("id").alias("least")).checkpoint()
     component = F.when(linked, F.col("least")).otherwise(F.col("id"))
-    return rooted.join(first, "root", "left").select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"))
-
-
-def keep_first(docs: DataFrame, components: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` that stand for their component: the smallest id.
-    Rows with a null id stay."""
-    gone = components.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
-    return docs.join(gone, id_col, "left_anti")
+    return rooted.join(first, "root", "left").select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), "root", "text_code")
+
+
+def keep_first(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of ``docs`` for each component of ``groups`` (``jaccard_groups``):
+    that of the smallest id, and of its smallest text code if rows of one id
+    belong to the component. Rows that share an id are judged one by one; of
+    rows with one id and text one stays, the smallest in the order of its
+    columns. Rows that link with nothing (no words, null id) all stay."""
+    linked = groups.where((F.col("n_shingles") > 0) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col("text_code").alias("_code"), "root")
+    linked = linked.checkpoint()
+    first = linked.groupBy("root").agg(F.min(F.struct("_id", "_code")).alias("first")).checkpoint()
+    gone = linked.join(first, "root").where(F.struct("_id", "_code") != F.col("first")).select("_id", "_code").distinct()
+    repeated = linked.groupBy("_id", "_code").agg(F.count("*").alias("n")).where("n > 1").select("_id", "_code").checkpoint()
+    rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.xxhash64(F.col(text_col).cast("string")).alias("_code"), F.struct(*docs.columns).alias("_row"))
+    kept = rows.join(gone, ["_id", "_code"], "left_anti")
+    if not repeated.isEmpty():
+        once = kept.join(repeated, ["_id", "_code"], "left_semi").groupBy("_id", "_code").agg(F.min("_row").alias("_row"))
+        kept = kept.join(repeated, ["_id", "_code"], "left_anti").unionByName(once)
+    return kept.select("_row.*")

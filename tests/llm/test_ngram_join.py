@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import COLUMNS, components, documents, rng, words
 
@@ -58,13 +59,63 @@ def test_tree_finds_every_pair_above_the_bound():
     assert found == {(int(a), int(b)) for a, b in zip(*np.nonzero(near), strict=True)}
 
 
+def kept_of(rows):
+    """(id, text) of one row for each group of linked rows, and of every row that links with nothing."""
+    sets = sets_of(rows)
+    on = [i for i, r in enumerate(rows) if sets[i] and r[0] is not None]
+    links = [(a, b) for a in on for b in on if a < b and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    root = components(len(rows), links)
+    best = {}
+    for i in on:
+        mine = (rows[i][0], ngram_join.text_code(rows[i][1].encode()), rows[i][1])
+        best[root[i]] = min(best.get(root[i], mine), mine)
+    alone = [r[:2] for i, r in enumerate(rows) if not sets[i] or r[0] is None]
+    return sorted([(i, t) for i, _, t in best.values()] + alone, key=str)
+
+
 def test_kept_documents_are_the_first_of_their_group(spark):
     docs, rows = documents(spark)
-    groups = ngram_join.jaccard_components(docs)
-    kept = ngram_join.keep_first(docs, groups).collect()
-    want = {r[0] for r in groups.collect() if r[0] is None or r[0] == r[2]} - {r[0] for r in groups.collect() if r[0] != r[2]}
-    assert {r.doc_id for r in kept} == want | {None}
-    assert len(kept[0]) == len(docs.columns)
+    kept = ngram_join.keep_first(docs, ngram_join.jaccard_groups(docs))
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == kept_of(rows)
+
+
+def test_rows_that_share_an_id_are_kept_one_by_one(spark):
+    a, b = "one text of some words here and there", "another text that links with nothing at all"
+    rows = [(1, a), (2, a), (2, b), (3, b + " "), (5, "x y z"), (5, "x y z"), (5, "x  y z"), (None, a), (None, a), (6, ""), (6, ""), (7, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = ngram_join.keep_first(docs, ngram_join.jaccard_groups(docs)).collect()
+    assert sorted(map(tuple, kept), key=str) == kept_of(rows)
+    assert (2, b) in [tuple(r) for r in kept] and sum(r.doc_id == 5 for r in kept) == 1
+
+
+@pytest.mark.parametrize("text", ["", "a", "naïve 😀" * 30, None])
+def test_text_codes_are_sparks(spark, text):
+    got = spark.createDataFrame([(text,)], "t string").selectExpr("xxhash64(t)").first()[0]
+    assert got == ngram_join.text_code(None if text is None else text.encode())
+
+
+def test_links_grow_with_the_members_not_with_their_pairs(spark):
+    """Near copies: fewer links leave a task than members came."""
+    r = rng()
+    sent = {}
+    for n in (40, 80, 160):
+        base = [f"w{i}" for i in range(200)]
+        rows = []
+        for _ in range(n):
+            at = int(r.integers(0, 190))
+            rows.append(" ".join(base[:at] + [f"x{r.integers(10**9)}" for _ in range(7)] + base[at + 7 :]).encode())
+        code, doc, size, _ = ngram_join.shingle_sets(rows, 5)
+        parts = [code[doc == i] for i in range(n)]
+        points = [np.bincount((c >> np.uint64(20)).astype(np.int64) % ngram_join.GROUPS, minlength=ngram_join.GROUPS).astype(np.uint32) for c in parts]
+        batch = pa.record_batch({"node": np.arange(n), "n": size.astype(np.int64), "label": np.arange(n), "side": np.full(n, 2, np.int32),
+                                 "points": pa.array([p.tobytes() for p in points], pa.binary()), "shared": pa.array([c.tobytes() for c in parts], pa.binary())})
+        links = [(x, y) for out in ngram_join._tree_links([batch], 75) for x, y in zip(*(c.to_pylist() for c in out.columns), strict=True)]
+        sets = [set(c.tolist()) for c in parts]
+        every = [(i, j) for i in range(n) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])]
+        assert components(n, links) == components(n, every)
+        sent[n] = len(links)
+    assert all(k < n for n, k in sent.items()) and sent[160] <= 5 * sent[40]
 
 
 def test_empty_tables(spark):
