@@ -35,8 +35,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each group of near copies."""
-    groups = ngram_join.jaccard_components(docs, "doc_id", "text", k=5, percent=75)
-    return ngram_join.keep_first(docs, groups, "doc_id")
+    groups = ngram_join.jaccard_groups(docs, "doc_id", "text", k=5, percent=75)
+    return ngram_join.keep_first(docs, groups, "doc_id", "text")
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
