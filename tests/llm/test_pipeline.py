@@ -85,7 +85,7 @@ def test_queries_equal_their_sql(spark):
     from tools.check_oracle import _rows
 
     con = duckdb.connect()
-    for t in ("documents", "conversations", "embeddings"):
+    for t in ("documents", "conversations", "embeddings", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{FOLDER}/{t}.parquet')")
     for name, sql in ORACLE.items():
         df = QUERIES[name](spark, FOLDER)
