@@ -43,7 +43,8 @@ def run_scoring(
     as_of,
     hours: int = 24,
 ) -> DataFrame:
-    """Score what is pending, append it, and return the rows appended.
+    """Score what is pending, append it, and return the rows appended. The
+    predictions table is dated (``sources.dated``).
 
     The batch is checkpointed before the append because its plan reads the
     table it appends to, and what is returned is that copy: nothing reads the

@@ -69,7 +69,7 @@ def test_run_scoring_appends_once(spark, fixture_dir):
     t = spark.table("preds_t")
     assert t.columns == [
         "Action_ID", "Timestamp", "AccountDisplayName", "ObjectName", "Target_Domain", "Position", "Risk_Label",
-        "predicted", "predicted_prob", "scored_at", "model_version",
+        "predicted", "predicted_prob", "scored_at", "model_version", "event_date",
     ]
     assert t.count() == n1
 
