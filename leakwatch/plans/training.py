@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from leakwatch import schemas as S
 from leakwatch.operators import metrics
-from leakwatch.operators.model import BoostParams, RiskModel, first_trees, fit_classifier, fit_encoder, predict
+from leakwatch.operators.boosting import Boosting
+from leakwatch.operators.model import BoostParams, RiskModel, first_trees, fit_classifier, fit_encoder, index_suffix, predict
 from leakwatch.operators.split import stratified_split
 from leakwatch.operators.target_statistics import fit_target_encoder, ordered_statistics
 
@@ -79,6 +80,37 @@ def train_early_stop(
         n = min(2 * n, params.max_iter)
 
 
+def train_continued(
+    split_df: DataFrame, params: BoostParams = BoostParams(max_iter=500), patience: int = 50, check_every: int = 25,
+    codes: str = "ordinal", categorical: list[str] = S.CATEGORICAL_COLS, numeric: list[str] = S.NUMERIC_COLS,
+) -> tuple[RiskModel, int, DataFrame]:
+    """``train_early_stop`` without a second fit: trees from histograms
+    (``operators.boosting``), grown on ``check_every`` at a time from kept
+    margins until the validation AUC has not improved for ``patience`` trees.
+
+    At most best + ``patience`` + ``check_every`` trees are ever grown. Returns
+    the model, its tree count and the AUC of every prefix.
+    """
+    rows, validation = (split_df.where(F.col("split") == s) for s in ("train", "validation"))
+    coded = training_codes(rows, codes, categorical)
+    encoder = coded["encoder"]
+    inputs = [index_suffix(c) for c in encoder.columns] + list(numeric)
+    learn = coded["encoded"] if "encoded" in coded else encoder.encode(rows)
+    both = learn.select(*inputs, S.LABEL, F.lit(True).alias("fits")).unionByName(
+        encoder.encode(validation).select(*inputs, S.LABEL, F.lit(False).alias("fits"))
+    )
+    fit = Boosting(both, inputs, S.LABEL, params)
+    aucs: list[tuple[int, float | None]] = []
+    while True:
+        fit.grow(min(check_every, params.max_iter - len(fit.trees)))
+        # One row per tree (bounded by max_iter): read on the driver.
+        aucs += sorted((r["n_trees"], r["auc_roc"]) for r in metrics.auc_of_counts(fit.staged(), ["n_trees"]).collect())
+        best_k, stopped = best_prefix(aucs, patience)
+        if stopped or len(fit.trees) >= params.max_iter:
+            per_prefix = split_df.sparkSession.createDataFrame(aucs, "n_trees int, auc_roc double")
+            return RiskModel(encoder, list(numeric), fit.booster(best_k)), best_k, per_prefix
+
+
 def best_prefix(aucs: list[tuple[int, float | None]], patience: int) -> tuple[int, bool]:
     """The prefix with the highest AUC (the first on ties), and whether
     ``patience`` prefixes in a row failed to beat it."""
