@@ -4,8 +4,10 @@ The Spark ML fit (``operators.model.fit_classifier``) starts over whenever more
 trees are wanted. Here the rows are binned once and packed: a block holds the
 bins of up to ``BLOCK_ROWS`` rows as bytes, their labels and their margins so
 far. A level of a tree is one aggregate for all nodes and features: each task
-adds up its blocks, Spark sums the (node, feature, bin) cells of all tasks, and
-the driver, which sees at most nodes x features x bins rows, picks the splits.
+adds up its blocks into (node, feature, bin) cells, Spark sums the cells of all
+tasks, and the driver, which sees at most nodes x features x bins rows, picks the
+splits. While tasks x cells is at most ``MAX_PARTIAL_CELLS``, the driver sums them
+itself: the same sums with one shuffle less a level.
 Margins are written to a checkpoint every ``KEEP_EVERY`` trees, so growing on
 costs only the new trees and a lost executor repeats few.
 
@@ -36,6 +38,7 @@ from leakwatch.operators.model import BoostParams
 
 BLOCK_ROWS = 65_536
 KEEP_EVERY = 10
+MAX_PARTIAL_CELLS = 1_000_000
 MAX_BINS = 256  # a bin is one byte
 BLOCK_SCHEMA = "fits boolean, n int, bins binary, y binary, margin binary"
 _ARROW = pa.schema([("fits", pa.bool_()), ("n", pa.int32()), ("bins", pa.binary()), ("y", pa.binary()), ("margin", pa.binary())])
@@ -121,7 +124,7 @@ def _read(batches, n_inputs: int):
             yield r, bins, np.frombuffer(r["y"]), np.frombuffer(r["margin"])
 
 
-def level_cells(blocks: DataFrame, grown: list[Tree], tree: Tree, open_nodes: list[int], n_inputs: int, max_bins: int, first: bool) -> np.ndarray:
+def level_cells(blocks: DataFrame, grown: list[Tree], tree: Tree, open_nodes: list[int], n_inputs: int, max_bins: int, first: bool, n_tasks: int) -> np.ndarray:
     """(open node, input, bin, [rows, sum, sum of squares]) of the targets over all training rows."""
     place = {node: k for k, node in enumerate(open_nodes)}
     size = len(open_nodes) * n_inputs * max_bins
@@ -149,9 +152,12 @@ def level_cells(blocks: DataFrame, grown: list[Tree], tree: Tree, open_nodes: li
 
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
     parts = blocks.where("fits").mapInArrow(run, "cell int, n double, s double, q double")
+    if n_tasks * size > MAX_PARTIAL_CELLS:
+        parts = parts.groupBy("cell").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q"))
+    sums = parts.toArrow()
     out = np.zeros((size, 3))
-    for r in parts.groupBy("cell").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q")).collect():
-        out[r.cell] = r.n, r.s, r.q
+    for k, name in enumerate("nsq"):
+        np.add.at(out[:, k], sums.column("cell").to_numpy(), sums.column(name).to_numpy())
     return out.reshape(len(open_nodes), n_inputs, max_bins, 3)
 
 
@@ -180,6 +186,7 @@ class Boosting:
         self.bounds = quantile_bounds(rows.where("fits"), inputs, params.max_bins) if bounds is None else bounds
         self.n_bins = max([len(b) for b in self.bounds], default=0) + 1
         self.blocks = pack(rows, inputs, label, self.bounds).checkpoint(eager=True)
+        self.n_tasks = self.blocks.rdd.getNumPartitions()
         self.staged_blocks, self.n_staged = self.blocks, 0
         self.trees: list[Tree] = []
         self.n_kept = 0
@@ -195,7 +202,7 @@ class Boosting:
         tree = Tree(1.0 if first else self.params.step_size)
         open_nodes = [0]
         for _ in range(self.params.max_depth):
-            cells = level_cells(self.blocks, self.trees[self.n_kept:], tree, open_nodes, len(self.inputs), self.n_bins, first)
+            cells = level_cells(self.blocks, self.trees[self.n_kept:], tree, open_nodes, len(self.inputs), self.n_bins, first, self.n_tasks)
             below = []
             for node, own in zip(open_nodes, cells):
                 tree.stats.setdefault(node, tuple(own[0].sum(axis=0)))
@@ -212,6 +219,16 @@ class Boosting:
                 break
         return tree if tree.stats else Tree(tree.weight, stats={0: (0.0, 0.0, 0.0)})
 
+    def root_gains(self) -> list[tuple[str, float, int, int, float | None]]:
+        """(input, bound, rows left, label-1 rows left, gain) of every possible
+        first split; no gain where a side is empty. One row per bound."""
+        cells = level_cells(self.blocks, [], Tree(1.0), [0], len(self.inputs), self.n_bins, True, self.n_tasks)[0]
+        gains, left = split_gains(cells), np.cumsum(cells, axis=1)
+        return [
+            (name, float(bound), int(left[f, b, 0]), int((left[f, b, 0] + left[f, b, 1]) / 2), None if gains[f, b] == -1 else float(gains[f, b]))
+            for f, name in enumerate(self.inputs) for b, bound in enumerate(self.bounds[f])
+        ]
+
     def _keep_margins(self) -> None:
         n_inputs, new = len(self.inputs), self.trees[self.n_kept:]
 

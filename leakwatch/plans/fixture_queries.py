@@ -25,10 +25,11 @@ from leakwatch.functions.files import (
 )
 from leakwatch.functions.rules import rule_label, rule_probability, rule_score_hundredths
 from leakwatch.operators import increment, metrics, reports
+from leakwatch.operators.boosting import Boosting
 from leakwatch.operators.dictionary_match import rows_containing_any
 from leakwatch.operators.explain import explain
 from leakwatch.operators.features import add_row_features, time_flags
-from leakwatch.operators.model import booster, encode, feature_importance, fit_encoder, load_model, predict, save_model
+from leakwatch.operators.model import BoostParams, booster, encode, feature_importance, fit_encoder, load_model, predict, save_model
 from leakwatch.operators.sketches import APPROX_COL, approx_distinct_window
 from leakwatch.operators.split import stratified_split
 from leakwatch.operators.target_statistics import fit_target_encoder, ordered_statistics
@@ -554,6 +555,26 @@ def q_gbt_early_stop(spark, d):
                        F.lit(booster(model).getNumTrees).alias("n_trees"))
 
 
+def q_gbt_continued(spark, d):
+    """Early stop without a second fit: trees from histograms, grown on ten at a
+    time until ten in a row do not raise the validation AUC (at most 60)."""
+    split_df = training.split_features(clean_features(spark, d), validation_fraction=0.2)
+    model, best_k, _ = training.train_continued(split_df, BoostParams(max_iter=60), patience=10, check_every=10, codes="statistics")
+    pred = training.test_predictions(model, split_df)
+    return pred.select(S.ID, S.LABEL, "predicted", "predicted_prob", F.lit(best_k).alias("n_trees"))
+
+
+def q_split_gains(spark, d):
+    """Every possible first split of the number columns: rows and label-1 rows
+    at or below the bound, and the drop in variance, from the histograms of all rows."""
+    bounds = {c: [0.0] for c in S.NUMERIC_COLS}
+    bounds |= {"day_of_week": [1.0, 2.0, 3.0, 4.0, 5.0, 6.0], "user_upload_count_24h": [1.0, 2.0, 3.0, 5.0, 10.0], "user_unique_domains_7d": [1.0, 2.0, 3.0, 4.0]}
+    rows = clean_features(spark, d).withColumn("fits", F.lit(True))
+    fit = Boosting(rows, list(bounds), S.LABEL, bounds=list(bounds.values()))
+    out = spark.createDataFrame(fit.root_gains(), "feature string, bound double, n_left long, positives_left long, gain double")
+    return out.withColumn("gain", F.round("gain", 6))
+
+
 def q_score_new_events(spark, d):
     model, _ = _model(spark, d, "gbt")
     ft = clean_features(spark, d)

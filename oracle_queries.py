@@ -414,3 +414,25 @@ SELECT Action_ID, coalesce(u.c, 0.5::DOUBLE) AS user_code, coalesce(p.c, 0.5::DO
 ORACLE["importance_properties"] = """SELECT unnest(['ActionType', 'file_extension', 'Position', 'is_high_risk_extension', 'file_name_has_sensitive_keyword',
   'double_extension_check', 'is_risky_target_domain', 'is_first_time_domain', 'is_after_hours', 'day_of_week', 'is_monday_or_friday',
   'is_high_risk_position', 'user_upload_count_24h', 'user_unique_domains_7d']) AS feature, true AS not_negative, true AS sums_to_one"""
+
+
+def _split_gains() -> str:
+    """Variance of the labels (-1 and 1) before and after each first split."""
+    flags = ["is_high_risk_extension", "file_name_has_sensitive_keyword", "double_extension_check", "is_risky_target_domain",
+             "is_first_time_domain", "is_after_hours", "is_monday_or_friday", "is_high_risk_position"]
+    bounds = {c: [0] for c in flags} | {"day_of_week": [1, 2, 3, 4, 5, 6], "user_upload_count_24h": [1, 2, 3, 5, 10], "user_unique_domains_7d": [1, 2, 3, 4]}
+    sides = " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, {b}::DOUBLE AS bound, count(*) FILTER ({c} <= {b}) AS n_left, "
+        f"count(*) FILTER ({c} <= {b} AND Risk_Label = 1) AS positives_left, count(*) AS n, count(*) FILTER (Risk_Label = 1) AS p FROM ft WHERE Risk_Label IS NOT NULL"
+        for c, bs in bounds.items() for b in bs
+    )
+
+    def spread(n: str, p: str) -> str:  # rows x variance of labels -1 and 1
+        return f"({n}) * (1.0::DOUBLE - (2.0::DOUBLE * ({p}) / ({n}) - 1.0::DOUBLE) ** 2)"
+
+    gain = f"({spread('n', 'p')} - {spread('n_left', 'positives_left')} - {spread('n - n_left', 'p - positives_left')}) / n"
+    return BASE_FT + f""", sides AS ({sides})
+SELECT feature, bound, n_left, positives_left, CASE WHEN n_left > 0 AND n_left < n THEN round({gain}, 6) END AS gain FROM sides"""
+
+
+ORACLE["split_gains"] = _split_gains()

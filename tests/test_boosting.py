@@ -78,8 +78,10 @@ def frame(spark, rows):
     return spark.createDataFrame(rows, "a double, b double, c double, label int, fits boolean")
 
 
-def test_every_split_equals_brute_force_and_growing_on_changes_nothing(spark, monkeypatch):
+@pytest.mark.parametrize("max_partial", [1_000_000, 0])
+def test_every_split_equals_brute_force_and_growing_on_changes_nothing(spark, monkeypatch, max_partial):
     monkeypatch.setattr(boosting, "KEEP_EVERY", 2)
+    monkeypatch.setattr(boosting, "MAX_PARTIAL_CELLS", max_partial)
     rows = rows_of()
     plain, _ = plain_boosting(rows, 5)
     df = frame(spark, rows).repartition(3)
