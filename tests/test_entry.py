@@ -13,7 +13,7 @@ def test_every_oracle_key_is_a_query():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     no_sql = set(E.QUERIES) - set(E.ORACLE)
-    assert no_sql == {"gbt_predictions", "gbt_early_stop", "score_new_events",
+    assert no_sql == {"gbt_predictions", "gbt_early_stop", "gbt_continued", "score_new_events",
                       "feature_importance", "explain_events", "gbt_model_comparison", "gbt_tuned_threshold",
                       "gbt_validation_threshold", "explain_events_wide", "feature_importance_comparison"}
 
