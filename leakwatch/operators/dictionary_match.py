@@ -8,11 +8,10 @@ size (a bounded count, never a guess):
   matched with a theta left-semi join (``BroadcastNestedLoopJoin LeftSemi``,
   ``instr(text, entry) > 0``), all JVM. Cost rows x entries, so only for
   short lists.
-* beyond that: an equi-join. Texts are first reduced to distinct values
-  (partial aggregation); every distinct text is exploded into its substrings
-  of the lengths that entries have (one explode over positions and lengths),
-  and these are semi-joined with the entries by (length, value): a shuffle
-  join, no broadcast of unbounded data. Texts held by more than
+* beyond that: an inverted index of the entries by their rarest q-gram
+  (``operators.gram_index``). Texts are first reduced to distinct values
+  (partial aggregation); those that share an index gram are verified. Shuffle
+  joins, no broadcast of unbounded data. Texts held by more than
   ``HOT_NAME_ROWS`` rows are salted when they are joined back.
 """
 
@@ -21,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from leakwatch.operators.gram_index import matching
 from leakwatch.operators.skew import salted_join
 
 MAX_BROADCAST_ENTRIES = 256
@@ -57,15 +57,10 @@ def _matching_texts(df: DataFrame, entries: DataFrame) -> tuple[DataFrame, DataF
     # Materialised once: the substring match and the hot-name check read it.
     names = (
         df.where(F.col("_dm_t").isNotNull()).groupBy("_dm_t").agg(F.count(F.lit(1)).alias("_dm_n"))
-        .checkpoint(eager=True)
+        .withColumn("_dm_id", F.monotonically_increasing_id()).checkpoint(eager=True)
     )
-    sized = entries.withColumn("_dm_l", F.length("_dm_v"))
-    # Distinct lengths: at most as many as the longest entry has characters.
-    lengths = sorted(r[0] for r in sized.select("_dm_l").distinct().collect())
-    at = names.select("_dm_t", F.explode(F.sequence(F.lit(1), F.greatest(F.length("_dm_t"), F.lit(1)))).alias("_dm_i"))
-    left = F.length("_dm_t") - F.col("_dm_i") + 1
-    fits = F.filter(F.array(*[F.lit(n) for n in lengths]) if lengths else F.array().cast("array<int>"), lambda n: n <= left)
-    subs = at.select("_dm_t", "_dm_i", F.explode(fits).alias("_dm_l"))
-    subs = subs.select("_dm_t", "_dm_l", F.substr("_dm_t", F.col("_dm_i"), F.col("_dm_l")).alias("_dm_v"))
-    matched = subs.join(sized, ["_dm_l", "_dm_v"], "left_semi").select("_dm_t").distinct()
+    entries = entries.checkpoint(eager=True)
+    # The ids are stable: they are part of the checkpoint.
+    ids = matching(names.select(F.col("_dm_id").alias("id"), F.col("_dm_t").alias("text")), entries.select(F.col("_dm_v").alias("entry")))
+    matched = names.join(ids.select(F.col("id").alias("_dm_id")), "_dm_id", "left_semi").select("_dm_t")
     return matched, names.where(F.col("_dm_n") > HOT_NAME_ROWS).select("_dm_t")

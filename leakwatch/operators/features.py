@@ -47,11 +47,31 @@ def add_file_features(df: DataFrame, rules: RiskRules, keep_base: bool = False)
     return out if keep_base else out.drop("file_name")
 
 
+def add_risky_domain(df: DataFrame, rules: RiskRules) -> DataFrame:
+    """is_risky_target_domain, for a domain list of any length."""
+    domains, flag = clean_entries(rules.risky_domains), "is_risky_target_domain"
+    if len(domains) <= MAX_PATTERN_ENTRIES:
+        return df.withColumn(flag, risky_domain_flag(S.DOMAIN, domains, rules.domain_match))
+    entries = df.sparkSession.createDataFrame([(d,) for d in domains], "value string")
+    return flag_risky_domains(df, entries, flag, rules.domain_match)
+
+
+def flag_risky_domains(df: DataFrame, domains: DataFrame, out_col: str, mode: str = "substring") -> DataFrame:
+    """``risky_domain_flag`` for a list held as a table (``value``, lower case):
+    matched through the index of ``operators.gram_index``, not by a pattern."""
+    d, value = F.lower(S.DOMAIN), F.col("value")
+    if mode == "suffix":  # whole labels up to the end: both get a dot before and an end mark
+        marked = lambda c: F.concat(F.lit("."), c, F.lit("\n"))
+        d, value = marked(d), F.when(F.length(value) > 0, marked(value))
+    elif mode != "substring":
+        raise ValueError(f"unknown domain match mode {mode!r}")
+    return flag_containing_any(df, d, domains.select(value.alias("value")), out_col)
+
+
 def add_context_features(df: DataFrame, rules: RiskRules) -> DataFrame:
     """Destination, time and role flags."""
-    out = df.withColumns(
+    out = add_risky_domain(df, rules).withColumns(
         {
-            "is_risky_target_domain": risky_domain_flag(S.DOMAIN, rules.risky_domains, rules.domain_match),
             "is_after_hours": after_hours_flag(S.TS, rules.after_hours_from, rules.after_hours_until),
             "day_of_week": day_of_week(S.TS),
             "is_high_risk_position": high_risk_position_flag(S.POSITION, rules.high_risk_positions),

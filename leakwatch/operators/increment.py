@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from leakwatch import schemas as S
+from leakwatch.operators.key_filter import only_possible
 from leakwatch.sources.catalog import append_table, table_exists
 from leakwatch.sources.dated import append_dated, since
 
@@ -33,7 +34,10 @@ def new_rows(batch: DataFrame, existing_keys: DataFrame | None, key: str = S.ID,
     only keys between the batch's min and max can match, so those bounds are
     read first (one single-row aggregate) and applied as literal filters,
     which reach the target's Parquet scan and skip row groups by statistics
-    instead of reading every key ever written.
+    instead of reading every key ever written. A Bloom filter of the batch's
+    keys (``operators.key_filter``, up to its bound of counted keys) then drops in
+    the scan's stage what cannot match, so the join's shuffle follows the
+    batch, not the history.
     """
     # De-duplicate first: partial aggregation collapses copies of a key on
     # the map side, so a key repeated in a large share of rows never reaches
@@ -49,10 +53,11 @@ def new_rows(batch: DataFrame, existing_keys: DataFrame | None, key: str = S.ID,
     if existing_keys is not None:
         right = existing_keys.select(key).where(F.col(key).isNotNull())
         if prune_to_batch_range:
-            lo, hi = batch.agg(F.min(key), F.max(key)).first()
+            lo, hi, n_keys = batch.agg(F.min(key), F.max(key), F.count(key)).first()
             if lo is None:
                 return keyless
             right = right.where(F.col(key).between(F.lit(lo), F.lit(hi)))
+            right = only_possible(right, key, batch, n_keys)
         out = out.join(right.distinct(), on=key, how="left_anti").select(*batch.columns)
     return out.unionByName(keyless)
 

@@ -28,7 +28,7 @@ from leakwatch.operators import increment, metrics, reports
 from leakwatch.operators.boosting import Boosting
 from leakwatch.operators.dictionary_match import rows_containing_any
 from leakwatch.operators.explain import explain
-from leakwatch.operators.features import add_row_features, time_flags
+from leakwatch.operators.features import add_row_features, flag_risky_domains, time_flags
 from leakwatch.operators.model import BoostParams, booster, encode, feature_importance, fit_encoder, load_model, predict, save_model
 from leakwatch.operators.sketches import APPROX_COL, approx_distinct_window
 from leakwatch.operators.split import stratified_split
@@ -339,6 +339,20 @@ def q_new_events_anti(spark, d):
     return increment.new_rows(batch, target)
 
 
+def q_new_events_filtered(spark, d):
+    """The same ingest step when the batch is small beside the history: its key
+    range and a Bloom filter of its keys are applied to the history's scan."""
+    ev = events(spark, d)
+    target = ev.where(F.col(S.TS) < _shifted(ev, 24))
+    return increment.new_rows(ev.where(F.col(S.TS) >= _shifted(ev, 48)), target, prune_to_batch_range=True)
+
+
+def q_risky_domain_join(spark, d):
+    """Risky destinations by a list held as a table, of any length."""
+    listed = load_dictionary(spark, packaged_path("risky_domains.csv"), "Domain")
+    return flag_risky_domains(events(spark, d), listed, "is_risky_target_domain").select(S.ID, S.DOMAIN, "is_risky_target_domain")
+
+
 def q_unscored_events(spark, d):
     # The run's "now" is the latest source event (a one-column scan), not a
     # max over the feature table, which would recompute its windows.

@@ -200,6 +200,7 @@ ORACLE = {
     "SELECT 1 FROM (VALUES ('client'), ('payroll'), ('token'), ('statement'), ('ssn')) kw(v) "
     "WHERE instr(lower(file_name), kw.v) > 0)",
     "risky_domain": BASE_FEAT + "SELECT Action_ID, Target_Domain, is_risky_target_domain FROM feat",
+    "risky_domain_join": BASE_FEAT + "SELECT Action_ID, Target_Domain, is_risky_target_domain FROM feat",
     "time_flags": BASE_FEAT + 'SELECT Action_ID, "Timestamp", CAST(hour("Timestamp") AS INTEGER) AS hour, '
     "is_after_hours, day_of_week, is_monday_or_friday FROM feat",
     "high_risk_position": BASE_FEAT + "SELECT Action_ID, Position, is_high_risk_position FROM feat",
@@ -254,6 +255,9 @@ FROM pred GROUP BY model_version""",
   SELECT {UE_COLS} FROM ue WHERE "Timestamp" >= TIMESTAMP '2024-01-15 00:00:00'""",
     "append_dedup": BASE_UE + """SELECT Action_ID, "Timestamp", AccountDisplayName FROM ue""",
     "new_events_anti": BASE_UE + f"""SELECT DISTINCT {UE_COLS} FROM ue
+WHERE "Timestamp" >= {MAX_TS} - INTERVAL 48 HOUR
+  AND Action_ID NOT IN (SELECT Action_ID FROM ue WHERE "Timestamp" < {MAX_TS} - INTERVAL 24 HOUR)""",
+    "new_events_filtered": BASE_UE + f"""SELECT {UE_COLS} FROM ue
 WHERE "Timestamp" >= {MAX_TS} - INTERVAL 48 HOUR
   AND Action_ID NOT IN (SELECT Action_ID FROM ue WHERE "Timestamp" < {MAX_TS} - INTERVAL 24 HOUR)""",
     "unscored_events": BASE_PRED + f"""SELECT {FT_COLS} FROM ft
