@@ -163,19 +163,21 @@ def fold(unit: str, pieces: dict[str, tuple[int, float]], longest: int, zero: in
     return ids[::-1]
 
 
-def encode_units(distinct: DataFrame, path: str) -> DataFrame:
-    """(unit, ids) of a table of distinct units."""
+def encode_units(units: DataFrame, path: str) -> DataFrame:
+    """(unit, ids) of the distinct units of a table."""
     rows, zero = pieces_of(path)
     longest = max(len(r[0]) for r in rows)
-    shared = distinct.sparkSession.sparkContext.broadcast({piece: (i, cost) for piece, i, cost in rows})
+    shared = units.sparkSession.sparkContext.broadcast({piece: (i, cost) for piece, i, cost in rows})
 
     def long_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for u in batch.column("unit").to_pylist():
                 yield pa.record_batch([pa.array([u], pa.string()), pa.array([fold(u, shared.value, longest, zero)], pa.list_(pa.int32()))], names=["unit", "ids"])
 
-    long = F.length("unit") > MAX_UNIT
-    return _short_units(distinct.where(~long), path).unionByName(distinct.where(long).select("unit").mapInArrow(long_units, "unit string, ids array<int>"))
+    # The length is an aggregate, so both filters stay above the one exchange.
+    sized = units.groupBy("unit").agg(F.max(F.length("unit")).alias("n"))
+    long = sized.where(F.col("n") > MAX_UNIT).select("unit").mapInArrow(long_units, "unit string, ids array<int>")
+    return _short_units(sized.where(F.col("n") <= MAX_UNIT), path).unionByName(long)
 
 
 def _short_units(distinct: DataFrame, path: str) -> DataFrame:
@@ -183,11 +185,13 @@ def _short_units(distinct: DataFrame, path: str) -> DataFrame:
     u = F.col("unit")
     plain = F.when(F.contains(u, F.lit(SPACE_MARK)), F.replace(u, F.lit(SPACE_MARK), F.lit(NO_PIECE))).otherwise(u)
     marked = F.replace(plain, F.lit(" "), F.lit(SPACE_MARK))
-    df = distinct.select("unit", marked.alias("marked"), F.length("unit").alias("n"))
+    # Units are grouped by number first: the rows come in its order, which costs
+    # the aggregate's sort nothing. The number serves within the stage only.
+    df = distinct.select(F.monotonically_increasing_id().alias("u"), "unit", marked.alias("marked"), "n")
     # One row per start with what follows, then one per length of that.
-    df = df.select("unit", "n", F.posexplode(F.transform(F.sequence(F.lit(1), F.col("n")), lambda s: F.substr("marked", s, F.lit(longest)))).alias("s", "rest"))
-    df = df.select("unit", "n", "s", "rest", F.explode(F.sequence(F.lit(1), F.length("rest"))).alias("k"))
-    df = df.select("unit", "n", (F.col("s") + 1).alias("s"), "k", F.left("rest", "k").alias("piece"))
+    df = df.select("u", "unit", "n", F.posexplode(F.transform(F.sequence(F.lit(1), F.col("n")), lambda s: F.substr("marked", s, F.lit(longest)))).alias("s", "rest"))
+    df = df.select("u", "unit", "n", "s", "rest", F.explode(F.sequence(F.lit(1), F.length("rest"))).alias("k"))
+    df = df.select("u", "unit", "n", (F.col("s") + 1).alias("s"), "k", F.left("rest", "k").alias("piece"))
     df = df.join(F.broadcast(pieces), "piece", "left").where("id IS NOT NULL OR k = 1")
     edge = F.struct(
         (F.col("s") + F.col("k") - 1).alias("j"),
@@ -195,7 +199,7 @@ def _short_units(distinct: DataFrame, path: str) -> DataFrame:
         F.coalesce("cost", F.lit(NO_PIECE_COST)).alias("cost"),
         F.coalesce("id", -F.col("s")).alias("t"),
     )
-    df = df.groupBy("unit", "n").agg(F.collect_list(edge).alias("edges"))
+    df = df.groupBy("u", "unit", "n").agg(F.collect_list(edge).alias("edges"))
     as_bytes = lambda t: F.transform(
         F.sequence(F.lit(1), F.octet_length(F.substr("unit", -t, F.lit(1)))),
         lambda i: F.conv(F.substr(F.hex(F.encode(F.substr("unit", -t, F.lit(1)), "UTF-8")), 2 * i - 1, F.lit(2)), 16, 10).cast("int") + zero,
@@ -267,7 +271,7 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "i
     docs = docs.drop(*[c for c in docs.columns if c == ids_col])
     source = docs.select(F.col(text_col).cast("string").alias("text")).na.drop()
     cut = spark.sparkContext.broadcast(Cutter([r[0] for r in pieces_of(path)[0]]))
-    table = encode_units(source.mapInArrow(lambda batches: _distinct(batches, cut.value), "unit string").distinct(), path)
+    table = encode_units(source.mapInArrow(lambda batches: _distinct(batches, cut.value), "unit string"), path)
     table = table.select(F.xxhash64("unit").alias("code"), "unit", "ids").checkpoint()
     n, codes, n_ids = table.agg(F.count("*"), F.count_distinct("code"), F.sum(F.size("ids"))).first()
     if n > max_broadcast or (n_ids or 0) > IDS_PER_UNIT * max_broadcast or codes < n:
