@@ -1,5 +1,7 @@
-"""Gradient-boosted tree classifier on Spark ML: fit, score, importances,
-save/load.
+"""Gradient-boosted tree classifier: fit, score, importances, save/load.
+
+The trees are a Spark ML model, grown from histograms (``operators.boosting``)
+with Spark ML's loss and split candidates.
 
 The model never leaves Spark. Categorical values become ordinal codes held in
 a table (column, value, code) that is joined by value, so the number of
@@ -12,9 +14,10 @@ probability of class 1 is read with ``vector_to_array`` (JVM side, no Python).
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from typing import TYPE_CHECKING
 
 from pyspark import SparkContext
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +26,9 @@ from pyspark.sql import functions as F
 from leakwatch import schemas as S
 from leakwatch.operators.cumulative import running_totals
 
+if TYPE_CHECKING:
+    from leakwatch.operators.boosting import Boosting
+
 MISSING = "missing"
 UNSEEN = -1
 MAX_BROADCAST_CODES = 100_000
@@ -95,7 +101,7 @@ class RiskModel:
 
     @property
     def inputs(self) -> list[str]:
-        return [index_suffix(c) for c in self.encoder.columns] + list(self.numeric)
+        return model_inputs(self.encoder, self.numeric)
 
     def encode(self, df: DataFrame) -> DataFrame:
         return self.encoder.encode(df)
@@ -117,25 +123,34 @@ def fit_classifier(
     label: str = S.LABEL,
     encoder: Encoder | None = None,
     encoded: DataFrame | None = None,
+    grown: Boosting | None = None,
 ) -> RiskModel:
     """Fit the codes (unless given) and the boosted trees on all of ``train``.
 
     ``encoded`` replaces ``train`` with codes of its own for the fit (ordered
-    target statistics differ from the codes of rows to score).
+    target statistics differ from the codes of rows to score). ``grown``
+    (``start_fit`` on the same rows) is grown on to ``params.max_iter`` trees
+    instead of starting over.
     """
     encoder = encoder or fit_encoder(train, categorical)
-    inputs = [index_suffix(c) for c in encoder.columns] + list(numeric)
-    gbt = GBTClassifier(
-        featuresCol="features", labelCol=label, maxIter=params.max_iter, maxDepth=params.max_depth,
-        stepSize=params.step_size, seed=params.seed, maxBins=params.max_bins,
-        # Shallow trees: re-walking 3 levels is cheaper than caching node ids
-        # (which also checkpoints them). The boosting residuals are still
-        # checkpointed every 10 trees, so a lost executor never replays all.
-        cacheNodeIds=False, checkpointInterval=10,
-    )
-    rows = encoder.encode(train) if encoded is None else encoded
-    fitted = gbt.fit(assemble(rows, inputs).select("features", label))
-    return RiskModel(encoder, list(numeric), fitted)
+    fit = grown or start_fit(encoder.encode(train) if encoded is None else encoded, model_inputs(encoder, numeric), params, label)
+    fit.grow(params.max_iter - len(fit.trees))
+    return RiskModel(encoder, list(numeric), fit.booster(params.max_iter))
+
+
+def model_inputs(encoder: Encoder, numeric: list[str]) -> list[str]:
+    return [index_suffix(c) for c in encoder.columns] + list(numeric)
+
+
+def start_fit(encoded: DataFrame, inputs: list[str], params: BoostParams = BoostParams(), label: str = S.LABEL) -> Boosting:
+    """A fit without trees, its bins placed where Spark ML's trees may split."""
+    from leakwatch.operators.boosting import Boosting, split_bounds
+
+    known = F.coalesce(F.col(label).isin(0, 1), F.lit(False))
+    n, bad = encoded.agg(F.count(F.lit(1)), F.count_if(~known)).first()
+    if not n or bad:
+        raise ValueError(f"training needs rows with labels 0 and 1; of {n} rows {bad} have another or none")
+    return Boosting(encoded.withColumn("fits", F.lit(True)), inputs, label, params, split_bounds(encoded, inputs, params.max_bins))
 
 
 def booster(model: RiskModel) -> GBTClassificationModel:
