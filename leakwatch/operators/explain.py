@@ -326,26 +326,40 @@ def explain(model: RiskModel, df: DataFrame, id_col: str = S.ID, layout: str = "
     return long.select(id_col, "feature", "feature_value", "shap_value", base_value, "margin")
 
 
-def staged_margins(model: RiskModel, df: DataFrame, label: str = S.LABEL) -> DataFrame:
-    """(n_trees, score, pos, neg): the margins after each tree prefix, counted.
-
-    One pass per Arrow batch; a batch yields a row for each distinct margin
-    of a prefix, not for each row, and Spark sums those of all batches.
+def staged_margins(model: RiskModel, df: DataFrame, label: str = S.LABEL, after: int = 0) -> DataFrame:
+    """(n_trees, score, pos, neg): the margins after each tree prefix of more
+    than ``after`` trees, counted.
+
+    Rows on the same side of every split of the model have the same margins:
+    they are counted first, and the trees are evaluated once for each kind of
+    row. A batch yields a row for each distinct margin of a prefix, and Spark
+    sums those of all batches.
     """
     nodes, weights = tree_nodes(model)
     leaves, _ = leaf_table(nodes, weights)
     n_trees = len(weights)
     inputs = feature_names(model)
+    cuts, listed = split_values(leaves, len(inputs))
+    names = [f"x{i}" for i in range(len(inputs))]
     encoded = model.encode(df).where(F.col(label).isNotNull()).select(
-        F.col(label).cast("int").alias("label"), *[F.col(c).cast("double").alias(c) for c in inputs]
+        F.when(F.col(label).cast("int") == 1, 1).otherwise(0).alias("y"), *[F.col(c).cast("double").alias(n) for c, n in zip(inputs, names)]
     )
 
+    def kinds(batches):
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            for i, n in enumerate(names):
+                if i not in listed:  # The next split value stands for all up to it.
+                    pdf[n] = cuts[i][np.searchsorted(cuts[i][:-1], pdf[n].to_numpy(), side="left")]
+            yield pdf.groupby(names, dropna=False, sort=False)["y"].agg(pos="sum", n="size").reset_index()
+
     def run(batches):
         for pdf in batches:
             if pdf.empty:
                 continue
-            x = pdf[inputs].to_numpy(dtype=float)
-            positive = (pdf["label"].to_numpy() == 1).astype(np.int64)
+            x = pdf[names].to_numpy(dtype=float)
+            positive, n = pdf["pos"].to_numpy(), pdf["n"].to_numpy()
             per_tree = np.zeros((len(pdf), n_trees))
             for leaf in leaves:
                 hit = np.ones(len(pdf), dtype=bool)
@@ -354,13 +368,31 @@ def staged_margins(model: RiskModel, df: DataFrame, label: str = S.LABEL) -> Dat
                         hit &= _satisfies(x[:, j], cond)
                 per_tree[:, leaf["tree"]] += np.where(hit, leaf["value"], 0.0)
             margins = np.cumsum(per_tree, axis=1)
-            for k in range(n_trees):
+            for k in range(after, n_trees):
                 # Sums of equal trees in another order differ in the last bits.
                 score, at = np.unique(np.round(margins[:, k], 12), return_inverse=True)
+                # Counts below 2^53: exact as doubles.
                 pos = np.bincount(at, weights=positive, minlength=len(score)).astype(np.int64)
-                total = np.bincount(at, minlength=len(score))
+                total = np.bincount(at, weights=n, minlength=len(score)).astype(np.int64)
                 yield pd.DataFrame({"n_trees": np.int32(k + 1), "score": score, "pos": pos, "neg": total - pos})
 
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    counted = encoded.mapInPandas(run, "n_trees int, score double, pos long, neg long")
+    columns = ", ".join(f"{n} double" for n in names)
+    counted = encoded.mapInPandas(kinds, f"{columns}, pos long, n long").groupBy(*names).agg(F.sum("pos").alias("pos"), F.sum("n").alias("n"))
+    counted = counted.mapInPandas(run, "n_trees int, score double, pos long, neg long")
     return counted.groupBy("n_trees", "score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+
+
+def split_values(leaves: list[dict], n_features: int) -> tuple[list[np.ndarray], set[int]]:
+    """Per feature the values it is split at, ascending, with infinity for what
+    lies above; and the features that a tree splits by a list of values."""
+    found: list[set[float]] = [set() for _ in range(n_features)]
+    listed = set()
+    for leaf in leaves:
+        for j, f in leaf["features"].items():
+            for categorical, cut, _ in f["conds"]:
+                if categorical:
+                    listed.add(j)
+                else:
+                    found[j].add(cut[0])
+    return [np.array([*sorted(v), np.inf]) for v in found], listed

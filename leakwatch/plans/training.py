@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from leakwatch import schemas as S
 from leakwatch.operators import metrics
 from leakwatch.operators.boosting import Boosting
-from leakwatch.operators.model import BoostParams, RiskModel, first_trees, fit_classifier, fit_encoder, index_suffix, predict
+from leakwatch.operators.model import BoostParams, RiskModel, first_trees, fit_classifier, fit_encoder, model_inputs, predict, start_fit
 from leakwatch.operators.split import stratified_split
 from leakwatch.operators.target_statistics import fit_target_encoder, ordered_statistics
 
@@ -48,7 +48,7 @@ def training_codes(rows: DataFrame, codes: str, categorical: list[str] = S.CATEG
 
 def train_early_stop(
     split_df: DataFrame, params: BoostParams = BoostParams(max_iter=500), patience: int = 50, first_round: int = 100,
-    codes: str = "ordinal",
+    codes: str = "ordinal", categorical: list[str] = S.CATEGORICAL_COLS, numeric: list[str] = S.NUMERIC_COLS,
 ) -> tuple[RiskModel, int, DataFrame]:
     """Fit on ``train``, stop by AUC on ``validation``.
 
@@ -60,23 +60,29 @@ def train_early_stop(
        the same codes.
 
     Boosting is deterministic, so a fit of fewer trees is a prefix of a longer
-    one: ``first_round`` trees are fitted first, and twice as many as long as
-    the patience has not run out, up to ``max_iter``.
+    one: ``first_round`` trees are grown first, and on to twice as many as long
+    as the patience has not run out, up to ``max_iter``. No tree is grown and
+    no prefix measured twice.
 
     Returns the model, its tree count and the per-prefix AUC table.
     """
     from leakwatch.operators.explain import staged_margins
 
     rows, validation = (split_df.where(F.col("split") == s) for s in ("train", "validation"))
-    coded = training_codes(rows, codes)
+    coded = training_codes(rows, codes, categorical)
+    encoder = coded["encoder"]
+    learn = coded["encoded"] if "encoded" in coded else encoder.encode(rows)
+    fit = start_fit(learn, model_inputs(encoder, numeric), params)
     n = min(first_round, params.max_iter)
+    aucs: list[tuple[int, float | None]] = []
     while True:
-        model = fit_classifier(rows, replace(params, max_iter=n), **coded)
-        per_prefix = metrics.auc_of_counts(staged_margins(model, validation), ["n_trees"]).checkpoint(eager=True)
+        model = fit_classifier(rows, replace(params, max_iter=n), numeric=numeric, **coded, grown=fit)
+        per_prefix = metrics.auc_of_counts(staged_margins(model, validation, after=len(aucs)), ["n_trees"])
         # One row per tree (bounded by max_iter): read on the driver.
-        best_k, stopped = best_prefix(sorted((r["n_trees"], r["auc_roc"]) for r in per_prefix.collect()), patience)
+        aucs += sorted((r["n_trees"], r["auc_roc"]) for r in per_prefix.collect())
+        best_k, stopped = best_prefix(aucs, patience)
         if stopped or n >= params.max_iter:
-            return first_trees(model, best_k), best_k, per_prefix
+            return first_trees(model, best_k), best_k, split_df.sparkSession.createDataFrame(aucs, "n_trees int, auc_roc double")
         n = min(2 * n, params.max_iter)
 
 
@@ -94,7 +100,7 @@ def train_continued(
     rows, validation = (split_df.where(F.col("split") == s) for s in ("train", "validation"))
     coded = training_codes(rows, codes, categorical)
     encoder = coded["encoder"]
-    inputs = [index_suffix(c) for c in encoder.columns] + list(numeric)
+    inputs = model_inputs(encoder, numeric)
     learn = coded["encoded"] if "encoded" in coded else encoder.encode(rows)
     both = learn.select(*inputs, S.LABEL, F.lit(True).alias("fits")).unionByName(
         encoder.encode(validation).select(*inputs, S.LABEL, F.lit(False).alias("fits"))

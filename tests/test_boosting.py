@@ -1,12 +1,13 @@
 import math
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from leakwatch.operators import boosting, metrics
 from leakwatch.operators.boosting import Boosting
-from leakwatch.operators.model import BoostParams, load_model, predict, save_model
+from leakwatch.operators.model import BoostParams, assemble, booster, fit_classifier, load_model, predict, save_model, start_fit
 from leakwatch.plans import training
 
 BOUNDS = [[1.0, 2.0, 3.0], [0.25, 0.5, 0.75], [0.0]]
@@ -145,3 +146,75 @@ def test_early_stop_grows_on_from_kept_margins(spark, tmp_path):
     save_model(model, str(tmp_path / "m"))
     a, b = (predict(m, df).agg(F.sum("raw_prob")).first()[0] for m in (model, load_model(str(tmp_path / "m"))))
     assert a == pytest.approx(b)
+
+
+def small_table(spark, n=2000, seed=4):
+    r = random.Random(seed)
+    rows = []
+    for i in range(n):
+        x, z, k = r.random(), r.randint(-3, 40), r.choice("pqrs")
+        rows.append((i, k, int(r.random() < (0.8 if x * z > 6 or k == "q" else 0.2)), x, float(z), float(r.random() < 0.1), ("train", "train", "validation", "test")[i % 4]))
+    return spark.createDataFrame(rows, "Action_ID long, kind string, Risk_Label int, x double, z double, f double, split string").repartition(4).checkpoint()
+
+
+def test_fit_equals_spark_ml(spark):
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.functions import vector_to_array
+
+    df = small_table(spark)
+    model = fit_classifier(df, BoostParams(max_iter=6), ["kind"], ["x", "z", "f"])
+    coded = assemble(model.encode(df), model.inputs)
+    ml = GBTClassifier(labelCol="Risk_Label", maxIter=6, maxDepth=3, stepSize=0.1, seed=42, maxBins=32).fit(coded)
+    # The splits are the same; sums in another order differ in the last bits.
+    plain = [re.sub(r"Predict: .*", lambda m: f"{float(m[0][9:]):.9f}", t.toDebugString).split("\n")[1:] for t in (booster(model), ml)]
+    assert plain[0] == plain[1] and len(plain[0]) > 60
+    a, b = (m.transform(coded).agg(F.sum(F.abs(vector_to_array("rawPrediction")[1]))).first()[0] for m in (model.booster, ml))
+    assert a == pytest.approx(b, abs=1e-6)
+
+
+def test_bounds_of_many_values_come_from_all_rows(spark, monkeypatch):
+    # 40,000 rows, more than Spark ML looks at; value 5 stands in one row alone.
+    df = spark.range(40_000).selectExpr("CASE WHEN id = 77 THEN 5D ELSE -0D END AS a", "double(id % 100) AS b", "CASE WHEN id % 2 = 0 THEN double('NaN') END AS c")
+    assert boosting.split_bounds(df, ["a", "b", "c"], 4) == [[2.5], [24.5, 49.5, 74.5], []]
+    monkeypatch.setattr(boosting, "MAX_COUNTED_VALUES", 50)
+    a, b, _ = boosting.split_bounds(df, ["a", "b", "c"], 4)
+    assert a == [2.5] and b == pytest.approx([25, 50, 75], abs=2)
+
+
+def test_rows_alike_are_kept_once_in_few_tasks(spark):
+    rows = rows_of()
+    once, often = frame(spark, rows), frame(spark, rows).crossJoin(spark.range(40)).drop("id").repartition(60)
+    fits = [Boosting(df, ["a", "b", "c"], "label", BoostParams(), BOUNDS) for df in (once, often)]
+    for fit in fits:
+        fit.grow(3)
+    assert len({fit.blocks.agg(F.sum("n")).first()[0] for fit in fits}) == 1
+    assert fits[1].blocks.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    assert [as_plain(t, BOUNDS) for t in fits[0].trees] == [as_plain(t, BOUNDS) for t in fits[1].trees]
+    assert [r[:2] + (r[2] * 40, r[3] * 40) for r in sorted(fits[0].staged().collect())] == [tuple(r) for r in sorted(fits[1].staged().collect())]
+
+
+def test_deep_trees_end_in_the_same_nodes(spark):
+    rows = [r for r in rows_of(800) if r[3] is not None]
+    fit = Boosting(frame(spark, rows), ["a", "b", "c"], "label", BoostParams(max_depth=5), BOUNDS)
+    fit.grow(2)
+    assert max(len(t.feature) for t in fit.trees) > boosting.MAX_PATTERN_SPLITS
+    plain, _ = plain_boosting(rows, 2, depth=5)
+    assert plain == [as_plain(t, BOUNDS) for t in fit.trees]
+
+
+def test_early_stop_grows_no_tree_twice(spark, monkeypatch):
+    grown = []
+    one = Boosting._next_tree
+    monkeypatch.setattr(Boosting, "_next_tree", lambda fit: grown.append(len(fit.trees)) or one(fit))
+    df = small_table(spark)
+    _, best, per_prefix = training.train_early_stop(df, BoostParams(max_iter=10), patience=50, first_round=3, categorical=["kind"], numeric=["x", "z"])
+    assert grown == list(range(10))
+    assert sorted(r.n_trees for r in per_prefix.collect()) == list(range(1, 11)) and 1 <= best <= 10
+
+
+def test_labels_of_a_fit_are_checked(spark):
+    df = small_table(spark).withColumn("kind_code", F.lit(0))
+    with pytest.raises(ValueError, match="labels"):
+        start_fit(df.withColumn("Risk_Label", F.when(F.col("Action_ID") > 0, F.col("Risk_Label"))), ["x"])
+    with pytest.raises(ValueError, match="labels"):
+        start_fit(df.where("false"), ["x"])
