@@ -64,11 +64,11 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def whole_batches(spark: SparkSession) -> None:
+def whole_batches(spark: SparkSession, rows: int = 256) -> None:
     """Arrow batches bounded by bytes as well as by rows: rows carry whole
     texts or packed arrays. Shuffle files of finished queries are removed at
     once, not when the driver happens to collect its garbage."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "256")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
     spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
 

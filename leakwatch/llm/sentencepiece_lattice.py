@@ -13,8 +13,9 @@ before it, or a run of other characters. Units of up to ``MAX_UNIT`` characters:
    path: the smallest sum of costs, the longest piece on ties. A
    character without a piece is a costly edge and becomes its UTF-8 bytes.
 
-The arrays of that fold grow with the square of a unit, so the same fold runs
-over longer units in one pass that looks back by the longest piece.
+The arrays of that fold grow with the square of a unit, so longer units pass
+these steps without edges, and the same fold runs over them in one pass that
+looks back by the longest piece.
 
 The cost of a piece is log(``RANK_SHIFT`` - score). Files that hold merge ranks
 as scores, not log probabilities, are meant to be applied merge by merge; the
@@ -35,6 +36,7 @@ from __future__ import annotations
 
 from array import array
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -55,8 +57,10 @@ RANK_SHIFT = 500.0
 NO_PIECE_COST = 1000.0
 MAX_BROADCAST = 8_000_000
 CACHE_UNITS = 500_000
-#: Characters of new units that a task holds before it writes them.
-CACHE_CHARS = 16_000_000
+#: Bytes of new units that a task holds before it writes them.
+CACHE_BYTES = 16_000_000
+#: Rows of an Arrow batch, which is bounded by bytes as well.
+BATCH_ROWS = 1024
 IDS_PER_UNIT = 6
 
 
@@ -67,20 +71,29 @@ class Cutter:
         pairs = {p[i : i + 2].replace(SPACE_MARK, " ") for p in pieces for i in range(len(p) - 1)}
         letters = sorted({c for p in pairs for c in p})
         number = {c: i for i, c in enumerate(letters, 1)}
-        self.points = np.array([ord(c) for c in letters], np.uint32)
-        self.joined = np.zeros((len(letters) + 1, len(letters) + 1), bool)
+        self.width = len(letters) + 1
+        apart = np.ones((self.width, self.width), bool)
         for p in pairs:
-            self.joined[number[p[0]], number[p[1]]] = True
-        self.number = np.zeros(0x110000, np.int32)  # 0: a character of no pair
-        self.number[self.points] = np.arange(1, len(letters) + 1)
-
-    def __call__(self, text: str | None) -> list[str]:
-        if not text:
-            return []
-        text = " " + text
-        at = self.number[np.frombuffer(text.encode("utf-32-le"), "<u4")]
-        cuts = [0, *(np.flatnonzero(~self.joined[at[:-1], at[1:]]) + 1).tolist(), len(text)]
-        return [text[i:j] for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
+            apart[number[p[0]], number[p[1]]] = False
+        self.apart = apart.ravel()
+        self.number = np.zeros(0x110000, np.int64)  # 0: a character of no pair
+        self.number[[ord(c) for c in letters]] = np.arange(1, self.width)
+
+    def __call__(self, texts: list[str | None]) -> tuple[pa.Array, np.ndarray]:
+        """The units of all texts one after the other, and the number of each text's."""
+        ends = np.cumsum([0, *(len(t) + 1 if t else 0 for t in texts)])
+        joined = "".join([" " + t for t in texts if t])
+        at = self.number[np.frombuffer(joined.encode("utf-32-le"), "<u4")]
+        cut = np.empty(len(at) + 1, bool)
+        cut[1:-1] = self.apart[at[:-1] * self.width + at[1:]]
+        cut[ends] = True
+        cuts = np.flatnonzero(cut)
+        size = np.diff(np.searchsorted(cuts, ends))
+        raw = joined.encode()
+        if len(raw) > len(at):
+            begins = np.flatnonzero((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)
+            cuts = np.append(begins, len(raw))[cuts]
+        return pa.StringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(raw)), size
 
 
 def load(path: str):
@@ -167,21 +180,16 @@ def encode_units(units: DataFrame, path: str) -> DataFrame:
     """(unit, ids) of the distinct units of a table."""
     rows, zero = pieces_of(path)
     longest = max(len(r[0]) for r in rows)
+    pieces = units.sparkSession.createDataFrame(rows, "piece string, id int, cost double")
     shared = units.sparkSession.sparkContext.broadcast({piece: (i, cost) for piece, i, cost in rows})
 
-    def long_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for u in batch.column("unit").to_pylist():
-                yield pa.record_batch([pa.array([u], pa.string()), pa.array([fold(u, shared.value, longest, zero)], pa.list_(pa.int32()))], names=["unit", "ids"])
-
-    # The length is an aggregate, so both filters stay above the one exchange.
-    sized = units.groupBy("unit").agg(F.max(F.length("unit")).alias("n"))
-    long = sized.where(F.col("n") > MAX_UNIT).select("unit").mapInArrow(long_units, "unit string, ids array<int>")
-    return _short_units(sized.where(F.col("n") <= MAX_UNIT), path).unionByName(long)
-
+    @F.arrow_udf("array<int>")
+    def folded(long: pa.Array) -> pa.Array:
+        return pa.array([None if u is None else fold(u, shared.value, longest, zero) for u in long.to_pylist()], pa.list_(pa.int32()))
 
-def _short_units(distinct: DataFrame, path: str) -> DataFrame:
-    pieces, longest, zero = piece_table(distinct.sparkSession, path)
+    # Long units stay among the others, without edges: the units are grouped once.
+    distinct = units.na.drop().groupBy("unit").agg(F.max(F.length("unit")).alias("n"))
+    short = F.col("n") <= MAX_UNIT
     u = F.col("unit")
     plain = F.when(F.contains(u, F.lit(SPACE_MARK)), F.replace(u, F.lit(SPACE_MARK), F.lit(NO_PIECE))).otherwise(u)
     marked = F.replace(plain, F.lit(" "), F.lit(SPACE_MARK))
@@ -189,85 +197,74 @@ def _short_units(distinct: DataFrame, path: str) -> DataFrame:
     # the aggregate's sort nothing. The number serves within the stage only.
     df = distinct.select(F.monotonically_increasing_id().alias("u"), "unit", marked.alias("marked"), "n")
     # One row per start with what follows, then one per length of that.
-    df = df.select("u", "unit", "n", F.posexplode(F.transform(F.sequence(F.lit(1), F.col("n")), lambda s: F.substr("marked", s, F.lit(longest)))).alias("s", "rest"))
-    df = df.select("u", "unit", "n", "s", "rest", F.explode(F.sequence(F.lit(1), F.length("rest"))).alias("k"))
+    rests = F.transform(F.sequence(F.lit(1), F.col("n")), lambda s: F.substr("marked", s, F.lit(longest)))
+    df = df.select("u", "unit", "n", F.posexplode_outer(F.when(short, rests)).alias("s", "rest"))
+    df = df.select("u", "unit", "n", "s", "rest", F.explode_outer(F.sequence(F.lit(1), F.length("rest"))).alias("k"))
     df = df.select("u", "unit", "n", (F.col("s") + 1).alias("s"), "k", F.left("rest", "k").alias("piece"))
-    df = df.join(F.broadcast(pieces), "piece", "left").where("id IS NOT NULL OR k = 1")
+    df = df.join(F.broadcast(pieces), "piece", "left").where("id IS NOT NULL OR k = 1 OR k IS NULL")
     edge = F.struct(
         (F.col("s") + F.col("k") - 1).alias("j"),
         (F.col("s") - 1).alias("i"),
         F.coalesce("cost", F.lit(NO_PIECE_COST)).alias("cost"),
         F.coalesce("id", -F.col("s")).alias("t"),
     )
-    df = df.groupBy("u", "unit", "n").agg(F.collect_list(edge).alias("edges"))
+    df = df.groupBy("u", "unit", "n").agg(F.collect_list(F.when(short, edge)).alias("edges"))
     as_bytes = lambda t: F.transform(
         F.sequence(F.lit(1), F.octet_length(F.substr("unit", -t, F.lit(1)))),
         lambda i: F.conv(F.substr(F.hex(F.encode(F.substr("unit", -t, F.lit(1)), "UTF-8")), 2 * i - 1, F.lit(2)), 16, 10).cast("int") + zero,
     )
-    df = df.select("unit", "n", _best_ways(F.col("edges"), F.col("n")).alias("best"))
-    df = df.select("unit", _path("best", F.col("n")).alias("path"))
+    df = df.select("unit", "n", F.when(short, _best_ways(F.col("edges"), F.col("n"))).alias("best"))
+    df = df.select("unit", "n", F.when(short, _path("best", F.col("n"))).alias("path"))
     ids = F.flatten(F.transform("path", lambda t: F.when(t >= 0, F.array(t)).otherwise(as_bytes(t))))
-    return df.select("unit", F.when(F.exists("path", lambda t: t < 0), ids).otherwise(F.col("path")).alias("ids"))
+    ids = F.when(F.exists("path", lambda t: t < 0), ids).otherwise(F.col("path"))
+    return df.select("unit", F.coalesce(ids, folded(F.when(~short, F.col("unit")))).alias("ids"))
 
 
 def _distinct(batches: Iterator[pa.RecordBatch], cut: Cutter) -> Iterator[pa.RecordBatch]:
-    seen: set[str] = set()
-    chars = 0
+    """Units that are new to the task; it forgets them when it holds too many."""
+    seen, new = pa.array([], pa.string()), []
+
+    def merged() -> pa.Array:
+        return pc.unique(pa.concat_arrays([seen, *new])) if new else seen
+
     for batch in batches:
-        for t in batch.column("text").to_pylist():
-            new = set(cut(t)) - seen
-            seen |= new
-            chars += sum(map(len, new))
-            if len(seen) >= CACHE_UNITS or chars >= CACHE_CHARS:
-                yield pa.record_batch([pa.array(list(seen), pa.string())], names=["unit"])
-                seen, chars = set(), 0
-    if seen:
-        yield pa.record_batch([pa.array(list(seen), pa.string())], names=["unit"])
+        texts = batch.column("text").to_pylist()
+        for a, b in chunks(texts):
+            units = pc.unique(cut(texts[a:b])[0])
+            if units.nbytes > CACHE_BYTES:  # of one long text
+                yield pa.record_batch([units], names=["unit"])
+                continue
+            new.append(units)
+            if sum(map(len, new)) > len(seen) // 2 or sum(u.nbytes for u in new) > CACHE_BYTES:
+                seen, new = merged(), []
+                if len(seen) >= CACHE_UNITS or seen.nbytes >= CACHE_BYTES:
+                    yield pa.record_batch([seen], names=["unit"])
+                    seen = pa.array([], pa.string())
+    seen, new = merged(), []
+    if len(seen):
+        yield pa.record_batch([seen], names=["unit"])
     del seen
     C.give_back()
 
 
-class UnitIds(dict):
-    """Place of each unit in the broadcast table. New units are only numbered,
-    and looked up together."""
-
-    def __init__(self, code: np.ndarray, first: np.ndarray, pool: np.ndarray, cut: Cutter):
-        super().__init__()
-        self.cut, self.chars = cut, 0
-        self.code, self.first, self.pool = code, first, pool
-        self.place, self.new = array("q"), []
-
-    def __missing__(self, unit: str) -> int:
-        self[unit] = k = len(self)
-        self.new.append(unit)
-        self.chars += len(unit)
-        return k
-
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts, and the number of each text's."""
-        if len(self) > CACHE_UNITS or self.chars > CACHE_CHARS:
-            self.clear()
-            self.chars = 0
-            self.place = array("q")
-        found = [self.cut(t) for t in texts]
-        k = [np.fromiter(map(self.__getitem__, f), np.int64, len(f)) for f in found]
-        if self.new:
-            codes = np.array([xxhash.xxh64_intdigest(u.encode(), 42) for u in self.new], np.uint64)  # Spark's xxhash64
-            self.place.extend(np.searchsorted(self.code, codes.view(np.int64)).tolist())
-            self.new = []
-        at = np.frombuffer(self.place, np.int64)[np.concatenate(k)] if k else np.empty(0, np.int64)
-        first = self.first[at]
-        size = self.first[at + 1] - first
-        ends = np.cumsum(size)
-        ids = self.pool[np.repeat(first - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
-        bounds = np.concatenate([[0], ends])[np.cumsum([0, *map(len, k)])]
-        return ids, np.diff(bounds)
+def _look_up(texts: list[str | None], cut: Cutter, code: np.ndarray, first: np.ndarray, pool: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts, and the number of each text's. Each distinct unit is looked up once."""
+    units, count = cut(texts)
+    units = units.dictionary_encode()
+    distinct = units.dictionary.cast(pa.binary()).to_pylist()
+    codes = np.fromiter(map(xxhash.xxh64_intdigest, distinct, repeat(42)), np.uint64, len(distinct))  # Spark's xxhash64
+    place = np.searchsorted(code, codes.view(np.int64))
+    unit = units.indices.to_numpy()
+    size = (first[place + 1] - first[place])[unit]
+    ends = np.cumsum(np.concatenate([[0], size]))
+    ids = pool[np.repeat(first[place][unit] - ends[:-1], size) + np.arange(ends[-1])]
+    return ids, np.diff(ends[np.cumsum([0, *count])])
 
 
 def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids", max_broadcast: int = MAX_BROADCAST) -> DataFrame:
     """``docs`` with ``ids_col``, the piece ids of each whole text."""
     spark = docs.sparkSession
-    C.whole_batches(spark)
+    C.whole_batches(spark, BATCH_ROWS)
     docs = docs.drop(*[c for c in docs.columns if c == ids_col])
     source = docs.select(F.col(text_col).cast("string").alias("text")).na.drop()
     cut = spark.sparkContext.broadcast(Cutter([r[0] for r in pieces_of(path)[0]]))
@@ -290,23 +287,14 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "i
 
     @F.arrow_udf("array<int>")
     def ids_of(texts: pa.Array) -> pa.Array:
-        known, raw = _known(shared, cut), texts.to_pylist()
-        parts = [known.encode(raw[a:b]) for a, b in chunks(raw)]
+        raw = texts.to_pylist()
+        parts = [_look_up(raw[a:b], cut.value, *shared.value) for a, b in chunks(raw)]
         ids, size = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.empty(0), np.empty(0, np.int64))
         bounds = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(bounds), pa.array(ids.astype(np.int32)), mask=texts.is_null())
 
-    return docs.withColumn(ids_col, ids_of(F.col(text_col).cast("string")))
-
-
-_held: list = []
-
-
-def _known(shared, cut) -> UnitIds:
-    """The worker's unit places for a broadcast table: they serve task after task."""
-    if not _held or _held[0] is not shared.value:
-        _held[:] = [shared.value, UnitIds(*shared.value, cut.value)]
-    return _held[1]
+    # Otherwise Spark calls it anew inside every function of its ids, as decoding is.
+    return docs.withColumn(ids_col, ids_of.asNondeterministic()(F.col(text_col).cast("string")))
 
 
 def _encode_by_join(docs: DataFrame, table: DataFrame, cut, text_col: str, ids_col: str) -> DataFrame:
@@ -316,13 +304,13 @@ def _encode_by_join(docs: DataFrame, table: DataFrame, cut, text_col: str, ids_c
         for batch in batches:
             keys, texts = batch.column("p_row").to_pylist(), batch.column("text").to_pylist()
             for a, b in chunks(texts, 1 << 18):
-                found = [cut.value(t) for t in texts[a:b]]
-                size = [len(f) for f in found]
+                units, size = cut.value(texts[a:b])
+                begin = np.cumsum(size) - size
                 yield pa.record_batch(
                     [
                         pa.array(np.repeat(np.array(keys[a:b], np.int64), size)),
-                        pa.array(np.concatenate([np.arange(s) for s in size]).astype(np.int32)),
-                        pa.array([u for f in found for u in f], pa.string()),
+                        pa.array((np.arange(len(units)) - np.repeat(begin, size)).astype(np.int32)),
+                        units,
                     ],
                     names=["p_row", "place", "unit"],
                 )
@@ -344,18 +332,17 @@ def decode(df: DataFrame, path: str, ids_col: str = "ids", text_col: str = "deco
         for i in range(size)
     ]
 
-    pool = np.frombuffer(b"".join(shown), np.uint8)
-    first = np.concatenate([[0], np.cumsum([len(b) for b in shown])])
+    table = pa.array(shown, pa.binary())
 
     @F.arrow_udf("string")
     def text_of(ids: pa.Array) -> pa.Array:
-        flat = ids.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        found = table.take(ids.flatten())
         count = np.diff(ids.offsets.to_numpy())
         count = np.where(ids.is_valid().to_numpy(zero_copy_only=False), count, 0)
-        size = first[flat + 1] - first[flat]
-        ends = np.cumsum(size)
-        raw = pool[np.repeat(first[flat] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
-        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(count)])]
+        _, ends, raw = found.buffers()
+        ends = np.frombuffer(ends, np.int32)[: len(found) + 1] if len(found) else np.zeros(1, np.int32)
+        raw = np.frombuffer(raw, np.uint8)[: ends[-1]] if ends[-1] else np.empty(0, np.uint8)
+        bounds = ends[np.concatenate([[0], np.cumsum(count)])]
         # The space that stands before every text goes again.
         lead = np.zeros(len(count), bool)
         some = np.flatnonzero(np.diff(bounds) > 0)

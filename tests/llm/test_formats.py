@@ -1,5 +1,7 @@
 import numpy as np
+import pyarrow as pa
 from helpers import COLUMNS, documents
+from pyspark.sql import functions as F
 
 from leakwatch.llm import chat_perspectives, html_paths
 from leakwatch.llm import sentencepiece_lattice as L
@@ -196,3 +198,48 @@ def test_ids_are_the_best_path_of_the_whole_text(spark):
         got = L.decode(L.encode(spark.createDataFrame(list(enumerate(texts)), "i int, text string"), path, max_broadcast=bound), path).collect()
         assert all(r.ids == whole[r.i] and r.decoded == r.text for r in got) and len(got) == len(texts)
     assert any(rows_of > 1 for rows_of in (size.get(i, 0) for i in whole[0])) and any(set(p) == {"▁"} and len(p) > 2 for p, i, _ in rows if i in whole[0] + whole[2])
+
+
+def test_units_are_grouped_once_and_ids_made_once(spark):
+    path = tokenizer("piece_bpe_32k.model")
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    units = spark.createDataFrame([(" the",), (" the",), (None,), ("=" * 60,), ("\n",)], "unit string")
+    df = L.encode_units(units, path)
+    assert plan(df).count("Exchange hashpartitioning") == 1
+    got = {r.unit: r.ids for r in df.collect()}
+    rows, zero = L.pieces_of(path)
+    pieces, longest = {p: (i, c) for p, i, c in rows}, max(len(p) for p, _, _ in rows)
+    assert got == {u: L.fold(u, pieces, longest, zero) for u in (" the", "=" * 60, "\n")}
+    docs = spark.createDataFrame([(1, "a b"), (2, None), (3, "")], "i int, text string")
+    # Decoding takes the ids that encoding made, it does not make them again.
+    assert "text_of(ids_of(" not in plan(L.decode(L.encode(docs, path), path).select("i", F.size("ids"), "decoded"))
+
+
+def test_cuts_lie_where_no_piece_crosses(monkeypatch):
+    cut = L.Cutter(["ab", "▁a", "bé", "𝒳b", "▁▁", "c"])
+    pairs = {"ab", " a", "bé", "𝒳b", "  "}
+
+    def plain(text):
+        units = []
+        for c in " " + text if text else "":
+            if units and units[-1][-1] + c in pairs:
+                units[-1] += c
+            else:
+                units.append(c)
+        return units
+
+    texts = [None, "", "ab", "  abé𝒳bc a", "b", None, "𝒳𝒳b", " ", "c\x00c", ""]
+    for some in (texts, texts[:2], texts[:1], [], texts[2:3], texts[3:]):
+        units, size = cut(some)
+        assert units.to_pylist() == [u for t in some for u in plain(t)]
+        assert size.tolist() == [len(plain(t)) for t in some]
+    batches = [pa.record_batch([pa.array([t], pa.string())], names=["text"]) for t in texts * 3]
+    want = {u for t in texts for u in plain(t)}
+    # A task writes each new unit once, and forgets them when it holds too many.
+    got = [u for b in L._distinct(iter(batches), cut) for u in b.column("unit").to_pylist()]
+    assert sorted(got) == sorted(want)
+    for name, bound in (("CACHE_UNITS", 2), ("CACHE_BYTES", 30), ("CACHE_BYTES", 0)):
+        with monkeypatch.context() as m:
+            m.setattr(L, name, bound)
+            assert {u for b in L._distinct(iter(batches), cut) for u in b.column("unit").to_pylist()} == want
+    assert list(L._distinct(iter([]), cut)) == []
