@@ -96,3 +96,28 @@ def test_skewed_vectors_miss_no_link():
     probed = set(zip(*(c.tolist() for c in E.probes(x, home, index)), strict=True))
     later, early = np.where(home[a] >= home[b], [a, b], [b, a])
     assert len(a) > 300 and all((int(i), int(home[j])) in probed for i, j in zip(later, early, strict=True))
+
+
+def test_vectors_without_clusters_are_sent_a_few_times(spark, monkeypatch):
+    x = rng().normal(size=(2000, 64))
+    x[1000:1100] = x[:100] + rng().normal(size=(100, 64)) * 0.1
+    rows = [(i, [float(v) for v in x[i]], i % 2, None, None) for i in range(len(x))]
+    sent, deal = [], E.C.deal
+    monkeypatch.setattr(E.C, "deal", lambda df, *args: sent.append(df.count()) or deal(df, *args))
+    got = sorted((tuple(r) for r in E.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()), key=str)
+    assert got == expected(rows) and sent and max(sent) <= 3 * len(rows)
+
+
+@pytest.mark.parametrize(("cos", "spread"), [(0.93, 0.0), (0.999999, 0.0), (0.93, 0.05), (0.3, 1.0)])
+def test_tables_rule_no_link_out(cos, spread):
+    r = rng()
+    x = E.unit(list(np.repeat(r.normal(size=(40, 24)), 8, 0) + spread * r.normal(size=(320, 24))), 24)
+    index = E.fit(list(x), 4000, cos)
+    home, code, error = E.encode(x, index)
+    ids = np.arange(len(x))
+    entries = {"label": ids * 0, "size": ids * 0 + 24, "list": home, "id": ids, "weight": ids * 0 + 1, "error": error, "vector": x, "code": code}
+    tile = E._tile([entries], index)
+    links = [sorted((int(i), int(tile["id"][j]))) for a, b in E._linked(tile, entries, index, cos) for i, j in zip(a, b, strict=True)]
+    want = np.argwhere(np.triu(x @ x.T >= cos, 1)).tolist()
+    clear = lambda pairs: sorted(p for p in pairs if abs(x[p[0]] @ x[p[1]] - cos) > 1e-12)
+    assert clear(links) == clear(want) and len(home) > len(set(home)) > 1
