@@ -22,9 +22,15 @@ as scores, not log probabilities, are meant to be applied merge by merge; the
 best path under these costs gives the same pieces for 86 % of running units
 (measured, see README), and always pieces that decode to the text.
 
-Texts are put together from the unit table. It is broadcast (hashed, as
-packed arrays) if it has at most ``max_broadcast`` units and
-``IDS_PER_UNIT`` times as many ids; beyond that the units of each text are joined with it and collected per text.
+Texts are put together from the unit table. The units that most tasks met are
+broadcast (hashed, as packed arrays): at most ``max_broadcast`` units and
+``IDS_PER_UNIT`` times as many ids. If there are more, each text asks once for
+those of its units that are not among them; these are joined with the table on
+the unit, and what is found is grouped by text and joined to the rows on a hash
+of the text. So a row per unit is made for rare units only, and rows travel
+once, as they are. The hash only leads to the row: units are compared whole.
+A unit whose hash another unit shares is not broadcast, and one that the table
+lacks (rows that are not the same when read again) is folded on the spot.
 
 Defined results: a null text has null ids, an empty text none; a text that
 holds the space mark itself keeps it (as bytes); decoding gives back every
@@ -35,8 +41,8 @@ gives an empty result; columns named like the added ones are replaced.
 from __future__ import annotations
 
 from array import array
-from collections.abc import Iterator
-from itertools import repeat
+from collections.abc import Callable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +52,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leakwatch.llm import cells as C
+from leakwatch.llm.tables import drop, written
 from leakwatch.llm.textcodes import chunks
 
 SPACE_MARK = "▁"
@@ -55,13 +62,15 @@ MAX_UNIT = 48
 RANK_SHIFT = 500.0
 #: Cost of a character without a piece: more than any path around it.
 NO_PIECE_COST = 1000.0
-MAX_BROADCAST = 8_000_000
+MAX_BROADCAST = 2_500_000
 CACHE_UNITS = 500_000
 #: Bytes of new units that a task holds before it writes them.
 CACHE_BYTES = 16_000_000
 #: Rows of an Arrow batch, which is bounded by bytes as well.
 BATCH_ROWS = 1024
 IDS_PER_UNIT = 6
+#: Texts that a task remembers, so as not to ask for the units of copies again.
+CACHE_TEXTS = 200_000
 
 
 class Cutter:
@@ -76,7 +85,7 @@ class Cutter:
         for p in pairs:
             apart[number[p[0]], number[p[1]]] = False
         self.apart = apart.ravel()
-        self.number = np.zeros(0x110000, np.int64)  # 0: a character of no pair
+        self.number = np.zeros(0x110000, np.int32 if self.width**2 < 1 << 31 else np.int64)  # 0: a character of no pair
         self.number[[ord(c) for c in letters]] = np.arange(1, self.width)
 
     def __call__(self, texts: list[str | None]) -> tuple[pa.Array, np.ndarray]:
@@ -177,7 +186,7 @@ def fold(unit: str, pieces: dict[str, tuple[int, float]], longest: int, zero: in
 
 
 def encode_units(units: DataFrame, path: str) -> DataFrame:
-    """(unit, ids) of the distinct units of a table."""
+    """(unit, met, ids) of the distinct units of a table; met: rows that have the unit."""
     rows, zero = pieces_of(path)
     longest = max(len(r[0]) for r in rows)
     pieces = units.sparkSession.createDataFrame(rows, "piece string, id int, cost double")
@@ -188,19 +197,19 @@ def encode_units(units: DataFrame, path: str) -> DataFrame:
         return pa.array([None if u is None else fold(u, shared.value, longest, zero) for u in long.to_pylist()], pa.list_(pa.int32()))
 
     # Long units stay among the others, without edges: the units are grouped once.
-    distinct = units.na.drop().groupBy("unit").agg(F.max(F.length("unit")).alias("n"))
+    distinct = units.na.drop().groupBy("unit").agg(F.max(F.length("unit")).alias("n"), F.count("*").alias("met"))
     short = F.col("n") <= MAX_UNIT
     u = F.col("unit")
     plain = F.when(F.contains(u, F.lit(SPACE_MARK)), F.replace(u, F.lit(SPACE_MARK), F.lit(NO_PIECE))).otherwise(u)
     marked = F.replace(plain, F.lit(" "), F.lit(SPACE_MARK))
     # Units are grouped by number first: the rows come in its order, which costs
     # the aggregate's sort nothing. The number serves within the stage only.
-    df = distinct.select(F.monotonically_increasing_id().alias("u"), "unit", marked.alias("marked"), "n")
+    df = distinct.select(F.monotonically_increasing_id().alias("u"), "unit", marked.alias("marked"), "n", "met")
     # One row per start with what follows, then one per length of that.
     rests = F.transform(F.sequence(F.lit(1), F.col("n")), lambda s: F.substr("marked", s, F.lit(longest)))
-    df = df.select("u", "unit", "n", F.posexplode_outer(F.when(short, rests)).alias("s", "rest"))
-    df = df.select("u", "unit", "n", "s", "rest", F.explode_outer(F.sequence(F.lit(1), F.length("rest"))).alias("k"))
-    df = df.select("u", "unit", "n", (F.col("s") + 1).alias("s"), "k", F.left("rest", "k").alias("piece"))
+    df = df.select("u", "unit", "n", "met", F.posexplode_outer(F.when(short, rests)).alias("s", "rest"))
+    df = df.select("u", "unit", "n", "met", "s", "rest", F.explode_outer(F.sequence(F.lit(1), F.length("rest"))).alias("k"))
+    df = df.select("u", "unit", "n", "met", (F.col("s") + 1).alias("s"), "k", F.left("rest", "k").alias("piece"))
     df = df.join(F.broadcast(pieces), "piece", "left").where("id IS NOT NULL OR k = 1 OR k IS NULL")
     edge = F.struct(
         (F.col("s") + F.col("k") - 1).alias("j"),
@@ -208,16 +217,16 @@ def encode_units(units: DataFrame, path: str) -> DataFrame:
         F.coalesce("cost", F.lit(NO_PIECE_COST)).alias("cost"),
         F.coalesce("id", -F.col("s")).alias("t"),
     )
-    df = df.groupBy("u", "unit", "n").agg(F.collect_list(F.when(short, edge)).alias("edges"))
+    df = df.groupBy("u", "unit", "n", "met").agg(F.collect_list(F.when(short, edge)).alias("edges"))
     as_bytes = lambda t: F.transform(
         F.sequence(F.lit(1), F.octet_length(F.substr("unit", -t, F.lit(1)))),
         lambda i: F.conv(F.substr(F.hex(F.encode(F.substr("unit", -t, F.lit(1)), "UTF-8")), 2 * i - 1, F.lit(2)), 16, 10).cast("int") + zero,
     )
-    df = df.select("unit", "n", F.when(short, _best_ways(F.col("edges"), F.col("n"))).alias("best"))
-    df = df.select("unit", "n", F.when(short, _path("best", F.col("n"))).alias("path"))
+    df = df.select("unit", "n", "met", F.when(short, _best_ways(F.col("edges"), F.col("n"))).alias("best"))
+    df = df.select("unit", "n", "met", F.when(short, _path("best", F.col("n"))).alias("path"))
     ids = F.flatten(F.transform("path", lambda t: F.when(t >= 0, F.array(t)).otherwise(as_bytes(t))))
     ids = F.when(F.exists("path", lambda t: t < 0), ids).otherwise(F.col("path"))
-    return df.select("unit", F.coalesce(ids, folded(F.when(~short, F.col("unit")))).alias("ids"))
+    return df.select("unit", "met", F.coalesce(ids, folded(F.when(~short, F.col("unit")))).alias("ids"))
 
 
 def _distinct(batches: Iterator[pa.RecordBatch], cut: Cutter) -> Iterator[pa.RecordBatch]:
@@ -247,18 +256,83 @@ def _distinct(batches: Iterator[pa.RecordBatch], cut: Cutter) -> Iterator[pa.Rec
     C.give_back()
 
 
-def _look_up(texts: list[str | None], cut: Cutter, code: np.ndarray, first: np.ndarray, pool: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all texts, and the number of each text's. Each distinct unit is looked up once."""
+def _places(units: pa.Array, code: np.ndarray) -> np.ndarray:
+    """The place of each unit among the sorted codes, -1 if it is not there."""
+    _, ends, raw = units.buffers()
+    ends = np.frombuffer(ends, np.int32)[units.offset : units.offset + len(units) + 1].tolist() if len(units) else [0]
+    raw = raw.to_pybytes() if raw else b""
+    own = np.fromiter((xxhash.xxh64_intdigest(raw[a:b], 42) for a, b in pairwise(ends)), np.uint64, len(units)).view(np.int64)  # Spark's xxhash64
+    if not len(code):
+        return np.full(len(own), -1)
+    order = np.argsort(own)  # a search in order stays in the caches
+    place = np.empty(len(own), np.int64)
+    place[order] = np.minimum(np.searchsorted(code, own[order]), len(code) - 1)
+    return np.where(code[place] == own, place, -1)
+
+
+def _wanted(batches: Iterator[pa.RecordBatch], cut: Cutter, code: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The units of each text that are not among the codes, with the text's key."""
+    seen: set[int] = set()
+    for batch in batches:
+        if len(seen) > CACHE_TEXTS:
+            seen.clear()
+        fresh = [i for i, k in enumerate(batch.column("p_key").to_pylist()) if not (k in seen or seen.add(k))]
+        batch = batch.take(pa.array(fresh, pa.int64()))
+        keys, texts = batch.column("p_key").to_numpy(), batch.column("text").to_pylist()
+        for a, b in chunks(texts):
+            units, size = cut(texts[a:b])
+            units = units.dictionary_encode()
+            unit, n = units.indices.to_numpy(), len(units.dictionary)
+            rare = np.flatnonzero((_places(units.dictionary, code) < 0)[unit])
+            pair = np.unique(np.searchsorted(np.cumsum(size), rare, "right") * n + unit[rare])
+            yield pa.record_batch([pa.array(keys[a:b][pair // max(n, 1)]), units.dictionary.take(pa.array(pair % max(n, 1)))], names=["p_key", "unit"])
+    seen.clear()
+    C.give_back()
+
+
+def _look_up(
+    texts: list[str | None], cut: Cutter, code: np.ndarray, first: np.ndarray, length: np.ndarray, pool: np.ndarray, own: tuple[pa.Array, pa.Array], pieces: Callable[[], tuple]
+) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts, and the number of each text's. Each distinct unit is
+    looked up once, first by its code and then among the texts' own units."""
     units, count = cut(texts)
     units = units.dictionary_encode()
-    distinct = units.dictionary.cast(pa.binary()).to_pylist()
-    codes = np.fromiter(map(xxhash.xxh64_intdigest, distinct, repeat(42)), np.uint64, len(distinct))  # Spark's xxhash64
-    place = np.searchsorted(code, codes.view(np.int64))
+    place = _places(units.dictionary, code)
+    held, rare = np.flatnonzero(place >= 0), np.flatnonzero(place < 0)
+    more = units.dictionary.take(pa.array(rare))
+    found = own[1].take(pc.index_in(more, value_set=own[0]))
+    if found.null_count:
+        found = pa.array([fold(u, *pieces()) if x is None else x for u, x in zip(more.to_pylist(), found.to_pylist(), strict=True)], pa.list_(pa.int32()))
+    # The ids of each distinct unit, then those of all units.
+    size = np.empty(len(place), np.int64)
+    size[held], size[rare] = length[place[held]], np.diff(found.offsets.to_numpy())
+    ids = np.concatenate([pool[_spread(first[place[held]], size[held])], found.flatten().to_numpy()])
+    begin = np.empty(len(place), np.int64)
+    order = np.concatenate([held, rare])
+    begin[order] = np.cumsum(size[order]) - size[order]
     unit = units.indices.to_numpy()
-    size = (first[place + 1] - first[place])[unit]
+    ends = np.cumsum(np.concatenate([[0], size[unit]]))
+    return ids[_spread(begin[unit], size[unit])], np.diff(ends[np.cumsum([0, *count])])
+
+
+def _spread(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """begin, begin + 1, ... of each range of so many places, one after the other."""
     ends = np.cumsum(np.concatenate([[0], size]))
-    ids = pool[np.repeat(first[place][unit] - ends[:-1], size) + np.arange(ends[-1])]
-    return ids, np.diff(ends[np.cumsum([0, *count])])
+    return np.repeat(begin - ends[:-1], size) + np.arange(ends[-1])
+
+
+def _clashes(table: DataFrame) -> list[int]:
+    """Codes that several units share: next to none of 64 bits."""
+    return [r.code for r in table.groupBy("code").agg(F.count("*").alias("n")).where("n > 1").collect()]
+
+
+def _packed(held: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The sorted codes, where the ids of each begin and how many, and the ids."""
+    code, ids = held["code"].to_numpy(), pa.concat_arrays([c for c in held["ids"].chunks] or [pa.array([], pa.list_(pa.int32()))])
+    order = np.argsort(code)
+    least = lambda a: a.astype(np.min_scalar_type(a.max(initial=0)))
+    bounds = ids.offsets.to_numpy()
+    return code[order], bounds[:-1][order], least(np.diff(bounds)[order]), least(ids.values.to_numpy())
 
 
 def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids", max_broadcast: int = MAX_BROADCAST) -> DataFrame:
@@ -266,61 +340,60 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "i
     spark = docs.sparkSession
     C.whole_batches(spark, BATCH_ROWS)
     docs = docs.drop(*[c for c in docs.columns if c == ids_col])
-    source = docs.select(F.col(text_col).cast("string").alias("text")).na.drop()
-    cut = spark.sparkContext.broadcast(Cutter([r[0] for r in pieces_of(path)[0]]))
-    table = encode_units(source.mapInArrow(lambda batches: _distinct(batches, cut.value), "unit string"), path)
-    table = table.select(F.xxhash64("unit").alias("code"), "unit", "ids").checkpoint()
-    n, codes, n_ids = table.agg(F.count("*"), F.count_distinct("code"), F.sum(F.size("ids"))).first()
-    if n > max_broadcast or (n_ids or 0) > IDS_PER_UNIT * max_broadcast or codes < n:
-        return _encode_by_join(docs, table, cut, text_col, ids_col)
-    held = table.select("code", "ids").toArrow().combine_chunks()  # at most max_broadcast units
-    code = held["code"].to_numpy()
-    order = np.argsort(code)
-    ids = held["ids"].combine_chunks()
-    size = np.diff(ids.offsets.to_numpy())[order] if n else np.empty(0, np.int64)
-    first = np.concatenate([[0], np.cumsum(size)])
-    values = ids.flatten().to_numpy() if n else np.empty(0, np.int32)
-    at = np.repeat(ids.offsets.to_numpy()[:-1][order] - first[:-1], size) + np.arange(first[-1]) if n else np.empty(0, np.int64)
-    kind = np.uint16 if not len(values) or values.max() < 1 << 16 else np.int32
-    shared = spark.sparkContext.broadcast((code[order], first, values[at].astype(kind)))
-    del held, ids, values, at
-
-    @F.arrow_udf("array<int>")
-    def ids_of(texts: pa.Array) -> pa.Array:
+    text = F.col(text_col).cast("string")
+    rows, zero = pieces_of(path)
+    longest = max(len(r[0]) for r in rows)
+    cut = spark.sparkContext.broadcast(Cutter([r[0] for r in rows]))
+    pieces = spark.sparkContext.broadcast({piece: (i, cost) for piece, i, cost in rows})
+    met = docs.select(text.alias("text")).na.drop().mapInArrow(lambda batches: _distinct(batches, cut.value), "unit string")
+    stored = written(encode_units(met, path), "units", "zstd", dictionary=False)
+    table = stored.withColumn("code", F.xxhash64("unit"))
+    # Units go to all tasks from those that most tasks met, as far as they fit.
+    n = n_ids = 0
+    kept, whole = F.lit(False), True
+    for r in sorted(table.groupBy("met").agg(F.count("*").alias("n"), F.sum(F.size("ids")).alias("ids")).collect(), reverse=True):
+        n, n_ids = n + r.n, n_ids + r.ids
+        if n > max_broadcast or n_ids > IDS_PER_UNIT * max_broadcast:
+            whole = False
+            break
+        kept = F.col("met") >= r.met
+    if clashes := _clashes(table):
+        kept, whole = kept & ~F.col("code").isin(clashes), False
+    shared = spark.sparkContext.broadcast(_packed(table.where(kept).select("code", "ids").toArrow()))
+    names = [text_col]
+    if not whole:
+        key = F.when(F.length(text) > 0, F.xxhash64(text)).otherwise(F.xxhash64(F.monotonically_increasing_id()))  # rows without units are spread
+        asked = docs.select(F.xxhash64(text).alias("p_key"), text.alias("text")).where(F.length("text") > 0)
+        found = asked.mapInArrow(lambda batches: _wanted(batches, cut.value, shared.value[0]), "p_key long, unit string").join(table.where(~kept).select("unit", "ids"), "unit")
+        new = [f"p_{i}_" for i in range(3)]
+        while {c.lower() for c in docs.columns} & set(new):
+            new = [f"{c}_" for c in new]
+        found = found.groupBy("p_key").agg(F.collect_list(F.struct("unit", "ids")).alias("own"))
+        found = written(found.select(F.col("p_key").alias(new[0]), F.col("own.unit").alias(new[1]), F.col("own.ids").alias(new[2])), "units_of_texts", "zstd", dictionary=False)
+        docs = docs.withColumn(new[0], key).join(found.hint("shuffle_hash"), new[0], "left").drop(new[0])
+        names += new[1:]
+    drop(stored)
+
+    def ids_of_texts(texts: pa.Array, units: pa.Array, ids: pa.Array) -> pa.Array:
         raw = texts.to_pylist()
-        parts = [_look_up(raw[a:b], cut.value, *shared.value) for a, b in chunks(raw)]
+        known = lambda a, b: (units.slice(a, b - a).flatten(), ids.slice(a, b - a).flatten())
+        parts = [_look_up(raw[a:b], cut.value, *shared.value, known(a, b), lambda: (pieces.value, longest, zero)) for a, b in chunks(raw)]
         ids, size = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.empty(0), np.empty(0, np.int64))
         bounds = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(bounds), pa.array(ids.astype(np.int32)), mask=texts.is_null())
 
+    @F.arrow_udf("array<int>")
+    def ids_of(texts: pa.Array) -> pa.Array:
+        none = pa.nulls(len(texts), pa.list_(pa.string())), pa.nulls(len(texts), pa.list_(pa.list_(pa.int32())))
+        return ids_of_texts(texts, *none)
+
+    @F.arrow_udf("array<int>")
+    def ids_with_own(texts: pa.Array, units: pa.Array, ids: pa.Array) -> pa.Array:
+        return ids_of_texts(texts, units, ids)
+
     # Otherwise Spark calls it anew inside every function of its ids, as decoding is.
-    return docs.withColumn(ids_col, ids_of.asNondeterministic()(F.col(text_col).cast("string")))
-
-
-def _encode_by_join(docs: DataFrame, table: DataFrame, cut, text_col: str, ids_col: str) -> DataFrame:
-    rows = docs.withColumn("p_row", F.monotonically_increasing_id()).checkpoint()
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys, texts = batch.column("p_row").to_pylist(), batch.column("text").to_pylist()
-            for a, b in chunks(texts, 1 << 18):
-                units, size = cut.value(texts[a:b])
-                begin = np.cumsum(size) - size
-                yield pa.record_batch(
-                    [
-                        pa.array(np.repeat(np.array(keys[a:b], np.int64), size)),
-                        pa.array((np.arange(len(units)) - np.repeat(begin, size)).astype(np.int32)),
-                        units,
-                    ],
-                    names=["p_row", "place", "unit"],
-                )
-
-    met = rows.select("p_row", F.col(text_col).cast("string").alias("text")).mapInArrow(place, "p_row long, place int, unit string")
-    met = met.join(table.select("unit", "ids"), "unit")
-    whole = met.groupBy("p_row").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("place", "ids"))), lambda x: x["ids"])).alias(ids_col))
-    none = F.when(F.col(text_col).isNotNull(), F.array().cast("array<int>"))
-    out = rows.join(whole, "p_row", "left").withColumn(ids_col, F.coalesce(ids_col, none))
-    return out.select(*docs.columns, ids_col)
+    made = (ids_of if whole else ids_with_own).asNondeterministic()(text, *names[1:])
+    return docs.withColumn(ids_col, made).drop(*names[1:])
 
 
 def decode(df: DataFrame, path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:

@@ -243,3 +243,69 @@ def test_cuts_lie_where_no_piece_crosses(monkeypatch):
             m.setattr(L, name, bound)
             assert {u for b in L._distinct(iter(batches), cut) for u in b.column("unit").to_pylist()} == want
     assert list(L._distinct(iter([]), cut)) == []
+
+
+def ids_by_fold(path, texts):
+    rows, zero = L.pieces_of(path)
+    pieces, longest = {p: (i, c) for p, i, c in rows}, max(len(p) for p, _, _ in rows)
+    return {t: L.fold(" " + t, pieces, longest, zero) if t else [] for t in texts if t is not None} | {None: None}
+
+
+def test_only_rare_units_are_joined(spark, monkeypatch):
+    import glob
+    import os
+    from urllib.parse import urlparse
+
+    path = tokenizer("piece_bpe_32k.model")
+    texts = [" ".join(["the words that all of the texts have in common, over and over"] * 30 + [f"rare{chr(97 + i % 26)}{chr(97 + i // 26)}x"]) for i in range(200)]
+    texts += [None, None, "", "", texts[0], texts[0], "=" * 60]
+    want = ids_by_fold(path, texts)
+    # A column that is named like one that the join adds stays.
+    docs = spark.createDataFrame([(i, t, "kept") for i, t in enumerate(texts)], "i int, text string, P_0_ string").repartition(5)
+    at = urlparse(spark.sparkContext.getCheckpointDir()).path
+    size = lambda: sum(os.path.getsize(f) for f in glob.glob(f"{at}/**", recursive=True) if os.path.isfile(f))
+    text_bytes = sum(len(t) for t in texts if t)
+    for bound in (0, 5, 20, L.MAX_BROADCAST):
+        with monkeypatch.context() as m:
+            asked = []
+            m.setattr(L, "written", lambda df, name, *a, f=L.written, **b: asked.append((name, f(df, name, *a, **b))) or asked[-1][1])
+            before = size()
+            out = L.encode(docs, path, max_broadcast=bound)
+            # No copy of the texts is kept.
+            assert size() - before < text_bytes / 4
+            got = out.collect()
+        assert out.columns == ["i", "text", "P_0_", "ids"] and len(got) == len(texts)
+        assert all(r.ids == want[r.text] and r.text == texts[r.i] and r.P_0_ == "kept" for r in got)
+        assert [n for n, _ in asked] == (["units", "units_of_texts"] if bound < L.MAX_BROADCAST else ["units"])
+        if bound == 20:  # the units in common are not among those joined
+            own = asked[1][1].collect()
+            assert 100 < len(own) < len(set(texts)) and all(len(r[1]) <= 2 for r in own)
+    # Units whose codes are shared by others are compared as strings.
+    some = [r.code for r in spark.createDataFrame([(" the",), (" words",), (" rareacx",)], "unit string").select(F.xxhash64("unit").alias("code")).collect()]
+    monkeypatch.setattr(L, "_clashes", lambda table: some)
+    assert all(r.ids == want[r.text] for r in L.encode(docs, path).collect())
+
+
+def test_units_are_looked_up_by_code_and_then_by_name():
+    path = tokenizer("piece_bpe_32k.model")
+    rows, zero = L.pieces_of(path)
+    pieces, longest = {p: (i, c) for p, i, c in rows}, max(len(p) for p, _, _ in rows)
+    cut = L.Cutter([p for p, _, _ in rows])
+    texts = ["the cat", None, "", "the naïve dog", "cat and dog and 中文"]
+    want = ids_by_fold(path, texts)
+    units = sorted({u for u in cut(texts)[0].to_pylist()})
+    lists = pa.list_(pa.int32())
+    folded = lambda some: pa.array([L.fold(u, pieces, longest, zero) for u in some], lists)
+    for held in (units, units[::2], []):
+        code = np.array([L.xxhash.xxh64_intdigest(u.encode(), 42) for u in held], np.uint64).view(np.int64)
+        table = L._packed(pa.table({"code": pa.array(code, pa.int64()), "ids": folded(held)}))
+        assert L._places(pa.array(held, pa.string()), table[0]).tolist() == np.argsort(np.argsort(code)).tolist()
+        # The rest comes with the texts, twice over, or is folded.
+        for own in (units + units, [u for u in units if u not in held][:2], []):
+            ids, size = L._look_up(texts, cut, *table, (pa.array(own, pa.string()), folded(own)), lambda: (pieces, longest, zero))
+            assert [x.tolist() for x in np.split(ids, np.cumsum(size)[:-1])] == [want[t] or [] for t in texts]
+        keys = [5, 6, 7, 8, 9]
+        batches = [pa.record_batch([pa.array(keys), pa.array([t or "" for t in texts])], names=["p_key", "text"])] * 2
+        asked = [(r["p_key"], r["unit"]) for b in L._wanted(iter(batches), cut, table[0]) for r in b.to_pylist()]
+        # Each text asks once for each unit that is not held.
+        assert sorted(asked) == sorted((k, u) for k, t in zip(keys, texts, strict=True) for u in set(cut([t])[0].to_pylist()) - set(held))
